@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import lookup
+from ..operators import decode, lookup
+from ..operators.frames import split_price_frames
 from ..schemas import INSTRUMENT_COLUMNS, OPTION_CHAIN_COLUMNS
 from ..sources import fixtures as fx
 from ..sources.master import MASTER_COLUMNS, latest_snapshot, snapshot_date
@@ -70,4 +71,89 @@ def q_option_chains_all(spark, sf_dir):
     return lookup.option_chains(m, fx.chain_requests(m))
 
 
-_ = (INSTRUMENT_COLUMNS, OPTION_CHAIN_COLUMNS)
+
+# --- price frames (B1, B3-B13, J2) ---------------------------------------------
+
+def _price_packets(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    return decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m)
+
+
+PK = ["frame_id", "packet_seq", "instrument_key"]
+
+
+def _typed(spark, sf_dir, t: int, *cols):
+    d = decode.good(_price_packets(spark, sf_dir))
+    return d.where(F.col("packet_type") == t).select(*PK, *cols)
+
+
+@query("packets")
+def q_packets(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    p = decode.decode_header(split_price_frames(fx.fixture_price_frames(spark, sf_dir, m)))
+    p = decode.resolve_instruments(p.withColumn("error", F.lit(None).cast("string")), m)
+    return p.select("frame_id", "recv_ts", "packet_seq", "seg_code", "security_id", "packet_length",
+                    "packet_type", "instrument_key", decode.code_decimals(F.col("seg_code")).alias("decimals"))
+
+
+@query("decode_trade")
+def q_decode_trade(spark, sf_dir):
+    return _typed(spark, sf_dir, 1, "ltp", "last_traded_qty", "volume", "average_price", "open_interest",
+                  "last_trade_time", "last_updated_time")
+
+
+@query("decode_depth")
+def q_decode_depth(spark, sf_dir):
+    d = _typed(spark, sf_dir, 2, "depth_buy", "depth_sell")
+    sides = F.array(F.struct(F.lit("buy").alias("side"), F.col("depth_buy").alias("levels")),
+                    F.struct(F.lit("sell").alias("side"), F.col("depth_sell").alias("levels")))
+    s = d.select(*PK, F.explode(sides).alias("s"))
+    lv = s.select(*PK, F.col("s.side").alias("side"), F.posexplode("s.levels").alias("level", "l"))
+    return lv.select(*PK, "side", "level", F.col("l.quantity").alias("quantity"),
+                     F.col("l.price").alias("price"), F.col("l.orders").alias("orders"))
+
+
+@query("decode_ohlc")
+def q_decode_ohlc(spark, sf_dir):
+    return _typed(spark, sf_dir, 3, "open", "close", "high", "low")
+
+
+@query("decode_index")
+def q_decode_index(spark, sf_dir):
+    from ..functions.numeric import price_change
+    d = decode.good(_price_packets(spark, sf_dir)).where(F.col("packet_type") == 5)
+    chg, pct = price_change("ltp", "prev_close", F.col("decimals"))
+    return d.select(*PK, "ltp", "open", "prev_close", "high", "low", "last_trade_time",
+                    chg.alias("change"), pct.alias("change_prcnt"))
+
+
+@query("decode_top")
+def q_decode_top(spark, sf_dir):
+    return _typed(spark, sf_dir, 6, "total_ask_qty", "total_bid_qty", "best_bid_qty", "best_ask_qty",
+                  "best_bid_price", "best_ask_price", "total_bid_ask_qty", "total_bid_qty_prcnt",
+                  "total_ask_qty_prcnt")
+
+
+@query("decode_status")
+def q_decode_status(spark, sf_dir):
+    return _typed(spark, sf_dir, 29, "status_msg", "status_value", "market_status")
+
+
+@query("decode_prev_close")
+def q_decode_prev_close(spark, sf_dir):
+    return _typed(spark, sf_dir, 32, "prev_close", "prev_open_interest")
+
+
+@query("decode_circuit")
+def q_decode_circuit(spark, sf_dir):
+    return _typed(spark, sf_dir, 33, "upper_circuit", "lower_circuit")
+
+
+@query("decode_week52")
+def q_decode_week52(spark, sf_dir):
+    return _typed(spark, sf_dir, 36, "week52_high", "week52_low")
+
+
+@query("decode_oi")
+def q_decode_oi(spark, sf_dir):
+    return _typed(spark, sf_dir, 37, "open_interest")

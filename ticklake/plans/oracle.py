@@ -119,3 +119,112 @@ chosen AS (SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM opts o WHERE o.und = r.un
                                  f"""SELECT c.und AS underlying, c.requested_expiry,
   {', '.join('o.' + x.strip() for x in CHAIN_COLS.split(','))}
 FROM chosen c JOIN opts o ON o.und = c.und AND o.exchange = c.exchange AND o.expiry_date_str = c.chosen""")
+
+
+# ---------------------------------------------------------------------------
+# price frames: packets re-derived from events, decoded values in SQL
+# ---------------------------------------------------------------------------
+
+def R(x: str) -> str:
+    """Half-even rounding at the packet's precision."""
+    return f"(CASE WHEN dp = 4 THEN round_even(({x}), 4) ELSE round_even(({x}), 2) END)"
+
+
+def F32(x: str) -> str:
+    return f"CAST(CAST(({x}) AS FLOAT) AS DOUBLE)"
+
+
+def TS(x: str) -> str:
+    return f"(TIMESTAMP '1980-01-01 05:30:00' + to_seconds(CAST(({x}) AS BIGINT)))"
+
+
+SEG_CODE_SQL = """CASE WHEN segment IS NULL OR segment = '' THEN -1 WHEN segment = 'I' THEN 0
+  WHEN exchange = 'NSE' AND segment = 'E' THEN 1 WHEN exchange = 'NSE' AND segment = 'D' THEN 2
+  WHEN exchange = 'NSE' AND segment = 'C' THEN 3 WHEN exchange = 'NSE' AND segment = 'M' THEN 10
+  WHEN exchange = 'BSE' AND segment = 'E' THEN 4 WHEN exchange = 'BSE' AND segment = 'C' THEN 7
+  WHEN exchange = 'BSE' AND segment = 'D' THEN 8 WHEN exchange = 'BSE' AND segment = 'M' THEN 9
+  WHEN exchange = 'MCX' AND segment = 'M' THEN 5 WHEN exchange = 'NCDEX' AND segment = 'M' THEN 6
+  WHEN exchange = 'ICEX' AND segment = 'M' THEN 11 ELSE -1 END"""
+
+PACKETS_CTE = f"""
+ev AS (
+  SELECT e.event_id, e.ts, e.user_id AS security_id, e.value AS v,
+         CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k,
+         [1,2,3,5,6,29,32,33,36,37][(e.event_id % 10) + 1] AS packet_type,
+         e.event_id // 4 AS frame_id, CAST(e.event_id % 4 AS INTEGER) AS packet_seq,
+         m.instrument_key, m.exchange, m.segment,
+         CAST(floor((epoch_us(e.ts) - epoch_us(TIMESTAMP '1980-01-01 05:30:00')) / 1000000) AS BIGINT) AS s
+  FROM events e JOIN master m ON m.security_id = e.user_id
+),
+pk AS (
+  SELECT *, max(ts) OVER (PARTITION BY frame_id) AS recv_ts, {SEG_CODE_SQL} AS seg_code FROM ev
+),
+pd AS (
+  SELECT *, CASE WHEN seg_code IN (3, 7, 8) THEN 4 ELSE 2 END AS dp,
+    11 + CASE packet_type WHEN 1 THEN 26 WHEN 2 THEN 100 WHEN 3 THEN 16 WHEN 5 THEN 24 WHEN 6 THEN 24
+                          WHEN 29 THEN 7 WHEN 32 THEN 8 WHEN 33 THEN 8 WHEN 36 THEN 8 WHEN 37 THEN 4 END
+      AS packet_length
+  FROM pk
+)"""
+
+
+def _pq(body_ctes: str, select: str) -> str:
+    return "WITH " + MASTER_CTE + ",\n" + PACKETS_CTE + (",\n" + body_ctes if body_ctes else "") + "\n" + select
+
+
+PK = "frame_id, packet_seq, instrument_key"
+
+ORACLE["packets"] = _pq("", """SELECT frame_id, recv_ts, packet_seq, seg_code, security_id, packet_length,
+  packet_type, instrument_key, dp AS decimals FROM pd""")
+
+ORACLE["decode_trade"] = _pq("", f"""SELECT {PK}, {R(F32('v'))} AS ltp, k AS last_traded_qty, event_id AS volume,
+  {R(F32('v'))} AS average_price, CASE WHEN k % 10 = 0 THEN 0 ELSE 1000 + k END AS open_interest,
+  {TS('s')} AS last_trade_time, {TS('s')} AS last_updated_time FROM pd WHERE packet_type = 1""")
+
+ORACLE["decode_depth"] = _pq("", f"""
+SELECT {PK}, 'buy' AS side, CAST(i AS INTEGER) AS level, k + i AS quantity, {F32('v - i')} AS price,
+       CAST(i + 1 AS INTEGER) AS orders
+FROM pd, range(5) t(i) WHERE packet_type = 2
+UNION ALL
+SELECT {PK}, 'sell' AS side, CAST(i AS INTEGER) AS level, k + 2 * i AS quantity, {F32('v + i')} AS price,
+       CAST(i + 2 AS INTEGER) AS orders
+FROM pd, range(5) t(i) WHERE packet_type = 2""")
+
+ORACLE["decode_ohlc"] = _pq("", f"""SELECT {PK}, {R(F32('v'))} AS open, {R(F32('v + 1'))} AS close,
+  {R(F32('v + 2'))} AS high, {R(F32('v - 1'))} AS low FROM pd WHERE packet_type = 3""")
+
+ORACLE["decode_index"] = _pq(f"""
+ix AS (SELECT {PK}, dp, s, {R(F32('v'))} AS ltp, {R(F32('v - 1'))} AS open,
+              {R(F32('CASE WHEN k = 0 THEN 0 ELSE v + 1 END'))} AS prev_close,
+              {R(F32('v + 2'))} AS high, {R(F32('v - 2'))} AS low FROM pd WHERE packet_type = 5),
+ic AS (SELECT *, CASE WHEN prev_close <= 0 THEN 0.0 ELSE {R('ltp - prev_close')} END AS change FROM ix)""",
+                               f"""SELECT {PK}, ltp, open, prev_close, high, low, {TS('s')} AS last_trade_time, change,
+  CASE WHEN prev_close <= 0 THEN 0.0 ELSE {R('100 * (change / prev_close)')} END AS change_prcnt FROM ic""")
+
+ORACLE["decode_top"] = _pq(f"""
+tb AS (SELECT {PK}, dp, v, k AS total_ask_qty, CASE WHEN k = 0 THEN 0 ELSE 2 * k END AS total_bid_qty,
+              k + 1 AS best_bid_qty, k + 2 AS best_ask_qty FROM pd WHERE packet_type = 6)""",
+                             f"""SELECT {PK}, total_ask_qty, total_bid_qty, best_bid_qty, best_ask_qty,
+  {R(F32('v'))} AS best_bid_price, {R(F32('v + 0.05'))} AS best_ask_price,
+  total_ask_qty + total_bid_qty AS total_bid_ask_qty,
+  CASE WHEN total_ask_qty + total_bid_qty = 0 THEN 0.0
+       ELSE {R('CAST(total_bid_qty AS DOUBLE) / (total_ask_qty + total_bid_qty) * 100')} END AS total_bid_qty_prcnt,
+  CASE WHEN total_ask_qty + total_bid_qty = 0 THEN 0.0
+       ELSE {R('CAST(total_ask_qty AS DOUBLE) / (total_ask_qty + total_bid_qty) * 100')} END AS total_ask_qty_prcnt
+FROM tb""")
+
+STATUS_VALUE = R(F32("[1.0, 3.0, 5.0, 6.0, 9.0][(k % 5) + 1]"))
+ORACLE["decode_status"] = _pq("", f"""SELECT {PK}, 'OK' AS status_msg, {STATUS_VALUE} AS status_value,
+  CASE CAST(floor({STATUS_VALUE}) AS INTEGER) WHEN 1 THEN 'PREOPEN' WHEN 3 THEN 'OPEN' WHEN 5 THEN 'POSTCLOSE'
+       WHEN 6 THEN 'CLOSE' END AS market_status FROM pd WHERE packet_type = 29""")
+
+ORACLE["decode_prev_close"] = _pq("", f"""SELECT {PK}, {R(F32('CASE WHEN k = 0 THEN 0 ELSE v END'))} AS prev_close,
+  {R(F32('k * 10'))} AS prev_open_interest FROM pd WHERE packet_type = 32""")
+
+ORACLE["decode_circuit"] = _pq("", f"""SELECT {PK}, {R(F32('v + 10'))} AS upper_circuit,
+  {R(F32('v - 10'))} AS lower_circuit FROM pd WHERE packet_type = 33""")
+
+ORACLE["decode_week52"] = _pq("", f"""SELECT {PK}, {R(F32('v + 10'))} AS week52_high,
+  {R(F32('v - 10'))} AS week52_low FROM pd WHERE packet_type = 36""")
+
+ORACLE["decode_oi"] = _pq("", f"""SELECT {PK}, 1000 + 2 * k AS open_interest FROM pd WHERE packet_type = 37""")
