@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import decode, lookup
+from ..operators import decode, lookup, ticks
 from ..operators.frames import split_price_frames
 from ..schemas import INSTRUMENT_COLUMNS, OPTION_CHAIN_COLUMNS
 from ..sources import fixtures as fx
@@ -157,3 +157,58 @@ def q_decode_week52(spark, sf_dir):
 @query("decode_oi")
 def q_decode_oi(spark, sf_dir):
     return _typed(spark, sf_dir, 37, "open_interest")
+
+
+# --- tick state (A4, A5, W1, W3, T4, B15) --------------------------------------
+
+def _with_depth0(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "depth_bid_qty0": F.col("depth_buy")[0]["quantity"],
+        "depth_bid_price0": F.col("depth_buy")[0]["price"],
+        "depth_ask_qty0": F.col("depth_sell")[0]["quantity"],
+        "depth_ask_price0": F.col("depth_sell")[0]["price"],
+    }).drop("depth_buy", "depth_sell")
+
+
+def _control(spark, sf_dir, master):
+    return fx.subscription_log(fx.read_table(spark, sf_dir, "events"), master)
+
+
+@query("tick_snapshots")
+def q_tick_snapshots(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    return _with_depth0(ticks.tick_snapshots(good, _control(spark, sf_dir, m)))
+
+
+@query("tick_epochs")
+def q_tick_epochs(spark, sf_dir):
+    return q_tick_snapshots(spark, sf_dir).select("frame_id", "packet_seq", "instrument_key", "epoch")
+
+
+@query("tick_latest")
+def q_tick_latest(spark, sf_dir):
+    return _with_depth0(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))))
+
+
+@query("market_status")
+def q_market_status(spark, sf_dir):
+    return ticks.market_status(decode.good(_price_packets(spark, sf_dir)))
+
+
+def _malformed_packets(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    frames = fx.malformed_price_frames(fx.read_table(spark, sf_dir, "events"), m)
+    return decode.price_packets(frames, m)
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    q = decode.quarantine(_malformed_packets(spark, sf_dir))
+    return q.groupBy("reason").agg(F.count(F.lit(1)).alias("packets"))
+
+
+@query("unknown_type_ticks")
+def q_unknown_type_ticks(spark, sf_dir):
+    g = decode.good(_malformed_packets(spark, sf_dir))
+    return g.agg(F.count(F.lit(1)).alias("packets"), F.countDistinct("instrument_key").alias("instruments"))

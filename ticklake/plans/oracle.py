@@ -228,3 +228,132 @@ ORACLE["decode_week52"] = _pq("", f"""SELECT {PK}, {R(F32('v + 10'))} AS week52_
   {R(F32('v - 10'))} AS week52_low FROM pd WHERE packet_type = 36""")
 
 ORACLE["decode_oi"] = _pq("", f"""SELECT {PK}, 1000 + 2 * k AS open_interest FROM pd WHERE packet_type = 37""")
+
+
+# ---------------------------------------------------------------------------
+# tick state
+# ---------------------------------------------------------------------------
+
+def _oi_default() -> str:
+    return "CASE WHEN k % 10 = 0 THEN 0 ELSE 1000 + k END"
+
+
+# state column -> {packet type: SQL over pd}
+WIDE = {
+    "ltp": {1: R(F32("v")), 5: R(F32("v"))},
+    "open": {3: R(F32("v")), 5: R(F32("v - 1"))},
+    "high": {3: R(F32("v + 2")), 5: R(F32("v + 2"))},
+    "low": {3: R(F32("v - 1")), 5: R(F32("v - 2"))},
+    "close": {3: R(F32("v + 1"))},
+    "prev_close": {5: R(F32("CASE WHEN k = 0 THEN 0 ELSE v + 1 END")), 32: R(F32("CASE WHEN k = 0 THEN 0 ELSE v END"))},
+    "volume": {1: "event_id"},
+    "average_price": {1: R(F32("v"))},
+    "open_interest": {1: _oi_default(), 37: "1000 + 2 * k"},
+    "prev_open_interest": {32: R(F32("k * 10"))},
+    "last_traded_qty": {1: "k"},
+    "last_trade_time": {1: TS("s"), 5: TS("s")},
+    "last_updated_time": {1: TS("s")},
+    "best_ask_price": {6: R(F32("v + 0.05"))},
+    "best_ask_qty": {6: "k + 2"},
+    "best_bid_price": {6: R(F32("v"))},
+    "best_bid_qty": {6: "k + 1"},
+    "total_ask_qty": {6: "k"},
+    "total_bid_qty": {6: "CASE WHEN k = 0 THEN 0 ELSE 2 * k END"},
+    "total_bid_ask_qty": {6: "k + CASE WHEN k = 0 THEN 0 ELSE 2 * k END"},
+    "total_bid_qty_prcnt": {6: "CASE WHEN k = 0 THEN 0.0 ELSE " + R("CAST(2 * k AS DOUBLE) / (3 * k) * 100") + " END"},
+    "total_ask_qty_prcnt": {6: "CASE WHEN k = 0 THEN 0.0 ELSE " + R("CAST(k AS DOUBLE) / (3 * k) * 100") + " END"},
+    "week52_high": {36: R(F32("v + 10"))},
+    "week52_low": {36: R(F32("v - 10"))},
+    "lower_circuit": {33: R(F32("v - 10"))},
+    "upper_circuit": {33: R(F32("v + 10"))},
+    # depth level 0 (prices not rounded)
+    "depth_bid_qty0": {2: "k"},
+    "depth_bid_price0": {2: F32("v")},
+    "depth_ask_qty0": {2: "k"},
+    "depth_ask_price0": {2: F32("v")},
+}
+STATE_DEFAULT = {c: ("NULL" if c.endswith("_time") else ("0.0" if any(x in c for x in (
+    "price", "ltp", "open", "high", "low", "close", "prcnt", "week52", "circuit", "prev_"))
+    and c not in ("open_interest",) else "0")) for c in WIDE}
+STATE_DEFAULT["prev_open_interest"] = "0.0"
+STATE_DEFAULT["open_interest"] = "0"
+DEPTH0 = ["depth_bid_qty0", "depth_bid_price0", "depth_ask_qty0", "depth_ask_price0"]
+STATE_ONLY = [c for c in WIDE if c not in DEPTH0]
+
+
+def _case(col: str) -> str:
+    arms = " ".join(f"WHEN {t} THEN {e}" for t, e in WIDE[col].items())
+    return f"CASE packet_type {arms} END AS {col}"
+
+
+WIDE_CTE = ("wide AS (SELECT instrument_key, dp, recv_ts, frame_id, packet_seq, packet_type, 0 AS is_reset, "
+            "CASE WHEN packet_type = 2 THEN 1 END AS depth_src, "
+            + ", ".join(_case(c) for c in WIDE) + " FROM pd)")
+
+CONTROL_CTE = """ctl AS (
+  SELECT CAST(e.ts AS TIMESTAMP) AS ts, m.instrument_key FROM events e JOIN master m ON m.security_id = e.user_id
+  WHERE e.event_type IN ('signup', 'error'))"""
+
+RESET_CTE = ("resets AS (SELECT c.instrument_key, d.dp, c.ts AS recv_ts, -1 AS frame_id, -1 AS packet_seq, "
+             "NULL AS packet_type, 1 AS is_reset, 0 AS depth_src, "
+             + ", ".join(f"{'NULL' if c in DEPTH0 else STATE_DEFAULT[c]} AS {c}" for c in WIDE)
+             + " FROM ctl c JOIN (SELECT DISTINCT instrument_key, dp FROM pd) d USING (instrument_key))")
+
+_W = ("OVER (PARTITION BY instrument_key ORDER BY recv_ts, frame_id, packet_seq "
+      "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+
+def _running(src: str) -> str:
+    cols = [f"COALESCE(last_value({c} IGNORE NULLS) {_W}, {STATE_DEFAULT[c]}) AS {c}" for c in STATE_ONLY]
+    dcols = [f"CASE WHEN last_value(depth_src IGNORE NULLS) {_W} = 1 THEN last_value({c} IGNORE NULLS) {_W} END AS {c}"
+             for c in DEPTH0]
+    return (f"run AS (SELECT instrument_key, dp AS decimals, recv_ts, frame_id, packet_seq, packet_type, is_reset, "
+            f"sum(is_reset) {_W} AS epoch, count(*) {_W} AS n, " + ", ".join(cols + dcols) + f" FROM {src})")
+
+
+DERIVED = ("CASE WHEN prev_close <= 0 THEN 0.0 ELSE " + R("ltp - prev_close").replace("dp", "decimals")
+           + " END AS change, "
+           "CASE WHEN prev_close <= 0 THEN 0.0 ELSE " + R("100 * ((" + R("ltp - prev_close").replace("dp", "decimals")
+                                                             + ") / prev_close)").replace("dp", "decimals")
+           + " END AS change_prcnt, "
+           "CASE WHEN prev_open_interest <= 0 THEN 0 ELSE CAST(trunc("
+           + R("open_interest - prev_open_interest").replace("dp", "decimals") + ") AS BIGINT) END AS open_interest_chg, "
+           "CASE WHEN prev_open_interest <= 0 THEN 0 ELSE CAST(trunc("
+           + R("100 * ((" + R("open_interest - prev_open_interest").replace("dp", "decimals")
+               + ") / prev_open_interest)").replace("dp", "decimals") + ") AS BIGINT) END AS open_interest_chg_prcnt")
+
+STATE_SELECT = ", ".join(STATE_ONLY + DEPTH0)
+
+ORACLE["tick_snapshots"] = _pq(",\n".join([
+    WIDE_CTE, CONTROL_CTE, RESET_CTE, "allrows AS (SELECT * FROM wide UNION ALL BY NAME SELECT * FROM resets)",
+    _running("allrows")]),
+    f"SELECT instrument_key, decimals, recv_ts, frame_id, packet_seq, packet_type, CAST(epoch AS BIGINT) AS epoch, "
+    f"{STATE_SELECT}, {DERIVED} FROM run WHERE is_reset = 0")
+
+ORACLE["tick_epochs"] = _pq(",\n".join([
+    WIDE_CTE, CONTROL_CTE, RESET_CTE, "allrows AS (SELECT * FROM wide UNION ALL BY NAME SELECT * FROM resets)",
+    _running("allrows")]),
+    "SELECT frame_id, packet_seq, instrument_key, CAST(epoch AS BIGINT) AS epoch FROM run WHERE is_reset = 0")
+
+ORACLE["tick_latest"] = _pq(",\n".join([WIDE_CTE, _running("wide"),
+                                        "fin AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY "
+                                        "recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn FROM run)"]),
+                            f"SELECT instrument_key, decimals, n AS packets, recv_ts AS last_recv_ts, {STATE_SELECT}, "
+                            f"{DERIVED} FROM fin WHERE rn = 1")
+
+ORACLE["market_status"] = _pq(f"""
+st AS (SELECT recv_ts, frame_id, packet_seq, 'OK' AS msg, {STATUS_VALUE} AS value FROM pd WHERE packet_type = 29),
+last AS (SELECT *, row_number() OVER (ORDER BY recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn,
+                count(*) OVER () AS status_packets FROM st)""",
+                              """SELECT msg, value, CASE CAST(floor(value) AS INTEGER) WHEN 1 THEN 'PREOPEN' WHEN 3 THEN 'OPEN'
+  WHEN 5 THEN 'POSTCLOSE' WHEN 6 THEN 'CLOSE' END AS market_status, status_packets FROM last WHERE rn = 1""")
+
+ORACLE["quarantine"] = _q("", """
+SELECT reason, count(*) AS packets FROM (
+  SELECT CASE e.event_id % 6 WHEN 0 THEN 'truncated' WHEN 1 THEN 'bad_length' WHEN 2 THEN 'short_frame'
+              WHEN 4 THEN 'unknown_segment' WHEN 5 THEN 'unknown_instrument' END AS reason
+  FROM events e JOIN master m ON m.security_id = e.user_id) WHERE reason IS NOT NULL GROUP BY reason""")
+
+ORACLE["unknown_type_ticks"] = _q("", """
+SELECT count(*) AS packets, count(DISTINCT m.instrument_key) AS instruments
+FROM events e JOIN master m ON m.security_id = e.user_id WHERE e.event_id % 6 = 3""")
