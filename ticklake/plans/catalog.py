@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import decode, lookup, ticks
+from ..operators import decode, lookup, orders, ticks
 from ..operators.frames import split_price_frames
 from ..schemas import INSTRUMENT_COLUMNS, OPTION_CHAIN_COLUMNS
 from ..sources import fixtures as fx
@@ -212,3 +212,55 @@ def q_quarantine(spark, sf_dir):
 def q_unknown_type_ticks(spark, sf_dir):
     g = decode.good(_malformed_packets(spark, sf_dir))
     return g.agg(F.count(F.lit(1)).alias("packets"), F.countDistinct("instrument_key").alias("instruments"))
+
+
+# --- orders (B2, B14, F19-F25, J4, A6, A7) ---------------------------------------
+
+ORDER_VIEW = ["frame_id", "packet_seq", "recv_ts", "instrument_key", "msg_len", "exchange", "segment",
+              "security_id", "security_id_num", "exch_order_no", "order_no", "order_no_num", "order_type",
+              "validity", "quantity", "traded_qty", "remaining_quantity", "price", "avg_traded_price",
+              "trigger_price", "lot_size", "tick_size", "order_date_time", "exch_order_time",
+              "last_updated_time", "status", "splatform", "remarks_1", "order_label", "disp_quantity",
+              "disp_traded_qty", "disp_remaining_quantity", "utf8_valid"]
+
+
+def _orders(spark, sf_dir, master=None):
+    m = master if master is not None else _master(spark, sf_dir)
+    return orders.order_updates(fx.fixture_order_frames(spark, sf_dir, m))
+
+
+@query("orders_decoded")
+def q_orders_decoded(spark, sf_dir):
+    return decode.good(_orders(spark, sf_dir)).select(*ORDER_VIEW)
+
+
+@query("orders_enriched")
+def q_orders_enriched(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    e = orders.enrich_orders(decode.good(_orders(spark, sf_dir, m)), m)
+    return e.select("frame_id", "packet_seq", "instrument_key", "order_no", "order_label", "disp_quantity",
+                    "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
+
+
+@query("orders_by_frame")
+def q_orders_by_frame(spark, sf_dir):
+    g = orders.orders_by_frame(decode.good(_orders(spark, sf_dir)).select(
+        "frame_id", "packet_seq", "recv_ts", "order_no", "instrument_key"))
+    return g.select("frame_id", "recv_ts", F.size("orders").alias("n_orders"),
+                    F.array_join(F.transform("orders", lambda o: o["order_no"]), ",").alias("order_nos"))
+
+
+@query("orders_latest")
+def q_orders_latest(spark, sf_dir):
+    o = decode.good(_orders(spark, sf_dir)).select(*ORDER_VIEW)
+    return orders.latest_orders(o).select("instrument_key", "orders_seen", "frame_id", "packet_seq",
+                                          "order_no", "quantity", "status", "order_label", "price")
+
+
+@query("order_quarantine")
+def q_order_quarantine(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    o = orders.order_updates(fx.malformed_order_frames(fx.read_table(spark, sf_dir, "orders"), m))
+    reason = F.coalesce(F.col("error"), F.when(~F.col("utf8_valid"), F.lit("invalid_utf8")))
+    return (o.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("packets")))

@@ -357,3 +357,78 @@ SELECT reason, count(*) AS packets FROM (
 ORACLE["unknown_type_ticks"] = _q("", """
 SELECT count(*) AS packets, count(DISTINCT m.instrument_key) AS instruments
 FROM events e JOIN master m ON m.security_id = e.user_id WHERE e.event_id % 6 = 3""")
+
+
+# ---------------------------------------------------------------------------
+# orders
+# ---------------------------------------------------------------------------
+
+ORDERS_CTE = """
+od AS (
+  SELECT o.o_orderkey // 2 AS frame_id, CAST(o.o_orderkey % 2 AS INTEGER) AS packet_seq,
+         max(o.o_orderdate) OVER (PARTITION BY o.o_orderkey // 2) AS recv_ts,
+         m.exchange, m.segment, CAST(o.o_orderkey % 150 AS VARCHAR) AS security_id,
+         CAST(o.o_orderkey % 150 AS BIGINT) AS security_id_num,
+         CAST(o.o_orderkey AS VARCHAR) AS exch_order_no, CAST(o.o_orderkey AS VARCHAR) AS order_no,
+         CAST(o.o_orderkey AS BIGINT) AS order_no_num,
+         split_part(o.o_orderpriority, ' ', 1) AS order_type, '' AS validity,
+         CAST(100 + o.o_orderkey % 500 AS INTEGER) AS quantity,
+         CAST((100 + o.o_orderkey % 500) // 2 AS INTEGER) AS traded_qty,
+         CAST((100 + o.o_orderkey % 500) - (100 + o.o_orderkey % 500) // 2 AS INTEGER) AS remaining_quantity,
+         o.o_totalprice AS price, o.o_totalprice AS avg_traded_price, 0.0::DOUBLE AS trigger_price,
+         CAST(CASE WHEN o.o_orderkey % 5 = 0 THEN 1 ELSE o.o_orderkey % 5 END AS INTEGER) AS lot_size,
+         5.0 / 100 AS tick_size,
+         strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS order_date_time,
+         strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS exch_order_time,
+         strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS last_updated_time,
+         o.o_orderstatus AS status,
+         ['BSKT1','STRGBSK','FOVR','SIP','TV_TERMINAL','IBERG','WEB'][(o.o_orderkey % 7) + 1] AS splatform,
+         CAST(1008 AS INTEGER) AS msg_len, true AS utf8_valid, o.o_orderkey AS okey
+  FROM orders o JOIN master m ON m.security_id = o.o_orderkey % 150
+),
+ov AS (
+  SELECT *, splatform AS remarks_1,
+    CASE WHEN splatform LIKE '%BSKT%' OR splatform LIKE '%STRGBSK%' THEN 'Basket'
+         WHEN splatform LIKE '%FOVR%' THEN 'Forever' WHEN splatform LIKE '%SIP%' THEN 'SIP'
+         WHEN splatform LIKE '%TV_TERMINAL%' THEN 'TV' WHEN splatform LIKE '%IBERG%' THEN 'Iceberg' ELSE '' END
+      AS order_label,
+    CAST(floor(quantity / lot_size) AS BIGINT) AS disp_quantity,
+    CAST(floor(traded_qty / lot_size) AS BIGINT) AS disp_traded_qty,
+    CAST(floor(remaining_quantity / lot_size) AS BIGINT) AS disp_remaining_quantity,
+    CAST(security_id_num AS VARCHAR) || '-' || segment || '-' || exchange AS instrument_key
+  FROM od
+)"""
+
+ORDER_VIEW_SQL = ("frame_id, packet_seq, recv_ts, instrument_key, msg_len, exchange, segment, security_id, "
+                  "security_id_num, exch_order_no, order_no, order_no_num, order_type, validity, quantity, "
+                  "traded_qty, remaining_quantity, price, avg_traded_price, trigger_price, lot_size, tick_size, "
+                  "order_date_time, exch_order_time, last_updated_time, status, splatform, remarks_1, "
+                  "order_label, disp_quantity, disp_traded_qty, disp_remaining_quantity, utf8_valid")
+
+
+def _oq(body_ctes: str, select: str) -> str:
+    return "WITH " + MASTER_CTE + ",\n" + ORDERS_CTE + (",\n" + body_ctes if body_ctes else "") + "\n" + select
+
+
+ORACLE["orders_decoded"] = _oq("", f"SELECT {ORDER_VIEW_SQL} FROM ov")
+
+ORACLE["orders_enriched"] = _oq("", """SELECT ov.frame_id, ov.packet_seq, ov.instrument_key, ov.order_no,
+  ov.order_label, ov.disp_quantity, m.trading_symbol AS inst_trading_symbol, m.display_name AS inst_display_name,
+  m.instrument_type AS inst_type, m.lot_units AS inst_lot_units
+FROM ov LEFT JOIN master m ON m.instrument_key = ov.instrument_key""")
+
+ORACLE["orders_by_frame"] = _oq("", """SELECT frame_id, min(recv_ts) AS recv_ts, count(*) AS n_orders,
+  string_agg(order_no, ',' ORDER BY packet_seq) AS order_nos FROM ov GROUP BY frame_id""")
+
+ORACLE["orders_latest"] = _oq("""
+lo AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY recv_ts DESC, frame_id DESC,
+                                    packet_seq DESC) AS rn,
+              count(*) OVER (PARTITION BY instrument_key) AS orders_seen FROM ov)""",
+                              """SELECT instrument_key, orders_seen, frame_id, packet_seq, order_no, quantity, status,
+  order_label, price FROM lo WHERE rn = 1""")
+
+ORACLE["order_quarantine"] = _q("", """
+SELECT reason, count(*) AS packets FROM (
+  SELECT CASE o.o_orderkey % 4 WHEN 0 THEN 'bad_length' WHEN 1 THEN 'bad_length' WHEN 2 THEN 'truncated'
+              WHEN 3 THEN 'invalid_utf8' END AS reason
+  FROM orders o JOIN master m ON m.security_id = o.o_orderkey % 150) GROUP BY reason""")
