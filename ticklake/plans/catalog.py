@@ -264,3 +264,115 @@ def q_order_quarantine(spark, sf_dir):
     reason = F.coalesce(F.col("error"), F.when(~F.col("utf8_valid"), F.lit("invalid_utf8")))
     return (o.select(reason.alias("reason")).where(F.col("reason").isNotNull())
             .groupBy("reason").agg(F.count(F.lit(1)).alias("packets")))
+
+
+# --- lookups (P4-P11, A1-A3, J1, J3, F4-F7, S10) -----------------------------------
+
+@query("instrument_lookup")
+def q_instrument_lookup(spark, sf_dir):
+    return lookup.instrument_lookup(_master(spark, sf_dir), "u0", "nse", "OPTIDX", expiry_date="2024-01-04",
+                                    strike=100, option_type="CE")
+
+
+@query("instrument_lookup_equity")
+def q_instrument_lookup_equity(spark, sf_dir):
+    return lookup.instrument_lookup(_master(spark, sf_dir), "U3", "NSE", "EQUITY")
+
+
+@query("instruments_batch_lookup")
+def q_instruments_batch_lookup(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    req = fx.lookup_requests(m).withColumn("batch_id", F.concat_ws(":", "exchange", "instrument_type"))
+    return lookup.instruments_lookup(m, req)
+
+
+@query("trading_symbols")
+def q_trading_symbols(spark, sf_dir):
+    from ..functions.symbols import instrument_type_col, trading_symbol
+    from ..schemas import INSTRUMENT_TYPES
+    m = _master(spark, sf_dir)
+    flags = [F.col("instrument_type") == k for k in INSTRUMENT_TYPES]
+    und = F.get(F.split("trading_symbol", "-"), 0)
+    built = trading_symbol(und, "exchange", "instrument_type", "expiry_date", "strike_price",
+                           F.when(F.col("instrument_type").startswith("OPT"), F.col("option_type")))
+    return m.select("instrument_key", instrument_type_col(*flags).alias("resolved_type"),
+                    built.alias("built_symbol"), (built == F.col("trading_symbol")).alias("matches"))
+
+
+@query("expiry_dates_opt")
+def q_expiry_dates_opt(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    return lookup.expiry_dates_all(m, fx.fixture_underlyings(m), of_fut=False)
+
+
+@query("expiry_dates_fut")
+def q_expiry_dates_fut(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    return lookup.expiry_dates_all(m, fx.fixture_underlyings(m), of_fut=True)
+
+
+@query("nearest_expiry")
+def q_nearest_expiry(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    return lookup.nearest_expiry(m, fx.fixture_underlyings(m))
+
+
+@query("resolve_keys")
+def q_resolve_keys(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    keys = _control(spark, sf_dir, m).select("instrument_key")
+    r = lookup.resolve_keys(m, keys)
+    return r.select(*INSTRUMENT_COLUMNS, F.col("price_updates.ltp").alias("ltp"),
+                    F.col("price_updates.volume").alias("volume"),
+                    F.col("order_updates").isNull().alias("no_order_update"))
+
+
+@query("drop_empty_columns")
+def q_drop_empty_columns(spark, sf_dir):
+    from ..operators.display import drop_empty_columns
+    return drop_empty_columns(lookup.instrument_lookup(_master(spark, sf_dir), "U4", "NSE", "FUTIDX",
+                                                       expiry_date="2024-01-18"))
+
+
+@query("vertical_view")
+def q_vertical_view(spark, sf_dir):
+    from ..operators.display import vertical_view
+    return vertical_view(lookup.instrument_lookup(_master(spark, sf_dir), "U3", "NSE", "EQUITY"),
+                         ["instrument_key"])
+
+
+@query("segment_codes")
+def q_segment_codes(spark, sf_dir):
+    from ..functions.codes import code_decimals, code_exchange, code_segment, segment_code, wire_key
+    from ..functions.wire import date_to_wire_seconds
+    m = _master(spark, sf_dir)
+    code = segment_code("exchange", "segment")
+    return m.select("instrument_key", code.alias("seg_code"), code_decimals(code).alias("decimals"),
+                    code_exchange(code).alias("code_exchange"), code_segment(code).alias("code_segment"),
+                    wire_key(code, F.col("security_id")).alias("wire_key"),
+                    date_to_wire_seconds(F.col("expiry_date")).alias("expiry_wire_seconds"))
+
+
+# --- subscriptions (S6, U1, U2, T6, J5-J7) -------------------------------------------
+
+@query("subscription_plan")
+def q_subscription_plan(spark, sf_dir):
+    from ..operators.subscriptions import request_plan
+    m = _master(spark, sf_dir)
+    return request_plan(_control(spark, sf_dir, m), m).select(
+        "event_id", "instrument_key", "action", "mode", "seg_code", "request_seq", "request_code")
+
+
+@query("registry_current")
+def q_registry_current(spark, sf_dir):
+    from ..operators.subscriptions import current_registry
+    m = _master(spark, sf_dir)
+    return current_registry(_control(spark, sf_dir, m))
+
+
+@query("unsubscribe_all_plan")
+def q_unsubscribe_all_plan(spark, sf_dir):
+    from ..operators.subscriptions import current_registry, unsubscribe_all
+    m = _master(spark, sf_dir)
+    plan = unsubscribe_all(current_registry(_control(spark, sf_dir, m)), m)
+    return plan.select("group", "instrument_key", "mode", "seg_code", "request_seq", "request_code")

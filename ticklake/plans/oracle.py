@@ -432,3 +432,119 @@ SELECT reason, count(*) AS packets FROM (
   SELECT CASE o.o_orderkey % 4 WHEN 0 THEN 'bad_length' WHEN 1 THEN 'bad_length' WHEN 2 THEN 'truncated'
               WHEN 3 THEN 'invalid_utf8' END AS reason
   FROM orders o JOIN master m ON m.security_id = o.o_orderkey % 150) GROUP BY reason""")
+
+
+# ---------------------------------------------------------------------------
+# lookups, code tables, subscriptions
+# ---------------------------------------------------------------------------
+
+ORACLE["instrument_lookup"] = _q("", f"""SELECT {INSTRUMENT_COLS} FROM master WHERE exchange = 'NSE'
+  AND trading_symbol = 'U0-Jan2024-100-CE' AND instrument_type = 'OPTIDX' AND expiry_date_str = '2024-01-04'
+  AND strike_price = 100.0 AND option_type = 'CE'""")
+
+ORACLE["instrument_lookup_equity"] = _q("", f"""SELECT {INSTRUMENT_COLS} FROM master WHERE exchange = 'NSE'
+  AND trading_symbol = 'U3' AND instrument_type = 'EQUITY'""")
+
+ORACLE["instruments_batch_lookup"] = _q("""
+req AS (SELECT exchange || ':' || instrument_type AS batch_id, exchange, instrument_type, trading_symbol AS sym,
+               expiry_date_str AS e, CASE WHEN instrument_type LIKE 'OPT%' THEN strike_price END AS s,
+               CASE WHEN instrument_type LIKE 'OPT%' THEN option_type END AS o
+        FROM master WHERE instrument_type LIKE 'OPT%' OR instrument_type LIKE 'FUT%'),
+hit AS (SELECT DISTINCT r.batch_id, m.* FROM master m JOIN req r
+        ON r.exchange = m.exchange AND r.instrument_type = m.instrument_type AND r.sym = m.trading_symbol)""",
+                                         f"""SELECT batch_id, {INSTRUMENT_COLS} FROM hit h
+WHERE (NOT EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.e IS NOT NULL)
+       OR EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.e = h.expiry_date_str))
+  AND (NOT EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.s IS NOT NULL)
+       OR EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.s = h.strike_price))
+  AND (NOT EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.o IS NOT NULL)
+       OR EXISTS (SELECT 1 FROM req r WHERE r.batch_id = h.batch_id AND r.o = h.option_type))""")
+
+ORACLE["trading_symbols"] = _q("", """SELECT instrument_key, instrument_type AS resolved_type,
+  trading_symbol AS built_symbol, true AS matches FROM master""")
+
+UNDERLYINGS_CTE = """und AS (SELECT DISTINCT split_part(trading_symbol, '-', 1) AS underlying, exchange FROM master
+                     WHERE expiry_date_str IS NOT NULL)"""
+
+for _name, _shape in (("expiry_dates_opt", OPTION_SHAPE), ("expiry_dates_fut", FUTURE_SHAPE)):
+    ORACLE[_name] = _q(UNDERLYINGS_CTE, f"""SELECT u.underlying, u.exchange, m.expiry_date_str, m.expiry_type,
+  min(m.expiry_date) AS expiry_date
+FROM master m JOIN und u ON m.exchange = u.exchange AND starts_with(m.trading_symbol, upper(u.underlying) || '-')
+WHERE {_shape} GROUP BY u.underlying, u.exchange, m.expiry_date_str, m.expiry_type""")
+
+ORACLE["nearest_expiry"] = _q(UNDERLYINGS_CTE, f"""SELECT u.underlying, u.exchange,
+  arg_min(m.expiry_date_str, m.expiry_date) AS nearest_expiry
+FROM master m JOIN und u ON m.exchange = u.exchange AND starts_with(m.trading_symbol, upper(u.underlying) || '-')
+WHERE {OPTION_SHAPE} GROUP BY u.underlying, u.exchange""")
+
+ORACLE["resolve_keys"] = _q(CONTROL_CTE, f"""SELECT {INSTRUMENT_COLS}, 0.0::DOUBLE AS ltp, CAST(0 AS BIGINT) AS volume,
+  true AS no_order_update FROM master WHERE instrument_key IN (SELECT instrument_key FROM ctl)""")
+
+ORACLE["drop_empty_columns"] = _q("", """SELECT exchange, segment, security_id, instrument_type, trading_symbol,
+  display_name, instrument_key, lot_units, tick_size, expiry_date_str, expiry_type FROM master
+WHERE exchange = 'NSE' AND trading_symbol = 'U4-Jan2024-FUT' AND instrument_type = 'FUTIDX'
+  AND expiry_date_str = '2024-01-18'""")
+
+ORACLE["vertical_view"] = _q("""
+eq AS (SELECT instrument_key, exchange, segment, CAST(security_id AS VARCHAR) AS security_id, instrument_type,
+              trading_symbol, display_name, CAST(lot_units AS VARCHAR) AS lot_units,
+              CAST(strike_price AS VARCHAR) AS strike_price, option_type, CAST(tick_size AS VARCHAR) AS tick_size,
+              expiry_date_str, expiry_type
+       FROM master WHERE exchange = 'NSE' AND trading_symbol = 'U3' AND instrument_type = 'EQUITY')""",
+                               """SELECT instrument_key, variable, value FROM eq UNPIVOT INCLUDE NULLS (value FOR variable IN (exchange,
+  segment, security_id, instrument_type, trading_symbol, display_name, lot_units, strike_price, option_type,
+  tick_size, expiry_date_str, expiry_type))""")
+
+ORACLE["segment_codes"] = _q(f"""
+sc AS (SELECT instrument_key, security_id, expiry_date, {SEG_CODE_SQL} AS seg_code FROM master)""",
+                              """SELECT instrument_key, seg_code, CASE WHEN seg_code IN (3, 7, 8) THEN 4 ELSE 2 END AS decimals,
+  CASE seg_code WHEN 1 THEN 'NSE' WHEN 2 THEN 'NSE' WHEN 3 THEN 'NSE' WHEN 4 THEN 'BSE' WHEN 5 THEN 'MCX'
+    WHEN 6 THEN 'NCDEX' WHEN 7 THEN 'BSE' WHEN 8 THEN 'BSE' WHEN 9 THEN 'BSE' WHEN 10 THEN 'NSE'
+    WHEN 11 THEN 'ICEX' END AS code_exchange,
+  CASE WHEN seg_code = 0 THEN 'I' WHEN seg_code IN (1, 4) THEN 'E' WHEN seg_code IN (2, 8) THEN 'D'
+    WHEN seg_code IN (3, 7) THEN 'C' WHEN seg_code IN (5, 6, 9, 10, 11) THEN 'M' END AS code_segment,
+  CASE WHEN seg_code = 0 THEN CAST(security_id AS VARCHAR) || '-I-IDX'
+       WHEN seg_code < 0 THEN ''
+       ELSE CAST(security_id AS VARCHAR) || '-' ||
+         CASE WHEN seg_code IN (1, 4) THEN 'E' WHEN seg_code IN (2, 8) THEN 'D' WHEN seg_code IN (3, 7) THEN 'C'
+              ELSE 'M' END || '-' ||
+         CASE seg_code WHEN 1 THEN 'NSE' WHEN 2 THEN 'NSE' WHEN 3 THEN 'NSE' WHEN 4 THEN 'BSE' WHEN 5 THEN 'MCX'
+              WHEN 6 THEN 'NCDEX' WHEN 7 THEN 'BSE' WHEN 8 THEN 'BSE' WHEN 9 THEN 'BSE' WHEN 10 THEN 'NSE'
+              WHEN 11 THEN 'ICEX' END END AS wire_key,
+  CAST(date_diff('day', DATE '1980-01-01', expiry_date) AS BIGINT) * 86400 - 19800 AS expiry_wire_seconds
+FROM sc""")
+
+SUBLOG_CTE = """slog AS (
+  SELECT e.event_id, CAST(e.ts AS TIMESTAMP) AS ts, m.instrument_key, m.segment,
+         CASE WHEN e.event_type = 'signup' THEN 'SUBSCRIBE' ELSE 'UNSUBSCRIBE' END AS action,
+         CASE WHEN CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 2 = 0 THEN 'FULL' ELSE 'QUOTE' END AS mode,
+         """ + SEG_CODE_SQL.replace("segment", "m.segment").replace("exchange", "m.exchange") + """ AS seg_code
+  FROM events e JOIN master m ON m.security_id = e.user_id WHERE e.event_type IN ('signup', 'error'))"""
+
+
+def _code(action: str, mode: str) -> str:
+    return (f"CASE WHEN {action} = 'SUBSCRIBE' AND {mode} = 'QUOTE' THEN CASE WHEN segment = 'I' THEN 24 ELSE 12 END "
+            f"WHEN {action} = 'UNSUBSCRIBE' AND {mode} = 'QUOTE' THEN 13 "
+            f"WHEN {action} = 'SUBSCRIBE' AND {mode} = 'FULL' THEN 23 "
+            f"WHEN {action} = 'UNSUBSCRIBE' AND {mode} = 'FULL' THEN 25 ELSE 12 END")
+
+
+ORACLE["subscription_plan"] = _q(SUBLOG_CTE, f"""
+SELECT event_id, instrument_key, action, mode, seg_code, 0 AS request_seq, {_code('action', "'QUOTE'")} AS request_code
+FROM slog
+UNION ALL
+SELECT event_id, instrument_key, action, mode, seg_code, 1 AS request_seq, {_code('action', "'FULL'")} AS request_code
+FROM slog WHERE mode = 'FULL'""")
+
+REGISTRY_CTE = SUBLOG_CTE + """,
+lastact AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts DESC, event_id DESC) AS rn FROM slog),
+reg AS (SELECT instrument_key, mode, ts AS since_ts, segment, seg_code FROM lastact WHERE rn = 1 AND action = 'SUBSCRIBE')"""
+
+ORACLE["registry_current"] = _q(REGISTRY_CTE, "SELECT instrument_key, mode, since_ts FROM reg")
+
+ORACLE["unsubscribe_all_plan"] = _q(REGISTRY_CTE, f"""
+SELECT CASE WHEN mode = 'QUOTE' THEN 0 ELSE 1 END AS "group", instrument_key, mode, seg_code, 0 AS request_seq,
+       {_code("'UNSUBSCRIBE'", "'QUOTE'")} AS request_code FROM reg
+UNION ALL
+SELECT 1 AS "group", instrument_key, mode, seg_code, 1 AS request_seq, {_code("'UNSUBSCRIBE'", "'FULL'")} AS request_code
+FROM reg WHERE mode = 'FULL'""")
