@@ -66,12 +66,21 @@ def derived_columns(df: DataFrame) -> DataFrame:
                            "open_interest_chg": oichg, "open_interest_chg_prcnt": oipct})
 
 
+def _wrap_times(df: DataFrame, reset: bool = False) -> DataFrame:
+    """Time fields become ``struct(v)``: a write is a non-null struct even
+    when the value it writes is empty (a reset), so "last non-null" sees it."""
+    if reset:
+        return df.withColumns({c: F.struct(F.lit(None).cast("timestamp_ntz").alias("v")) for c in TIME_COLS})
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))) for c in TIME_COLS})
+
+
+
 def _state_input(good: DataFrame) -> DataFrame:
     """Decoded rows -> (key, decimals, ord..., state cols, depth struct)."""
     depth = F.when(F.col("depth_buy").isNotNull() | F.col("depth_sell").isNotNull(),
                    F.struct("depth_buy", "depth_sell"))
-    return _typed(good.select("instrument_key", "decimals", *ORD, "packet_type", *STATE_COLS,
-                              depth.alias(DEPTH), F.lit(0).alias("is_reset")))
+    return _wrap_times(_typed(good.select("instrument_key", "decimals", *ORD, "packet_type", *STATE_COLS,
+                                          depth.alias(DEPTH), F.lit(0).alias("is_reset"))))
 
 
 def reset_rows(control: DataFrame, decimals: DataFrame) -> DataFrame:
@@ -81,11 +90,12 @@ def reset_rows(control: DataFrame, decimals: DataFrame) -> DataFrame:
     c = c.join(decimals, "instrument_key", "inner")
     no_depth = F.struct(F.lit(None).cast("array<struct<quantity:bigint,price:double,orders:int>>").alias("depth_buy"),
                         F.lit(None).cast("array<struct<quantity:bigint,price:double,orders:int>>").alias("depth_sell"))
-    return c.select("instrument_key", "decimals", "recv_ts",
+    rows = c.select("instrument_key", "decimals", "recv_ts",
                     F.lit(-1).cast("long").alias("frame_id"), F.lit(-1).cast("int").alias("packet_seq"),
                     F.lit(None).cast("int").alias("packet_type"),
                     *[_default(s).alias(s) for s in STATE_COLS],
                     no_depth.alias(DEPTH), F.lit(1).alias("is_reset"))
+    return _wrap_times(rows, reset=True)
 
 
 def _ord() -> Column:
@@ -113,7 +123,8 @@ def latest_state(good: DataFrame) -> DataFrame:
         _last_nonnull(DEPTH).alias(DEPTH))
     out = agg.select("instrument_key", "decimals", "packets",
                      F.col("_last_ord.recv_ts").alias("last_recv_ts"),
-                     *[F.coalesce(F.col(c), _default(c)).alias(c) for c in STATE_COLS],
+                     *[F.col(c)["v"].alias(c) if c in TIME_COLS else F.coalesce(F.col(c), _default(c)).alias(c)
+                       for c in STATE_COLS],
                      F.col(f"{DEPTH}.depth_buy").alias("depth_buy"),
                      F.col(f"{DEPTH}.depth_sell").alias("depth_sell"))
     return derived_columns(out)
@@ -166,7 +177,8 @@ def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
     snap = j.select(
         "instrument_key", "decimals", *ORD, "packet_type", "is_reset",
         (F.col("_in_epoch") + F.sum("is_reset").over(upto)).alias("epoch"),
-        *[F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_in_{c}"), _default(c)).alias(c)
+        *[(F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_in_{c}"))["v"] if c in TIME_COLS
+           else F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_in_{c}"), _default(c))).alias(c)
           for c in STATE_COLS],
         F.coalesce(F.last(DEPTH, ignorenulls=True).over(upto), F.col(f"_in_{DEPTH}")).alias(DEPTH))
     snap = snap.where(F.col("is_reset") == 0).select(

@@ -376,3 +376,63 @@ def q_unsubscribe_all_plan(spark, sf_dir):
     m = _master(spark, sf_dir)
     plan = unsubscribe_all(current_registry(_control(spark, sf_dir, m)), m)
     return plan.select("group", "instrument_key", "mode", "seg_code", "request_seq", "request_code")
+
+
+# --- streaming (S4, S5, S7, S8, T1-T8, X1) ---------------------------------------------
+# Each query lands the fixture frames as Parquet files in the shared
+# checkpoint folder, drains them with a Structured Streaming query
+# (``trigger(availableNow=True)``) into a foreachBatch Parquet sink, and
+# returns the sink's content shaped like the batch twin (same oracle).
+
+def _run_stream(spark, df, mode: str, tag: str) -> DataFrame:
+    from ..session import scratch_path
+    from ..streaming.sinks import parquet_batch_writer, start
+    out = scratch_path(spark, f"{tag}-out")
+    q = start(df, parquet_batch_writer(out), scratch_path(spark, f"{tag}-ckpt"), output_mode=mode)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _landed_price_frames(spark, sf_dir, m):
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    path = scratch_path(spark, "price-frames")
+    write_frames(fx.fixture_price_frames(spark, sf_dir, m), path)
+    return stream_frames(spark, path)
+
+
+@query("stream_tick_latest")
+def q_stream_tick_latest(spark, sf_dir):
+    from ..streaming.sinks import latest_from_changes
+    from ..streaming.ticks import finish_latest, latest_state_stream
+    m = _master(spark, sf_dir)
+    agg = latest_state_stream(_landed_price_frames(spark, sf_dir, m), m)
+    changes = _run_stream(spark, agg, "update", "tick-latest")
+    return _with_depth0(finish_latest(latest_from_changes(changes, ["instrument_key"])))
+
+
+@query("stream_tick_snapshots")
+def q_stream_tick_snapshots(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.frames import stream_control
+    from ..streaming.ticks import decoded_stream, finish_snapshots, snapshot_stream
+    m = _master(spark, sf_dir)
+    ctl_path = scratch_path(spark, "control")
+    _control(spark, sf_dir, m).write.mode("overwrite").parquet(ctl_path)
+    frames = _landed_price_frames(spark, sf_dir, m)
+    snaps = snapshot_stream(decode.good(decoded_stream(frames, m)), stream_control(spark, ctl_path), m)
+    out = _run_stream(spark, snaps, "append", "tick-snapshots").drop("batch_id")
+    return _with_depth0(finish_snapshots(out))
+
+
+@query("stream_orders")
+def q_stream_orders(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    from ..streaming.orders import order_stream
+    m = _master(spark, sf_dir)
+    path = scratch_path(spark, "order-frames")
+    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+    out = _run_stream(spark, order_stream(stream_frames(spark, path), m), "append", "orders")
+    return out.select("frame_id", "packet_seq", "instrument_key", "order_no", "order_label", "disp_quantity",
+                      "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")

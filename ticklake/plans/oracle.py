@@ -294,9 +294,11 @@ CONTROL_CTE = """ctl AS (
   SELECT CAST(e.ts AS TIMESTAMP) AS ts, m.instrument_key FROM events e JOIN master m ON m.security_id = e.user_id
   WHERE e.event_type IN ('signup', 'error'))"""
 
+RESET_TS = "TIMESTAMP '1900-01-01 00:00:00'"   # oracle-only marker: "reset to empty"
 RESET_CTE = ("resets AS (SELECT c.instrument_key, d.dp, c.ts AS recv_ts, -1 AS frame_id, -1 AS packet_seq, "
              "NULL AS packet_type, 1 AS is_reset, 0 AS depth_src, "
-             + ", ".join(f"{'NULL' if c in DEPTH0 else STATE_DEFAULT[c]} AS {c}" for c in WIDE)
+             + ", ".join(f"{'NULL' if c in DEPTH0 else (RESET_TS if c.endswith('_time') else STATE_DEFAULT[c])} AS {c}"
+                         for c in WIDE)
              + " FROM ctl c JOIN (SELECT DISTINCT instrument_key, dp FROM pd) d USING (instrument_key))")
 
 _W = ("OVER (PARTITION BY instrument_key ORDER BY recv_ts, frame_id, packet_seq "
@@ -304,7 +306,8 @@ _W = ("OVER (PARTITION BY instrument_key ORDER BY recv_ts, frame_id, packet_seq
 
 
 def _running(src: str) -> str:
-    cols = [f"COALESCE(last_value({c} IGNORE NULLS) {_W}, {STATE_DEFAULT[c]}) AS {c}" for c in STATE_ONLY]
+    cols = [f"NULLIF(last_value({c} IGNORE NULLS) {_W}, {RESET_TS}) AS {c}" if c.endswith("_time")
+            else f"COALESCE(last_value({c} IGNORE NULLS) {_W}, {STATE_DEFAULT[c]}) AS {c}" for c in STATE_ONLY]
     dcols = [f"CASE WHEN last_value(depth_src IGNORE NULLS) {_W} = 1 THEN last_value({c} IGNORE NULLS) {_W} END AS {c}"
              for c in DEPTH0]
     return (f"run AS (SELECT instrument_key, dp AS decimals, recv_ts, frame_id, packet_seq, packet_type, is_reset, "
@@ -548,3 +551,7 @@ SELECT CASE WHEN mode = 'QUOTE' THEN 0 ELSE 1 END AS "group", instrument_key, mo
 UNION ALL
 SELECT 1 AS "group", instrument_key, mode, seg_code, 1 AS request_seq, {_code("'UNSUBSCRIBE'", "'FULL'")} AS request_code
 FROM reg WHERE mode = 'FULL'""")
+
+ORACLE["stream_tick_latest"] = ORACLE["tick_latest"]
+ORACLE["stream_tick_snapshots"] = ORACLE["tick_snapshots"]
+ORACLE["stream_orders"] = ORACLE["orders_enriched"]
