@@ -106,18 +106,3 @@ def ts_to_wire_seconds(ts: Column) -> Column:
     """Wall-clock timestamp -> whole wire seconds (floor); used by encoders."""
     return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts.cast("timestamp_ntz"))
 
-
-# --- staged readers over a hex text of the whole value -----------------------
-# Decoding dozens of fields with the readers above repeats the
-# substring/hex work per field and produces one enormous expression.  For
-# wide decoders: hex the value once, read every needed word once into its
-# own column, then build typed values from those columns.
-
-def hex_of(col) -> Column:
-    return F.hex(_c(col))
-
-
-def uint_from_hex(hex_col, offset: int, nbytes: int) -> Column:
-    h = _c(hex_col)
-    pairs = [F.substring(h, 2 * (offset + i) + 1, 2) for i in reversed(range(nbytes))]
-    return F.conv(F.concat(*pairs), 16, 10).cast("long")

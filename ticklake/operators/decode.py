@@ -84,12 +84,13 @@ def _body_error() -> Column:
 def decode_price_packets(packets: DataFrame) -> DataFrame:
     """B3-B13 on split packets -> wide decoded rows + ``error`` column.
 
-    Staged projections (hex once -> words -> floats -> per-type columns)
-    keep every generated method small enough for whole-stage codegen.
+    Staged projections (words read once from O(1) binary slices -> floats
+    -> per-type columns) keep every generated method small enough for
+    whole-stage codegen.
     """
     h = decode_header(packets).withColumn("decimals", code_decimals(F.col("seg_code")))
-    h = h.withColumns({"error": _body_error(), "_hex": F.hex(F.substring(PKT, B + 1, 200))})
-    h = h.withColumns({f"_w{o}": wire.uint_from_hex("_hex", o, 4) for o in _WORDS})
+    h = h.withColumn("error", _body_error())
+    h = h.withColumns({f"_w{o}": wire.uint_le(PKT, B + o, 4) for o in _WORDS})
     h = h.withColumns({f"_f{o}": wire.f32_from_bits(_w(o)) for o in _FLOATS})
     tsq, tbq = _w(0), _w(4)
     tot, tbp, tsp = book_shares(tbq, tsq, F.col("decimals"))
@@ -136,7 +137,7 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
     }
     # a packet with an error writes nothing
     cols = {k: F.when(F.col("error").isNull(), v) for k, v in cols.items()}
-    scratch = ["_hex"] + [f"_w{o}" for o in _WORDS] + [f"_f{o}" for o in _FLOATS]
+    scratch = [f"_w{o}" for o in _WORDS] + [f"_f{o}" for o in _FLOATS]
     return h.withColumns(cols).drop(*scratch)
 
 

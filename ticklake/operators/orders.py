@@ -1,15 +1,13 @@
 """Order updates.
 
 Order packets are fixed 1,008-byte records; decoding is native (JVM):
-numeric fields from one hex text of the packet, doubles rebuilt from two
+numeric fields from 32-bit words read once each, doubles rebuilt from two
 32-bit halves, text fields as valid UTF-8 with NULs stripped.  Invalid
 UTF-8 is replaced and flagged (``utf8_valid``), not fatal (D2).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,19 +60,24 @@ def decode_order_packets(packets: DataFrame, keep_personal: bool = False) -> Dat
                            .when(F.length(PKT) != ORDER_PACKET_LEN, F.lit("bad_length")))
     words = sorted({o for _, off, k in ORDER_LAYOUT if k in ("i16", "i32", "f64")
                     for o in ([off, off + 4] if k == "f64" else [off])})
-    p = p.withColumn("_hex", F.hex(PKT))
-    p = p.withColumns({f"_u{o}": wire.uint_from_hex("_hex", o, 4 if o + 4 <= ORDER_PACKET_LEN else 2)
-                       for o in words})
+    # each 32-bit word read once from an O(1) binary slice (string substring
+    # on a long hex text would walk the text for every field)
+    p = p.withColumns({f"_u{o}": wire.uint_le(PKT, o, 4) for o in words})
     raw = {}
     for name, off, kind in ORDER_LAYOUT:
         if kind in ("i16", "i32", "f64"):
             raw[name] = _number(name, off, kind)
         else:
             raw[name] = strip_nul(wire.raw_text(PKT, off, _width(kind)))
-    valid = reduce(lambda a, b: a & b, [wire.text_is_valid(PKT, off, _width(k))
-                                        for _, off, k in ORDER_LAYOUT if k == "c" or k.startswith("s")])
+    # one UTF-8 check over all text fields joined by NUL (a NUL ends any
+    # partial multi-byte sequence, so this equals the per-field AND)
+    parts = []
+    for _, off, k in ORDER_LAYOUT:
+        if k == "c" or k.startswith("s"):
+            parts += [F.substring(PKT, off + 1, _width(k)), F.lit(b"\x00")]
+    valid = F.is_valid_utf8(F.concat(*parts).cast("string"))
     p = p.withColumns(raw).withColumn("utf8_valid", valid)
-    p = p.drop("_hex", *[f"_u{o}" for o in words])
+    p = p.drop(*[f"_u{o}" for o in words])
     # F19 numeric twins, F20 time text, F21 tick scale, D4 lot guard
     p = p.withColumns({f"{n}_num": digits_to_long(n) for n in NUMERIC_TWINS})
     p = p.withColumns({n: time_text_iso(n) for n in TIME_FIELDS})
