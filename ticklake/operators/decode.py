@@ -32,11 +32,33 @@ def _r(x: Column) -> Column:
     return round_dp(x, F.col("decimals"))
 
 
-# Word offsets (relative to the body) read by any packet type; u16 fields
-# are the low half of the u32 read at the same offset.
-_DEPTH_OFFSETS = [20 * i + d for i in range(5) for d in (0, 4, 8, 10, 12, 16)]
-_WORDS = sorted({0, 3, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, *_DEPTH_OFFSETS})
-_FLOATS = sorted({0, 3, 4, 8, 10, 12, 16, 20, *[20 * i + d for i in range(5) for d in (12, 16)]})
+# Body word offsets each packet type reads (u16 fields are the low half of
+# the u32 read at the same offset) and which of them are f32.  A word is
+# only read for the packet types that use it, so a 4-byte open-interest
+# packet does not pay for the 30 words of a depth packet.
+_DEPTH_WORDS = [20 * i + d for i in range(DEPTH_LEVELS) for d in (0, 4, 8, 10, 12, 16)]
+_TYPE_WORDS = {
+    1: [0, 4, 6, 10, 14, 18, 22], 2: _DEPTH_WORDS, 3: [0, 4, 8, 12], 5: [0, 4, 8, 12, 16, 20],
+    6: [0, 4, 8, 12, 16, 20], 29: [3], 32: [0, 4], 33: [0, 4], 36: [0, 4], 37: [0],
+}
+_TYPE_FLOATS = {
+    1: [0, 10], 2: [20 * i + d for i in range(DEPTH_LEVELS) for d in (12, 16)], 3: [0, 4, 8, 12],
+    5: [0, 4, 8, 12, 16], 6: [16, 20], 29: [3], 32: [0, 4], 33: [0, 4], 36: [0, 4],
+}
+
+
+def _users(table: dict[int, list[int]]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for t, offs in table.items():
+        for o in offs:
+            out.setdefault(o, []).append(t)
+    return out
+
+
+_WORD_USERS = _users(_TYPE_WORDS)
+_FLOAT_USERS = _users(_TYPE_FLOATS)
+_WORDS = sorted(_WORD_USERS)
+_FLOATS = sorted(_FLOAT_USERS)
 
 
 def _w(o: int) -> Column:
@@ -90,8 +112,11 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
     """
     h = decode_header(packets).withColumn("decimals", code_decimals(F.col("seg_code")))
     h = h.withColumn("error", _body_error())
-    h = h.withColumns({f"_w{o}": wire.uint_le(PKT, B + o, 4) for o in _WORDS})
-    h = h.withColumns({f"_f{o}": wire.f32_from_bits(_w(o)) for o in _FLOATS})
+    ptype = F.col("packet_type")
+    h = h.withColumns({f"_w{o}": F.when(ptype.isin(_WORD_USERS[o]), wire.uint_le(PKT, B + o, 4))
+                       for o in _WORDS})
+    h = h.withColumns({f"_f{o}": F.when(ptype.isin(_FLOAT_USERS[o]), wire.f32_from_bits(_w(o)))
+                       for o in _FLOATS})
     tsq, tbq = _w(0), _w(4)
     tot, tbp, tsp = book_shares(tbq, tsq, F.col("decimals"))
     status_value = _r(_f(3))
