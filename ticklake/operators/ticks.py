@@ -10,10 +10,9 @@ each state column non-null only where the packet writes it), ordered by
 * ``tick_snapshots`` (W1 + W3, one row per packet): the state right after
   each packet.  A plain window over ``partitionBy(key)`` would put a hot
   instrument (a third of all packets) into one task; instead every key is
-  cut into time buckets, each bucket's last values are summarised
-  (partial-aggregated), the carry-in of each bucket is a window over the
-  *summaries* (one row per key and bucket), and the per-row window runs
-  only inside (key, bucket).
+  cut into time buckets, the per-row window runs only inside (key,
+  bucket), and each bucket's carry-in comes from a window over the bucket
+  summaries (one row per key and bucket).
 * Re-subscriptions reset an instrument's state (W3): they are unioned in as
   control rows carrying the default of every column, so "last non-null"
   restarts from the defaults with no extra partition key; ``epoch`` counts
@@ -149,39 +148,67 @@ def _bucket(bucket_seconds: int) -> Column:
 
 
 def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS, materialize: bool = True) -> DataFrame:
     """W1 (+W3 when ``control`` is given): one row per packet with the full
-    state after it, ``epoch`` = resets seen so far for the key."""
+    state after it, ``epoch`` = resets seen so far for the key.
+
+    Plan: the rows are shuffled once, by (key, bucket), and (with
+    ``materialize``) checkpointed to the shared checkpoint folder.  One Window pass
+    (partition (key, bucket), order by arrival) yields the running last
+    non-null values *and* marks each bucket's last row (``lead`` over the
+    same spec, so no second sort).  Those last rows are the bucket
+    summaries; a window over the summaries (one row per key and bucket —
+    small even for a hot key) gives each bucket's carry-in, which is joined
+    back on (key, bucket), the partitioning the rows already have.
+    """
     rows = _state_input(good)
     if control is not None:
         decimals = good.select("instrument_key", "decimals").distinct()
         rows = rows.unionByName(reset_rows(control, decimals))
-    rows = rows.withColumn("bucket", _bucket(bucket_seconds))
+    # non-nullable keys: no null filters get inferred into one branch only,
+    # so both uses of the (key, bucket) shuffle below stay identical and
+    # Spark reuses it (the upstream decode runs once)
+    rows = rows.withColumns({"instrument_key": F.coalesce("instrument_key", F.lit("")),
+                             "bucket": F.coalesce(_bucket(bucket_seconds), F.lit(0).cast("long"))})
     carried = STATE_COLS + [DEPTH]
 
-    # 1. per (key, bucket): last non-null of each column, reset count
-    summary = rows.groupBy("instrument_key", "bucket").agg(
-        *[_last_nonnull(c).alias(c) for c in carried],
-        F.sum("is_reset").alias("_resets"))
-    # 2. carry-in: last non-null over earlier buckets of the same key
+    # 1. one pass inside (key, bucket): running values, bucket-last flag
+    upto = (Window.partitionBy("instrument_key", "bucket").orderBy(*ORD)
+            .rowsBetween(Window.unboundedPreceding, 0))
+    inside = Window.partitionBy("instrument_key", "bucket").orderBy(*ORD)
+    run = rows.select(
+        "instrument_key", "bucket", "decimals", *ORD, "packet_type", "is_reset",
+        F.sum("is_reset").over(upto).alias("_run_resets"),
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in carried],
+        F.lead("frame_id").over(inside).isNull().alias("_bucket_last"))
+    if materialize:
+        # the running table feeds two branches; a reliable checkpoint in the
+        # shared folder runs the upstream (scan, split, decode, shuffle) once
+        # and survives executor loss; it keeps the (key, bucket) partitioning
+        from ..session import cut_lineage
+        run = cut_lineage(run)
+    # 2. carry-in per bucket = last non-null over the key's earlier buckets
     before = (Window.partitionBy("instrument_key").orderBy("bucket")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(
-        "instrument_key", "bucket",
+    carry = run.where(F.col("_bucket_last")).select(
+        F.col("instrument_key").alias("_ck"), F.col("bucket").alias("_cb"),
         *[F.last(c, ignorenulls=True).over(before).alias(f"_in_{c}") for c in carried],
-        F.coalesce(F.sum("_resets").over(before), F.lit(0)).alias("_in_epoch"))
-    # 3. per row: last non-null inside (key, bucket) up to the row, else carry
-    upto = (Window.partitionBy("instrument_key", "bucket").orderBy(*ORD)
-            .rowsBetween(Window.unboundedPreceding, 0))
-    j = rows.join(carry, ["instrument_key", "bucket"], "inner")
-    snap = j.select(
-        "instrument_key", "decimals", *ORD, "packet_type", "is_reset",
-        (F.col("_in_epoch") + F.sum("is_reset").over(upto)).alias("epoch"),
-        *[(F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_in_{c}"))["v"] if c in TIME_COLS
-           else F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_in_{c}"), _default(c))).alias(c)
+        F.coalesce(F.sum("_run_resets").over(before), F.lit(0)).alias("_in_epoch"),
+        # carried along so both branches read the same columns from the
+        # shared shuffle (otherwise pruning makes them differ: no reuse)
+        F.last("decimals", ignorenulls=True).over(before).alias("_in_decimals"),
+        F.last("packet_type", ignorenulls=True).over(before).alias("_in_packet_type"))
+    # 3. combine
+    j = run.join(carry, (run.instrument_key == carry._ck) & (run.bucket == carry._cb), "inner")
+    snap = j.where(F.col("is_reset") == 0).select(
+        "instrument_key", F.coalesce("decimals", "_in_decimals").alias("decimals"), *ORD,
+        F.coalesce("packet_type", "_in_packet_type").alias("packet_type"),
+        (F.col("_in_epoch") + F.col("_run_resets")).alias("epoch"),
+        *[(F.coalesce(F.col(c), F.col(f"_in_{c}"))["v"] if c in TIME_COLS
+           else F.coalesce(F.col(c), F.col(f"_in_{c}"), _default(c))).alias(c)
           for c in STATE_COLS],
-        F.coalesce(F.last(DEPTH, ignorenulls=True).over(upto), F.col(f"_in_{DEPTH}")).alias(DEPTH))
-    snap = snap.where(F.col("is_reset") == 0).select(
+        F.coalesce(F.col(DEPTH), F.col(f"_in_{DEPTH}")).alias(DEPTH))
+    snap = snap.select(
         "instrument_key", "decimals", *ORD, "packet_type", "epoch", *STATE_COLS,
         F.col(f"{DEPTH}.depth_buy").alias("depth_buy"), F.col(f"{DEPTH}.depth_sell").alias("depth_sell"))
     return derived_columns(snap)
