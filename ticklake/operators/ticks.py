@@ -111,24 +111,75 @@ def _last_nonnull(col: str) -> Column:
 # A4 / A5
 # ---------------------------------------------------------------------------
 
-def latest_state(good: DataFrame) -> DataFrame:
-    """A4: one row per instrument with its conflated state (T3 batch twin)."""
-    s = _state_input(good)
-    agg = s.groupBy("instrument_key").agg(
+# Fixed-width aggregation (A4/T3).  ``max_by`` over struct or string values
+# or orderings forces a sort-based aggregate (every map partition sorted);
+# with every buffer fixed-width Spark uses a hash aggregate instead:
+#   * arrival order packed into one DECIMAL(38,0):
+#       ((recv_ts µs since the wire epoch) * 2^43 + frame_id) * 2^16 + packet_seq
+#     (frame ids below 2^43, at most 65,536 packets per frame);
+#   * time fields as µs since the wire epoch (BIGINT);
+#   * the depth book as 30 scalar level fields, rebuilt after aggregating.
+_EPOCH_NTZ = f"timestamp_ntz'{WIRE_EPOCH}'"
+_LEVEL_FIELDS = [("quantity", "long"), ("price", "double"), ("orders", "int")]
+
+
+def _ord_num() -> Column:
+    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col("recv_ts")).cast("decimal(38,0)")
+    return (us * F.lit(2 ** 43) + F.col("frame_id")) * F.lit(2 ** 16) + F.col("packet_seq")
+
+
+def _depth_scalars() -> dict[str, Column]:
+    out = {}
+    for side in ("buy", "sell"):
+        for i in range(5):
+            for f, _ in _LEVEL_FIELDS:
+                out[f"_d_{side}{i}_{f}"] = F.col(f"depth_{side}")[i][f]
+    return out
+
+
+def _agg_input(good: DataFrame) -> DataFrame:
+    times = {c: F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col(c)) for c in TIME_COLS}
+    g = _typed(good.select("instrument_key", "decimals", *ORD, *STATE_COLS, "depth_buy", "depth_sell"))
+    return g.select("instrument_key", "decimals", "recv_ts", _ord_num().alias("_ord"),
+                    *[times[c].alias(c) if c in TIME_COLS else F.col(c) for c in STATE_COLS],
+                    *[v.alias(k) for k, v in _depth_scalars().items()])
+
+
+def _last_by_num(col: str) -> Column:
+    keep = F.col(col).isNotNull()
+    return F.max_by(F.when(keep, F.col(col)), F.when(keep, F.col("_ord")))
+
+
+def latest_aggregate(good: DataFrame) -> DataFrame:
+    """The hash-aggregatable core of A4/T3 (batch and streaming)."""
+    a = _agg_input(good)
+    scalars = [c for c in a.columns if c.startswith("_d_")]
+    return a.groupBy("instrument_key").agg(
         F.max("decimals").alias("decimals"),
-        F.max(_ord()).alias("_last_ord"),
+        F.max("recv_ts").alias("last_recv_ts"),
         F.count(F.lit(1)).alias("packets"),
-        *[_last_nonnull(c).alias(c) for c in STATE_COLS],
-        _last_nonnull(DEPTH).alias(DEPTH))
-    out = agg.select("instrument_key", "decimals", "packets",
-                     F.col("_last_ord.recv_ts").alias("last_recv_ts"),
-                     *[F.col(c)["v"].alias(c) if c in TIME_COLS else F.coalesce(F.col(c), _default(c)).alias(c)
-                       for c in STATE_COLS],
-                     F.col(f"{DEPTH}.depth_buy").alias("depth_buy"),
-                     F.col(f"{DEPTH}.depth_sell").alias("depth_sell"))
+        *[_last_by_num(c).alias(c) for c in STATE_COLS + scalars])
+
+
+def finish_latest(agg: DataFrame) -> DataFrame:
+    """Defaults, times, depth arrays and derived columns after aggregating."""
+    def depth(side):
+        levels = [F.struct(*[F.col(f"_d_{side}{i}_{f}").cast(t).alias(f) for f, t in _LEVEL_FIELDS])
+                  for i in range(5)]
+        return F.when(F.col(f"_d_{side}0_quantity").isNotNull(), F.array(*levels))
+    out = agg.select(
+        "instrument_key", "decimals", "packets", "last_recv_ts",
+        *[F.timestamp_add("MICROSECOND", F.col(c), F.expr(_EPOCH_NTZ)).alias(c) if c in TIME_COLS
+          else F.coalesce(F.col(c), _default(c)).alias(c) for c in STATE_COLS],
+        depth("buy").alias("depth_buy"), depth("sell").alias("depth_sell"))
     return derived_columns(out)
 
 
+def latest_state(good: DataFrame) -> DataFrame:
+    """A4: one row per instrument with its conflated state (T3 batch twin)."""
+    return finish_latest(latest_aggregate(good))
+
+
 def market_status(decoded_good: DataFrame) -> DataFrame:
     """A5: the global market status = the last type-29 packet (one row)."""
     st = decoded_good.where(F.col("status_msg").isNotNull())

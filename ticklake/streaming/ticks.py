@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import decode
-from ..operators.ticks import (DEFAULTS, DEPTH, ORD, STATE_COLS, TIME_COLS, TYPES, _last_nonnull, _ord,
-                               _state_input, derived_columns)
+from ..operators.ticks import (DEFAULTS, DEPTH, ORD, STATE_COLS, TIME_COLS, TYPES, _state_input,
+                               derived_columns, finish_latest, latest_aggregate)  # noqa: F401
 
 
 def decoded_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
@@ -34,27 +34,10 @@ def decoded_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def latest_state_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
-    """Streaming aggregate of the conflated state; use update mode."""
-    s = _state_input(decode.good(decoded_stream(frames, master)))
-    agg = s.groupBy("instrument_key").agg(
-        F.max("decimals").alias("decimals"),
-        F.max(_ord()).alias("_last_ord"),
-        F.count(F.lit(1)).alias("packets"),
-        *[_last_nonnull(c).alias(c) for c in STATE_COLS],
-        _last_nonnull(DEPTH).alias(DEPTH))
-    return agg
-
-
-def finish_latest(agg: DataFrame) -> DataFrame:
-    """Apply defaults and derived columns to aggregated state rows."""
-    from ..operators.ticks import _default
-    out = agg.select("instrument_key", "decimals", "packets",
-                     F.col("_last_ord.recv_ts").alias("last_recv_ts"),
-                     *[F.col(c)["v"].alias(c) if c in TIME_COLS else F.coalesce(F.col(c), _default(c)).alias(c)
-                       for c in STATE_COLS],
-                     F.col(f"{DEPTH}.depth_buy").alias("depth_buy"),
-                     F.col(f"{DEPTH}.depth_sell").alias("depth_sell"))
-    return derived_columns(out)
+    """Streaming aggregate of the conflated state (hash-aggregated,
+    fixed-width state rows); run in update mode, finish with
+    ``finish_latest`` on the sink side."""
+    return latest_aggregate(decode.good(decoded_stream(frames, master)))
 
 
 # ---------------------------------------------------------------------------
