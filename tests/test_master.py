@@ -72,3 +72,13 @@ def test_option_chain_fallback_and_empty(spark):
     assert lookup.option_chain(m, "NOPE", "NSE").count() == 0                        # D5
     ex = lookup.expiry_dates(m, "NIFTY", "NSE").collect()
     assert [(r[0], r[1]) for r in ex] == [("2023-12-14", "W")]
+
+
+def test_request_lists_require_equal_lengths(spark):
+    import pytest
+    m = ingest_master(read_master_csv(spark, _csv(ROWS)))
+    req = lookup.requests_from_lists(spark, ["NIFTY"], "nse", "OPTIDX", expiry_dates=["2023-12-14"],
+                                     strikes=[20000], option_types=["CE"])
+    assert [r["security_id"] for r in lookup.instruments_lookup(m, req).collect()] == [35001]
+    with pytest.raises(ValueError):
+        lookup.requests_from_lists(spark, ["A", "B"], "NSE", "OPTIDX", expiry_dates=["2023-12-14"])

@@ -229,3 +229,22 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
         F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_last"))
     return agg.select(*keys, "_last.*")
 
+
+
+def requests_from_lists(spark, instruments: list[str], exchange: str, instrument_type: str,
+                        expiry_dates: list[str] | None = None, strikes: list[float] | None = None,
+                        option_types: list[str] | None = None, batch_id: int = 0) -> DataFrame:
+    """J3 call form: positional request lists -> a request DataFrame for
+    ``instruments_lookup``.  Lists given must all have the instruments'
+    length (D3: the feed's chained check almost never fired)."""
+    n = len(instruments)
+    for name, values in (("expiry_dates", expiry_dates), ("strikes", strikes), ("option_types", option_types)):
+        if values is not None and len(values) != n:
+            raise ValueError(f"`{name}` must have one entry per instrument ({len(values)} != {n})")
+    rows = [(batch_id, inst, exchange.upper(), instrument_type,
+             expiry_dates[i] if expiry_dates is not None else None,
+             float(strikes[i]) if strikes is not None else None,
+             option_types[i] if option_types is not None else None) for i, inst in enumerate(instruments)]
+    schema = ("batch_id long, instrument string, exchange string, instrument_type string, "
+              "expiry_date string, strike double, option_type string")
+    return spark.createDataFrame(rows, schema)

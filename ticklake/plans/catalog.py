@@ -436,3 +436,69 @@ def q_stream_orders(spark, sf_dir):
     out = _run_stream(spark, order_stream(stream_frames(spark, path), m), "append", "orders")
     return out.select("frame_id", "packet_seq", "instrument_key", "order_no", "order_label", "disp_quantity",
                       "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
+
+
+# --- more coverage: S9/F26, J5-J7, A3 (futures), T5/A7 streaming ------------------
+
+@query("records_export")
+def q_records_export(spark, sf_dir):
+    from ..operators.display import to_records
+    eq = lookup.instrument_lookup(_master(spark, sf_dir), "U3", "NSE", "EQUITY")
+    return to_records(eq)
+
+
+@query("nearest_expiry_fut")
+def q_nearest_expiry_fut(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    return lookup.nearest_expiry(m, fx.fixture_underlyings(m), of_fut=True)
+
+
+MID_MONTH = "2024-01-16 00:00:00"
+
+
+def _registry_parts(spark, sf_dir, cut: str = MID_MONTH):
+    from ..operators.subscriptions import current_registry
+    m = _master(spark, sf_dir)
+    log = _control(spark, sf_dir, m)
+    mid = F.lit(cut).cast("timestamp_ntz")
+    before = current_registry(log.where(F.col("ts") < mid))
+    later = log.where(F.col("ts") >= mid)
+    return before, later
+
+
+@query("registry_registered_unsubs")
+def q_registry_registered_unsubs(spark, sf_dir):
+    from ..operators.subscriptions import registered
+    reg, later = _registry_parts(spark, sf_dir)
+    return registered(later.where(F.col("action") == "UNSUBSCRIBE"), reg).select(
+        "event_id", "instrument_key", "ts")
+
+
+@query("registry_after_unsubscribe")
+def q_registry_after_unsubscribe(spark, sf_dir):
+    from ..operators.subscriptions import unregister
+    reg, later = _registry_parts(spark, sf_dir, "2024-01-30 00:00:00")
+    return unregister(reg, later.where(F.col("action") == "UNSUBSCRIBE"))
+
+
+@query("registry_after_upsert")
+def q_registry_after_upsert(spark, sf_dir):
+    from ..operators.subscriptions import current_registry, upsert
+    reg, later = _registry_parts(spark, sf_dir)
+    fresh = current_registry(later.where(F.col("action") == "SUBSCRIBE"))
+    return upsert(reg, fresh)
+
+
+@query("stream_orders_latest")
+def q_stream_orders_latest(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    from ..streaming.orders import latest_order_stream
+    from ..streaming.sinks import latest_from_changes
+    m = _master(spark, sf_dir)
+    path = scratch_path(spark, "order-frames")
+    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+    changes = _run_stream(spark, latest_order_stream(stream_frames(spark, path)), "update", "orders-latest")
+    last = latest_from_changes(changes, ["instrument_key"])
+    return last.select("instrument_key", "orders_seen", "_o.frame_id", "_o.packet_seq", "_o.order_no",
+                       "_o.quantity", "_o.status", "_o.order_label", "_o.price")

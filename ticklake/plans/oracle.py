@@ -555,3 +555,48 @@ FROM reg WHERE mode = 'FULL'""")
 ORACLE["stream_tick_latest"] = ORACLE["tick_latest"]
 ORACLE["stream_tick_snapshots"] = ORACLE["tick_snapshots"]
 ORACLE["stream_orders"] = ORACLE["orders_enriched"]
+
+
+# ---------------------------------------------------------------------------
+# more coverage
+# ---------------------------------------------------------------------------
+
+_REC_COLS = ["exchange", "segment", "security_id", "instrument_type", "trading_symbol", "display_name",
+             "instrument_key", "lot_units", "strike_price", "option_type", "tick_size", "expiry_date_str",
+             "expiry_type"]
+ORACLE["records_export"] = _q("", "SELECT '{' || concat_ws(',', " + ", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END" for c in _REC_COLS)
+    + ") || '}' AS record FROM master WHERE exchange = 'NSE' AND trading_symbol = 'U3' AND instrument_type = 'EQUITY'")
+
+ORACLE["nearest_expiry_fut"] = _q(UNDERLYINGS_CTE, f"""SELECT u.underlying, u.exchange,
+  arg_min(m.expiry_date_str, m.expiry_date) AS nearest_expiry
+FROM master m JOIN und u ON m.exchange = u.exchange AND starts_with(m.trading_symbol, upper(u.underlying) || '-')
+WHERE {FUTURE_SHAPE} GROUP BY u.underlying, u.exchange""")
+
+_MID = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _reg_split(mid: str) -> str:
+    return SUBLOG_CTE + f""",
+early AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts DESC, event_id DESC) AS rn
+          FROM slog WHERE ts < {mid}),
+reg0 AS (SELECT instrument_key, mode, ts AS since_ts FROM early WHERE rn = 1 AND action = 'SUBSCRIBE'),
+later AS (SELECT * FROM slog WHERE ts >= {mid})"""
+
+
+REG_SPLIT_CTE = _reg_split(_MID)
+
+ORACLE["registry_registered_unsubs"] = _q(REG_SPLIT_CTE, """SELECT event_id, instrument_key, ts FROM later
+WHERE action = 'UNSUBSCRIBE' AND instrument_key IN (SELECT instrument_key FROM reg0)""")
+
+ORACLE["registry_after_unsubscribe"] = _q(_reg_split("TIMESTAMP '2024-01-30 00:00:00'"), """SELECT instrument_key, mode, since_ts FROM reg0
+WHERE instrument_key NOT IN (SELECT instrument_key FROM later WHERE action = 'UNSUBSCRIBE')""")
+
+ORACLE["registry_after_upsert"] = _q(REG_SPLIT_CTE + """,
+subs AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts DESC, event_id DESC) AS rn
+         FROM later WHERE action = 'SUBSCRIBE'),
+fresh AS (SELECT instrument_key, mode, ts AS since_ts FROM subs WHERE rn = 1)""",
+                                     """SELECT * FROM reg0 WHERE instrument_key NOT IN (SELECT instrument_key FROM fresh)
+UNION ALL SELECT * FROM fresh""")
+
+ORACLE["stream_orders_latest"] = ORACLE["orders_latest"]
