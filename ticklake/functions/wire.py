@@ -19,11 +19,11 @@ def _c(col) -> Column:
 
 
 def uint_le(col, offset: int, nbytes: int) -> Column:
-    """Unsigned little-endian integer of 1..7 bytes as LongType."""
-    h = F.hex(F.substring(_c(col), offset + 1, nbytes))
-    # byte pairs of the hex text in reverse order = big-endian digits
-    pairs = [F.substring(h, 2 * i + 1, 2) for i in reversed(range(nbytes))]
-    return F.conv(F.concat(*pairs), 16, 10).cast("long")
+    """Unsigned little-endian integer of 1..7 bytes as LongType: the bytes
+    are reordered as O(1) binary slices, hexed once, and read base-16."""
+    b = _c(col)
+    big_endian = F.concat(*[F.substring(b, offset + i + 1, 1) for i in reversed(range(nbytes))])
+    return F.conv(F.hex(big_endian), 16, 10).cast("long")
 
 
 def u8(col, offset: int) -> Column:
