@@ -38,8 +38,11 @@ def test_snapshots_match_brute_force_under_skew(spark):
     expected = _brute(rows)
     hot_share = sum(r["instrument_key"] == "HOT-D-NSE" for r in rows) / len(rows)
     assert hot_share > 0.3
-    for bucket in (600, 10 ** 9):
-        snaps = ticks.tick_snapshots(good, bucket_seconds=bucket).collect()
+    for fine, coarse, target in ((60, 3600, None), (600, 86400, None), (None, 86400, 20), (None, 3600, 3),
+                                 (86400, 86400 * 1000, None)):
+        bucket = (fine, coarse, target)
+        kw = {"rows_per_bucket": target} if target else {}
+        snaps = ticks.tick_snapshots(good, fine_seconds=fine, coarse_seconds=coarse, **kw).collect()
         assert len(snaps) == len(rows)
         for s in snaps:
             e = expected[(s["frame_id"], s["packet_seq"])]
@@ -52,7 +55,7 @@ def test_snapshots_match_brute_force_under_skew(spark):
 def test_latest_equals_last_snapshot(spark):
     good = _good_with_hot_key(spark)
     latest = {r["instrument_key"]: r for r in ticks.latest_state(good).collect()}
-    snaps = ticks.tick_snapshots(good, bucket_seconds=900)
+    snaps = ticks.tick_snapshots(good, fine_seconds=900, coarse_seconds=7200)
     last = snaps.groupBy("instrument_key").agg(
         F.max_by(F.struct(*snaps.columns), F.struct("recv_ts", "frame_id", "packet_seq")).alias("l")).collect()
     assert len(last) == len(latest)

@@ -10,9 +10,10 @@ each state column non-null only where the packet writes it), ordered by
 * ``tick_snapshots`` (W1 + W3, one row per packet): the state right after
   each packet.  A plain window over ``partitionBy(key)`` would put a hot
   instrument (a third of all packets) into one task; instead every key is
-  cut into time buckets, the per-row window runs only inside (key,
-  bucket), and each bucket's carry-in comes from a window over the bucket
-  summaries (one row per key and bucket).
+  cut into fine time buckets, the per-row window runs only inside (key,
+  bucket), and each bucket's carry-in comes from windows over bucket
+  summaries in two levels (fine within coarse, then coarse within key), so
+  every window partition stays bounded.
 * Re-subscriptions reset an instrument's state (W3): they are unioned in as
   control rows carrying the default of every column, so "last non-null"
   restarts from the defaults with no extra partition key; ``epoch`` counts
@@ -36,7 +37,6 @@ DEFAULTS = {name: d for name, _, d in TICK_FIELDS}
 TIME_COLS = ["last_trade_time", "last_updated_time"]
 DEPTH = "depth"                     # struct(depth_buy, depth_sell)
 ORD = ["recv_ts", "frame_id", "packet_seq"]
-DEFAULT_BUCKET_SECONDS = 3600
 
 
 def _default(name: str) -> Column:
@@ -193,34 +193,104 @@ def market_status(decoded_good: DataFrame) -> DataFrame:
 # W1 / W3
 # ---------------------------------------------------------------------------
 
-def _bucket(bucket_seconds: int) -> Column:
-    secs = F.timestamp_diff("SECOND", F.expr(f"timestamp_ntz'{WIRE_EPOCH}'"), F.col("recv_ts"))
-    return F.floor(secs / F.lit(bucket_seconds)).cast("long")
+DEFAULT_COARSE_SECONDS = 86400
+DEFAULT_ROWS_PER_BUCKET = 50_000
+# fine bucket sizes (seconds): divisors of a day, so a fine bucket never
+# straddles a coarse one
+FINE_LADDER = [1, 5, 15, 60, 300, 900, 3600, 14400, 43200, 86400]
+
+
+def _secs() -> Column:
+    return F.timestamp_diff("SECOND", F.expr(f"timestamp_ntz'{WIRE_EPOCH}'"), F.col("recv_ts"))
+
+
+def fine_bucket_sizes(rows: DataFrame, rows_per_bucket: int, coarse_seconds: int) -> DataFrame:
+    """Per key, the fine bucket length that holds about ``rows_per_bucket``
+    rows at the key's average rate: a hot key gets short buckets (bounded
+    groups), a quiet key one bucket per coarse period (few summaries).  One
+    partial-aggregated pass over (key, time); the result has one row per
+    instrument."""
+    stats = rows.groupBy("instrument_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    ideal = F.lit(float(rows_per_bucket)) * (F.col("_hi") - F.col("_lo") + 1) / F.col("_n")
+    ladder = [x for x in FINE_LADDER if coarse_seconds % x == 0 and x <= coarse_seconds]
+    size = F.lit(ladder[0])
+    for x in ladder[1:]:
+        size = F.when(ideal >= x, F.lit(x)).otherwise(size)
+    # a key that fits one bucket whole gets a single bucket (size 0): no carry
+    size = F.when(F.col("_n") <= rows_per_bucket, F.lit(0)).otherwise(size)
+    return stats.select(F.col("instrument_key").alias("_fk"), size.cast("long").alias("_fine"))
+
+
+def _bucket_carry(run: DataFrame, carried: list[str], coarse_seconds: int) -> DataFrame:
+    """Carry-in per fine bucket, computed in two levels so that no window
+    partition grows with the data: within (key, coarse bucket) over fine
+    bucket summaries, then within key over coarse bucket summaries."""
+    summ = run.where(F.col("_bucket_last")).select(
+        "instrument_key", "bucket", F.floor(F.col("bucket") / coarse_seconds).cast("long").alias("coarse"),
+        F.col("_run_resets").alias("_b_resets"), *carried)
+    key_coarse = Window.partitionBy("instrument_key", "coarse").orderBy("bucket")
+    before1 = key_coarse.rowsBetween(Window.unboundedPreceding, -1)
+    upto1 = key_coarse.rowsBetween(Window.unboundedPreceding, 0)
+    lvl1 = summ.select(
+        "instrument_key", "bucket", "coarse",
+        *[F.last(c, ignorenulls=True).over(before1).alias(f"_l_{c}") for c in carried],
+        *[F.last(c, ignorenulls=True).over(upto1).alias(f"_u_{c}") for c in carried],
+        F.coalesce(F.sum("_b_resets").over(before1), F.lit(0)).alias("_l_epoch"),
+        F.sum("_b_resets").over(upto1).alias("_u_epoch"),
+        F.lead("bucket").over(key_coarse).isNull().alias("_coarse_last"))
+    before2 = Window.partitionBy("instrument_key").orderBy("coarse").rowsBetween(Window.unboundedPreceding, -1)
+    lvl2 = lvl1.where(F.col("_coarse_last")).select(
+        F.col("instrument_key").alias("_k2"), F.col("coarse").alias("_c2"),
+        *[F.last(f"_u_{c}", ignorenulls=True).over(before2).alias(f"_g_{c}") for c in carried],
+        F.coalesce(F.sum("_u_epoch").over(before2), F.lit(0)).alias("_g_epoch"))
+    both = lvl1.join(lvl2, (lvl1.instrument_key == lvl2._k2) & (lvl1.coarse == lvl2._c2), "inner")
+    return both.select(
+        F.col("instrument_key").alias("_ck"), F.col("bucket").alias("_cb"),
+        *[F.coalesce(F.col(f"_l_{c}"), F.col(f"_g_{c}")).alias(f"_in_{c}") for c in carried],
+        (F.col("_l_epoch") + F.col("_g_epoch")).alias("_in_epoch"))
 
 
 def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS, materialize: bool = True) -> DataFrame:
+                   fine_seconds: int | None = None, coarse_seconds: int = DEFAULT_COARSE_SECONDS,
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, materialize: bool = True) -> DataFrame:
     """W1 (+W3 when ``control`` is given): one row per packet with the full
     state after it, ``epoch`` = resets seen so far for the key.
 
-    Plan: the rows are shuffled once, by (key, bucket), and (with
-    ``materialize``) checkpointed to the shared checkpoint folder.  One Window pass
-    (partition (key, bucket), order by arrival) yields the running last
-    non-null values *and* marks each bucket's last row (``lead`` over the
-    same spec, so no second sort).  Those last rows are the bucket
-    summaries; a window over the summaries (one row per key and bucket —
-    small even for a hot key) gives each bucket's carry-in, which is joined
-    back on (key, bucket), the partitioning the rows already have.
+    Plan: the rows are shuffled once, by (key, fine bucket), and (with
+    ``materialize``) checkpointed to the shared checkpoint folder.  One
+    Window pass (partition (key, bucket), order by arrival) yields the
+    running last non-null values *and* marks each bucket's last row
+    (``lead`` over the same spec, so no second sort).  A fine bucket holds at
+    most what the feed delivers for one key in its fine period, whatever the
+    total volume; the period is sized per key from its rate
+    (``fine_bucket_sizes``) unless ``fine_seconds`` fixes it.  The carry-in of each bucket comes from the bucket
+    summaries in two levels (``_bucket_carry``), and is joined back on
+    (key, bucket), the partitioning the rows already have.
     """
+    if fine_seconds is not None and coarse_seconds % fine_seconds:
+        raise ValueError("coarse_seconds must be a multiple of fine_seconds")
     rows = _state_input(good)
     if control is not None:
         decimals = good.select("instrument_key", "decimals").distinct()
         rows = rows.unionByName(reset_rows(control, decimals))
-    # non-nullable keys: no null filters get inferred into one branch only,
-    # so both uses of the (key, bucket) shuffle below stay identical and
-    # Spark reuses it (the upstream decode runs once)
     rows = rows.withColumns({"instrument_key": F.coalesce("instrument_key", F.lit("")),
-                             "bucket": F.coalesce(_bucket(bucket_seconds), F.lit(0).cast("long"))})
+                             "_s": F.coalesce(_secs(), F.lit(0).cast("long"))})
+    if fine_seconds is None:
+        from ..session import cut_lineage
+        from .joins import bounded_broadcast
+        # one light pass (key and time only); checkpointed so the size check
+        # and the broadcast read it instead of recomputing it
+        sizes = fine_bucket_sizes(rows, rows_per_bucket, coarse_seconds)
+        sizes = bounded_broadcast(cut_lineage(sizes) if materialize else sizes)
+        rows = rows.join(sizes, rows.instrument_key == sizes._fk, "left").drop("_fk")
+        fine = F.coalesce(F.col("_fine"), F.lit(coarse_seconds).cast("long"))
+    else:
+        fine = F.lit(fine_seconds).cast("long")
+    # bucket = start second of the fine bucket (comparable across sizes);
+    # size 0 = the key's single bucket
+    bucket = F.when(fine == 0, F.lit(0).cast("long")).otherwise(F.floor(F.col("_s") / fine).cast("long") * fine)
+    rows = rows.withColumn("bucket", bucket).drop("_s", "_fine")
     carried = STATE_COLS + [DEPTH]
 
     # 1. one pass inside (key, bucket): running values, bucket-last flag
@@ -238,22 +308,12 @@ def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
         # and survives executor loss; it keeps the (key, bucket) partitioning
         from ..session import cut_lineage
         run = cut_lineage(run)
-    # 2. carry-in per bucket = last non-null over the key's earlier buckets
-    before = (Window.partitionBy("instrument_key").orderBy("bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = run.where(F.col("_bucket_last")).select(
-        F.col("instrument_key").alias("_ck"), F.col("bucket").alias("_cb"),
-        *[F.last(c, ignorenulls=True).over(before).alias(f"_in_{c}") for c in carried],
-        F.coalesce(F.sum("_run_resets").over(before), F.lit(0)).alias("_in_epoch"),
-        # carried along so both branches read the same columns from the
-        # shared shuffle (otherwise pruning makes them differ: no reuse)
-        F.last("decimals", ignorenulls=True).over(before).alias("_in_decimals"),
-        F.last("packet_type", ignorenulls=True).over(before).alias("_in_packet_type"))
+    # 2. carry-in per bucket (two levels, bounded windows)
+    carry = _bucket_carry(run, carried, coarse_seconds)
     # 3. combine
     j = run.join(carry, (run.instrument_key == carry._ck) & (run.bucket == carry._cb), "inner")
     snap = j.where(F.col("is_reset") == 0).select(
-        "instrument_key", F.coalesce("decimals", "_in_decimals").alias("decimals"), *ORD,
-        F.coalesce("packet_type", "_in_packet_type").alias("packet_type"),
+        "instrument_key", "decimals", *ORD, "packet_type",
         (F.col("_in_epoch") + F.col("_run_resets")).alias("epoch"),
         *[(F.coalesce(F.col(c), F.col(f"_in_{c}"))["v"] if c in TIME_COLS
            else F.coalesce(F.col(c), F.col(f"_in_{c}"), _default(c))).alias(c)
