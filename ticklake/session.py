@@ -29,6 +29,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide decoders (63 order fields, 30 tick fields) generate one very
+        # long processNext(); above 8,000 bytes of bytecode HotSpot does not
+        # JIT a method, so fall back to per-operator codegen (split methods)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
