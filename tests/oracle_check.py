@@ -77,12 +77,19 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     sys.path.insert(0, "/root/repo")
     import __spark_entry__ as entry
-    from ticklake.session import build_session
-    spark = build_session()
+    if plain:   # a session without any of our settings, as a caller might have
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from ticklake.session import build_session
+        spark = build_session()
     con = duck(sf_dir)
     qs, orc = entry.queries(), entry.oracle_sql()
     bad = 0
