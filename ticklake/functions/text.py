@@ -59,7 +59,3 @@ def digits_to_long(col) -> Column:
 def time_text_iso(col) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` -> ``yyyy-MM-ddTHH:mm:ss`` (spaces to T)."""
     return F.replace(_c(col), F.lit(" "), F.lit("T"))
-
-
-def contains_na(col) -> Column:
-    return _c(col).contains("NA")

@@ -82,12 +82,6 @@ def raw_text(col, offset: int, nbytes: int) -> Column:
     return F.make_valid_utf8(F.substring(_c(col), offset + 1, nbytes).cast("string"))
 
 
-def text_is_valid(col, offset: int, nbytes: int) -> Column:
-    return F.is_valid_utf8(F.substring(_c(col), offset + 1, nbytes).cast("string"))
-
-
-# --- wire time (F12, F13) ---------------------------------------------------
-
 _EPOCH = f"timestamp_ntz'{WIRE_EPOCH}'"
 
 
@@ -105,4 +99,3 @@ def date_to_wire_seconds(d: Column) -> Column:
 def ts_to_wire_seconds(ts: Column) -> Column:
     """Wall-clock timestamp -> whole wire seconds (floor); used by encoders."""
     return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts.cast("timestamp_ntz"))
-

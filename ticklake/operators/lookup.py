@@ -220,17 +220,6 @@ def resolve_keys(master: DataFrame, keys: DataFrame, key_col: str = "instrument_
             .withColumn("order_updates", F.lit(None).cast("string")))
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """Last row per key by ``order_cols`` (``max_by`` over a unique struct,
-    partial aggregation map-side, so a hot key does not pile up in one
-    task)."""
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_last"))
-    return agg.select(*keys, "_last.*")
-
-
-
 def requests_from_lists(spark, instruments: list[str], exchange: str, instrument_type: str,
                         expiry_dates: list[str] | None = None, strikes: list[float] | None = None,
                         option_types: list[str] | None = None, batch_id: int = 0) -> DataFrame:

@@ -20,7 +20,6 @@ from .joins import bounded_broadcast
 
 PKT = "packet"
 ORD = ["recv_ts", "frame_id", "packet_seq"]
-TEXT_FIELDS = [n for n, _, k in ORDER_LAYOUT if k == "c" or k.startswith("s")]
 NUMERIC_TWINS = ["security_id", "exch_order_no", "order_no"]
 TIME_FIELDS = [n for n, _, _ in ORDER_LAYOUT if n.endswith("_time")]
 

@@ -73,7 +73,6 @@ def _wrap_times(df: DataFrame, reset: bool = False) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))) for c in TIME_COLS})
 
 
-
 def _state_input(good: DataFrame) -> DataFrame:
     """Decoded rows -> (key, decimals, ord..., state cols, depth struct)."""
     depth = F.when(F.col("depth_buy").isNotNull() | F.col("depth_sell").isNotNull(),
@@ -101,12 +100,6 @@ def _ord() -> Column:
     return F.struct(*ORD)
 
 
-def _last_nonnull(col: str) -> Column:
-    """Last non-null value by ``ord`` — FILTER-like via null ordering keys."""
-    keep = F.col(col).isNotNull()
-    return F.max_by(F.when(keep, F.col(col)), F.when(keep, _ord()))
-
-
 # ---------------------------------------------------------------------------
 # A4 / A5
 # ---------------------------------------------------------------------------

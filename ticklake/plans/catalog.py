@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import decode, lookup, orders, ticks
 from ..operators.frames import split_price_frames
-from ..schemas import INSTRUMENT_COLUMNS, OPTION_CHAIN_COLUMNS
+from ..schemas import INSTRUMENT_COLUMNS
 from ..sources import fixtures as fx
 from ..sources.master import MASTER_COLUMNS, latest_snapshot, snapshot_date
 

@@ -74,10 +74,6 @@ OPTION_SHAPE = ("instrument_type LIKE 'OPT%' AND (trading_symbol LIKE '%-CE' OR
 FUTURE_SHAPE = "instrument_type LIKE 'FUT%' AND trading_symbol LIKE '%-FUT' AND display_name LIKE '%FUT'"
 
 
-def with_master(body: str) -> str:
-    return "WITH " + MASTER_CTE + ",\n" + body
-
-
 def _q(body_ctes: str, select: str) -> str:
     return "WITH " + MASTER_CTE + (",\n" + body_ctes if body_ctes else "") + "\n" + select
 

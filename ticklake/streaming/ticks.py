@@ -48,8 +48,6 @@ def _spark_type_of(c: str) -> T.DataType:
     return T.StringType() if c in TIME_COLS else TYPES[c]
 
 
-SNAP_IN_COLS = (["instrument_key", "decimals", *ORD, "packet_type", "is_reset"] + STATE_COLS
-                + ["depth_buy_js", "depth_sell_js"])
 SNAP_OUT_SCHEMA = T.StructType(
     [T.StructField("instrument_key", T.StringType()), T.StructField("decimals", T.IntegerType()),
      T.StructField("recv_ts", T.TimestampNTZType()), T.StructField("frame_id", T.LongType()),
