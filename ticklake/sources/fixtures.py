@@ -162,6 +162,28 @@ def _fill_body(t: int, rec, v, k, eid, s):
         rec["oi"] = 1000 + 2 * k
 
 
+# packet type -> full packet length (header + body); unknown types: header only
+_FULL_LEN = np.full(256, 11, dtype=np.int64)
+for _t in (1, 2, 3, 5, 6, 29, 32, 33, 36, 37):
+    _FULL_LEN[_t] = 11 + np.dtype(_body_fields(_t)).itemsize
+
+
+def _fixed_width(col: pa.Array, width: int) -> np.ndarray:
+    """Arrow string/binary column -> NumPy ``S<width>`` (NUL-padded,
+    truncated) straight from the offset and data buffers, no per-row Python."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    offsets = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset: col.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+    out = np.zeros((n, width), dtype=np.uint8)
+    for j in range(width):
+        pos = offsets[:-1] + j
+        ok = pos < offsets[1:]
+        out[ok, j] = data[pos[ok]]
+    return out.view(f"S{width}").ravel()
+
+
 def _binary_from_rows(lengths: np.ndarray, fill) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=offsets[1:])
@@ -183,8 +205,7 @@ def _encode_price_batches(batches):
         v = b.column("v").to_numpy(zero_copy_only=False).astype(np.float64)
         k = b.column("k").to_numpy(zero_copy_only=False).astype(np.int64)
         s = b.column("s").to_numpy(zero_copy_only=False).astype(np.int64)
-        full_len = np.array([11 + np.dtype(_body_fields(int(t))).itemsize if _body_fields(int(t)) else 11
-                             for t in ptype], dtype=np.int64) if n else np.zeros(0, np.int64)
+        full_len = _FULL_LEN[ptype] if n else np.zeros(0, np.int64)
         out_len = np.where(keep >= 0, np.minimum(keep, full_len), full_len)
 
         def fill(data, starts):
@@ -315,10 +336,7 @@ def _encode_order_batches(batches):
         for name in ["price", "avg_traded_price", "tick_size"]:
             rec[name] = b.column(name).to_numpy(zero_copy_only=False)
         for name in text_fields:
-            col = b.column(name)
-            rec[name] = np.array([x if x is not None else b"" for x in col.to_pylist()], dtype=object) \
-                if pa.types.is_binary(col.type) else \
-                np.char.encode(np.asarray(col.to_pylist(), dtype=str), "utf-8")
+            rec[name] = _fixed_width(b.column(name), rec.dtype[name].itemsize)
         keep = b.column("keep_len").to_numpy(zero_copy_only=False).astype(np.int64)
         lens = np.where(keep >= 0, np.minimum(keep, ORDER_PACKET_LEN), ORDER_PACKET_LEN)
         raw = rec.view(np.uint8).reshape(n, ORDER_PACKET_LEN)
