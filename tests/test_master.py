@@ -82,3 +82,13 @@ def test_request_lists_require_equal_lengths(spark):
     assert [r["security_id"] for r in lookup.instruments_lookup(m, req).collect()] == [35001]
     with pytest.raises(ValueError):
         lookup.requests_from_lists(spark, ["A", "B"], "NSE", "OPTIDX", expiry_dates=["2023-12-14"])
+
+
+def test_needs_refresh(spark):
+    from ticklake.sources.master import needs_refresh
+    m = ingest_master(read_master_csv(spark, _csv(ROWS)))
+    path = tempfile.mkdtemp(prefix="snap-") + "/master"
+    write_snapshot(m, path, "2024-01-02 09:00:00")
+    snaps = spark.read.parquet(path)
+    assert needs_refresh(snaps, "2024-01-03 08:00:00").first()["stale"] is False   # before 08:30: same day
+    assert needs_refresh(snaps, "2024-01-03 08:45:00").first()["stale"] is True

@@ -61,3 +61,13 @@ def test_decoder_stays_in_whole_stage_codegen(spark):
             break
         decode_ops.append(ln)
     assert len(decode_ops) >= 3 and all("codegen id" in ln for ln in decode_ops), decode_ops
+
+
+def test_current_master_prunes_snapshot_partitions(spark):
+    from ticklake.sources.master import scan_master, write_snapshot
+    m = fx.fixture_master(spark, SF001)
+    path = tempfile.mkdtemp(prefix="plan-snap-") + "/m"
+    for ts in ("2024-01-01 09:00:00", "2024-01-02 09:00:00"):
+        write_snapshot(m, path, ts)
+    plan = _plan(scan_master(spark, path))
+    assert "(snapshot_date" in plan and "= 2024-01-02)" in plan

@@ -502,3 +502,16 @@ def q_stream_orders_latest(spark, sf_dir):
     last = latest_from_changes(changes, ["instrument_key"])
     return last.select("instrument_key", "orders_seen", "_o.frame_id", "_o.packet_seq", "_o.order_no",
                        "_o.quantity", "_o.status", "_o.order_label", "_o.price")
+
+
+@query("registered_ticks")
+def q_registered_ticks(spark, sf_dir):
+    """The packet stream restricted to currently registered instruments
+    (left-semi join with the registry, which is bounded by the instrument
+    count)."""
+    from ..operators.joins import bounded_broadcast
+    from ..operators.subscriptions import current_registry, registered
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    reg = bounded_broadcast(current_registry(_control(spark, sf_dir, m)).select("instrument_key"))
+    return registered(good, reg).select("frame_id", "packet_seq", "instrument_key", "packet_type")

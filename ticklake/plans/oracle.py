@@ -596,3 +596,6 @@ fresh AS (SELECT instrument_key, mode, ts AS since_ts FROM subs WHERE rn = 1)"""
 UNION ALL SELECT * FROM fresh""")
 
 ORACLE["stream_orders_latest"] = ORACLE["orders_latest"]
+
+ORACLE["registered_ticks"] = _pq(REGISTRY_CTE.replace("WITH ", ""), """SELECT frame_id, packet_seq, instrument_key,
+  packet_type FROM pd WHERE instrument_key IN (SELECT instrument_key FROM reg)""")

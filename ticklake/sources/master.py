@@ -59,12 +59,29 @@ def write_snapshot(master: DataFrame, path: str, ingest_ts: str, mode: str = "ap
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Rows of the newest ``snapshot_date`` (scalar aggregate -> filter; on a
-    partitioned table the filter prunes partitions at run time)."""
+    """Rows of the newest ``snapshot_date``, lazily: a one-row aggregate
+    broadcast into a left-semi join (for derived frames; a snapshot folder
+    is better read with ``scan_master``, which prunes partitions)."""
     newest = snapshots.agg(F.max("snapshot_date").alias("_newest"))
     return (snapshots.join(F.broadcast(newest), F.col("snapshot_date") == F.col("_newest"), "left_semi"))
 
 
 def scan_master(spark: SparkSession, path: str) -> DataFrame:
-    """S3: the current master of a snapshot folder."""
-    return latest_snapshot(spark.read.parquet(path))
+    """S3: the current master of a snapshot folder.  The newest partition
+    value is read first (a scalar; only the partition column is touched),
+    then used as a literal filter, so only that partition's files are
+    scanned (static partition pruning)."""
+    snaps = spark.read.parquet(path)
+    newest = snaps.agg(F.max("snapshot_date")).first()[0]
+    if newest is None:
+        return snaps.limit(0)
+    return snaps.where(F.col("snapshot_date") == F.lit(newest))
+
+
+def needs_refresh(snapshots: DataFrame, now_ts: str) -> DataFrame:
+    """One row, ``stale`` = no snapshot yet, or the newest one is older
+    than the snapshot a fetch at ``now_ts`` would produce (08:30 cut-off)."""
+    newest = snapshots.agg(F.max("snapshot_date").alias("newest"))
+    due = snapshot_date(F.lit(now_ts).cast("timestamp_ntz"))
+    return newest.select("newest", due.alias("due"),
+                         (F.col("newest").isNull() | (F.col("newest") < due)).alias("stale"))
