@@ -50,6 +50,32 @@ def _norm(v):
     return str(v) if not isinstance(v, str) else v
 
 
+def _spark_cat(dt) -> str:
+    n = dt.simpleString()
+    if n in ("tinyint", "smallint", "int", "bigint"):
+        return "int"
+    if n in ("float", "double"):
+        return "float"
+    if n.startswith("decimal"):
+        return "decimal"
+    if n.startswith("timestamp"):
+        return "timestamp"
+    return {"string": "text", "boolean": "bool", "date": "date", "binary": "binary"}.get(n, "nested")
+
+
+def _duck_cat(t: str) -> str:
+    t = t.upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "text", "BOOLEAN": "bool", "DATE": "date", "BLOB": "binary"}.get(t, "nested")
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -64,11 +90,16 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sorted(dcols) != cols:
         return {"name": name, "ok": False, "why": f"columns spark={cols} duck={sorted(dcols)}"}
     idx = [dcols.index(c) for c in cols]
+    scats = {f.name: _spark_cat(f.dataType) for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in rel.description}
+    type_diff = {c: (scats[c], _duck_cat(dtypes[c])) for c in cols if scats[c] != _duck_cat(dtypes[c])}
     drows = [tuple(_norm(r[i]) for i in idx) for r in drows_raw]
     key = lambda r: tuple((x is None, str(x)) for x in r)
     ss, ds = sorted(srows, key=key), sorted(drows, key=key)
     ok = ss == ds
     out = {"name": name, "ok": ok, "rows": len(srows), "oracle_rows": len(drows), "sec": round(t1 - t0, 2)}
+    if type_diff:
+        out["type_diff"] = type_diff
     if not ok:
         sset, dset = set(ss), set(ds)
         out["only_spark"] = [dict(zip(cols, r)) for r in list(sset - dset)[:3]]
