@@ -39,14 +39,27 @@ def unsubscribe_all(registry: DataFrame, master: DataFrame) -> DataFrame:
     return plan.withColumn("group", F.when(F.col("mode") == QUOTE, 0).otherwise(1))
 
 
-def current_registry(log: DataFrame, order_cols: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+def current_registry(log: DataFrame) -> DataFrame:
     """Last action per key wins; keys whose last action is a
-    subscribe are registered (with that mode).  ``max_by`` partial-aggregates,
-    so a hot key does not pile up in one task."""
+    subscribe are registered (with that mode).
+
+    ``max_by`` partial-aggregates, so a hot key does not pile up in one
+    task; every aggregation buffer is fixed-width (action and mode as small
+    codes, arrival order ``(ts, event_id)`` packed into one DECIMAL(38,0),
+    the time as µs), so Spark hash-aggregates instead of sorting."""
+    us = F.unix_micros(F.col("ts").cast("timestamp_ntz").cast("timestamp"))
+    # (ts µs, event_id) -> ts_us * 2^64 + (event_id + 2^63): strictly monotone
+    two64 = F.lit(str(2 ** 64)).cast("decimal(38,0)")
+    two63 = F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    order = us.cast("decimal(38,0)") * two64 + (F.col("event_id").cast("decimal(38,0)") + two63)
+    code = (F.when(F.col("action") == SUBSCRIBE, F.lit(2)).otherwise(F.lit(0))
+            + F.when(F.col("mode") == FULL, F.lit(1)).otherwise(F.lit(0)))
     last = log.groupBy("instrument_key").agg(
-        F.max_by(F.struct("action", "mode", "ts"), F.struct(*order_cols)).alias("_l"))
-    return (last.where(F.col("_l.action") == SUBSCRIBE)
-            .select("instrument_key", F.col("_l.mode").alias("mode"), F.col("_l.ts").alias("since_ts")))
+        F.max_by(code, order).alias("_code"), F.max_by(us, order).alias("_us"))
+    return (last.where(F.col("_code") >= 2)
+            .select("instrument_key",
+                    F.when(F.col("_code") == 3, F.lit(FULL)).otherwise(F.lit(QUOTE)).alias("mode"),
+                    F.timestamp_micros("_us").cast("timestamp_ntz").alias("since_ts")))
 
 
 def registered(keys: DataFrame, registry: DataFrame) -> DataFrame:
