@@ -36,7 +36,13 @@ def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("master_ingest")
 def q_master_ingest(spark, sf_dir):
-    return _master(spark, sf_dir)
+    """S1 end to end: the raw master lands as CSV (as the exchange publishes
+    it), is read back with the explicit schema and derived."""
+    from ..session import scratch_path
+    from ..sources.master import ingest_master, read_master_csv
+    path = scratch_path(spark, "master-csv")
+    fx.raw_master_from_part(fx.read_table(spark, sf_dir, "part")).write.option("header", True).csv(path)
+    return ingest_master(read_master_csv(spark, path))
 
 
 @query("master_latest_snapshot")
