@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 
 import duckdb
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -34,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, int):
         return float(v)
     if isinstance(v, (dt.datetime, dt.date)):
