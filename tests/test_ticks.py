@@ -63,3 +63,18 @@ def test_latest_equals_last_snapshot(spark):
         l, a = r["l"], latest[r["instrument_key"]]
         for c in STATE + ["change", "change_prcnt", "open_interest_chg", "open_interest_chg_prcnt"]:
             assert l[c] == a[c], (r["instrument_key"], c)
+
+
+def test_packed_order_bounds_fail_loudly(spark):
+    import datetime as dt
+
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("recv_ts", T.TimestampNTZType()), T.StructField("frame_id", T.LongType()),
+                           T.StructField("packet_seq", T.IntegerType())])
+    ok = spark.createDataFrame([(dt.datetime(2024, 1, 1), 5, 1)], schema)
+    assert ok.select(ticks._ord_num().alias("o")).first()["o"] is not None
+    bad = spark.createDataFrame([(dt.datetime(2024, 1, 1), 2 ** 50, 1)], schema)
+    with pytest.raises((PySparkException, Exception)):
+        bad.select(ticks._ord_num().alias("o")).collect()

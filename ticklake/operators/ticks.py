@@ -118,7 +118,11 @@ _LEVEL_FIELDS = [("quantity", "long"), ("price", "double"), ("orders", "int")]
 
 def _ord_num() -> Column:
     us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col("recv_ts")).cast("decimal(38,0)")
-    return (us * F.lit(2 ** 43) + F.col("frame_id")) * F.lit(2 ** 16) + F.col("packet_seq")
+    packed = (us * F.lit(2 ** 43) + F.col("frame_id")) * F.lit(2 ** 16) + F.col("packet_seq")
+    fits = (F.col("frame_id").between(0, 2 ** 43 - 1) & F.col("packet_seq").between(0, 2 ** 16 - 1))
+    # outside the packing bounds the order would be wrong: fail loudly
+    return F.when(fits | F.col("frame_id").isNull(), packed).otherwise(
+        F.raise_error(F.lit("frame_id must be in [0, 2^43) and packet_seq in [0, 2^16) for packed ordering")))
 
 
 def _depth_scalars() -> dict[str, Column]:
