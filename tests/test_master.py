@@ -92,3 +92,17 @@ def test_needs_refresh(spark):
     snaps = spark.read.parquet(path)
     assert needs_refresh(snaps, "2024-01-03 08:00:00").first()["stale"] is False   # before 08:30: same day
     assert needs_refresh(snaps, "2024-01-03 08:45:00").first()["stale"] is True
+
+
+def test_records_json_and_url_form(spark):
+    import json
+    from urllib.parse import unquote_plus
+    m = ingest_master(read_master_csv(spark, _csv(ROWS)))
+    eq = lookup.instrument_lookup(m, "NIFTY", "NSE", "OPTIDX", expiry_date="2023-12-14", strike=20000,
+                                  option_type="CE")
+    rec = display.to_records(eq).first()["record"]
+    assert json.loads(rec)["instrument_key"] == "35001-D-NSE" and " " not in rec.split('"display_name"')[0]
+    url = display.to_records(eq, url_encoded=True).first()["record"]
+    assert json.loads(unquote_plus(url)) == json.loads(rec)
+    vv = display.vertical_view(eq, ["instrument_key"]).collect()
+    assert {r["variable"] for r in vv} == {c for c in eq.columns if c != "instrument_key"}
