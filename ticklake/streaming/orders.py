@@ -1,5 +1,10 @@
 """Continuous order pipeline (T5): frames -> order records -> enriched
-updates (append) and the last order per instrument (update mode)."""
+updates (append) and the last order per instrument (update mode).
+
+A frame is one input row, so all orders of a frame arrive in the same
+micro-batch: ``operators.orders.orders_by_frame`` applied to a
+``foreachBatch`` batch gives exactly the per-frame lists the feed's order
+callback received (S8)."""
 
 from __future__ import annotations
 
