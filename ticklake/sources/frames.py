@@ -54,8 +54,10 @@ def write_frames(frames: DataFrame, path: str, files: int = 4) -> None:
 def stream_frames_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                         starting_offsets: str = "latest") -> DataFrame:
     """S4/S5 from Kafka: one record per frame.  ``frame_id`` packs
-    (partition, offset) so it is unique and increases in arrival order within
-    a partition; ``recv_ts`` is the broker timestamp as wall-clock.  Needs
+    (partition, offset) as ``partition * 2^35 + offset`` — unique, increasing
+    within a partition, and inside the 2^43 bound of the packed arrival order
+    (up to 256 partitions of 34 billion offsets); ``recv_ts`` is the broker
+    timestamp as wall-clock.  Needs
     the Spark Kafka connector on the classpath (not bundled here, so this
     path is not exercised by the tests)."""
     from pyspark.sql import functions as F
@@ -65,6 +67,6 @@ def stream_frames_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
            .option("startingOffsets", starting_offsets)
            .load())
     return raw.select(
-        (F.col("partition").cast("long") * F.lit(2 ** 40) + F.col("offset")).alias("frame_id"),
+        (F.col("partition").cast("long") * F.lit(2 ** 35) + F.col("offset")).alias("frame_id"),
         F.col("timestamp").cast("timestamp_ntz").alias("recv_ts"),
         F.col("value").alias("frame"))
