@@ -82,8 +82,9 @@ def _snapshot_fn(key, pdfs, state):
         body.loc[resets, c] = "" if c in _BLANKABLE else DEFAULTS[c]
     body = body.where(body.notna(), None)
     head = pd.DataFrame([{c: st[c] for c in _CARRIED}], dtype=object)
-    filled = (pd.concat([head, body], ignore_index=True).ffill()
-              .infer_objects(copy=False).iloc[1:].reset_index(drop=True))
+    with pd.option_context("future.no_silent_downcasting", True):   # types are set explicitly below
+        filled = (pd.concat([head, body], ignore_index=True).ffill()
+                  .infer_objects(copy=False).iloc[1:].reset_index(drop=True))
     epoch = st["epoch"] + resets.cumsum()
 
     last = {c: filled[c].iloc[-1] for c in _CARRIED}
