@@ -81,11 +81,16 @@ def _state_input(good: DataFrame) -> DataFrame:
                                           depth.alias(DEPTH), F.lit(0).alias("is_reset"))))
 
 
-def reset_rows(control: DataFrame, decimals: DataFrame) -> DataFrame:
+def reset_rows(control: DataFrame, decimals: DataFrame | None = None) -> DataFrame:
     """Control rows ``(ts, instrument_key)`` -> state rows that write every
-    column's default (null-valued depth inside a non-null struct)."""
+    column's default (null-valued depth inside a non-null struct).  Reset
+    rows never reach the output, so their precision may stay null; pass a
+    (bounded) ``decimals`` table only where a consumer needs it."""
     c = control.select(F.col("ts").cast("timestamp_ntz").alias("recv_ts"), "instrument_key")
-    c = c.join(decimals, "instrument_key", "inner")
+    if decimals is not None:
+        c = c.join(decimals, "instrument_key", "left")
+    else:
+        c = c.withColumn("decimals", F.lit(None).cast("int"))
     no_depth = F.struct(F.lit(None).cast("array<struct<quantity:bigint,price:double,orders:int>>").alias("depth_buy"),
                         F.lit(None).cast("array<struct<quantity:bigint,price:double,orders:int>>").alias("depth_sell"))
     rows = c.select("instrument_key", "decimals", "recv_ts",
@@ -269,8 +274,8 @@ def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
         raise ValueError("coarse_seconds must be a multiple of fine_seconds")
     rows = _state_input(good)
     if control is not None:
-        decimals = good.select("instrument_key", "decimals").distinct()
-        rows = rows.unionByName(reset_rows(control, decimals))
+        # no lookup into ``good`` here: that would re-run the whole upstream
+        rows = rows.unionByName(reset_rows(control))
     rows = rows.withColumns({"instrument_key": F.coalesce("instrument_key", F.lit("")),
                              "_s": F.coalesce(_secs(), F.lit(0).cast("long"))})
     if fine_seconds is None:
