@@ -7,23 +7,35 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import packing, token_counts
+from ticklake.llm import packing, quality_rules, sharding, substring_dedup, token_counts
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(read(spark, sf_dir, "documents"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, sf_dir, "documents"), 16)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_best_fit_packing, op10_token_counts,
+        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op7_quality_rules, op10_token_counts,
     )
 }
 ORACLE: dict[str, str] = {}
