@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import packing, quality_rules, sharding, substring_dedup, token_counts
+from ticklake.llm import near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -35,7 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op7_quality_rules, op10_token_counts,
+        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op7_quality_rules, op10_token_counts,
     )
 }
 ORACLE: dict[str, str] = {}
