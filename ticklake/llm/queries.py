@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
+from ticklake.llm import near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,13 +33,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op7_quality_rules, op10_token_counts,
+        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op7_quality_rules, op8_quality_classifier, op10_token_counts,
     )
 }
 ORACLE: dict[str, str] = {}
