@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticklake.llm import near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
+from ticklake.llm import knn_join, near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +30,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = knn_join.whole_numbers(read(spark, sf_dir, "embeddings"))
+    return knn_join.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -43,7 +49,40 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op7_quality_rules, op8_quality_classifier, op10_token_counts,
+        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op6_exact_top_k, op7_quality_rules,
+        op8_quality_classifier, op10_token_counts,
     )
 }
-ORACLE: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+n AS (SELECT doc_id, w, len(w) AS n FROM d),
+s AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM n, LATERAL unnest(range(1, n - 48)) AS t(i)),
+o AS (SELECT h, min(doc_id) AS owner FROM s GROUP BY h),
+c AS (SELECT DISTINCT doc_id, p FROM s JOIN o USING (h), LATERAL unnest(range(i, i + 50)) AS t(p) WHERE owner < doc_id),
+k AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+                   ELSE coalesce((SELECT string_agg(w[q.p], ' ' ORDER BY q.p) FROM unnest(range(1, n + 1)) AS q(p)
+                                  WHERE NOT list_contains(gone, q.p)), '') END) AS kept_sha256
+FROM n LEFT JOIN k USING (doc_id)""",
+    "op4_near_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 3 THEN array_to_string(w[i:i + 2], ' ') ELSE array_to_string(w, ' ') END AS g
+      FROM d, LATERAL unnest(range(1, greatest(len(w) - 1, CASE WHEN len(w) > 0 THEN 2 ELSE 1 END))) AS t(i)),
+n AS (SELECT doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.seen FROM r JOIN l ON l.a = r.node WHERE r.seen < l.b),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON c.node = doc_id""",
+    "op6_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+      FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+}
