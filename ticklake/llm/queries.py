@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import knn_join, near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
+from ticklake.llm import knn_join, near_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup, token_counts
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(read(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = knn_join.whole_numbers(read(spark, sf_dir, "embeddings"))
     return knn_join.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -49,7 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op6_exact_top_k, op7_quality_rules,
+        op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op5_sentencepiece, op6_exact_top_k, op7_quality_rules,
         op8_quality_classifier, op10_token_counts,
     )
 }
