@@ -1,0 +1,52 @@
+"""NumPy arrays as files of the shared folder, written by tasks and memory-mapped by workers."""
+
+from __future__ import annotations
+
+import io
+import os
+import uuid
+from urllib.parse import urlparse
+
+import numpy as np
+
+_OPEN: dict[str, np.ndarray] = {}
+
+
+def _local(uri: str) -> str | None:
+    """The path of a folder that is mounted on every machine; None for a store with a scheme of its own."""
+    parts = urlparse(uri)
+    return parts.path if parts.scheme in ("", "file") else None
+
+
+def save(uri: str, array: np.ndarray) -> None:
+    """Write one array; a repeated task replaces the file by an equal one in one step."""
+    path = _local(uri)
+    if path is not None:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        part = f"{path}.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            np.save(f, array)
+        os.replace(part, path)
+        return
+    from pyarrow import fs
+    store, name = fs.FileSystem.from_uri(uri)
+    data = io.BytesIO()
+    np.save(data, array)
+    store.create_dir(os.path.dirname(name), recursive=True)
+    with store.open_output_stream(name) as f:
+        f.write(data.getbuffer())
+
+
+def load(uri: str) -> np.ndarray:
+    """The array: mapped and kept open where the folder is mounted, read once per call elsewhere."""
+    path = _local(uri)
+    if path is None:
+        from pyarrow import fs
+        store, name = fs.FileSystem.from_uri(uri)
+        with store.open_input_file(name) as f:
+            return np.load(io.BytesIO(f.read()))
+    if uri not in _OPEN:
+        if len(_OPEN) >= 4096:
+            _OPEN.clear()
+        _OPEN[uri] = np.load(path, mmap_mode="r") if os.path.getsize(path) else np.zeros(0)
+    return _OPEN[uri]

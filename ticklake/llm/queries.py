@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import knn_join, near_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup, token_counts
+from ticklake.llm import (
+    knn_join, near_dedup, ngram_lm, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
+    token_counts,
+)
 from ticklake.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +51,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(read(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -55,7 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op5_sentencepiece, op6_exact_top_k, op7_quality_rules,
-        op8_quality_classifier, op10_token_counts,
+        op8_quality_classifier, op9_lm_scoring, op10_token_counts,
     )
 }
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
