@@ -234,5 +234,5 @@ def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 def keep_first(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id."""
-    kept = groups(docs, size, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = groups(docs, size, percent).filter("kept").select(F.col("doc_id").alias("__llm_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_kept")), "left_semi")

@@ -184,4 +184,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    return score(docs, train(docs, labels), "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    return score(docs, train(docs, labels), "__llm_score").filter(F.col("__llm_score") >= THRESHOLD).drop("__llm_score")

@@ -33,7 +33,10 @@ N_THRESHOLDS, MAX_CONDITIONS, MAX_RULES, MIN_PRECISION, MIN_COVER = 32, 4, 12, 0
 
 
 def text_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Counts of every whole text: the base statistics and n_lines, n_upper, n_distinct."""
+    """Counts of every whole text: the base statistics and n_lines, n_upper, n_distinct.
+
+    Write the result before filtering on it: a filter pushed below would repeat the nested array expressions.
+    """
     df = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     df = df.withColumn("_words", F.array_remove(F.split("_text", WORD_GAP), ""))
     df = df.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
@@ -189,6 +192,20 @@ def labelled_statistics(statistics: DataFrame, labels: DataFrame) -> DataFrame:
     return statistics.join(mean, F.col("doc_id") == F.col("_labelled")).drop("_labelled")
 
 
+def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the documents that the base rule or the learned list rejects.
+
+    Statistics are joined back by id and by a hash of the text, so rows that
+    share an id are judged each by its own text.
+    """
+    key = F.xxhash64(F.col("text").cast("string"))
+    counts = staged(text_statistics(docs.select("doc_id", "text", key.alias("__llm_key")), keep=("doc_id", "__llm_key")), "statistics")
+    rules = learn(labelled_statistics(counts, labels))
+    good = (counts.withColumns(ratios()).filter(~base_failed() & ~rejected(rules))
+            .select(F.col("doc_id").alias("__llm_id"), F.col("__llm_key")).distinct())
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (key == F.col("__llm_key")), "left_semi")
+
+
 def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed and kept of every document."""
     counts = staged(text_statistics(docs), "statistics")

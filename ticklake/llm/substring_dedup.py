@@ -158,9 +158,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
 
 
 def _with_spans(docs: DataFrame, window: int, k: int) -> DataFrame:
-    spans = repeated_spans(docs, window, k).withColumnRenamed("doc", "_span_doc").withColumnRenamed("spans", "_spans")
+    spans = repeated_spans(docs, window, k).withColumnRenamed("doc", "__llm_doc").withColumnRenamed("spans", "__llm_spans")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.join(spans, key == F.col("_span_doc"), "left").drop("_span_doc")
+    return docs.join(spans, key == F.col("__llm_doc"), "left").drop("__llm_doc")
 
 
 def _kept(words: Words, row: int, spans: list[tuple[int, int]]) -> list[bytes]:
@@ -193,7 +193,7 @@ def digests(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
             words = Words(column(part, "text"))
             counts = words.counts
             removed, sha = [], []
-            for row, spans in enumerate(_span_lists(column(part, "_spans"))):
+            for row, spans in enumerate(_span_lists(column(part, "__llm_spans"))):
                 kept = _kept(words, row, spans)
                 removed.append(int(counts[row]) - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -218,10 +218,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
         for part in slices(batches):
             words = Words(column(part, "text"))
             text = column(part, "text").to_pylist()
-            for row, spans in enumerate(_span_lists(column(part, "_spans"))):
+            for row, spans in enumerate(_span_lists(column(part, "__llm_spans"))):
                 if spans:
                     text[row] = b" ".join(_kept(words, row, spans)).decode("utf-8")
-            names = [n for n in part.schema.names if n != "_spans"]
+            names = [n for n in part.schema.names if n != "__llm_spans"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(text, pa.string()) if n == "text" else column(part, n) for n in names], names=names)
 
