@@ -113,3 +113,30 @@ def test_wire_time(spark):
     r = spark.range(1).select(wire.wire_seconds_to_ts(F.lit(100)).alias("t"),
                               wire.date_to_wire_seconds(F.lit("1980-01-02")).alias("s")).first()
     assert str(r["t"]) == "1980-01-01 05:31:40" and r["s"] == 86400 - 19800
+
+
+def test_rounding_equals_python_on_the_exact_binary_value(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from ticklake.functions.numeric import round_dp
+    rng = random.Random(4)
+    values = [1.005, 2.675, 0.125, 0.375, 1e15 + 0.5, -1.005, -0.125, 0.0, 1e-9, 123456.785, float("inf"), None]
+    values += [k / 20000 * 100 for k in range(1, 20000, 7)] + [rng.randrange(10**7) / 1000 for _ in range(2000)]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(500)] + [(2 * rng.randrange(10**6) + 1) / 8 for _ in range(500)]
+    df = spark.createDataFrame([(v, dp) for v in values for dp in (2, 4)], "x double, dp int")
+    for r in df.select("x", "dp", round_dp("x", F.col("dp")).alias("y")).collect():
+        assert r.y == (None if r.x is None else round(r.x, r.dp) if abs(r.x) < 1e300 else r.x), (r.x, r.dp)
+
+
+def test_upsert_takes_the_last_change_of_a_key(spark):
+    from ticklake.operators.subscriptions import upsert
+    reg = spark.createDataFrame([("a", "QUOTE", 1), ("b", "FULL", 1)], "instrument_key string, mode string, since_ts int")
+    new = spark.createDataFrame([("a", "FULL", 5), ("a", "QUOTE", 7), ("c", "FULL", 2)], "instrument_key string, mode string, since_ts int")
+    assert sorted(map(tuple, upsert(reg, new).collect())) == [("a", "QUOTE", 7), ("b", "FULL", 1), ("c", "FULL", 2)]
+
+
+def test_records_keep_null_fields(spark):
+    from ticklake.operators.display import to_records
+    assert to_records(spark.createDataFrame([(1, None)], "a int, b string")).first().record == '{"a":1,"b":null}'

@@ -106,3 +106,19 @@ def test_records_json_and_url_form(spark):
     assert json.loads(unquote_plus(url)) == json.loads(rec)
     vv = display.vertical_view(eq, ["instrument_key"]).collect()
     assert {r["variable"] for r in vv} == {c for c in eq.columns if c != "instrument_key"}
+
+
+def test_master_columns_are_matched_by_name(spark, tmp_path):
+    from ticklake.schemas import RAW_MASTER_SCHEMA
+    from ticklake.sources.master import ingest_master, read_master_csv
+    names = [f.name for f in RAW_MASTER_SCHEMA.fields]
+    value = {n: "7" for n in names} | {"SEM_EXM_EXCH_ID": "NSE", "SEM_TRADING_SYMBOL": "ABC", "EXTRA": "kept"}
+    order = ["EXTRA", *reversed(names)]
+    path = tmp_path / "m.csv"
+    path.write_text(",".join(order) + "\n" + ",".join(value[n] for n in order) + "\n")
+    row = ingest_master(read_master_csv(spark, str(path))).first()
+    assert (row.exchange, row.trading_symbol, row.security_id, row.EXTRA) == ("NSE", "ABC", 7, "kept")
+    path.write_text("EXTRA\nx\n")
+    import pytest
+    with pytest.raises(ValueError, match="lacks"):
+        read_master_csv(spark, str(path))

@@ -12,11 +12,37 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _round_to(v: Column, places: int) -> Column:
+    """Half-even rounding of the exact binary value (``bround`` works on the
+    printed decimal, so 1.005 would count as a tie).
+
+    ``v * 10**places`` is an exact sum ``p + e``: v is split into two halves
+    of at most 26 bits whose products with the scale are exact."""
+    scale = F.lit(float(10 ** places))
+    a = F.abs(v)
+    big = a * F.lit(134217729.0)  # 2**27 + 1
+    hi = big - (big - a)
+    p = a * scale
+    e = (hi * scale - p) + (a - hi) * scale
+    whole = F.floor(p)
+    over = p - whole - F.lit(0.5)
+    up = (over > 0) | ((over == 0) & ((e > 0) | ((e == 0) & (whole % 2 == 1))))
+    rounded = (whole + F.when(up, 1).otherwise(0)).cast("double") / scale
+    # beyond 2**52 units the product has no fraction left
+    return F.when(p < F.lit(2.0 ** 52), F.when(v < 0, F.lit(0.0) - rounded).otherwise(rounded)).otherwise(
+        F.bround(v, places)) + F.lit(0.0)
+
+
 def round_dp(x, dp) -> Column:
-    """Half-even rounding to 2 or 4 decimals (``bround`` needs a constant
-    scale, so branch on the instrument's precision)."""
-    x, dp = _c(x), _c(dp)
-    return F.when(dp == 4, F.bround(x, 4)).otherwise(F.bround(x, 2))
+    """Half-even rounding to the instrument's 2 or 4 decimals."""
+    x, dp = _c(x).cast("double"), _c(dp)
+    return F.when(dp == 4, _round_to(x, 4)).otherwise(_round_to(x, 2))
+
+
+def _percent(change: Column, base: Column, dp) -> Column:
+    """Rounded percentage of an already rounded change, which is bound to a
+    lambda variable so that its expression is not repeated."""
+    return F.get(F.transform(F.array(F.lit(100.0) * (change / base)), lambda v: round_dp(v, dp)), F.lit(0))
 
 
 def price_change(current, prev, dp) -> tuple[Column, Column]:
@@ -24,7 +50,7 @@ def price_change(current, prev, dp) -> tuple[Column, Column]:
     difference and the rounded percentage of the *rounded* change."""
     cur, prv = _c(current), _c(prev)
     chg = round_dp(cur - prv, dp)
-    pct = round_dp(F.lit(100.0) * (chg / prv), dp)
+    pct = _percent(chg, prv, dp)
     return (F.when(prv <= 0, F.lit(0.0)).otherwise(chg),
             F.when(prv <= 0, F.lit(0.0)).otherwise(pct))
 
@@ -34,7 +60,7 @@ def oi_change(current, prev, dp) -> tuple[Column, Column]:
     truncated toward zero."""
     cur, prv = _c(current).cast("double"), _c(prev).cast("double")
     chg = round_dp(cur - prv, dp)
-    pct = round_dp(F.lit(100.0) * (chg / prv), dp)
+    pct = _percent(chg, prv, dp)
     return (F.when(prv <= 0, F.lit(0)).otherwise(chg.cast("long")),
             F.when(prv <= 0, F.lit(0)).otherwise(pct.cast("long")))
 

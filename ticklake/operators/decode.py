@@ -18,7 +18,7 @@ from ..functions.codes import (code_decimals, code_known, market_status_text,  #
 from ..functions.numeric import book_shares, oi_sentinel, round_dp
 from ..functions.text import strip_nul
 from ..schemas import BODY_LEN, DEPTH_LEVEL, DEPTH_LEVELS, HEADER_LEN
-from .joins import bounded_broadcast
+from .joins import sized_side
 
 B = HEADER_LEN  # body offset
 PKT = "packet"
@@ -94,10 +94,17 @@ def decode_header(packets: DataFrame) -> DataFrame:
     })
 
 
+def order_error() -> Column:
+    """Packets whose place in the arrival order is unknown or beyond its bounds."""
+    known = F.col("recv_ts").isNotNull() & F.col("frame_id").between(0, 2 ** 56 - 1) & F.col("packet_seq").between(0, 2 ** 16 - 1)
+    return F.when(~F.coalesce(known, F.lit(False)), F.lit("bad_arrival_order"))
+
+
 def _body_error() -> Column:
     body = F.length(PKT) - B
     expected = F.create_map(*[F.lit(x) for kv in BODY_LEN.items() for x in kv])[F.col("packet_type")]
     return (F.when(F.col("split_error").isNotNull(), F.col("split_error"))
+            .when(order_error().isNotNull(), order_error())
             .when(F.length(PKT) < B, F.lit("truncated"))
             .when(expected.isNotNull() & (body != expected), F.lit("bad_body_length"))
             .when(~code_known(F.col("seg_code")), F.lit("unknown_segment")))
@@ -173,20 +180,24 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
 def resolution_table(master: DataFrame) -> DataFrame:
     """(security_id, seg_code) -> instrument_key, built with the forward code
     map (F9) so an index resolves on any exchange (D1) and every code the
-    feed can send maps back (D12).  Bounded by the master's size."""
+    feed can send maps back (D12); an id that two instruments of one code share
+    is ambiguous.  Bounded by the master's size."""
     return (master.select("security_id", segment_code("exchange", "segment").alias("seg_code"),
                           "instrument_key")
             .where(F.col("seg_code") >= 0)
-            .groupBy("security_id", "seg_code").agg(F.min("instrument_key").alias("instrument_key")))
+            .groupBy("security_id", "seg_code").agg(
+                F.min("instrument_key").alias("instrument_key"),
+                (F.min("instrument_key") != F.max("instrument_key")).alias("_ambiguous")))
 
 
 def resolve_instruments(decoded: DataFrame, master: DataFrame) -> DataFrame:
     """Attach ``instrument_key``; unknown instruments get
     ``error='unknown_instrument'`` (the feed would fail on them)."""
-    res = bounded_broadcast(resolution_table(master))
+    res = sized_side(resolution_table(master))
     out = decoded.join(res, ["security_id", "seg_code"], "left")
     return out.withColumn("error", F.coalesce(
-        F.col("error"), F.when(F.col("instrument_key").isNull(), F.lit("unknown_instrument"))))
+        F.col("error"), F.when(F.col("instrument_key").isNull(), F.lit("unknown_instrument"))
+        .when(F.col("_ambiguous"), F.lit("ambiguous_instrument")))).drop("_ambiguous")
 
 
 def price_packets(frames: DataFrame, master: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ def vertical_view(df: DataFrame, ids: list[str]) -> DataFrame:
 
 
 def to_records(df: DataFrame, url_encoded: bool = False) -> DataFrame:
-    """Each row as compact JSON text (optionally URL-encoded)."""
-    js = F.to_json(F.struct(*df.columns))
+    """Each row as compact JSON text with all fields, nulls too
+    (optionally URL-encoded)."""
+    js = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     return df.select((F.url_encode(js) if url_encoded else js).alias("record"))

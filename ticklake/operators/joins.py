@@ -1,24 +1,14 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers: no side is broadcast by hint."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# An exchange instrument master is a few hundred thousand rows of a few
-# hundred bytes: well under the broadcast ceiling.  Anything larger falls
-# back to a shuffle join (AQE may still convert it at run time).
-MAX_BROADCAST_ROWS = 2_000_000
 
+def sized_side(df: DataFrame) -> DataFrame:
+    """The small side of a join, left to Spark's own size check.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    The check is a ``limit(max_rows + 1).count()`` — it stops reading as soon
-    as the bound is exceeded, so it costs at most ``max_rows`` rows of work.
-    Streaming frames cannot be counted and are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    Spark broadcasts it while its bytes (file statistics, or the size that a
+    shuffle stage really had) stay below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffles both sides beyond; no job runs while the plan is built."""
+    return df

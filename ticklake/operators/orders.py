@@ -16,7 +16,7 @@ from ..functions.codes import order_label
 from ..functions.numeric import lots, tick_scale
 from ..functions.text import digits_to_long, instrument_key, strip_nul, time_text_iso
 from ..schemas import ORDER_LAYOUT, ORDER_PACKET_LEN, ORDER_PERSONAL_FIELDS
-from .joins import bounded_broadcast
+from .joins import sized_side
 
 PKT = "packet"
 ORD = ["recv_ts", "frame_id", "packet_seq"]
@@ -55,7 +55,9 @@ def decode_order_packets(packets: DataFrame, keep_personal: bool = False) -> Dat
 
     ``error`` is set for packets that are not whole records (from the split);
     those rows carry no fields."""
+    from .decode import order_error
     p = packets.withColumn("error", F.when(F.col("split_error").isNotNull(), F.col("split_error"))
+                           .when(order_error().isNotNull(), order_error())
                            .when(F.length(PKT) != ORDER_PACKET_LEN, F.lit("bad_length")))
     words = sorted({o for _, off, k in ORDER_LAYOUT if k in ("i16", "i32", "f64")
                     for o in ([off, off + 4] if k == "f64" else [off])})
@@ -111,7 +113,7 @@ def order_updates(frames: DataFrame, keep_personal: bool = False) -> DataFrame:
 def enrich_orders(orders: DataFrame, master: DataFrame) -> DataFrame:
     """Attach the instrument (left join; the master is broadcast only
     behind its size check)."""
-    inst = bounded_broadcast(master.select(
+    inst = sized_side(master.select(
         "instrument_key", F.col("trading_symbol").alias("inst_trading_symbol"),
         F.col("display_name").alias("inst_display_name"), F.col("instrument_type").alias("inst_type"),
         F.col("lot_units").alias("inst_lot_units")))
@@ -121,15 +123,26 @@ def enrich_orders(orders: DataFrame, master: DataFrame) -> DataFrame:
 def orders_by_frame(orders: DataFrame) -> DataFrame:
     """The list of a frame's orders, in packet order.  A frame's size is
     bounded by the feed's frame length, so each group is small."""
-    fields = [c for c in orders.columns if c not in ("frame_id",)]
+    fields = ["packet_seq", *(c for c in orders.columns if c not in ("frame_id", "packet_seq"))]  # sorts by the first
     return orders.groupBy("frame_id").agg(
         F.min("recv_ts").alias("recv_ts"),
         F.array_sort(F.collect_list(F.struct(*fields))).alias("orders"))
 
 
 def latest_orders(orders: DataFrame) -> DataFrame:
-    """Last order per instrument (``max_by`` over a unique order key,
-    partial aggregation map-side)."""
+    """Last order per instrument (partial aggregation map-side).
+
+    In batch only the key and the packed arrival order are hash-aggregated
+    and whole records are read for the winners alone; a stream keeps the
+    record in its state."""
+    if not orders.isStreaming:
+        from .ticks import arrival_order
+        order = arrival_order()
+        last = orders.groupBy("instrument_key").agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("orders_seen"))
+        last = last.withColumnRenamed("instrument_key", "_key")
+        found = orders.withColumn("_order", order).join(last, F.col("instrument_key").eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_last")))
+        others = [c for c in orders.columns if c != "instrument_key"]
+        return found.select("instrument_key", "orders_seen", *others)
     others = [c for c in orders.columns if c != "instrument_key"]
     agg = orders.groupBy("instrument_key").agg(
         F.max_by(F.struct(*others), F.struct(*ORD)).alias("_o"), F.count(F.lit(1)).alias("orders_seen"))

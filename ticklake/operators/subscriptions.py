@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import request_code, segment_code
 from ..schemas import FULL, QUOTE, SUBSCRIBE, UNSUBSCRIBE
-from .joins import bounded_broadcast
+from .joins import sized_side
 
 
 def request_plan(requests: DataFrame, master: DataFrame) -> DataFrame:
     """``requests(instrument_key, action, mode, ...)`` -> one row per
     request frame.  Every instrument gets its quote-mode request; FULL adds
     the full-mode request right after it (``request_seq`` 0 then 1)."""
-    inst = bounded_broadcast(master.select("instrument_key", "security_id", "exchange", "segment"))
+    inst = sized_side(master.select("instrument_key", "security_id", "exchange", "segment"))
     r = requests.join(inst, "instrument_key", "inner")
     codes = F.when(F.col("mode") == FULL,
                    F.array(request_code("action", F.lit(QUOTE), "segment"),
@@ -72,7 +72,11 @@ def unregister(registry: DataFrame, keys: DataFrame) -> DataFrame:
     return registry.join(keys.select("instrument_key"), "instrument_key", "left_anti")
 
 
-def upsert(registry: DataFrame, changes: DataFrame) -> DataFrame:
-    """New entries replace old ones for the same key."""
-    kept = registry.join(changes.select("instrument_key"), "instrument_key", "left_anti")
-    return kept.unionByName(changes, allowMissingColumns=True)
+def upsert(registry: DataFrame, changes: DataFrame, order: str = "since_ts") -> DataFrame:
+    """New entries replace old ones for the same key; of several changes
+    of a key the last one (by ``order``) counts."""
+    others = [c for c in changes.columns if c != "instrument_key"]
+    last = (changes.groupBy("instrument_key").agg(F.max_by(F.struct(*others), F.col(order)).alias("_c"))
+            .select("instrument_key", "_c.*"))
+    kept = registry.join(last.select("instrument_key"), "instrument_key", "left_anti")
+    return kept.unionByName(last, allowMissingColumns=True)

@@ -113,21 +113,21 @@ def _ord() -> Column:
 # or orderings forces a sort-based aggregate (every map partition sorted);
 # with every buffer fixed-width Spark uses a hash aggregate instead:
 #   * arrival order packed into one DECIMAL(38,0):
-#       ((recv_ts µs since the wire epoch) * 2^43 + frame_id) * 2^16 + packet_seq
-#     (frame ids below 2^43, at most 65,536 packets per frame);
+#       ((recv_ts µs since the wire epoch) * 2^56 + frame_id) * 2^16 + packet_seq
+#     (frame ids below 2^56, at most 65,536 packets per frame; the decoders
+#     quarantine packets outside, see ``decode.order_error``);
 #   * time fields as µs since the wire epoch (BIGINT);
 #   * the depth book as 30 scalar level fields, rebuilt after aggregating.
 _EPOCH_NTZ = f"timestamp_ntz'{WIRE_EPOCH}'"
 _LEVEL_FIELDS = [("quantity", "long"), ("price", "double"), ("orders", "int")]
 
 
-def _ord_num() -> Column:
-    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col("recv_ts")).cast("decimal(38,0)")
-    packed = (us * F.lit(2 ** 43) + F.col("frame_id")) * F.lit(2 ** 16) + F.col("packet_seq")
-    fits = (F.col("frame_id").between(0, 2 ** 43 - 1) & F.col("packet_seq").between(0, 2 ** 16 - 1))
-    # outside the packing bounds the order would be wrong: fail loudly
-    return F.when(fits | F.col("frame_id").isNull(), packed).otherwise(
-        F.raise_error(F.lit("frame_id must be in [0, 2^43) and packet_seq in [0, 2^16) for packed ordering")))
+def arrival_order() -> Column:
+    """``(recv_ts, frame_id, packet_seq)`` as one number."""
+    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col("recv_ts")).cast("decimal(20,0)")
+    frame = F.lit(str(2 ** 72)).cast("decimal(22,0)")
+    return ((us * frame).cast("decimal(38,0)") + F.col("frame_id").cast("decimal(20,0)") * F.lit(2 ** 16).cast("decimal(6,0)")
+            + F.col("packet_seq").cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def _depth_scalars() -> dict[str, Column]:
@@ -142,7 +142,7 @@ def _depth_scalars() -> dict[str, Column]:
 def _agg_input(good: DataFrame) -> DataFrame:
     times = {c: F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col(c)) for c in TIME_COLS}
     g = _typed(good.select("instrument_key", "decimals", *ORD, *STATE_COLS, "depth_buy", "depth_sell"))
-    return g.select("instrument_key", "decimals", "recv_ts", _ord_num().alias("_ord"),
+    return g.select("instrument_key", "decimals", "recv_ts", arrival_order().alias("_ord"),
                     *[times[c].alias(c) if c in TIME_COLS else F.col(c) for c in STATE_COLS],
                     *[v.alias(k) for k, v in _depth_scalars().items()])
 
@@ -280,11 +280,11 @@ def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
                              "_s": F.coalesce(_secs(), F.lit(0).cast("long"))})
     if fine_seconds is None:
         from ..session import cut_lineage
-        from .joins import bounded_broadcast
+        from .joins import sized_side
         # one light pass (key and time only); checkpointed so the size check
         # and the broadcast read it instead of recomputing it
         sizes = fine_bucket_sizes(rows, rows_per_bucket, coarse_seconds)
-        sizes = bounded_broadcast(cut_lineage(sizes) if materialize else sizes)
+        sizes = sized_side(cut_lineage(sizes) if materialize else sizes)
         rows = rows.join(sizes, rows.instrument_key == sizes._fk, "left").drop("_fk")
         fine = F.coalesce(F.col("_fine"), F.lit(coarse_seconds).cast("long"))
     else:

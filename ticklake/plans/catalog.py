@@ -45,6 +45,18 @@ def q_master_ingest(spark, sf_dir):
     return ingest_master(read_master_csv(spark, path))
 
 
+@query("master_ingest_reordered")
+def q_master_ingest_reordered(spark, sf_dir):
+    """A master file with its columns in another order and one more column."""
+    from ..session import scratch_path
+    from ..sources.master import ingest_master, read_master_csv
+    path = scratch_path(spark, "master-csv")
+    raw = fx.raw_master_from_part(fx.read_table(spark, sf_dir, "part"))
+    raw.select(F.concat(F.lit("x"), F.col("SEM_SMST_SECURITY_ID").cast("string")).alias("SM_SYMBOL_NAME"),
+               *[F.col(f"`{c}`") for c in reversed(raw.columns)]).write.option("header", True).csv(path)
+    return ingest_master(read_master_csv(spark, path))
+
+
 @query("master_latest_snapshot")
 def q_master_latest_snapshot(spark, sf_dir):
     m = _master(spark, sf_dir)
@@ -256,6 +268,15 @@ def q_orders_by_frame(spark, sf_dir):
                     F.array_join(F.transform("orders", lambda o: o["order_no"]), ",").alias("order_nos"))
 
 
+@query("orders_by_frame_enriched")
+def q_orders_by_frame_enriched(spark, sf_dir):
+    """A6 after J4: the join puts the key first, packet order must stay."""
+    m = _master(spark, sf_dir)
+    g = orders.orders_by_frame(orders.enrich_orders(decode.good(_orders(spark, sf_dir, m)), m))
+    return g.select("frame_id", "recv_ts", F.size("orders").alias("n_orders"),
+                    F.array_join(F.transform("orders", lambda o: o["order_no"]), ",").alias("order_nos"))
+
+
 @query("orders_latest")
 def q_orders_latest(spark, sf_dir):
     o = decode.good(_orders(spark, sf_dir)).select(*ORDER_VIEW)
@@ -343,8 +364,7 @@ def q_drop_empty_columns(spark, sf_dir):
 @query("vertical_view")
 def q_vertical_view(spark, sf_dir):
     from ..operators.display import vertical_view
-    return vertical_view(lookup.instrument_lookup(_master(spark, sf_dir), "U3", "NSE", "EQUITY"),
-                         ["instrument_key"])
+    return vertical_view(_master(spark, sf_dir).select(*INSTRUMENT_COLUMNS), ["instrument_key"])
 
 
 @query("segment_codes")
@@ -449,8 +469,7 @@ def q_stream_orders(spark, sf_dir):
 @query("records_export")
 def q_records_export(spark, sf_dir):
     from ..operators.display import to_records
-    eq = lookup.instrument_lookup(_master(spark, sf_dir), "U3", "NSE", "EQUITY")
-    return to_records(eq)
+    return to_records(_master(spark, sf_dir).select(*INSTRUMENT_COLUMNS))
 
 
 @query("nearest_expiry_fut")
@@ -489,10 +508,13 @@ def q_registry_after_unsubscribe(spark, sf_dir):
 
 @query("registry_after_upsert")
 def q_registry_after_upsert(spark, sf_dir):
-    from ..operators.subscriptions import current_registry, upsert
+    from ..operators.subscriptions import upsert
     reg, later = _registry_parts(spark, sf_dir)
-    fresh = current_registry(later.where(F.col("action") == "SUBSCRIBE"))
-    return upsert(reg, fresh)
+    # several changes of one key may come; the last one counts
+    fresh = later.where(F.col("action") == "SUBSCRIBE").select(
+        "instrument_key", "mode", F.col("ts").alias("since_ts"), "event_id")
+    order = F.struct("since_ts", "event_id")
+    return upsert(reg, fresh.withColumn("_order", order), "_order").select(*reg.columns)
 
 
 @query("stream_orders_latest")
@@ -515,9 +537,9 @@ def q_registered_ticks(spark, sf_dir):
     """The packet stream restricted to currently registered instruments
     (left-semi join with the registry, which is bounded by the instrument
     count)."""
-    from ..operators.joins import bounded_broadcast
+    from ..operators.joins import sized_side
     from ..operators.subscriptions import current_registry, registered
     m = _master(spark, sf_dir)
     good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
-    reg = bounded_broadcast(current_registry(_control(spark, sf_dir, m)).select("instrument_key"))
+    reg = sized_side(current_registry(_control(spark, sf_dir, m)).select("instrument_key"))
     return registered(good, reg).select("frame_id", "packet_seq", "instrument_key", "packet_type")

@@ -82,6 +82,9 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["master_ingest"] = _q("", f"SELECT {MASTER_COLS} FROM master")
 
+ORACLE["master_ingest_reordered"] = _q(
+    "", f"SELECT {MASTER_COLS}, 'x' || CAST(security_id AS VARCHAR) AS \"SM_SYMBOL_NAME\" FROM master")
+
 ORACLE["master_latest_snapshot"] = _q("", "SELECT " + MASTER_COLS.replace(
     "lot_units,", "lot_units * 2 AS lot_units,") + ", DATE '2024-01-02' AS snapshot_date FROM master")
 
@@ -123,7 +126,20 @@ FROM chosen c JOIN opts o ON o.und = c.und AND o.exchange = c.exchange AND o.exp
 
 def R(x: str) -> str:
     """Half-even rounding at the packet's precision."""
-    return f"(CASE WHEN dp = 4 THEN round_even(({x}), 4) ELSE round_even(({x}), 2) END)"
+    def at(places: int) -> str:
+        # the exact binary value decides ties: DOUBLE -> DECIMAL text of all its digits
+        s = f"list_transform([CAST(({x}) AS DOUBLE)], lambda v: {_EXACT.format(s=float(10 ** places), places=places)})[1]"
+        return s
+    return f"(CASE WHEN dp = 4 THEN {at(4)} ELSE {at(2)} END)"
+
+
+# v * s = p + e exactly (v split in two halves); the nearest whole number, ties to even, over s
+_EXACT = ("CASE WHEN abs(v) * {s} < 4503599627370496 THEN list_transform([{{'p': abs(v) * {s}, "
+          "'h': abs(v) * 134217729.0 - (abs(v) * 134217729.0 - abs(v))}}], lambda t: "
+          "(CASE WHEN v < 0 THEN -1 ELSE 1 END) * (floor(t.p) + CASE "
+          "WHEN t.p - floor(t.p) > 0.5 THEN 1 WHEN t.p - floor(t.p) < 0.5 THEN 0 "
+          "WHEN (t.h * {s} - t.p) + (abs(v) - t.h) * {s} > 0 THEN 1 WHEN (t.h * {s} - t.p) + (abs(v) - t.h) * {s} < 0 THEN 0 "
+          "ELSE CAST(floor(t.p) AS BIGINT) % 2 END) / {s} + 0.0)[1] ELSE round_even(v, {places}) END")
 
 
 def F32(x: str) -> str:
@@ -419,6 +435,8 @@ FROM ov LEFT JOIN master m ON m.instrument_key = ov.instrument_key""")
 ORACLE["orders_by_frame"] = _oq("", """SELECT frame_id, min(recv_ts) AS recv_ts, count(*) AS n_orders,
   string_agg(order_no, ',' ORDER BY packet_seq) AS order_nos FROM ov GROUP BY frame_id""")
 
+ORACLE["orders_by_frame_enriched"] = ORACLE["orders_by_frame"]
+
 ORACLE["orders_latest"] = _oq("""
 lo AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY recv_ts DESC, frame_id DESC,
                                     packet_seq DESC) AS rn,
@@ -489,7 +507,7 @@ eq AS (SELECT instrument_key, exchange, segment, CAST(security_id AS VARCHAR) AS
               trading_symbol, display_name, CAST(lot_units AS VARCHAR) AS lot_units,
               CAST(strike_price AS VARCHAR) AS strike_price, option_type, CAST(tick_size AS VARCHAR) AS tick_size,
               expiry_date_str, expiry_type
-       FROM master WHERE exchange = 'NSE' AND trading_symbol = 'U3' AND instrument_type = 'EQUITY')""",
+       FROM master)""",
                                """SELECT instrument_key, variable, value FROM eq UNPIVOT INCLUDE NULLS (value FOR variable IN (exchange,
   segment, security_id, instrument_type, trading_symbol, display_name, lot_units, strike_price, option_type,
   tick_size, expiry_date_str, expiry_type))""")
@@ -561,8 +579,8 @@ _REC_COLS = ["exchange", "segment", "security_id", "instrument_type", "trading_s
              "instrument_key", "lot_units", "strike_price", "option_type", "tick_size", "expiry_date_str",
              "expiry_type"]
 ORACLE["records_export"] = _q("", "SELECT '{' || concat_ws(',', " + ", ".join(
-    f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END" for c in _REC_COLS)
-    + ") || '}' AS record FROM master WHERE exchange = 'NSE' AND trading_symbol = 'U3' AND instrument_type = 'EQUITY'")
+    f"'\"{c}\":' || coalesce(CAST(to_json({c}) AS VARCHAR), 'null')" for c in _REC_COLS)
+    + ") || '}' AS record FROM master")
 
 ORACLE["nearest_expiry_fut"] = _q(UNDERLYINGS_CTE, f"""SELECT u.underlying, u.exchange,
   arg_min(m.expiry_date_str, m.expiry_date) AS nearest_expiry

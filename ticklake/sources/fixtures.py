@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.codes import segment_code
 from ..functions.symbols import strike_text, trading_symbol
 from ..functions.wire import ts_to_wire_seconds
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import sized_side
 from ..schemas import INSTRUMENT_TYPES, ORDER_LAYOUT, ORDER_PACKET_LEN
 
 # FIXED VALUES — fixture rules (FIXTURES.md)
@@ -238,7 +238,7 @@ _PACKET_SCHEMA = T.StructType([
 
 
 def _packet_inputs(events: DataFrame, master: DataFrame) -> DataFrame:
-    codes = bounded_broadcast(master.select(
+    codes = sized_side(master.select(
         F.col("security_id"), segment_code("exchange", "segment").alias("seg_code")))
     e = events.select(
         "event_id", "ts", "user_id", "value",
@@ -354,7 +354,7 @@ def _encode_order_batches(batches):
 
 
 def _order_inputs(orders: DataFrame, master: DataFrame) -> DataFrame:
-    inst = bounded_broadcast(master.select(
+    inst = sized_side(master.select(
         F.col("security_id").alias("m_id"), F.col("exchange").alias("m_exchange"),
         F.col("segment").alias("m_segment")))
     o = orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
@@ -447,7 +447,7 @@ def chain_requests(master: DataFrame) -> DataFrame:
 def subscription_log(events: DataFrame, master: DataFrame) -> DataFrame:
     """``(ts, instrument_key, action, mode)``: signup events subscribe (FULL
     when k is even), error events unsubscribe."""
-    keys = bounded_broadcast(master.select("security_id", "instrument_key"))
+    keys = sized_side(master.select("security_id", "instrument_key"))
     e = events.where(F.col("event_type").isin("signup", "error")).select(
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type",
         F.get_json_object("props", "$.k").cast("long").alias("k"))

@@ -55,8 +55,8 @@ def stream_frames_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                         starting_offsets: str = "latest") -> DataFrame:
     """S4/S5 from Kafka: one record per frame.  ``frame_id`` packs
     (partition, offset) as ``partition * 2^35 + offset`` — unique, increasing
-    within a partition, and inside the 2^43 bound of the packed arrival order
-    (up to 256 partitions of 34 billion offsets); ``recv_ts`` is the broker
+    within a partition, and inside the 2^56 bound of the packed arrival order
+    (up to two million partitions of 34 billion offsets); ``recv_ts`` is the broker
     timestamp as wall-clock.  Needs
     the Spark Kafka connector on the classpath (not bundled here, so this
     path is not exercised by the tests)."""

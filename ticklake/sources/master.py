@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import instrument_key, parse_date, split_part, time_seconds
 from ..schemas import RAW_MASTER_COLUMNS, RAW_MASTER_SCHEMA
@@ -17,9 +18,17 @@ MASTER_COLUMNS = [
 
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw master CSV with an explicit schema (never inferred).  PERMISSIVE
-    mode drops surplus tokens of ragged lines and nulls unparsable fields."""
-    return (spark.read.schema(RAW_MASTER_SCHEMA)
+    """Raw master CSV, columns matched by name: the header gives their order,
+    known columns have their type, further ones are text (types are never
+    inferred).  A missing column is an error.  PERMISSIVE mode drops surplus
+    tokens of ragged lines and nulls unparsable fields."""
+    names = spark.read.option("header", True).csv(path).columns
+    known = {f.name.strip(): f for f in RAW_MASTER_SCHEMA.fields}
+    missing = sorted(set(known) - {n.strip() for n in names})
+    if missing:
+        raise ValueError(f"the master file lacks the columns {missing}")
+    schema = T.StructType([known.get(n.strip(), T.StructField(n, T.StringType())) for n in names])
+    return (spark.read.schema(schema)
             .option("header", True)
             .option("mode", "PERMISSIVE")
             .option("enforceSchema", True)
@@ -43,7 +52,7 @@ def ingest_master(raw: DataFrame) -> DataFrame:
                 "expiry_date": parse_date("expiry_date_str"),
                 "expiry_time_s": time_seconds("expiry_time_str"),
             })
-            .select(*MASTER_COLUMNS))
+            .select(*MASTER_COLUMNS, *(f"`{c}`" for c in renamed.columns if c not in MASTER_COLUMNS)))
 
 
 def snapshot_date(ingest_ts) -> "F.Column":

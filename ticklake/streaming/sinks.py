@@ -26,11 +26,18 @@ def parquet_batch_writer(path: str) -> BatchFn:
 
 
 def with_callback(sink: BatchFn, callback: BatchFn | None) -> BatchFn:
-    """Run the sink, then the user's callback, for every micro-batch."""
+    """Run the sink, then the user's callback, for every micro-batch;
+    the batch is decoded once and kept for both."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(batch, batch_id)
-        if callback is not None:
+        if callback is None:
+            sink(batch, batch_id)
+            return
+        batch.persist()
+        try:
+            sink(batch, batch_id)
             callback(batch, batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 

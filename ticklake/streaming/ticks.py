@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -77,14 +78,14 @@ def _snapshot_fn(key, pdfs, state):
     df = pd.concat(parts, ignore_index=True).sort_values(ORD, kind="mergesort").reset_index(drop=True)
     st = json.loads(state.get[0]) if state.exists else _fresh_state()
     resets = df["is_reset"].to_numpy() == 1
-    body = df[_CARRIED].astype(object)
-    for c in _CARRIED:
-        body.loc[resets, c] = "" if c in _BLANKABLE else DEFAULTS[c]
-    body = body.where(body.notna(), None)
-    head = pd.DataFrame([{c: st[c] for c in _CARRIED}], dtype=object)
-    with pd.option_context("future.no_silent_downcasting", True):   # types are set explicitly below
-        filled = (pd.concat([head, body], ignore_index=True).ffill()
-                  .infer_objects(copy=False).iloc[1:].reset_index(drop=True))
+    written, at = df["_written"].to_numpy(), np.arange(len(df))
+    filled = {}
+    for i, c in enumerate(_CARRIED):
+        # a written NaN is a value: the flag decides, not the value
+        values = df[c].to_numpy(dtype=object, copy=True)
+        values[resets] = "" if c in _BLANKABLE else DEFAULTS[c]
+        source = np.maximum.accumulate(np.where(((written >> i) & 1 == 1) | resets, at, -1))
+        filled[c] = pd.Series(np.where(source >= 0, values[source], st[c]), dtype=object)
     epoch = st["epoch"] + resets.cumsum()
 
     last = {c: filled[c].iloc[-1] for c in _CARRIED}
@@ -108,11 +109,20 @@ def _snapshot_fn(key, pdfs, state):
     yield out[~resets].reset_index(drop=True)
 
 
+def _written_flags() -> Column:
+    """One bit per carried column: set where the packet writes it."""
+    present = [F.col(c).isNotNull() for c in STATE_COLS] + [F.col(f"{DEPTH}.depth_buy").isNotNull(), F.col(f"{DEPTH}.depth_sell").isNotNull()]
+    out = F.lit(0).cast("long")
+    for i, there in enumerate(present):
+        out = out + F.when(there, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+    return out
+
+
 def key_decimals(master: DataFrame) -> DataFrame:
     """Static (instrument_key, decimals) from the master (bounded)."""
     from ..functions.codes import code_decimals, segment_code
-    from ..operators.joins import bounded_broadcast
-    return bounded_broadcast(master.select(
+    from ..operators.joins import sized_side
+    return sized_side(master.select(
         "instrument_key", code_decimals(segment_code("exchange", "segment")).alias("decimals")))
 
 
@@ -131,7 +141,8 @@ def snapshot_input(good: DataFrame, control: DataFrame | None = None,
         *[F.when(F.col(c).isNotNull(), F.coalesce(F.date_format(F.col(c)["v"], "yyyy-MM-dd HH:mm:ss"), F.lit("")))
           .alias(c) if c in TIME_COLS else F.col(c) for c in STATE_COLS],
         F.to_json(F.col(f"{DEPTH}.depth_buy")).alias("depth_buy_js"),
-        F.to_json(F.col(f"{DEPTH}.depth_sell")).alias("depth_sell_js"))
+        F.to_json(F.col(f"{DEPTH}.depth_sell")).alias("depth_sell_js"),
+        _written_flags().alias("_written"))
 
 
 def snapshot_stream(good: DataFrame, control: DataFrame | None = None,
