@@ -140,3 +140,24 @@ def test_upsert_takes_the_last_change_of_a_key(spark):
 def test_records_keep_null_fields(spark):
     from ticklake.operators.display import to_records
     assert to_records(spark.createDataFrame([(1, None)], "a int, b string")).first().record == '{"a":1,"b":null}'
+
+
+def test_registry_keeps_an_unknown_mode(spark):
+    import datetime as dt
+
+    from ticklake.operators.subscriptions import current_registry
+    t = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([("a", "SUBSCRIBE", None, t, 1), ("b", "SUBSCRIBE", "FULL", t, 2), ("b", "UNSUBSCRIBE", None, t, 3),
+                                 ("c", "SUBSCRIBE", "QUOTE", t, 4)], "instrument_key string, action string, mode string, ts timestamp, event_id long")
+    assert sorted((r.instrument_key, r.mode) for r in current_registry(log).collect()) == [("a", None), ("c", "QUOTE")]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ticklake.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="share"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=sc))

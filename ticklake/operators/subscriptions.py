@@ -41,7 +41,7 @@ def unsubscribe_all(registry: DataFrame, master: DataFrame) -> DataFrame:
 
 def current_registry(log: DataFrame) -> DataFrame:
     """Last action per key wins; keys whose last action is a
-    subscribe are registered (with that mode).
+    subscribe are registered (with that mode, null if none is known).
 
     ``max_by`` partial-aggregates, so a hot key does not pile up in one
     task; every aggregation buffer is fixed-width (action and mode as small
@@ -52,13 +52,13 @@ def current_registry(log: DataFrame) -> DataFrame:
     two64 = F.lit(str(2 ** 64)).cast("decimal(38,0)")
     two63 = F.lit(str(2 ** 63)).cast("decimal(38,0)")
     order = us.cast("decimal(38,0)") * two64 + (F.col("event_id").cast("decimal(38,0)") + two63)
-    code = (F.when(F.col("action") == SUBSCRIBE, F.lit(2)).otherwise(F.lit(0))
-            + F.when(F.col("mode") == FULL, F.lit(1)).otherwise(F.lit(0)))
+    mode = F.when(F.col("mode").isNull(), F.lit(2)).when(F.col("mode") == FULL, F.lit(1)).otherwise(F.lit(0))
+    code = F.when(F.col("action") == SUBSCRIBE, F.lit(2) + mode).otherwise(F.lit(0))
     last = log.groupBy("instrument_key").agg(
         F.max_by(code, order).alias("_code"), F.max_by(us, order).alias("_us"))
     return (last.where(F.col("_code") >= 2)
             .select("instrument_key",
-                    F.when(F.col("_code") == 3, F.lit(FULL)).otherwise(F.lit(QUOTE)).alias("mode"),
+                    F.when(F.col("_code") == 3, F.lit(FULL)).when(F.col("_code") == 2, F.lit(QUOTE)).alias("mode"),
                     F.timestamp_micros("_us").cast("timestamp_ntz").alias("since_ts")))
 
 

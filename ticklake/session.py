@@ -41,11 +41,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder; only a local session may leave it
+    unset, and gets a fresh local one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            # each executor would write to a disk of its own
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ticklake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
