@@ -38,7 +38,7 @@ from ticklake.llm.array_store import load, save
 from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices
 from ticklake.llm.words import Words, mix
 
-SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 12 << 20, 16 << 20, 64, 1000
+SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 4 << 20, 16 << 20, 64, 1000
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _STATS = ("count", "before", "total", "n1", "n2", "n3")
