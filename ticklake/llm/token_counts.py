@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import column, map_arrow, slices
+from ticklake.llm.common import column, map_arrow, slices, staged
 from ticklake.llm.encoding import encoder
 
 
@@ -42,8 +42,9 @@ def length_histogram(docs: DataFrame, vocabulary: str, block: int = 256) -> Data
     tokens_ge: the same from L on; total_docs, total_tokens: of the corpus;
     truncated_tokens: tokens left when every document is cut at L.
     """
-    hist = (encoded_lengths(docs, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
-            .withColumn("token_sum", F.col("n_tokens") * F.col("n_docs"))
+    # written, as it is read twice: texts are encoded once
+    counts = staged(encoded_lengths(docs, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "lengths")
+    hist = (counts.withColumn("token_sum", F.col("n_tokens") * F.col("n_docs"))
             .withColumn("_block", F.floor(F.col("n_tokens") / block)))
     above = Window.partitionBy(F.lit(0)).orderBy(F.desc("_block"))
     blocks = (hist.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum("token_sum").alias("_t"))
