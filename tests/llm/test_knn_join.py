@@ -66,3 +66,12 @@ def test_far_cells_are_left_out(spark):
 def test_repeated_rows(spark):
     rows = [(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0])]
     assert run(spark, rows, k=3) == [(0, 1, 1, 131072), (0, 2, 1, 131072)]
+
+
+def test_zero_queries_with_small_cells(spark):
+    """Vectors of whole-number form zero keep their rows where cells hold fewer than k + 1 vectors."""
+    rng = random.Random(3)
+    rows = [(i, [f32(rng.gauss(0, 1)) for _ in range(4)]) for i in range(1, 40)]
+    rows += [(0, [0.0, 0.001, 0.0, 0.0]), (50, []), (100, [1.0, 0.0, 0.0, 0.0])]
+    got = run(spark, rows, pivots=32)
+    assert got == plain(rows, 5) and {r[0] for r in got} == {0, 50, 100}

@@ -78,13 +78,14 @@ def assign(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
 def route(queries: DataFrame, pivots: np.ndarray, near: np.ndarray, radius: np.ndarray, k: int) -> DataFrame:
     """(query_id, q, cells): the cells that may hold one of a query's k best."""
     width = pivots.shape[1]
+    known = np.where(np.isinf(near), 0.0, near)  # a zero vector's norm times inf would be nan
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = _matrix(column(batch, "v"), width)
             at, norm = q @ pivots.T, np.sqrt((q**2).sum(axis=1))[:, None]
             # k + 1 vectors with at least these scores, one of which may be the query itself
-            sure = (at[:, :, None] - norm[:, :, None] * near).reshape(len(q), -1)
+            sure = np.where(np.isinf(near), -np.inf, at[:, :, None] - norm[:, :, None] * known).reshape(len(q), -1)
             least = np.sort(sure, axis=1)[:, ::-1][:, :k + 1]
             bound = least[:, k] if least.shape[1] > k else np.full(len(q), -np.inf)
             slack = 1e-9 * (1 + np.abs(at) + norm * radius)
