@@ -110,3 +110,69 @@ def test_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = lm.score_documents(docs).filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r.s > r.b
+
+
+def plain_scores(docs, order):
+    """Scores by dictionaries of tuples; a k-gram that opens a text counts its occurrences at every order."""
+    raw = [Counter() for _ in range(order + 1)]
+    for d, t in docs:
+        if not is_held(d):
+            ws = ["<s>", *split(t)]
+            for k in range(1, order + 1):
+                raw[k].update(tuple(ws[i - k:i]) for i in range(max(k, 2), len(ws) + 1))
+    grams = [Counter() for _ in range(order + 1)]
+    for k in range(1, order + 1):
+        if k < order:
+            grams[k].update(g[1:] for g in raw[k + 1])
+            grams[k].update({g: c for g, c in raw[k].items() if g[0] == "<s>"})
+        else:
+            grams[k] = raw[k]
+    discounts = [Plain.discounts(Counter(g.values())) for g in grams]
+    followers = [defaultdict(list) for _ in grams]
+    for k in range(1, order + 1):
+        for g, c in grams[k].items():
+            followers[k][g[:-1]].append(c)
+    vocabulary = len(raw[1])
+
+    def p(context, w):
+        if context is None:
+            return 1 / (vocabulary + 1)
+        k, low = len(context) + 1, p(context[1:] if context else None, w)
+        cs = followers[k].get(context)
+        if not cs:
+            return low
+        c = grams[k][(*context, w)]
+        return (c - discounts[k][min(c, 3)]) / sum(cs) + sum(discounts[k][min(x, 3)] for x in cs) / sum(cs) * low
+
+    def score(t):
+        ws = ["<s>", *split(t)]
+        return sum(math.log10(p(tuple(ws[max(0, i - order + 1):i]), ws[i])) for i in range(1, len(ws)))
+
+    words = [*(w for w, in raw[1]), "unseen"]
+    for context in [("<s>",), ("w1", "w2"), ("hot", "pair"), ("<s>", "hot"), ("unseen", "w1")]:
+        assert sum(p(context, w) for w in words) == pytest.approx(1)
+    return {d: score(t) for d, t in docs}
+
+
+@pytest.mark.parametrize("order,round_bytes", [(3, 2000), (3, 64 << 20), (4, 64 << 20)])
+def test_higher_orders_equal_a_plain_model(spark, monkeypatch, order, round_bytes):
+    monkeypatch.setattr(lm, "SLICE", 300)
+    monkeypatch.setattr(lm, "MIN_SHARDS", 7)
+    monkeypatch.setattr(lm, "ROUND_BYTES", round_bytes)
+    docs = corpus(seed=2, n=60)
+    docs += [(2000 + i, docs[i][1]) for i in range(20)]  # copies: common longer contexts
+    want = plain_scores(docs, order)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.score for r in lm.score_documents(df, order).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_the_query_looks_at_two_words_before(spark, tmp_path):
+    """a b is followed by c, x b by y: only a model of order 3 tells them apart."""
+    from ticklake.llm.queries import op9_lm_scoring
+    train = [(d, "a b c" if d % 2 else "x b y") for d in range(60) if not is_held(d)]
+    held = [d for d in range(100, 200) if is_held(d)]
+    rows = [*train, (held[0], "a b c"), (held[1], "a b y")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.score for r in op9_lm_scoring(spark, str(tmp_path)).collect()}
+    assert got[held[0]] > got[held[1]] + 1

@@ -1,21 +1,25 @@
-"""LM scoring: an interpolated modified Kneser-Ney bigram model, counted in Spark.
-
-1. Every task counts the word pairs of its training texts (a pair's first half
-   is the word before, or the start of the text; an end token closes each
-   text) and sends them on in arrays, one for each shard of pairs.
-2. A shard sums its pairs, stores them as a sorted array of 64-bit pair hashes
-   with their counts, and passes on what it knows of their words: counts,
-   how many different words stand before (continuation count), how often each stands
-   before others, and how many of these pairs occur once, twice or more.
-3. Shards of words sum that and store sorted arrays of word hashes and counts.
-   Only a few numbers per shard reach the driver (totals, counts of counts),
-   from which follow the discounts of both orders.
+"""LM scoring: an interpolated modified Kneser-Ney model of any order (3 unless told otherwise), counted in Spark.
+
+1. For each order k from the highest to 2, every task takes the k-grams of its
+   training texts (a text begins with a start token, an end token closes it)
+   and sends them on in arrays, one for each shard: context hash, word, count,
+   and below the highest order the word before.
+2. A shard counts its k-grams: below the highest order a k-gram's count is the
+   number of different words before it (its occurrences where it opens a text).
+   It stores sorted 64-bit hashes with counts, and for each context the total
+   and how many of its k-grams count one, two or more (from order 3 on not for
+   contexts of one k-gram that counts one, which the lower order tells).
+3. From order 2 shards of words sum and store each word's occurrences and
+   how many different words stand before it.  Only a few numbers per shard reach the
+   driver (totals, counts of counts), from which follow all discounts.
 4. Workers map the arrays of the shared folder into memory and look up the
-   distinct words and pairs of a batch of texts.
+   distinct words, k-grams and contexts of a batch of texts.
 
-Pairs are sharded by their first word; words that take a large share of all
-pairs in a bounded sample are sharded by the pair instead, which only spreads
-the work.  All counts cover all training texts.
+K-grams are sharded by their context; contexts that take a large share in a
+bounded sample are sharded by the k-gram instead, and their totals are summed
+apart, which only spreads the work.  Each order is counted in several rounds
+over the texts, one part of the shards in each, so that shuffle files take a
+part of the disk only.  All counts cover all training texts.
 
 Cases: null and empty texts are one end token; null ids are trained on;
 equal rows count each; with no training text every token has the uniform
@@ -27,21 +31,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm.array_store import load, save
-from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices
+from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices, staged
 from ticklake.llm.words import Words, mix
 
 SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 4 << 20, 16 << 20, 64, 1000
+ORDER, ROUND_BYTES, MAX_ROUNDS = 3, 64 << 20, 4
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-_STATS = ("count", "before", "total", "n1", "n2", "n3")
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,6 +68,25 @@ def pair_keys(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(before * _PAIR + token)
 
 
+def contexts(before: np.ndarray, first: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(hashes of the 1, 2, ... order - 1 words before each token, each token's place in its text).
+
+    The m words before are there from place m - 1 on, the start token being one of them.
+    """
+    place = np.arange(len(before)) - np.repeat(first[:-1], np.diff(first))
+    out = [before]
+    for m in range(1, order - 1):
+        out.append(pair_keys(out[-1], shifted(before, m)))
+    return out, place
+
+
+def shifted(x: np.ndarray, m: int) -> np.ndarray:
+    """x of m places before."""
+    out = np.zeros_like(x)
+    out[m:] = x[:len(x) - m]
+    return out
+
+
 def shard_of(before: np.ndarray, keys: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
     spread = mix(np.where(np.isin(before, hot), keys, before) ^ _PAIR)
     return (spread % np.uint64(shards)).astype(np.int32)
@@ -74,78 +99,93 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def _groups(part: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Runs of equal numbers of a sorted array."""
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-    for a, b in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+    for a, b in zip(cuts, np.append(cuts, len(part))[1:], strict=True):
         yield int(part[a]), slice(int(a), int(b))
 
 
-def _hot_words(docs: DataFrame, shards: int) -> np.ndarray:
-    """Words that stand before at least a quarter shard's share of the tokens of a bounded sample of texts."""
+def _save(path: str, keys: np.ndarray, values: np.ndarray) -> None:
+    """Sorted keys with rows of whole numbers: one byte each, larger ones apart."""
+    large = np.flatnonzero((values >= 255).any(axis=0))
+    save(f"{path}-keys.npy", keys)
+    save(f"{path}-small.npy", np.minimum(values, 255).astype(np.uint8))
+    save(f"{path}-large.npy", np.concatenate([large[None], values[:, large]]).astype(np.int64))
+
+
+def _find(path: str, keys: np.ndarray, width: int) -> np.ndarray:
+    """The stored values of keys; zeros for unknown ones."""
+    out = np.zeros((width, len(keys)), np.int64)
+    known = load(f"{path}-keys.npy")
+    if not len(known):
+        return out
+    place = np.searchsorted(known, keys)
+    place[place == len(known)] = 0
+    hit = known[place] == keys
+    place = place[hit]
+    values = load(f"{path}-small.npy")[:, place].astype(np.int64)
+    large = (values == 255).any(axis=0)
+    if large.any():
+        stored = load(f"{path}-large.npy")
+        values[:, large] = stored[1:, np.searchsorted(stored[0], place[large])]
+    out[:, hit] = values
+    return out
+
+
+def _hot_contexts(docs: DataFrame, order: int, shards: int) -> list[np.ndarray]:
+    """For each order from 2 on, contexts with at least a quarter shard's share of the tokens of a bounded sample of texts."""
     sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select("text")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, target=SLICE):
-            word, n = np.unique(tokens(column(part, "text"))[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
+            _, before, first = tokens(column(part, "text"))
+            found, place = contexts(before, first, order)
+            for m, c in enumerate(found):
+                word, n = np.unique(c[place >= m], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), m, np.int32)), pa.array(word.view(np.int64)), pa.array(n)],
+                                                 names=["m", "word", "n"])
 
-    counts = map_arrow(sample, step, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.filter(F.col("n") >= max(2, total / (4 * shards))).collect()  # 4 * shards rows at most
-    return np.array(sorted(r["word"] for r in rows), np.int64).view(np.uint64)
+    counts = map_arrow(sample, step, "m int, word long, n long").groupBy("m", "word").agg(F.sum("n").alias("n"))
+    total = counts.filter("m = 0").agg(F.sum("n")).first()[0] or 0
+    rows = counts.filter(F.col("n") >= max(2, total / (4 * shards))).collect()  # 4 * shards rows an order at most
+    return [np.sort(np.array([r["word"] for r in rows if r["m"] == m], np.int64).view(np.uint64)) for m in range(order - 1)]
 
 
 @dataclass
 class Model:
-    """Where the arrays lie, and the numbers that all workers need."""
+    """Where the arrays lie, and the numbers that all workers need; lists go from order 2 up."""
     path: str
+    order: int
     shards: int
-    hot: np.ndarray
+    hot: list[np.ndarray]
+    hot_stats: list[np.ndarray]
     train_tokens: int
     vocabulary: int
     pair_types: int
-    pair_discounts: np.ndarray   # of counts 0, 1, 2, 3 and more
+    discounts: list[np.ndarray]   # of counts 0, 1, 2, 3 and more
     word_discounts: np.ndarray
     word_backoff: float
 
-    def _words(self, words: np.ndarray) -> dict[str, np.ndarray]:
-        """Statistics of distinct sorted words."""
-        out = {k: np.zeros(len(words), np.int64) for k in _STATS}
-        shard = (mix(words) % np.uint64(self.shards)).astype(np.int32)
+    def _look_up(self, name: str, keys: np.ndarray, shard: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros((width, len(keys)), np.int64)
         order = np.argsort(shard, kind="stable")
-        if not self.train_tokens:
-            return out
         for s, run in _groups(shard[order]):
             at = order[run]
-            known = load(f"{self.path}/words-{s}.npy")
-            place = np.searchsorted(known, words[at])
-            place[place == len(known)] = 0
-            hit = known[place] == words[at] if len(known) else np.zeros(len(at), bool)
-            stats = load(f"{self.path}/stats-{s}.npy")
-            for i, k in enumerate(_STATS):
-                out[k][at[hit]] = stats[i][place[hit]]
+            out[:, at] = _find(f"{self.path}/{name}-{s}", keys[at], width)
         return out
 
-    def _pairs(self, before: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Training counts of distinct pairs, keys ascending."""
-        out = np.zeros(len(keys), np.int64)
-        if not self.train_tokens:
-            return out
-        shard = shard_of(before, keys, self.hot, self.shards)
-        order = np.argsort(shard, kind="stable")
-        for s, run in _groups(shard[order]):
-            at = order[run]
-            known = load(f"{self.path}/pairs-{s}.npy")
-            if not len(known):
-                continue
-            place = np.searchsorted(known, keys[at])
-            place[place == len(known)] = 0
-            hit = known[place] == keys[at]
-            place, at = place[hit], at[hit]
-            n = load(f"{self.path}/counts-{s}.npy")[place].astype(np.int64)
-            large = n == 255
-            if large.any():
-                where, value = load(f"{self.path}/large-{s}.npy")
-                n[large] = value[np.searchsorted(where, place[large])]
-            out[at] = n
+    def _words(self, words: np.ndarray) -> np.ndarray:
+        """Occurrences and number of words before of distinct sorted words."""
+        return self._look_up("words", words, (mix(words) % np.uint64(self.shards)).astype(np.int32), 2)
+
+    def _grams(self, k: int, context: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Counts of distinct k-grams, keys ascending."""
+        return self._look_up(f"grams{k}", keys, shard_of(context, keys, self.hot[k - 2], self.shards), 1)[0]
+
+    def _contexts(self, k: int, context: np.ndarray) -> np.ndarray:
+        """Total and numbers of k-grams that count one, two or more, of distinct sorted contexts."""
+        hot, stats = self.hot[k - 2], self.hot_stats[k - 2]
+        out = self._look_up(f"contexts{k}", context, shard_of(context, context, hot[:0], self.shards), 4)
+        common = np.isin(context, hot)
+        out[:, common] = stats[:, np.searchsorted(hot, context[common])]
         return out
 
     def scores(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -154,28 +194,35 @@ class Model:
         if not len(token):
             none = np.zeros(0)
             return none, none, none, none
-        both, inverse = np.unique(np.concatenate([token, before]), return_inverse=True)
-        stats = self._words(both)
-        at_token, at_before = inverse[:len(token)], inverse[len(token):]
-        keys, one, pair = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
-        count = self._pairs(before[one], keys)
-
+        word, at = np.unique(token, return_inverse=True)
+        count, n = self._words(word) if self.train_tokens else np.zeros((2, len(word)), np.int64)
         uniform = 1 / (self.vocabulary + 1)
+        p = np.full(len(token), uniform)
         if self.pair_types:
-            n = stats["before"]
             low = (n - self.word_discounts[np.minimum(n, 3)]) / self.pair_types + self.word_backoff * uniform
-            w, v = at_token[one], at_before[one]
-            total = stats["total"][v]
-            rest = sum(self.pair_discounts[i] * stats[f"n{i}"][v] for i in (1, 2, 3))
-            seen = np.maximum(total, 1)
-            p = np.where(total > 0, (count - self.pair_discounts[np.minimum(count, 3)]) / seen + rest / seen * low[w], low[w])
-        else:
-            p = np.full(len(keys), uniform)
-        base = np.log10((stats["count"] + 1) / (self.train_tokens + self.vocabulary + 1))
-        known = stats["count"] > 0
+            p = low[at]
+            found, place = contexts(before, first, self.order)
+            for k in range(2, self.order + 1):
+                there = np.flatnonzero(place >= k - 2)
+                context, discounts = found[k - 2][there], self.discounts[k - 2]
+                keys, one, gram = np.unique(pair_keys(context, token[there]), return_index=True, return_inverse=True)
+                c = self._grams(k, context[one], keys)[gram]
+                distinct, which = np.unique(context, return_inverse=True)
+                total, *ns = self._contexts(k, distinct)
+                if k > 2:  # a context of a single k-gram is not stored; its own words are a known (k - 1)-gram
+                    known = np.zeros(len(distinct), bool)
+                    known[which] = last[there - 1] > 0
+                    single = known & (total == 0)
+                    total[single], ns[0][single] = 1, 1
+                last = np.zeros(len(token), np.int64)
+                last[there] = c
+                rest = sum(discounts[i] * x for i, x in zip((1, 2, 3), ns, strict=True))
+                seen = np.maximum(total, 1)[which]
+                p[there] = np.where(total[which] > 0, (c - discounts[np.minimum(c, 3)]) / seen + rest[which] / seen * p[there], p[there])
+        base = np.log10((count + 1) / (self.train_tokens + self.vocabulary + 1))
         cut = first[:-1]
-        return (np.diff(first), np.add.reduceat(known[at_token].astype(np.int64), cut),
-                np.add.reduceat(base[at_token], cut), np.add.reduceat(np.log10(p)[pair], cut))
+        return (np.diff(first), np.add.reduceat((count > 0)[at].astype(np.int64), cut),
+                np.add.reduceat(base[at], cut), np.add.reduceat(np.log10(p), cut))
 
 
 def _discounts(counts: list[int]) -> np.ndarray:
@@ -188,92 +235,159 @@ def _discounts(counts: list[int]) -> np.ndarray:
     return np.array([0.0, *(min(max(x, 0.05), i - 0.05) for i, x in zip((1, 2, 3), d, strict=True))])
 
 
-def train(docs: DataFrame) -> Model:
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries made inside go when each has ended."""
+    was = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if was is None else spark.conf.set(_CLEANUP, was)
+
+
+def _join(arrays: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in arrays])
+
+
+def _count_grams(texts: DataFrame, k: int, order: int, shards: int, hot: np.ndarray, path: str, turn: int, turns: int) -> DataFrame:
+    """Store the k-grams of every shard of one turn; (to, word, count, before): words of order 2 for word
+    shards, and (key, stats, t1 to t4): sums of hot contexts and counts of counts, in rows with to = -1 - shard."""
+    top = k == order
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, target=SLICE):
+            token, before, first = tokens(column(part, "text"))
+            found, place = contexts(before, first, k)
+            context = found[-1]
+            keys = pair_keys(context, token)
+            prior = np.where(place >= k - 1, shifted(before, k - 1), np.uint64(0))  # 0: opens a text
+            shard = shard_of(context, keys, hot, shards)
+            mine = np.flatnonzero((place >= k - 2) & (shard % turns == turn))
+            whole = keys[mine] if top else pair_keys(keys[mine], prior[mine])
+            _, one, n = np.unique(whole, return_index=True, return_counts=True)
+            at = mine[one]
+            by = np.lexsort((context[at], shard[at]))
+            at, n = at[by], n[by].astype(np.uint32)
+            runs = list(_groups(shard[at]))
+            columns = [context[at], token[at], np.zeros(0, np.uint64) if top else prior[at], n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s for s, _ in runs], pa.int32()), *(pa.array([x[r].tobytes() for _, r in runs], pa.binary()) for x in columns)],
+                names=["shard", "context", "token", "prior", "n"])
+
+    def grams(key: tuple, table: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        context, token = (_join(table.column(c), np.uint64) for c in ("context", "token"))
+        n = _join(table.column("n"), np.uint32).astype(np.int64)
+        keys, one, at = np.unique(pair_keys(context, token), return_index=True, return_inverse=True)
+        times = np.bincount(at, n, len(keys)).astype(np.int64)
+        if top:
+            c = times
+        else:
+            prior = _join(table.column("prior"), np.uint64)
+            _, each = np.unique(pair_keys(keys[at], prior), return_index=True)
+            each = each[prior[each] != 0]
+            opens = prior == 0
+            c = (np.bincount(at[each], minlength=len(keys)) + np.bincount(at[opens], n[opens], len(keys))).astype(np.int64)
+        context, token = context[one], token[one]
+        _save(f"{path}/grams{k}-{shard}", keys, c[None])
+        distinct, which = np.unique(context, return_inverse=True)
+        stats = np.stack([np.bincount(which, c, len(distinct)),
+                          *(np.bincount(which[m], minlength=len(distinct)) for m in (c == 1, c == 2, c >= 3))]).astype(np.int64)
+        common = np.isin(distinct, hot)
+        plain = (stats[0] == 1) & (k > 2)  # one k-gram that counts one: known from the (k - 1)-grams
+        _save(f"{path}/contexts{k}-{shard}", distinct[~common & ~plain], stats[:, ~common & ~plain])
+        rows = [{"to": -1 - shard, "key": distinct[common].tobytes(), "stats": stats[:, common].T.tobytes()}
+                | {f"t{i}": int((c == i).sum()) for i in (1, 2, 3, 4)}]
+        if k == 2:
+            word, at = np.unique(token, return_inverse=True)
+            to = (mix(word) % np.uint64(shards)).astype(np.int32)
+            by = np.argsort(to, kind="stable")
+            occurs, types = np.bincount(at, times, len(word)).astype(np.int64), np.bincount(at, minlength=len(word))
+            rows += [{"to": s, "word": word[by[r]].tobytes(), "count": occurs[by[r]].astype(np.int64).tobytes(),
+                      "before": types[by[r]].astype(np.int64).tobytes()} for s, r in _groups(to[by])]
+        return pa.Table.from_pylist(rows, pa.schema(
+            [("to", pa.int32()), *((c, pa.binary()) for c in ("word", "count", "before", "key", "stats")),
+             *((f"t{i}", pa.int64()) for i in (1, 2, 3, 4))]))
+
+    counted = map_arrow(texts, count, "shard int, context binary, token binary, prior binary, n binary")
+    return counted.groupBy("shard").applyInArrow(
+        grams, "to int, word binary, count binary, before binary, key binary, stats binary, t1 long, t2 long, t3 long, t4 long")
+
+
+def _hot_stats(counted: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """Sums over the shards of the totals of hot contexts."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = _join(pa.chunked_array([column(batch, "key")]), np.int64)
+                stats = _join(pa.chunked_array([column(batch, "stats")]), np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.ascontiguousarray(x)) for x in stats.T)],
+                                                 names=["key", "s0", "s1", "s2", "s3"])
+
+    out = np.zeros((4, len(hot)), np.int64)
+    sums = map_arrow(counted.filter("to < 0").select("key", "stats"), step, "key long, s0 long, s1 long, s2 long, s3 long")
+    for r in sums.groupBy("key").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(4))).collect():
+        out[:, np.searchsorted(hot, np.array([r["key"]], np.int64).view(np.uint64))[0]] = [r[f"s{i}"] for i in range(4)]
+    return out
+
+
+def train(docs: DataFrame, order: int = ORDER) -> Model:
     """Count the texts outside the held-out fold and store the model in the shared folder.
 
     docs: doc_id, text.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     training = docs.filter(~held_out()).select("doc_id", "text")
     size = training.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     shards = max(MIN_SHARDS, -(-size // SHARD_BYTES))
-    hot = _hot_words(training, shards)
+    turns = min(MAX_ROUNDS, max(1, -(-size // ROUND_BYTES)))
+    hot = _hot_contexts(training, order, shards)
     path = f"{shared_dir(spark)}/llm/ngrams-{uuid.uuid4().hex}"
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, target=SLICE):
-            token, before, _ = tokens(column(part, "text"))
-            keys, one, n = np.unique(pair_keys(before, token), return_index=True, return_counts=True)
-            token, before = token[one], before[one]
-            shard = shard_of(before, keys, hot, shards)
-            order = np.lexsort((before, shard))
-            token, before, n, shard = token[order], before[order], n[order].astype(np.uint32), shard[order]
-            runs = list(_groups(shard))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in runs], pa.int32()),
-                 *(pa.array([x[r].tobytes() for _, r in runs], pa.binary()) for x in (before, token, n))],
-                names=["shard", "before", "token", "n"])
-
-    def pairs(key: tuple, table: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
-        before, token = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(c)]) for c in ("before", "token"))
-        n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("n")]).astype(np.int64)
-        keys, one, inverse = np.unique(pair_keys(before, token), return_index=True, return_inverse=True)
-        n = np.bincount(inverse, n, len(keys)).astype(np.int64)
-        before, token = before[one], token[one]
-        large = np.flatnonzero(n >= 255)
-        save(f"{path}/pairs-{shard}.npy", keys)
-        save(f"{path}/counts-{shard}.npy", np.minimum(n, 255).astype(np.uint8))
-        save(f"{path}/large-{shard}.npy", np.stack([large, n[large]]))
-
-        word, at = np.unique(np.concatenate([token, before]), return_inverse=True)
-        w, v = at[:len(token)], at[len(token):]
-        total = len(word)
-        stats = [np.bincount(w, n, total), np.bincount(w, minlength=total), np.bincount(v, n, total),
-                 *(np.bincount(v[m], minlength=total) for m in (n == 1, n == 2, n >= 3))]
-        to = (mix(word) % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(to, kind="stable")
-        runs = list(_groups(to[order]))
-        seen = [[int((n == i).sum())] + [0] * (len(runs) - 1) for i in (1, 2, 3, 4)]
-        return pa.table(
-            [pa.array([s for s, _ in runs], pa.int32()), pa.array([word[order[r]].tobytes() for _, r in runs], pa.binary()),
-             *(pa.array([x[order[r]].astype(np.int64).tobytes() for _, r in runs], pa.binary()) for x in stats),
-             *(pa.array(x, pa.int64()) for x in seen)], names=["shard", "word", *_STATS, "t1", "t2", "t3", "t4"])
-
-    def words(key: tuple, table: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
-        word, at = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("word")]), return_inverse=True)
-        stats = np.stack([np.bincount(at, np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column(k)]), len(word))
-                          for k in _STATS]).astype(np.int64)
-        save(f"{path}/words-{shard}.npy", word)
-        save(f"{path}/stats-{shard}.npy", stats if stats.max(initial=0) >= 2**32 else stats.astype(np.uint32))
-        known = stats[0] > 0
-        out = {"tokens": stats[0].sum(), "vocabulary": known.sum(), "types": stats[1].sum()}
-        out |= {f"t{i}": sum(table.column(f"t{i}").to_pylist()) for i in (1, 2, 3, 4)}
-        out |= {f"u{i}": (stats[1] == i).sum() for i in (1, 2, 3, 4)} | {"u5": (stats[1] >= 3).sum()}
-        return pa.table({"shard": pa.array([shard], pa.int32())} | {k: pa.array([int(x)], pa.int64()) for k, x in out.items()})
-
     ship_package(spark)
-    counted = map_arrow(training.select("text"), count, "shard int, before binary, token binary, n binary")
-    by_word = counted.groupBy("shard").applyInArrow(pairs, "shard int, word binary, " + ", ".join(f"{k} binary" for k in _STATS)
-                                                    + ", t1 long, t2 long, t3 long, t4 long")
-    names = ["tokens", "vocabulary", "types", "t1", "t2", "t3", "t4", "u1", "u2", "u3", "u4", "u5"]
-    rows = by_word.groupBy("shard").applyInArrow(words, "shard int, " + ", ".join(f"{k} long" for k in names)).collect()
-    done = {r["shard"] for r in rows}
-    for s in set(range(shards)) - done if rows else ():  # shards without a word
-        save(f"{path}/words-{s}.npy", np.zeros(0, np.uint64))
-        save(f"{path}/stats-{s}.npy", np.zeros((len(_STATS), 0), np.uint32))
-    sums = {k: sum(r[k] for r in rows) for k in names}
+    hot_stats, discounts, by_word = [], [], None
+    with _shuffles_removed(spark):
+        for k in range(2, order + 1):
+            parts = [staged(_count_grams(training.select("text"), k, order, shards, hot[k - 2], path, t, turns), f"grams{k}")
+                     for t in range(turns)]
+            counted = parts[0]
+            for part in parts[1:]:
+                counted = counted.unionAll(part)
+            found = counted.filter("to < 0").select("to", "t1", "t2", "t3", "t4").collect()
+            discounts.append(_discounts([sum(r[f"t{i}"] for r in found) for i in (1, 2, 3, 4)]))
+            for s in set(range(shards)) - {-1 - r["to"] for r in found}:  # shards without a k-gram
+                _save(f"{path}/grams{k}-{s}", np.zeros(0, np.uint64), np.zeros((1, 0), np.int64))
+                _save(f"{path}/contexts{k}-{s}", np.zeros(0, np.uint64), np.zeros((4, 0), np.int64))
+            hot_stats.append(_hot_stats(counted, hot[k - 2]))
+            by_word = counted.filter("to >= 0") if k == 2 else by_word
+
+        def words(key: tuple, table: pa.Table) -> pa.Table:
+            shard = key[0].as_py()
+            word, at = np.unique(_join(table.column("word"), np.uint64), return_inverse=True)
+            stats = np.stack([np.bincount(at, _join(table.column(c), np.int64), len(word)) for c in ("count", "before")]).astype(np.int64)
+            _save(f"{path}/words-{shard}", word, stats)
+            out = {"shard": shard, "tokens": stats[0].sum(), "vocabulary": len(word), "types": stats[1].sum()}
+            out |= {f"u{i}": (stats[1] == i).sum() for i in (1, 2, 3, 4)} | {"u5": (stats[1] >= 3).sum()}
+            return pa.table({c: pa.array([int(x)], pa.int64()) for c, x in out.items()})
+
+        names = ["tokens", "vocabulary", "types", "u1", "u2", "u3", "u4", "u5"]
+        rows = (by_word.select(F.col("to").alias("shard"), "word", "count", "before").groupBy("shard")
+                .applyInArrow(words, ", ".join(f"{c} long" for c in ["shard", *names])).collect())
+    for s in set(range(shards)) - {r["shard"] for r in rows}:  # shards without a word
+        _save(f"{path}/words-{s}", np.zeros(0, np.uint64), np.zeros((2, 0), np.int64))
+    sums = {c: sum(r[c] for r in rows) for c in names}
     word_discounts = _discounts([sums[f"u{i}"] for i in (1, 2, 3, 4)])
     backoff = (word_discounts[1] * sums["u1"] + word_discounts[2] * sums["u2"] + word_discounts[3] * sums["u5"]) / max(1, sums["types"])
-    return Model(path, shards, hot, sums["tokens"], sums["vocabulary"], sums["types"],
-                 _discounts([sums[f"t{i}"] for i in (1, 2, 3, 4)]), word_discounts, float(backoff))
+    return Model(path, order, shards, hot, hot_stats, sums["tokens"], sums["vocabulary"], sums["types"],
+                 discounts, word_discounts, float(backoff))
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = train(docs)
+    model = train(docs, order)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, target=SLICE):

@@ -52,7 +52,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score_documents(read(spark, sf_dir, "documents"))
+    return ngram_lm.score_documents(read(spark, sf_dir, "documents"), ngram_lm.ORDER)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
