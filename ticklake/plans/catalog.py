@@ -188,15 +188,31 @@ def _with_depth0(df: DataFrame) -> DataFrame:
     }).drop("depth_buy", "depth_sell")
 
 
+def _whole_depth(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys with quantity, price and orders of all five levels of both sides."""
+    return df.select(*keys, *(F.col(f"depth_{side}")[i][field].alias(f"depth_{side}_{what}{i}")
+                              for side in ("buy", "sell") for i in range(5)
+                              for what, field in (("qty", "quantity"), ("price", "price"), ("orders", "orders"))))
+
+
 def _control(spark, sf_dir, master):
     return fx.subscription_log(fx.read_table(spark, sf_dir, "events"), master)
 
 
-@query("tick_snapshots")
-def q_tick_snapshots(spark, sf_dir):
+def _tick_snapshots(spark, sf_dir):
     m = _master(spark, sf_dir)
     good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
-    return _with_depth0(ticks.tick_snapshots(good, _control(spark, sf_dir, m)))
+    return ticks.tick_snapshots(good, _control(spark, sf_dir, m))
+
+
+@query("tick_snapshots")
+def q_tick_snapshots(spark, sf_dir):
+    return _with_depth0(_tick_snapshots(spark, sf_dir))
+
+
+@query("tick_snapshots_depth")
+def q_tick_snapshots_depth(spark, sf_dir):
+    return _whole_depth(_tick_snapshots(spark, sf_dir), "instrument_key", "frame_id", "packet_seq")
 
 
 @query("tick_epochs")
@@ -209,6 +225,11 @@ def q_tick_latest(spark, sf_dir):
     return _with_depth0(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))))
 
 
+@query("tick_latest_depth")
+def q_tick_latest_depth(spark, sf_dir):
+    return _whole_depth(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))), "instrument_key")
+
+
 @query("market_status")
 def q_market_status(spark, sf_dir):
     return ticks.market_status(decode.good(_price_packets(spark, sf_dir)))
@@ -427,18 +448,26 @@ def _landed_price_frames(spark, sf_dir, m):
     return stream_frames(spark, path)
 
 
-@query("stream_tick_latest")
-def q_stream_tick_latest(spark, sf_dir):
+def _stream_tick_latest(spark, sf_dir):
     from ..streaming.sinks import latest_from_changes
     from ..streaming.ticks import finish_latest, latest_state_stream
     m = _master(spark, sf_dir)
     agg = latest_state_stream(_landed_price_frames(spark, sf_dir, m), m)
     changes = _run_stream(spark, agg, "update", "tick-latest")
-    return _with_depth0(finish_latest(latest_from_changes(changes, ["instrument_key"])))
+    return finish_latest(latest_from_changes(changes, ["instrument_key"]))
 
 
-@query("stream_tick_snapshots")
-def q_stream_tick_snapshots(spark, sf_dir):
+@query("stream_tick_latest")
+def q_stream_tick_latest(spark, sf_dir):
+    return _with_depth0(_stream_tick_latest(spark, sf_dir))
+
+
+@query("stream_tick_latest_depth")
+def q_stream_tick_latest_depth(spark, sf_dir):
+    return _whole_depth(_stream_tick_latest(spark, sf_dir), "instrument_key")
+
+
+def _stream_tick_snapshots(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.frames import stream_control
     from ..streaming.ticks import decoded_stream, finish_snapshots, snapshot_stream
@@ -448,7 +477,17 @@ def q_stream_tick_snapshots(spark, sf_dir):
     frames = _landed_price_frames(spark, sf_dir, m)
     snaps = snapshot_stream(decode.good(decoded_stream(frames, m)), stream_control(spark, ctl_path), m)
     out = _run_stream(spark, snaps, "append", "tick-snapshots").drop("batch_id")
-    return _with_depth0(finish_snapshots(out))
+    return finish_snapshots(out)
+
+
+@query("stream_tick_snapshots")
+def q_stream_tick_snapshots(spark, sf_dir):
+    return _with_depth0(_stream_tick_snapshots(spark, sf_dir))
+
+
+@query("stream_tick_snapshots_depth")
+def q_stream_tick_snapshots_depth(spark, sf_dir):
+    return _whole_depth(_stream_tick_snapshots(spark, sf_dir), "instrument_key", "frame_id", "packet_seq")
 
 
 @query("stream_orders")

@@ -356,6 +356,32 @@ ORACLE["tick_latest"] = _pq(",\n".join([WIDE_CTE, _running("wide"),
                             f"SELECT instrument_key, decimals, n AS packets, recv_ts AS last_recv_ts, {STATE_SELECT}, "
                             f"{DERIVED} FROM fin WHERE rn = 1")
 
+# all five depth levels: the last depth packet's k and v give every value of both sides
+_DEPTH_SIDES = {"buy": ("dk + {i}", "dv - {i}", 1), "sell": ("dk + 2 * {i}", "dv + {i}", 2)}
+DEPTH_SELECT = ", ".join(
+    f"CASE WHEN src = 1 THEN {e} END AS depth_{side}_{what}{i}"
+    for side, (qty, price, first) in _DEPTH_SIDES.items() for i in range(5)
+    for what, e in (("qty", qty.format(i=i)), ("price", F32(price.format(i=i))), ("orders", f"CAST({i + first} AS INTEGER)")))
+DEPTH_CTE = ("dep AS (SELECT instrument_key, recv_ts, frame_id, packet_seq, 0 AS is_reset, CASE packet_type WHEN 2 THEN k END AS dk, "
+             "CASE packet_type WHEN 2 THEN v END AS dv, CASE packet_type WHEN 2 THEN 1 END AS src FROM pd)")
+DEPTH_RESETS = ("dep_resets AS (SELECT DISTINCT c.instrument_key, c.ts AS recv_ts, -1 AS frame_id, -1 AS packet_seq, 1 AS is_reset, "
+                "NULL AS dk, NULL AS dv, 0 AS src FROM ctl c), "
+                "dep_all AS (SELECT * FROM dep UNION ALL BY NAME SELECT * FROM dep_resets)")
+
+
+def _depth_running(src: str) -> str:
+    last = ", ".join(f"last_value({c} IGNORE NULLS) {_W} AS {c}" for c in ("dk", "dv", "src"))
+    return f"dep_run AS (SELECT instrument_key, recv_ts, frame_id, packet_seq, is_reset, {last} FROM {src})"
+
+
+ORACLE["tick_snapshots_depth"] = _pq(",\n".join([DEPTH_CTE, CONTROL_CTE, DEPTH_RESETS, _depth_running("dep_all")]),
+                                     f"SELECT instrument_key, frame_id, packet_seq, {DEPTH_SELECT} FROM dep_run WHERE is_reset = 0")
+
+ORACLE["tick_latest_depth"] = _pq(",\n".join([DEPTH_CTE, _depth_running("dep"),
+                                              "dep_fin AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY "
+                                              "recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn FROM dep_run)"]),
+                                  f"SELECT instrument_key, {DEPTH_SELECT} FROM dep_fin WHERE rn = 1")
+
 ORACLE["market_status"] = _pq(f"""
 st AS (SELECT recv_ts, frame_id, packet_seq, 'OK' AS msg, {STATUS_VALUE} AS value FROM pd WHERE packet_type = 29),
 last AS (SELECT *, row_number() OVER (ORDER BY recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn,
@@ -568,6 +594,8 @@ FROM reg WHERE mode = 'FULL'""")
 
 ORACLE["stream_tick_latest"] = ORACLE["tick_latest"]
 ORACLE["stream_tick_snapshots"] = ORACLE["tick_snapshots"]
+ORACLE["stream_tick_latest_depth"] = ORACLE["tick_latest_depth"]
+ORACLE["stream_tick_snapshots_depth"] = ORACLE["tick_snapshots_depth"]
 ORACLE["stream_orders"] = ORACLE["orders_enriched"]
 
 
