@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
-    knn_join, near_dedup, ngram_lm, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
+    knn_join, merkle_manifest, near_dedup, ngram_lm, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
     token_counts,
 )
 from ticklake.llm.common import read
@@ -59,13 +59,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verified_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op5_sentencepiece, op6_exact_top_k, op7_quality_rules,
-        op8_quality_classifier, op9_lm_scoring, op10_token_counts,
+        op8_quality_classifier, op9_lm_scoring, op10_token_counts, op11_merkle_manifest,
     )
 }
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def _crc32(number: str) -> str:
+    """SQL for the unsigned CRC-32 of a number's decimal text."""
+    t = f"CAST({number} AS VARCHAR)"
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({t}) + 1), lambda i: ascii({t}[i])::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -97,4 +114,36 @@ s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) A
       FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || source, '') AS tree,
+        {" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head, text,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+        coalesce({_crc32("doc_id")} % 5 = 0, false) AS hit FROM documents),
+f AS (SELECT doc_id, tree, sha256(head || {_field("text")}) AS leaf, CASE WHEN hit THEN sha256(head || {_field("low")}) END AS new FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM f),
+t(tree, l, i, h, n) AS (SELECT tree, 0, i, leaf, n FROM o UNION ALL
+    SELECT tree, l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM t WHERE n > 1 GROUP BY tree, l, i // 16, n),
+r AS (SELECT tree, h AS subroot, l AS height, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u(l, i, h, n) AS (SELECT 0, i, subroot, n FROM r UNION ALL
+    SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM u WHERE n > 1 GROUP BY l, i // 16, n),
+w AS (SELECT h AS root, l AS up FROM u WHERE n = 1),
+x AS (SELECT o.*, subroot, height, r.i AS place, root, height + up AS levels FROM o JOIN r USING (tree), w),
+s AS (SELECT x.tree, x.i, k.l,
+        coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i < x.i // CAST(pow(16, k.l) AS BIGINT)), '') AS a,
+        coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i > x.i // CAST(pow(16, k.l) AS BIGINT)), '') AS b
+      FROM x, LATERAL unnest(range(0, height)) AS k(l)
+      JOIN t ON t.tree = x.tree AND t.l = k.l AND t.i // 16 = x.i // CAST(pow(16, k.l + 1) AS BIGINT) GROUP BY ALL
+      UNION ALL
+      SELECT x.tree, x.i, x.height + k.l,
+        coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i < x.place // CAST(pow(16, k.l) AS BIGINT)), ''),
+        coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i > x.place // CAST(pow(16, k.l) AS BIGINT)), '')
+      FROM x, LATERAL unnest(range(0, levels - height)) AS k(l)
+      JOIN u ON u.l = k.l AND u.i // 16 = x.place // CAST(pow(16, k.l + 1) AS BIGINT) GROUP BY ALL),
+p AS (SELECT tree, i, list(a ORDER BY l) AS a, list(b ORDER BY l) AS b, string_agg(a || b, '' ORDER BY l) AS whole FROM s GROUP BY tree, i),
+y AS (SELECT x.*, sha256(coalesce(whole, '')) AS proof_sha256,
+        list_reduce(list_prepend(coalesce(new, leaf), range(1, levels + 1)::VARCHAR[]),
+                    lambda h, l: sha256(a[CAST(l AS BIGINT)] || h || b[CAST(l AS BIGINT)])) AS folded_root
+      FROM x LEFT JOIN p USING (tree, i))
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified,
+       CAST(CASE WHEN new IS NULL THEN 0 ELSE levels + 1 END AS INTEGER) AS nodes_copied FROM y""",
 }
