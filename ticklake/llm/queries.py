@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
-    knn_join, merkle_manifest, near_dedup, ngram_lm, packing, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
+    knn_join, merkle_manifest, near_dedup, ngram_lm, packing, prefix_trie, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
     token_counts,
 )
 from ticklake.llm.common import read
@@ -63,10 +63,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verified_documents(read(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.sequences(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op5_sentencepiece, op6_exact_top_k, op7_quality_rules,
         op8_quality_classifier, op9_lm_scoring, op10_token_counts, op11_merkle_manifest,
+        op12_prefix_trie,
     )
 }
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -146,4 +151,23 @@ y AS (SELECT x.*, sha256(coalesce(whole, '')) AS proof_sha256,
       FROM x LEFT JOIN p USING (tree, i))
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified,
        CAST(CASE WHEN new IS NULL THEN 0 ELSE levels + 1 END AS INTEGER) AS nodes_copied FROM y""",
+    "op12_prefix_trie": f"""
+WITH g AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, md5(strlen(role) || ':' || role || text) AS d,
+        len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w FROM g),
+o AS (SELECT conv_id, list({{'d': d, 'w': w}} ORDER BY turn NULLS FIRST, d) AS t, {_crc32("conv_id")} % 4 AS h FROM k GROUP BY conv_id),
+r AS (SELECT a.conv_id, list_concat(coalesce(b.t[1:CAST(a.h AS BIGINT)], []), a.t[CAST(a.h AS BIGINT) + 1:]) AS t
+      FROM o a LEFT JOIN o b ON b.conv_id = a.conv_id - a.conv_id % 20),
+p AS (SELECT conv_id, len(t) AS size, e.depth, array_to_string(list_transform(t[1:e.depth], lambda x: x.d), '') AS key,
+        CASE WHEN e.depth > 0 THEN t[e.depth].w ELSE 0 END AS w FROM r, LATERAL unnest(range(0, len(t) + 1)) AS e(depth)),
+n AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+      FROM p GROUP BY key, depth),
+c AS (SELECT left(key, 32 * (depth - 1)) AS parent, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON c.parent = n.key),
+s AS (SELECT left(key, 32 * u.d) AS top, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w) AS saved
+      FROM f, LATERAL unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.top = f.key LEFT JOIN n q ON f.depth > 0 AND q.key = left(f.key, 32 * (f.depth - 1))""",
 }
