@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ticklake.llm import (
     knn_join, merkle_manifest, near_dedup, ngram_lm, packing, prefix_trie, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup,
-    token_counts,
+    token_counts, toxicity,
 )
 from ticklake.llm.common import read
 
@@ -67,11 +67,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.sequences(read(spark, sf_dir, "conversations"))))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_sharding, op3_best_fit_packing, op4_near_dedup, op5_sentencepiece, op6_exact_top_k, op7_quality_rules,
         op8_quality_classifier, op9_lm_scoring, op10_token_counts, op11_merkle_manifest,
-        op12_prefix_trie,
+        op12_prefix_trie, op13_toxicity,
     )
 }
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
