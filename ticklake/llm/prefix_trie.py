@@ -168,6 +168,9 @@ def _peel(chunk: pa.Table) -> pa.RecordBatch:
     for d in range(int(length.max(initial=0)), 0, -1):
         ended = order[border[d + 1]:border[d]]
         item = np.concatenate([alive["item"], ended])
+        if not len(item):
+            open_rows = None
+            continue
         n = np.concatenate([alive["n"], count[ended]])
         low = np.concatenate([alive["conv"], conv[ended]])
         child = np.arange(len(item)) < len(alive["item"])
