@@ -63,6 +63,24 @@ def test_decoder_stays_in_whole_stage_codegen(spark):
     assert len(decode_ops) >= 3 and all("codegen id" in ln for ln in decode_ops), decode_ops
 
 
+def test_generated_code_of_the_decoders_compiles(spark):
+    """Without the fallback, code that does not compile fails the query instead of running interpreted."""
+    from ticklake.operators import orders
+    m = _master_parquet(spark)
+    price = fx.fixture_price_frames(spark, SF001, m)
+    order = fx.fixture_order_frames(spark, SF001, m)
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        packets = decode.price_packets(price, m)
+        for df in (packets, ticks.latest_state(decode.good(packets)), ticks.market_status(decode.good(packets)),
+                   ticks.tick_snapshots(decode.good(packets)), orders.order_updates(order)):
+            df.write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 def test_current_master_prunes_snapshot_partitions(spark):
     from ticklake.sources.master import scan_master, write_snapshot
     m = fx.fixture_master(spark, SF001)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import wire
 from ..functions.codes import (code_decimals, code_known, market_status_text,  # noqa: F401
                                segment_code)
-from ..functions.numeric import book_shares, oi_sentinel, round_dp
+from ..functions.numeric import oi_sentinel, round_f32, with_book_shares
 from ..functions.text import strip_nul
 from ..schemas import BODY_LEN, DEPTH_LEVEL, DEPTH_LEVELS, HEADER_LEN
 from .joins import sized_side
@@ -29,7 +29,7 @@ def _on(t: int, value: Column) -> Column:
 
 
 def _r(x: Column) -> Column:
-    return round_dp(x, F.col("decimals"))
+    return round_f32(x, F.col("decimals"))
 
 
 # Body word offsets each packet type reads (u16 fields are the low half of
@@ -124,8 +124,6 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
                        for o in _WORDS})
     h = h.withColumns({f"_f{o}": F.when(ptype.isin(_FLOAT_USERS[o]), wire.f32_from_bits(_w(o)))
                        for o in _FLOATS})
-    tsq, tbq = _w(0), _w(4)
-    tot, tbp, tsp = book_shares(tbq, tsq, F.col("decimals"))
     status_value = _r(_f(3))
     cols = {
         # 1 trade, 5 index
@@ -144,15 +142,12 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
         "low": _on(3, _r(_f(12))).otherwise(_on(5, _r(_f(16)))),
         "prev_close": _on(5, _r(_f(8))).otherwise(_on(32, _r(_f(0)))),
         # 6 top of book: total ask, total bid, best bid qty, best ask qty, bid px, ask px
-        "total_ask_qty": _on(6, tsq),
-        "total_bid_qty": _on(6, tbq),
+        "total_ask_qty": _on(6, _w(0)),
+        "total_bid_qty": _on(6, _w(4)),
         "best_bid_qty": _on(6, _w(8)),
         "best_ask_qty": _on(6, _w(12)),
         "best_bid_price": _on(6, _r(_f(16))),
         "best_ask_price": _on(6, _r(_f(20))),
-        "total_bid_ask_qty": _on(6, tot),
-        "total_bid_qty_prcnt": _on(6, tbp),
-        "total_ask_qty_prcnt": _on(6, tsp),
         # 32 previous close / OI, 33 circuit (upper first), 36 52-week (high first)
         "prev_open_interest": _on(32, _r(_f(4))),
         "upper_circuit": _on(33, _r(_f(0))),
@@ -170,7 +165,10 @@ def decode_price_packets(packets: DataFrame) -> DataFrame:
     # a packet with an error writes nothing
     cols = {k: F.when(F.col("error").isNull(), v) for k, v in cols.items()}
     scratch = [f"_w{o}" for o in _WORDS] + [f"_f{o}" for o in _FLOATS]
-    return h.withColumns(cols).drop(*scratch)
+    out = h.withColumns(cols).drop(*scratch)
+    # shares are of the two quantities, which only top-of-book packets write
+    return with_book_shares(out, "total_bid_qty", "total_ask_qty", "decimals",
+                            "total_bid_ask_qty", "total_bid_qty_prcnt", "total_ask_qty_prcnt")
 
 
 # ---------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import oi_change, price_change
+from ..functions.numeric import with_change
 from ..schemas import TICK_FIELDS, WIRE_EPOCH
 
 STATE_COLS = [name for name, _, _ in TICK_FIELDS]
@@ -59,10 +59,9 @@ def default_state_struct() -> Column:
 
 def derived_columns(df: DataFrame) -> DataFrame:
     """T4: change and open-interest change from the current state."""
-    chg, pct = price_change("ltp", "prev_close", F.col("decimals"))
-    oichg, oipct = oi_change("open_interest", "prev_open_interest", F.col("decimals"))
-    return df.withColumns({"change": chg, "change_prcnt": pct,
-                           "open_interest_chg": oichg, "open_interest_chg_prcnt": oipct})
+    out = with_change(df, "ltp", "prev_close", "decimals", "change", "change_prcnt")
+    return with_change(out, "open_interest", "prev_open_interest", "decimals",
+                       "open_interest_chg", "open_interest_chg_prcnt", whole=True)
 
 
 def _wrap_times(df: DataFrame, reset: bool = False) -> DataFrame:

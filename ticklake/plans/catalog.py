@@ -138,11 +138,10 @@ def q_decode_ohlc(spark, sf_dir):
 
 @query("decode_index")
 def q_decode_index(spark, sf_dir):
-    from ..functions.numeric import price_change
+    from ..functions.numeric import with_change
     d = decode.good(_price_packets(spark, sf_dir)).where(F.col("packet_type") == 5)
-    chg, pct = price_change("ltp", "prev_close", F.col("decimals"))
-    return d.select(*PK, "ltp", "open", "prev_close", "high", "low", "last_trade_time",
-                    chg.alias("change"), pct.alias("change_prcnt"))
+    return with_change(d, "ltp", "prev_close", "decimals", "change", "change_prcnt").select(
+        *PK, "ltp", "open", "prev_close", "high", "low", "last_trade_time", "change", "change_prcnt")
 
 
 @query("decode_top")
