@@ -12,8 +12,7 @@ from ticklake.session import scratch_path
 from ticklake.sources import fixtures as fx
 from ticklake.sources.frames import FRAME_SCHEMA, stream_frames
 from ticklake.streaming.sinks import latest_from_changes, parquet_batch_writer, start
-from ticklake.streaming.ticks import (decoded_stream, finish_latest, finish_snapshots, latest_state_stream,
-                                     snapshot_stream)
+from ticklake.streaming.ticks import decoded_stream, finish_latest, latest_state_stream, snapshot_stream, snapshot_writer
 
 COLS = ["instrument_key", "frame_id", "packet_seq", "epoch", "ltp", "prev_close", "open_interest",
         "last_trade_time", "best_bid_price", "change", "open_interest_chg", "total_bid_qty_prcnt"]
@@ -40,11 +39,11 @@ def test_multi_batch_streams_match_batch(spark):
     # T2 across micro-batches (one file per trigger)
     snaps = snapshot_stream(decode.good(decoded_stream(stream_frames(spark, path, max_files_per_trigger=1), m)))
     out = scratch_path(spark, "snap-out")
-    q = start(snaps, parquet_batch_writer(out), scratch_path(spark, "snap-ckpt"))
+    q = start(snaps, snapshot_writer(out, scratch_path(spark, "snap-state")), scratch_path(spark, "snap-ckpt"))
     q.awaitTermination()
     batches = spark.read.parquet(out).select("batch_id").distinct().count()
     assert batches >= 2
-    got = finish_snapshots(spark.read.parquet(out).drop("batch_id")).select(*COLS)
+    got = spark.read.parquet(out).select(*COLS)
     good = decode.good(decode.price_packets(spark.read.schema(FRAME_SCHEMA).parquet(path), m))
     want = ticks.tick_snapshots(good, materialize=False).select(*COLS)
     assert got.count() == want.count()

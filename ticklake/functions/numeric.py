@@ -130,3 +130,19 @@ def lots(quantity, lot_size) -> Column:
 
 def tick_scale(tick_size) -> Column:
     return _c(tick_size) / 100
+
+
+def sorted_count(array, value) -> Column:
+    """How many elements of an ascending array are at most ``value``, by binary
+    search; null for a null array."""
+    a, v = _c(array), _c(value)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(a) + 1)).cast("int"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(a, middle) <= v
+        return (F.when(s["lo"] >= s["hi"], s)
+                .when(below, F.struct((middle + 1).alias("lo"), s["hi"].alias("hi")))
+                .otherwise(F.struct(s["lo"].alias("lo"), middle.alias("hi"))))
+
+    return F.when(a.isNotNull(), F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(a).alias("hi")), halve, lambda s: s["lo"]))

@@ -96,7 +96,8 @@ def decode_header(packets: DataFrame) -> DataFrame:
 
 def order_error() -> Column:
     """Packets whose place in the arrival order is unknown or beyond its bounds."""
-    known = F.col("recv_ts").isNotNull() & F.col("frame_id").between(0, 2 ** 56 - 1) & F.col("packet_seq").between(0, 2 ** 16 - 1)
+    from .ticks import arrival_bounds
+    known = arrival_bounds() & F.col("frame_id").between(0, 2 ** 56 - 1) & F.col("packet_seq").between(0, 2 ** 16 - 1)
     return F.when(~F.coalesce(known, F.lit(False)), F.lit("bad_arrival_order"))
 
 

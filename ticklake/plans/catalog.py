@@ -469,14 +469,16 @@ def q_stream_tick_latest_depth(spark, sf_dir):
 def _stream_tick_snapshots(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.frames import stream_control
-    from ..streaming.ticks import decoded_stream, finish_snapshots, snapshot_stream
+    from ..streaming.sinks import start
+    from ..streaming.ticks import decoded_stream, snapshot_stream, snapshot_writer
     m = _master(spark, sf_dir)
-    ctl_path = scratch_path(spark, "control")
+    ctl_path, out = scratch_path(spark, "control"), scratch_path(spark, "tick-snapshots-out")
     _control(spark, sf_dir, m).write.mode("overwrite").parquet(ctl_path)
     frames = _landed_price_frames(spark, sf_dir, m)
-    snaps = snapshot_stream(decode.good(decoded_stream(frames, m)), stream_control(spark, ctl_path), m)
-    out = _run_stream(spark, snaps, "append", "tick-snapshots").drop("batch_id")
-    return finish_snapshots(out)
+    rows = snapshot_stream(decode.good(decoded_stream(frames, m)), stream_control(spark, ctl_path))
+    sink = snapshot_writer(out, scratch_path(spark, "tick-snapshots-state"))
+    start(rows, sink, scratch_path(spark, "tick-snapshots-ckpt")).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @query("stream_tick_snapshots")

@@ -1,32 +1,28 @@
-"""Continuous price pipeline (T1-T4, T7, T8) on Structured Streaming.
+"""Continuous price pipeline (T1-T4, T7, T8, B15) on Structured Streaming.
 
 * ``latest_state_stream`` (T3, the default): decode -> stream-static join
   with the master -> ``groupBy(key).agg(max_by ...)`` in **update** mode.
-  JVM-only; the state store keeps one aggregate row per instrument and
-  partial aggregation runs before the shuffle, so a hot instrument costs a
-  few partial rows per task.
-* ``snapshot_stream`` (T2): one full record per packet, through
-  ``applyInPandasWithState``; per key and micro-batch the rows are sorted by
-  arrival order and forward-filled vectorised in pandas (no per-row loop).
-  Reset control rows (re-subscribe / reconnect, T7) restart a key's state
-  from the defaults and bump its ``epoch``.  A key's micro-batch rows meet
-  in one task, so bound micro-batches (``maxFilesPerTrigger``) for hot keys.
+  JVM-only; the state store keeps one fixed-width aggregate row per instrument
+  and partial aggregation runs before the shuffle, so a hot instrument costs a
+  few partial rows per task.  A control stream resets keys (re-subscription) or,
+  without a key, all of them (reconnect); the later of write and reset wins.
+* ``snapshot_stream`` + ``snapshot_writer`` (T2): one full record per packet.
+  Every micro-batch runs the batch operator ``tick_snapshots`` - which cuts a
+  hot key into buckets - started from the state that the batch before left in
+  a small table of typed rows, and writes its own snapshots and state.
+* ``with_quarantine`` (B15): good and rejected packets of one decoding go to
+  two sinks.
 """
 
 from __future__ import annotations
 
-import json
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import decode
-from ..operators.ticks import (DEFAULTS, DEPTH, ORD, STATE_COLS, TIME_COLS, TYPES, _state_input,
-                               derived_columns, finish_latest, latest_aggregate)  # noqa: F401
+from ..operators.ticks import (ORD, STATE_COLS, finish_latest, latest_aggregate, state_seeds,  # noqa: F401
+                               tick_snapshots)
+from .sinks import BatchFn
 
 
 def decoded_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
@@ -34,131 +30,73 @@ def decoded_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
     return decode.price_packets(frames, master)
 
 
-def latest_state_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
+def latest_state_stream(frames: DataFrame, master: DataFrame, control: DataFrame | None = None) -> DataFrame:
     """Streaming aggregate of the conflated state (hash-aggregated,
     fixed-width state rows); run in update mode, finish with
-    ``finish_latest`` on the sink side."""
-    return latest_aggregate(decode.good(decoded_stream(frames, master)))
+    ``finish_latest`` on the sink side (``resets=True`` with a control stream)."""
+    return latest_aggregate(decode.good(decoded_stream(frames, master)), control)
+
+
+# ---------------------------------------------------------------------------
+# Per-packet snapshots, each micro-batch seeded with the state before it
+# ---------------------------------------------------------------------------
+
+_PACKET = ["instrument_key", "decimals", *ORD, "packet_type", *STATE_COLS, "depth_buy", "depth_sell"]
+
+
+def snapshot_stream(good: DataFrame, control: DataFrame | None = None) -> DataFrame:
+    """T2 input: good packets and, marked by ``control_ts``, control rows of a second stream."""
+    packets = good.select(*_PACKET, F.lit(None).cast("timestamp_ntz").alias("control_ts"))
+    if control is None:
+        return packets
+    return packets.unionByName(control.where(F.col("ts").isNotNull()).select(
+        "instrument_key", F.col("ts").cast("timestamp_ntz").alias("control_ts")), allowMissingColumns=True)
+
+
+def snapshot_writer(out: str, state: str, rows_per_bucket: int | None = None) -> BatchFn:
+    """T2 sink: the snapshots of each micro-batch under ``out``/batch_id=n, the
+    state after it under ``state``/batch_id=n, started from batch n - 1.  A
+    replayed batch overwrites its own folders, so output and state stay those
+    of one pass; rows of a batch are ordered by arrival, batches as they come."""
+    options = {} if rows_per_bucket is None else {"rows_per_bucket": rows_per_bucket}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            good = batch.where(F.col("control_ts").isNull())
+            control = batch.where(F.col("control_ts").isNotNull()).select("instrument_key", F.col("control_ts").alias("ts"))
+            earlier, seen = None, 0
+            if batch_id > 0:
+                before = spark.read.parquet(f"{state}/batch_id={batch_id - 1}")
+                earlier = before.where(F.col("instrument_key").isNotNull())
+                seen = before.where(F.col("instrument_key").isNull()).agg(F.max("is_reset")).first()[0]
+            snaps = tick_snapshots(good, control, seeds=earlier, reconnects=seen, **options)
+            snaps.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            after = state_seeds(good, control, earlier, seen)
+            reconnects = control.where(F.col("instrument_key").isNull()).agg((F.count("ts") + seen).alias("is_reset"))
+            (after.unionByName(reconnects.withColumns({"instrument_key": F.lit(None).cast("string"), "bucket": F.lit(0).cast("long")}),
+                               allowMissingColumns=True)
+             .write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
+    return write
 
 
 # ---------------------------------------------------------------------------
-# Per-packet snapshots with keyed state
+# Rejected packets
 # ---------------------------------------------------------------------------
 
-def _spark_type_of(c: str) -> T.DataType:
-    return T.StringType() if c in TIME_COLS else TYPES[c]
-
-
-SNAP_OUT_SCHEMA = T.StructType(
-    [T.StructField("instrument_key", T.StringType()), T.StructField("decimals", T.IntegerType()),
-     T.StructField("recv_ts", T.TimestampNTZType()), T.StructField("frame_id", T.LongType()),
-     T.StructField("packet_seq", T.IntegerType()), T.StructField("packet_type", T.IntegerType()),
-     T.StructField("epoch", T.LongType())]
-    + [T.StructField(c, _spark_type_of(c)) for c in STATE_COLS]
-    + [T.StructField("depth_buy_js", T.StringType()), T.StructField("depth_sell_js", T.StringType())])
-STATE_SCHEMA = T.StructType([T.StructField("state_json", T.StringType())])
-
-
-_BLANKABLE = TIME_COLS + ["depth_buy_js", "depth_sell_js"]   # "" = empty
-_CARRIED = STATE_COLS + ["depth_buy_js", "depth_sell_js"]
-
-
-def _fresh_state() -> dict:
-    st = {c: ("" if c in _BLANKABLE else DEFAULTS[c]) for c in _CARRIED}
-    st["epoch"] = 0
-    return st
-
-
-def _snapshot_fn(key, pdfs, state):
-    """One key, one micro-batch: sort by arrival, forward-fill from the
-    carried state (row 0), resets write the defaults; emit packet rows."""
-    parts = list(pdfs)
-    if not parts:
-        return
-    df = pd.concat(parts, ignore_index=True).sort_values(ORD, kind="mergesort").reset_index(drop=True)
-    st = json.loads(state.get[0]) if state.exists else _fresh_state()
-    resets = df["is_reset"].to_numpy() == 1
-    written, at = df["_written"].to_numpy(), np.arange(len(df))
-    filled = {}
-    for i, c in enumerate(_CARRIED):
-        # a written NaN is a value: the flag decides, not the value
-        values = df[c].to_numpy(dtype=object, copy=True)
-        values[resets] = "" if c in _BLANKABLE else DEFAULTS[c]
-        source = np.maximum.accumulate(np.where(((written >> i) & 1 == 1) | resets, at, -1))
-        filled[c] = pd.Series(np.where(source >= 0, values[source], st[c]), dtype=object)
-    epoch = st["epoch"] + resets.cumsum()
-
-    last = {c: filled[c].iloc[-1] for c in _CARRIED}
-    for c in STATE_COLS:
-        if c not in TIME_COLS:
-            last[c] = float(last[c]) if isinstance(TYPES[c], T.DoubleType) else int(last[c])
-    last["epoch"] = int(epoch[-1])
-    state.update((json.dumps(last),))
-
-    out = df[["instrument_key", "decimals", *ORD, "packet_type"]].copy()
-    out["epoch"] = epoch
-    for c in _CARRIED:
-        col = filled[c]
-        if c in _BLANKABLE:
-            col = col.where(col != "", None)
-        elif isinstance(TYPES[c], T.DoubleType):
-            col = col.astype("float64")
-        else:
-            col = col.astype("int64")
-        out[c] = col.to_numpy()
-    yield out[~resets].reset_index(drop=True)
-
-
-def _written_flags() -> Column:
-    """One bit per carried column: set where the packet writes it."""
-    present = [F.col(c).isNotNull() for c in STATE_COLS] + [F.col(f"{DEPTH}.depth_buy").isNotNull(), F.col(f"{DEPTH}.depth_sell").isNotNull()]
-    out = F.lit(0).cast("long")
-    for i, there in enumerate(present):
-        out = out + F.when(there, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-    return out
-
-
-def key_decimals(master: DataFrame) -> DataFrame:
-    """Static (instrument_key, decimals) from the master (bounded)."""
-    from ..functions.codes import code_decimals, segment_code
-    from ..operators.joins import sized_side
-    return sized_side(master.select(
-        "instrument_key", code_decimals(segment_code("exchange", "segment")).alias("decimals")))
-
-
-def snapshot_input(good: DataFrame, control: DataFrame | None = None,
-                   master: DataFrame | None = None) -> DataFrame:
-    """Rows for the stateful step: depth as JSON text, times as text.
-    Control rows (a second stream) are unioned in; their precision comes
-    from the static master, so no stream-stream join is needed."""
-    s = _state_input(good)
-    if control is not None:
-        from ..operators.ticks import reset_rows
-        s = s.unionByName(reset_rows(control, key_decimals(master)))
-    return s.select(
-        "instrument_key", F.col("decimals").cast("int").alias("decimals"), *ORD,
-        F.col("packet_type").cast("int").alias("packet_type"), "is_reset",
-        *[F.when(F.col(c).isNotNull(), F.coalesce(F.date_format(F.col(c)["v"], "yyyy-MM-dd HH:mm:ss"), F.lit("")))
-          .alias(c) if c in TIME_COLS else F.col(c) for c in STATE_COLS],
-        F.to_json(F.col(f"{DEPTH}.depth_buy")).alias("depth_buy_js"),
-        F.to_json(F.col(f"{DEPTH}.depth_sell")).alias("depth_sell_js"),
-        _written_flags().alias("_written"))
-
-
-def snapshot_stream(good: DataFrame, control: DataFrame | None = None,
-                    master: DataFrame | None = None) -> DataFrame:
-    """Stateful per-packet snapshots (append mode)."""
-    rows = snapshot_input(good, control, master)
-    return rows.groupBy("instrument_key").applyInPandasWithState(
-        _snapshot_fn, SNAP_OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
-def finish_snapshots(snaps: DataFrame) -> DataFrame:
-    depth_t = "array<struct<quantity:bigint,price:double,orders:int>>"
-    out = snaps.select(
-        "instrument_key", "decimals", *ORD, "packet_type", "epoch",
-        *[F.to_timestamp_ntz(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss")).alias(c) if c in TIME_COLS else F.col(c)
-          for c in STATE_COLS],
-        F.from_json("depth_buy_js", depth_t).alias("depth_buy"),
-        F.from_json("depth_sell_js", depth_t).alias("depth_sell"))
-    return derived_columns(out)
+def with_quarantine(good_sink: BatchFn, reject_sink: BatchFn) -> BatchFn:
+    """Two outputs of one decoding: a micro-batch of decoded packets (prices or
+    orders) is kept once, its good rows go to one sink, place and reason of the
+    rejected ones to the other.  Both sinks key their output by the batch, so a
+    replay repeats neither."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good_sink(decode.good(batch).drop("error"), batch_id)
+            reject_sink(decode.quarantine(batch), batch_id)
+        finally:
+            batch.unpersist()
+    return write
