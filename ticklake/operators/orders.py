@@ -129,20 +129,38 @@ def orders_by_frame(orders: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(*fields))).alias("orders"))
 
 
-def latest_orders(orders: DataFrame) -> DataFrame:
-    """Last order per instrument (partial aggregation map-side).
-
-    In batch only the key and the packed arrival order are hash-aggregated
-    and whole records are read for the winners alone; a stream keeps the
-    record in its state."""
-    if not orders.isStreaming:
-        from .ticks import arrival_order
-        order = arrival_order()
-        last = orders.groupBy("instrument_key").agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("orders_seen"))
-        last = last.withColumnRenamed("instrument_key", "_key")
-        found = orders.withColumn("_order", order).join(last, F.col("instrument_key").eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_last")))
-        others = [c for c in orders.columns if c != "instrument_key"]
+def latest_orders(orders: DataFrame, control: DataFrame | None = None) -> DataFrame:
+    """Last order per instrument (partial aggregation map-side); a frame
+    that landed twice counts twice in ``orders_seen`` and shows once.
+
+    Only the key and the packed arrival order are hash-aggregated, and whole
+    records are read for the winners alone.  With a control log (``ts,
+    instrument_key``; a null key for all) an instrument whose last reset came
+    after its last order has no order: its order columns are null."""
+    from .ticks import arrival_order, reset_rows
+    if orders.isStreaming:
+        return _latest_orders_stream(orders)
+    order = arrival_order()
+    last = orders.groupBy("instrument_key").agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("orders_seen"))
+    last = last.withColumnRenamed("instrument_key", "_key")
+    others = [c for c in orders.columns if c != "instrument_key"]
+    if control is not None:
+        resets = reset_rows(control).select("instrument_key", order.alias("_at"))
+        own = resets.where(F.col("instrument_key").isNotNull()).groupBy("instrument_key").agg(F.max("_at").alias("_at"))
+        shared = resets.where(F.col("instrument_key").isNull()).agg(F.max("_at").alias("at"))  # one row
+        last = last.join(own, F.col("_key") == F.col("instrument_key"), "left").withColumn(
+            "_gone", F.coalesce(F.greatest(F.col("_at"), shared.select("at").scalar()) > F.col("_last"), F.lit(False))).drop("instrument_key", "_at")
+    else:
+        last = last.withColumn("_gone", F.lit(False))
+    found = orders.withColumn("_order", order).join(last, F.col("instrument_key").eqNullSafe(F.col("_key")) & (F.col("_order") == F.col("_last")))
+    found = found.dropDuplicates(["instrument_key"])
+    if control is None:
         return found.select("instrument_key", "orders_seen", *others)
+    return found.select("instrument_key", "orders_seen", *(F.when(~F.col("_gone"), F.col(c)).alias(c) for c in others))
+
+
+def _latest_orders_stream(orders: DataFrame) -> DataFrame:
+    """The streaming form keeps the record in its state."""
     others = [c for c in orders.columns if c != "instrument_key"]
     agg = orders.groupBy("instrument_key").agg(
         F.max_by(F.struct(*others), F.struct(*ORD)).alias("_o"), F.count(F.lit(1)).alias("orders_seen"))

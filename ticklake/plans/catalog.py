@@ -178,26 +178,30 @@ def q_decode_oi(spark, sf_dir):
 
 # --- tick state (A4, A5, W1, W3, T4, B15) --------------------------------------
 
-def _with_depth0(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "depth_bid_qty0": F.col("depth_buy")[0]["quantity"],
-        "depth_bid_price0": F.col("depth_buy")[0]["price"],
-        "depth_ask_qty0": F.col("depth_sell")[0]["quantity"],
-        "depth_ask_price0": F.col("depth_sell")[0]["price"],
-    }).drop("depth_buy", "depth_sell")
+def _depth_columns() -> list:
+    return [F.col(f"depth_{side}")[i][field].alias(f"depth_{side}_{what}{i}")
+            for side in ("buy", "sell") for i in range(5)
+            for what, field in (("qty", "quantity"), ("price", "price"), ("orders", "orders"))]
+
+
+def _whole(df: DataFrame) -> DataFrame:
+    """The whole state, with quantity, price and orders of all five levels of both sides as columns."""
+    return df.select(*(c for c in df.columns if c not in ("depth_buy", "depth_sell")), *_depth_columns())
 
 
 def _whole_depth(df: DataFrame, *keys: str) -> DataFrame:
-    """The keys with quantity, price and orders of all five levels of both sides."""
-    return df.select(*keys, *(F.col(f"depth_{side}")[i][field].alias(f"depth_{side}_{what}{i}")
-                              for side in ("buy", "sell") for i in range(5)
-                              for what, field in (("qty", "quantity"), ("price", "price"), ("orders", "orders"))))
+    """The keys with all five levels of both sides."""
+    return df.select(*keys, *_depth_columns())
 
 
 def _control(spark, sf_dir, master):
     return fx.subscription_log(fx.read_table(spark, sf_dir, "events"), master)
 
 
+def _control_with_reconnects(spark, sf_dir, master):
+    return _control(spark, sf_dir, master).unionByName(fx.reconnect_log(fx.read_table(spark, sf_dir, "events")))
+
+
 def _tick_snapshots(spark, sf_dir):
     m = _master(spark, sf_dir)
     good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
@@ -206,7 +210,7 @@ def _tick_snapshots(spark, sf_dir):
 
 @query("tick_snapshots")
 def q_tick_snapshots(spark, sf_dir):
-    return _with_depth0(_tick_snapshots(spark, sf_dir))
+    return _whole(_tick_snapshots(spark, sf_dir))
 
 
 @query("tick_snapshots_depth")
@@ -221,7 +225,7 @@ def q_tick_epochs(spark, sf_dir):
 
 @query("tick_latest")
 def q_tick_latest(spark, sf_dir):
-    return _with_depth0(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))))
+    return _whole(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))))
 
 
 @query("tick_latest_depth")
@@ -229,6 +233,22 @@ def q_tick_latest_depth(spark, sf_dir):
     return _whole_depth(ticks.latest_state(decode.good(_price_packets(spark, sf_dir))), "instrument_key")
 
 
+@query("tick_latest_reset")
+def q_tick_latest_reset(spark, sf_dir):
+    """A4 with W3 and T7: re-subscriptions and reconnects empty the state."""
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    return _whole(ticks.latest_state(good, _control_with_reconnects(spark, sf_dir, m)))
+
+
+@query("tick_epochs_reconnect")
+def q_tick_epochs_reconnect(spark, sf_dir):
+    """W1 with T7: whole snapshots, where one reconnect row resets every key."""
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    return _whole(ticks.tick_snapshots(good, _control_with_reconnects(spark, sf_dir, m)))
+
+
 @query("market_status")
 def q_market_status(spark, sf_dir):
     return ticks.market_status(decode.good(_price_packets(spark, sf_dir)))
@@ -300,8 +320,23 @@ def q_orders_by_frame_enriched(spark, sf_dir):
 @query("orders_latest")
 def q_orders_latest(spark, sf_dir):
     o = decode.good(_orders(spark, sf_dir)).select(*ORDER_VIEW)
-    return orders.latest_orders(o).select("instrument_key", "orders_seen", "frame_id", "packet_seq",
-                                          "order_no", "quantity", "status", "order_label", "price")
+    return orders.latest_orders(o)
+
+
+@query("orders_latest_reset")
+def q_orders_latest_reset(spark, sf_dir):
+    m = _master(spark, sf_dir)
+    o = decode.good(_orders(spark, sf_dir, m)).select(*ORDER_VIEW)
+    return orders.latest_orders(o, _order_resets(spark, sf_dir, m))
+
+
+def _order_resets(spark, sf_dir, master):
+    """Re-subscriptions and reconnects, moved by the gap between the first event and the first order, which lie years apart."""
+    log = _control_with_reconnects(spark, sf_dir, master)
+    first = fx.read_table(spark, sf_dir, "events").agg(F.min(F.col("ts").cast("timestamp_ntz")).alias("t"))
+    start = fx.read_table(spark, sf_dir, "orders").agg(F.min(F.col("o_orderdate").cast("timestamp_ntz")).alias("t"))
+    gap = F.timestamp_diff("SECOND", first.scalar(), start.scalar())
+    return log.withColumn("ts", F.timestamp_add("SECOND", gap, F.col("ts")))
 
 
 @query("order_quarantine")
@@ -439,6 +474,23 @@ def _run_stream(spark, df, mode: str, tag: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def _run_latest(spark, df, tag: str) -> DataFrame:
+    """Drain an update-mode aggregate into a table of one row per key."""
+    from ..session import scratch_path
+    from ..streaming.sinks import latest_table_writer, read_latest_table, start
+    out = scratch_path(spark, f"{tag}-out")
+    start(df, latest_table_writer(out, ["instrument_key"]), scratch_path(spark, f"{tag}-ckpt"), output_mode="update").awaitTermination()
+    return read_latest_table(spark, out)
+
+
+def _landed_control(spark, log):
+    from ..session import scratch_path
+    from ..sources.frames import stream_control
+    path = scratch_path(spark, "control")
+    log.write.parquet(path)
+    return stream_control(spark, path)
+
+
 def _landed_price_frames(spark, sf_dir, m):
     from ..session import scratch_path
     from ..sources.frames import stream_frames, write_frames
@@ -447,18 +499,22 @@ def _landed_price_frames(spark, sf_dir, m):
     return stream_frames(spark, path)
 
 
-def _stream_tick_latest(spark, sf_dir):
-    from ..streaming.sinks import latest_from_changes
+def _stream_tick_latest(spark, sf_dir, log=None):
     from ..streaming.ticks import finish_latest, latest_state_stream
     m = _master(spark, sf_dir)
-    agg = latest_state_stream(_landed_price_frames(spark, sf_dir, m), m)
-    changes = _run_stream(spark, agg, "update", "tick-latest")
-    return finish_latest(latest_from_changes(changes, ["instrument_key"]))
+    control = None if log is None else _landed_control(spark, log(spark, sf_dir, m))
+    agg = latest_state_stream(_landed_price_frames(spark, sf_dir, m), m, control)
+    return finish_latest(_run_latest(spark, agg, "tick-latest"), resets=log is not None)
 
 
 @query("stream_tick_latest")
 def q_stream_tick_latest(spark, sf_dir):
-    return _with_depth0(_stream_tick_latest(spark, sf_dir))
+    return _whole(_stream_tick_latest(spark, sf_dir))
+
+
+@query("stream_tick_latest_reset")
+def q_stream_tick_latest_reset(spark, sf_dir):
+    return _whole(_stream_tick_latest(spark, sf_dir, _control_with_reconnects))
 
 
 @query("stream_tick_latest_depth")
@@ -466,16 +522,14 @@ def q_stream_tick_latest_depth(spark, sf_dir):
     return _whole_depth(_stream_tick_latest(spark, sf_dir), "instrument_key")
 
 
-def _stream_tick_snapshots(spark, sf_dir):
+def _stream_tick_snapshots(spark, sf_dir, log=_control):
     from ..session import scratch_path
-    from ..sources.frames import stream_control
     from ..streaming.sinks import start
     from ..streaming.ticks import decoded_stream, snapshot_stream, snapshot_writer
     m = _master(spark, sf_dir)
-    ctl_path, out = scratch_path(spark, "control"), scratch_path(spark, "tick-snapshots-out")
-    _control(spark, sf_dir, m).write.mode("overwrite").parquet(ctl_path)
+    out = scratch_path(spark, "tick-snapshots-out")
     frames = _landed_price_frames(spark, sf_dir, m)
-    rows = snapshot_stream(decode.good(decoded_stream(frames, m)), stream_control(spark, ctl_path))
+    rows = snapshot_stream(decode.good(decoded_stream(frames, m)), _landed_control(spark, log(spark, sf_dir, m)))
     sink = snapshot_writer(out, scratch_path(spark, "tick-snapshots-state"))
     start(rows, sink, scratch_path(spark, "tick-snapshots-ckpt")).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
@@ -483,7 +537,12 @@ def _stream_tick_snapshots(spark, sf_dir):
 
 @query("stream_tick_snapshots")
 def q_stream_tick_snapshots(spark, sf_dir):
-    return _with_depth0(_stream_tick_snapshots(spark, sf_dir))
+    return _whole(_stream_tick_snapshots(spark, sf_dir))
+
+
+@query("stream_tick_epochs_reconnect")
+def q_stream_tick_epochs_reconnect(spark, sf_dir):
+    return _whole(_stream_tick_snapshots(spark, sf_dir, _control_with_reconnects))
 
 
 @query("stream_tick_snapshots_depth")
@@ -504,6 +563,42 @@ def q_stream_orders(spark, sf_dir):
                       "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
 
 
+def _run_quarantine(spark, decoded, tag: str) -> DataFrame:
+    """Good and rejected packets of one stream, per reason (null: good)."""
+    from ..session import scratch_path
+    from ..streaming.sinks import parquet_batch_writer, start
+    from ..streaming.ticks import with_quarantine
+    good, bad = scratch_path(spark, f"{tag}-good"), scratch_path(spark, f"{tag}-bad")
+    start(decoded, with_quarantine(parquet_batch_writer(good), parquet_batch_writer(bad)), scratch_path(spark, f"{tag}-ckpt")).awaitTermination()
+    kept = spark.read.parquet(good).select("frame_id", "packet_seq", F.lit(None).cast("string").alias("reason"))
+    return kept.unionAll(spark.read.parquet(bad).select("frame_id", "packet_seq", "reason"))
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """Every packet of a stream of good and malformed frames, with its reason."""
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    from ..streaming.ticks import decoded_stream
+    m = _master(spark, sf_dir)
+    path = scratch_path(spark, "mixed-price-frames")
+    bad = fx.malformed_price_frames(fx.read_table(spark, sf_dir, "events"), m)
+    write_frames(fx.fixture_price_frames(spark, sf_dir, m).unionByName(bad), path)
+    return _run_quarantine(spark, decoded_stream(stream_frames(spark, path), m), "quarantine")
+
+
+@query("stream_order_quarantine")
+def q_stream_order_quarantine(spark, sf_dir):
+    """The same for order frames."""
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    m = _master(spark, sf_dir)
+    path = scratch_path(spark, "mixed-order-frames")
+    bad = fx.malformed_order_frames(fx.read_table(spark, sf_dir, "orders"), m)
+    write_frames(fx.fixture_order_frames(spark, sf_dir, m).unionByName(bad), path)
+    return _run_quarantine(spark, orders.order_updates(stream_frames(spark, path)), "order-quarantine")
+
+
 # --- more coverage: S9/F26, J5-J7, A3 (futures), T5/A7 streaming ------------------
 
 @query("records_export")
@@ -562,14 +657,11 @@ def q_stream_orders_latest(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.frames import stream_frames, write_frames
     from ..streaming.orders import latest_order_stream
-    from ..streaming.sinks import latest_from_changes
     m = _master(spark, sf_dir)
     path = scratch_path(spark, "order-frames")
     write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
-    changes = _run_stream(spark, latest_order_stream(stream_frames(spark, path)), "update", "orders-latest")
-    last = latest_from_changes(changes, ["instrument_key"])
-    return last.select("instrument_key", "orders_seen", "_o.frame_id", "_o.packet_seq", "_o.order_no",
-                       "_o.quantity", "_o.status", "_o.order_label", "_o.price")
+    last = _run_latest(spark, latest_order_stream(stream_frames(spark, path)), "orders-latest")
+    return last.select("instrument_key", "orders_seen", *(c for c in ORDER_VIEW if c != "instrument_key"))
 
 
 @query("registered_ticks")

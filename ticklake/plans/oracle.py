@@ -278,19 +278,19 @@ WIDE = {
     "week52_low": {36: R(F32("v - 10"))},
     "lower_circuit": {33: R(F32("v - 10"))},
     "upper_circuit": {33: R(F32("v + 10"))},
-    # depth level 0 (prices not rounded)
-    "depth_bid_qty0": {2: "k"},
-    "depth_bid_price0": {2: F32("v")},
-    "depth_ask_qty0": {2: "k"},
-    "depth_ask_price0": {2: F32("v")},
+    # the last depth packet's k and v give every value of both sides
+    "dk": {2: "k"},
+    "dv": {2: "v"},
+    "src": {2: "1"},
 }
+DEPTH_SOURCE = ["dk", "dv", "src"]
 STATE_DEFAULT = {c: ("NULL" if c.endswith("_time") else ("0.0" if any(x in c for x in (
     "price", "ltp", "open", "high", "low", "close", "prcnt", "week52", "circuit", "prev_"))
     and c not in ("open_interest",) else "0")) for c in WIDE}
 STATE_DEFAULT["prev_open_interest"] = "0.0"
 STATE_DEFAULT["open_interest"] = "0"
-DEPTH0 = ["depth_bid_qty0", "depth_bid_price0", "depth_ask_qty0", "depth_ask_price0"]
-STATE_ONLY = [c for c in WIDE if c not in DEPTH0]
+STATE_DEFAULT |= {"dk": "NULL", "dv": "NULL", "src": "0"}
+STATE_ONLY = [c for c in WIDE if c not in DEPTH_SOURCE]
 
 
 def _case(col: str) -> str:
@@ -299,7 +299,6 @@ def _case(col: str) -> str:
 
 
 WIDE_CTE = ("wide AS (SELECT instrument_key, dp, recv_ts, frame_id, packet_seq, packet_type, 0 AS is_reset, "
-            "CASE WHEN packet_type = 2 THEN 1 END AS depth_src, "
             + ", ".join(_case(c) for c in WIDE) + " FROM pd)")
 
 CONTROL_CTE = """ctl AS (
@@ -308,22 +307,19 @@ CONTROL_CTE = """ctl AS (
 
 RESET_TS = "TIMESTAMP '1900-01-01 00:00:00'"   # oracle-only marker: "reset to empty"
 RESET_CTE = ("resets AS (SELECT c.instrument_key, d.dp, c.ts AS recv_ts, -1 AS frame_id, -1 AS packet_seq, "
-             "NULL AS packet_type, 1 AS is_reset, 0 AS depth_src, "
-             + ", ".join(f"{'NULL' if c in DEPTH0 else (RESET_TS if c.endswith('_time') else STATE_DEFAULT[c])} AS {c}"
-                         for c in WIDE)
+             "NULL AS packet_type, 1 AS is_reset, "
+             + ", ".join(f"{RESET_TS if c.endswith('_time') else STATE_DEFAULT[c]} AS {c}" for c in WIDE)
              + " FROM ctl c JOIN (SELECT DISTINCT instrument_key, dp FROM pd) d USING (instrument_key))")
 
 _W = ("OVER (PARTITION BY instrument_key ORDER BY recv_ts, frame_id, packet_seq "
       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
 
-def _running(src: str) -> str:
-    cols = [f"NULLIF(last_value({c} IGNORE NULLS) {_W}, {RESET_TS}) AS {c}" if c.endswith("_time")
-            else f"COALESCE(last_value({c} IGNORE NULLS) {_W}, {STATE_DEFAULT[c]}) AS {c}" for c in STATE_ONLY]
-    dcols = [f"CASE WHEN last_value(depth_src IGNORE NULLS) {_W} = 1 THEN last_value({c} IGNORE NULLS) {_W} END AS {c}"
-             for c in DEPTH0]
+def _running(src: str, window: str = _W) -> str:
+    cols = [f"NULLIF(last_value({c} IGNORE NULLS) {window}, {RESET_TS}) AS {c}" if c.endswith("_time")
+            else f"COALESCE(last_value({c} IGNORE NULLS) {window}, {STATE_DEFAULT[c]}) AS {c}" for c in WIDE]
     return (f"run AS (SELECT instrument_key, dp AS decimals, recv_ts, frame_id, packet_seq, packet_type, is_reset, "
-            f"sum(is_reset) {_W} AS epoch, count(*) {_W} AS n, " + ", ".join(cols + dcols) + f" FROM {src})")
+            f"sum(is_reset) {_W} AS epoch, count(*) {_W} AS n, " + ", ".join(cols) + f" FROM {src})")
 
 
 DERIVED = ("CASE WHEN prev_close <= 0 THEN 0.0 ELSE " + R("ltp - prev_close").replace("dp", "decimals")
@@ -337,7 +333,13 @@ DERIVED = ("CASE WHEN prev_close <= 0 THEN 0.0 ELSE " + R("ltp - prev_close").re
            + R("100 * ((" + R("open_interest - prev_open_interest").replace("dp", "decimals")
                + ") / prev_open_interest)").replace("dp", "decimals") + ") AS BIGINT) END AS open_interest_chg_prcnt")
 
-STATE_SELECT = ", ".join(STATE_ONLY + DEPTH0)
+# all five depth levels: the last depth packet's k and v give every value of both sides
+_DEPTH_SIDES = {"buy": ("dk + {i}", "dv - {i}", 1), "sell": ("dk + 2 * {i}", "dv + {i}", 2)}
+DEPTH_SELECT = ", ".join(
+    f"CASE WHEN src = 1 THEN {e} END AS depth_{side}_{what}{i}"
+    for side, (qty, price, first) in _DEPTH_SIDES.items() for i in range(5)
+    for what, e in (("qty", qty.format(i=i)), ("price", F32(price.format(i=i))), ("orders", f"CAST({i + first} AS INTEGER)")))
+STATE_SELECT = ", ".join(STATE_ONLY) + ", " + DEPTH_SELECT
 
 ORACLE["tick_snapshots"] = _pq(",\n".join([
     WIDE_CTE, CONTROL_CTE, RESET_CTE, "allrows AS (SELECT * FROM wide UNION ALL BY NAME SELECT * FROM resets)",
@@ -356,12 +358,6 @@ ORACLE["tick_latest"] = _pq(",\n".join([WIDE_CTE, _running("wide"),
                             f"SELECT instrument_key, decimals, n AS packets, recv_ts AS last_recv_ts, {STATE_SELECT}, "
                             f"{DERIVED} FROM fin WHERE rn = 1")
 
-# all five depth levels: the last depth packet's k and v give every value of both sides
-_DEPTH_SIDES = {"buy": ("dk + {i}", "dv - {i}", 1), "sell": ("dk + 2 * {i}", "dv + {i}", 2)}
-DEPTH_SELECT = ", ".join(
-    f"CASE WHEN src = 1 THEN {e} END AS depth_{side}_{what}{i}"
-    for side, (qty, price, first) in _DEPTH_SIDES.items() for i in range(5)
-    for what, e in (("qty", qty.format(i=i)), ("price", F32(price.format(i=i))), ("orders", f"CAST({i + first} AS INTEGER)")))
 DEPTH_CTE = ("dep AS (SELECT instrument_key, recv_ts, frame_id, packet_seq, 0 AS is_reset, CASE packet_type WHEN 2 THEN k END AS dk, "
              "CASE packet_type WHEN 2 THEN v END AS dv, CASE packet_type WHEN 2 THEN 1 END AS src FROM pd)")
 DEPTH_RESETS = ("dep_resets AS (SELECT DISTINCT c.instrument_key, c.ts AS recv_ts, -1 AS frame_id, -1 AS packet_seq, 1 AS is_reset, "
@@ -382,6 +378,31 @@ ORACLE["tick_latest_depth"] = _pq(",\n".join([DEPTH_CTE, _depth_running("dep"),
                                               "recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn FROM dep_run)"]),
                                   f"SELECT instrument_key, {DEPTH_SELECT} FROM dep_fin WHERE rn = 1")
 
+# reconnects reset every key: their number as of a row (g) splits the key's timeline
+RECONNECT_CTE = """rc AS (SELECT CAST(ts AS TIMESTAMP) AS ts FROM events
+  WHERE event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 = 0)"""
+ALL_RESETS_CTE = RESET_CTE[:RESET_CTE.rindex(" FROM ctl")].replace("d.dp", "CAST(NULL AS INTEGER) AS dp") + " FROM ctl c)"
+_AS_OF = "(SELECT count(*) FROM rc WHERE rc.ts <= r.recv_ts) AS g"
+_W_G = _W.replace("PARTITION BY instrument_key", "PARTITION BY instrument_key, g")
+EPOCHS_CTE = ",\n".join([
+    WIDE_CTE, CONTROL_CTE, ALL_RESETS_CTE, RECONNECT_CTE,
+    f"allrows AS (SELECT *, {_AS_OF} FROM (SELECT * FROM wide UNION ALL BY NAME SELECT * FROM resets) r)"])
+
+ORACLE["tick_epochs_reconnect"] = _pq(EPOCHS_CTE + ",\n" + _running("allrows", _W_G).replace("is_reset, sum", "is_reset, g, sum"),
+    f"SELECT instrument_key, decimals, recv_ts, frame_id, packet_seq, packet_type, CAST(epoch + g AS BIGINT) AS epoch, "
+    f"{STATE_SELECT}, {DERIVED} FROM run WHERE is_reset = 0")
+
+# one row per key after everything else shows the final state
+ORACLE["tick_latest_reset"] = _pq(EPOCHS_CTE + """,
+keys AS (SELECT instrument_key, max(dp) AS dp, count(packet_type) AS packets, max(CASE WHEN is_reset = 0 THEN recv_ts END) AS last_recv_ts
+         FROM allrows GROUP BY instrument_key),
+ended AS (SELECT * FROM allrows UNION ALL BY NAME
+          SELECT instrument_key, TIMESTAMP '2199-01-01' AS recv_ts, 0 AS frame_id, 0 AS packet_seq, 2 AS is_end, 0 AS is_reset,
+                 (SELECT count(*) FROM rc) AS g FROM keys),
+""" + _running("ended", _W_G).replace("is_reset, sum", "is_reset, is_end, g, sum") + """,
+fin AS (SELECT run.* EXCLUDE (decimals), k.dp AS decimals, k.packets, k.last_recv_ts FROM run JOIN keys k USING (instrument_key) WHERE is_end = 2)""",
+    f"SELECT instrument_key, decimals, packets, last_recv_ts, CAST(epoch + g AS BIGINT) AS epoch, {STATE_SELECT}, {DERIVED} FROM fin")
+
 ORACLE["market_status"] = _pq(f"""
 st AS (SELECT recv_ts, frame_id, packet_seq, 'OK' AS msg, {STATUS_VALUE} AS value FROM pd WHERE packet_type = 29),
 last AS (SELECT *, row_number() OVER (ORDER BY recv_ts DESC, frame_id DESC, packet_seq DESC) AS rn,
@@ -467,8 +488,22 @@ ORACLE["orders_latest"] = _oq("""
 lo AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY recv_ts DESC, frame_id DESC,
                                     packet_seq DESC) AS rn,
               count(*) OVER (PARTITION BY instrument_key) AS orders_seen FROM ov)""",
-                              """SELECT instrument_key, orders_seen, frame_id, packet_seq, order_no, quantity, status,
-  order_label, price FROM lo WHERE rn = 1""")
+                              f"SELECT orders_seen, {ORDER_VIEW_SQL} FROM lo WHERE rn = 1")
+
+_RESETS_OF_ORDERS = """gap AS (SELECT date_diff('second', (SELECT min(CAST(ts AS TIMESTAMP)) FROM events),
+                                         (SELECT min(CAST(o_orderdate AS TIMESTAMP)) FROM orders)) AS s),
+rst AS (SELECT e.ts + to_seconds(gap.s) AS ts, m.instrument_key FROM events e JOIN master m ON m.security_id = e.user_id, gap
+        WHERE e.event_type IN ('signup', 'error')
+        UNION ALL SELECT e.ts + to_seconds(gap.s), NULL FROM events e, gap
+        WHERE e.event_type = 'error' AND CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 10 = 0)"""
+ORACLE["orders_latest_reset"] = _oq(_RESETS_OF_ORDERS + """,
+lo AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY recv_ts DESC, frame_id DESC,
+                                    packet_seq DESC) AS rn,
+              count(*) OVER (PARTITION BY instrument_key) AS orders_seen FROM ov),
+lr AS (SELECT *, EXISTS (SELECT 1 FROM rst WHERE rst.ts > lo.recv_ts AND (rst.instrument_key IS NULL OR rst.instrument_key = lo.instrument_key))
+              AS gone FROM lo WHERE rn = 1)""",
+    "SELECT instrument_key, orders_seen, "
+    + ", ".join(f"CASE WHEN NOT gone THEN {c} END AS {c}" for c in ORDER_VIEW_SQL.split(", ") if c != "instrument_key") + " FROM lr")
 
 ORACLE["order_quarantine"] = _q("", """
 SELECT reason, count(*) AS packets FROM (
@@ -596,7 +631,19 @@ ORACLE["stream_tick_latest"] = ORACLE["tick_latest"]
 ORACLE["stream_tick_snapshots"] = ORACLE["tick_snapshots"]
 ORACLE["stream_tick_latest_depth"] = ORACLE["tick_latest_depth"]
 ORACLE["stream_tick_snapshots_depth"] = ORACLE["tick_snapshots_depth"]
+ORACLE["stream_tick_latest_reset"] = ORACLE["tick_latest_reset"]
+ORACLE["stream_tick_epochs_reconnect"] = ORACLE["tick_epochs_reconnect"]
 ORACLE["stream_orders"] = ORACLE["orders_enriched"]
+ORACLE["stream_quarantine"] = _pq("", """
+SELECT frame_id, packet_seq, NULL AS reason FROM pd
+UNION ALL
+SELECT e.event_id, 0, CASE e.event_id % 6 WHEN 0 THEN 'truncated' WHEN 1 THEN 'bad_length' WHEN 2 THEN 'short_frame'
+              WHEN 4 THEN 'unknown_segment' WHEN 5 THEN 'unknown_instrument' END
+FROM events e JOIN master m ON m.security_id = e.user_id""")
+ORACLE["stream_order_quarantine"] = _oq("", """
+SELECT frame_id, packet_seq, NULL AS reason FROM ov
+UNION ALL
+SELECT okey, 0, CASE okey % 4 WHEN 0 THEN 'bad_length' WHEN 1 THEN 'bad_length' WHEN 2 THEN 'truncated' END FROM ov""")
 
 
 # ---------------------------------------------------------------------------

@@ -455,3 +455,11 @@ def subscription_log(events: DataFrame, master: DataFrame) -> DataFrame:
             .select("event_id", "ts", "instrument_key",
                     F.when(F.col("event_type") == "signup", "SUBSCRIBE").otherwise("UNSUBSCRIBE").alias("action"),
                     F.when(F.col("k") % 2 == 0, "FULL").otherwise("QUOTE").alias("mode")))
+
+
+def reconnect_log(events: DataFrame) -> DataFrame:
+    """Control rows without a key: every tenth error (k divisible by 10) is a lost connection."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    return events.where((F.col("event_type") == "error") & (k % 10 == 0)).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.lit(None).cast("string").alias("instrument_key"),
+        F.lit("RECONNECT").alias("action"), F.lit(None).cast("string").alias("mode"))

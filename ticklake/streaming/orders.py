@@ -9,7 +9,6 @@ callback received (S8)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import orders
 from ..operators.decode import good
@@ -21,9 +20,5 @@ def order_stream(frames: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def latest_order_stream(frames: DataFrame) -> DataFrame:
-    """A7 as a streaming aggregate (update mode)."""
-    o = good(orders.order_updates(frames))
-    others = [c for c in o.columns if c != "instrument_key"]
-    return o.groupBy("instrument_key").agg(
-        F.max_by(F.struct(*others), F.struct(*orders.ORD)).alias("_o"),
-        F.count(F.lit(1)).alias("orders_seen"))
+    """A7 as a streaming aggregate (update mode): one row per touched instrument."""
+    return orders.latest_orders(good(orders.order_updates(frames)))

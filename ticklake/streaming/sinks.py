@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,3 +60,44 @@ def latest_from_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     return (changes.groupBy(*keys)
             .agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("_r"))
             .select(*keys, "_r.*").drop("batch_id"))
+
+
+def _generations(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete generations under ``path``, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    found = [int(n.split("=")[1]) for n in names if n.startswith("generation=")]
+    return sorted(n for n in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/generation={n}/_SUCCESS")))
+
+
+def latest_table_writer(path: str, keys: list[str]) -> BatchFn:
+    """A table of the newest row per key.  Each update-mode micro-batch
+    replaces the rows of its keys in a new generation, and readers switch to it
+    once it is complete, so reading never touches more than one row per key.
+    The generation before stays for readers that have it open, older ones go; a
+    replayed batch writes its own generation again from the one before it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            earlier = [n for n in _generations(spark, path) if n < batch_id]
+            rows = batch
+            if earlier:
+                same = reduce(Column.__and__, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+                kept = spark.read.parquet(f"{path}/generation={earlier[-1]}").alias("o").join(batch.select(*keys).alias("n"), same, "left_anti")
+                rows = kept.unionByName(batch)
+            rows.write.mode("overwrite").parquet(f"{path}/generation={batch_id}")
+        finally:
+            batch.unpersist()
+        for n in earlier[:-1]:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/generation={n}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return write
+
+
+def read_latest_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete generation of a ``latest_table_writer``."""
+    return spark.read.parquet(f"{path}/generation={_generations(spark, path)[-1]}")
