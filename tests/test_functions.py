@@ -161,3 +161,36 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(ValueError, match="share"):
         ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=sc))
+
+
+def test_rounding_of_32_bit_values_and_staged_columns_equal_python(spark):
+    import random
+    import struct
+
+    from ticklake.functions.numeric import round_f32, with_book_shares, with_change
+    rng = random.Random(9)
+    single = [struct.unpack("<f", struct.pack("<f", v))[0] for v in
+              [1.005, 2.675, 0.125, 0.375, -0.125, 16777217.5, 3e38, 0.0] + [(2 * rng.randrange(10**5) + 1) / 8 for _ in range(300)]
+              + [rng.uniform(-1e5, 1e5) for _ in range(1000)]]
+    df = spark.createDataFrame([(v, dp) for v in single for dp in (2, 4)], "x double, dp int")
+    for r in df.select("x", "dp", round_f32("x", F.col("dp")).alias("y")).collect():
+        assert r.y == round(r.x, r.dp), r
+    pairs = [(rng.choice(single), rng.choice(single), rng.choice([2, 4])) for _ in range(800)]
+    pairs = [(round(a, d), round(b, d), d) for a, b, d in pairs if abs(a) < 1e6 and abs(b) < 1e6] + [(1.0, 0.0, 2), (1.0, -1.0, 4)]
+    df = spark.createDataFrame(pairs, "a double, b double, dp int")
+    for r in with_change(df, "a", "b", "dp", "c", "p").collect():
+        c = round(r.a - r.b, r.dp)
+        assert (r.c, r.p) == ((0.0, 0.0) if r.b <= 0 else (c, round(100.0 * (c / r.b), r.dp))), r
+    df = spark.createDataFrame([(rng.randrange(10**6), rng.randrange(1000), 2) for _ in range(500)] + [(0, 0, 2)], "b long, s long, dp int")
+    for r in with_book_shares(df, "b", "s", "dp", "t", "x", "y").collect():
+        assert r.t == r.b + r.s and (r.x, r.y) == ((0.0, 0.0) if not r.t else (round(r.b / r.t * 100, 2), round(r.s / r.t * 100, 2))), r
+
+
+def test_sorted_count_is_a_bisection(spark):
+    import bisect
+
+    from ticklake.functions.numeric import sorted_count
+    arrays = [[], [5], [1, 2, 2, 2, 9], list(range(0, 300, 3)), None]
+    df = spark.createDataFrame([(a, v) for a in arrays for v in (-1, 0, 1, 2, 5, 8, 9, 150, 400)], "a array<long>, v long")
+    for r in df.withColumn("n", sorted_count("a", F.col("v"))).collect():
+        assert r.n == (None if r.a is None else bisect.bisect_right(r.a, r.v)), r

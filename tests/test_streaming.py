@@ -82,3 +82,58 @@ def test_order_stream_callback_sees_every_order(spark):
     assert sum(n for _, n, _ in seen) == n_orders == spark.read.parquet(out).count()
     assert sum(f for _, _, f in seen) == (n_orders + 1) // 2      # two orders per frame
     assert len(seen) >= 2
+
+
+def test_streams_with_resets_over_several_batches(spark):
+    """A key of a third of all packets, resets and reconnects: snapshots of each batch start from the state before it."""
+    from ticklake.streaming.sinks import latest_table_writer, read_latest_table
+    m = fx.fixture_master(spark, SF0001)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, SF0001, m), m))
+    hot = F.when(F.col("frame_id") % 3 == 0, F.lit("HOT-D-NSE")).otherwise(F.col("instrument_key"))
+    good = good.withColumns({"instrument_key": hot, "decimals": F.when(F.col("frame_id") % 3 == 0, 2).otherwise(F.col("decimals"))})
+    events = fx.read_table(spark, SF0001, "events")
+    log = fx.subscription_log(events, m).unionByName(fx.reconnect_log(events)).select("ts", "instrument_key")
+    rows = snapshot_stream(good, log)
+    path = scratch_path(spark, "ordered-rows")
+    ranked = rows.withColumn("_at", F.coalesce("control_ts", "recv_ts")).withColumn("_part", F.ntile(4).over(Window.orderBy("_at")))
+    # rows of one time stay in one file: batches are cut between times
+    ranked = ranked.withColumn("_part", F.min("_part").over(Window.partitionBy("_at"))).persist()
+    for i in range(1, 5):
+        ranked.where(F.col("_part") == i).drop("_part", "_at").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out, state = scratch_path(spark, "seeded-out"), scratch_path(spark, "seeded-state")
+    start(stream, snapshot_writer(out, state, rows_per_bucket=60), scratch_path(spark, "seeded-ckpt")).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() == 4
+    cols = [*COLS, "depth_buy", "depth_sell"]
+    want = ticks.tick_snapshots(good, log).select(*cols)
+    assert got.count() == want.count()
+    assert got.select(*cols).exceptAll(want).count() == 0
+
+    table = scratch_path(spark, "latest-table")
+    changes = ticks.latest_aggregate(
+        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path).where("control_ts IS NULL"),
+        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path).where("control_ts IS NOT NULL")
+        .select(F.col("control_ts").alias("ts"), "instrument_key"))
+    start(changes, latest_table_writer(table, ["instrument_key"]), scratch_path(spark, "table-ckpt"), output_mode="update").awaitTermination()
+    last = read_latest_table(spark, table)
+    keys = log.select("instrument_key").union(good.select("instrument_key")).distinct().count()
+    assert last.count() == keys and len([d for d in os.listdir(table) if d.startswith("generation=")]) == 2
+    wanted = ticks.latest_state(good, log)
+    assert finish_latest(last, resets=True).exceptAll(wanted).count() == 0 and last.where("instrument_key IS NOT NULL").count() == wanted.count()
+
+
+def test_good_and_rejected_make_all_packets(spark):
+    from ticklake.sources.frames import write_frames
+    from ticklake.streaming.ticks import with_quarantine
+    m = fx.fixture_master(spark, SF0001)
+    frames = fx.fixture_price_frames(spark, SF0001, m).unionByName(fx.malformed_price_frames(fx.read_table(spark, SF0001, "events"), m))
+    path, kept, bad = (scratch_path(spark, n) for n in ("mixed", "mixed-good", "mixed-bad"))
+    write_frames(frames, path)
+    start(decoded_stream(stream_frames(spark, path, max_files_per_trigger=1), m), with_quarantine(parquet_batch_writer(kept), parquet_batch_writer(bad)),
+          scratch_path(spark, "mixed-ckpt")).awaitTermination()
+    packets = decode.price_packets(spark.read.schema(FRAME_SCHEMA).parquet(path), m)
+    assert spark.read.parquet(kept).count() + spark.read.parquet(bad).count() == packets.count()
+    rejected = spark.read.parquet(bad).select("frame_id", "packet_seq", "reason")
+    assert rejected.exceptAll(decode.quarantine(packets).select("frame_id", "packet_seq", "reason")).count() == 0 < rejected.count()
