@@ -353,23 +353,29 @@ def tick_snapshots(good: DataFrame, control: DataFrame | None = None,
         from ..session import cut_lineage
         cuts = balanced_cuts(rows.select("instrument_key", "_s"), rows_per_bucket, coarse_seconds, materialize)
         # at most MAX_CUTS starts (twice as many where seconds are cut): bounded, whatever the packets
-        cuts = F.broadcast(cut_lineage(cuts) if materialize else cuts)
+        cuts = cut_lineage(cuts) if materialize else cuts
+        several = not (materialize and cuts.isEmpty())
+        cuts = F.broadcast(cuts)
         rows = rows.join(cuts, "instrument_key", "left").withColumn("bucket", F.coalesce(sorted_count("_starts", F.col("_s")), F.lit(0)).cast("long"))
         if seeds is not None:
             seeds = seeds.join(cuts, "instrument_key", "left").withColumn("_cut", F.col("_starts").isNotNull()).drop("_starts")
     else:
         # buckets of a fixed time: from 1 on, 0 is the earlier state's place
+        several = True
         rows = rows.withColumn("bucket", F.floor(F.col("_s") / fine_seconds).cast("long") + F.lit(2**40))
         if seeds is not None:
             seeds = seeds.withColumn("_cut", F.lit(True))
-    far = seeds.where("_cut").drop("_cut") if seeds is not None else None
-    starts = _bucket_starts(rows.where(F.col("bucket") > 0), far)
+    parts = []
+    if several:
+        far = seeds.where("_cut").drop("_cut") if seeds is not None else None
+        parts.append(_bucket_starts(rows.where(F.col("bucket") > 0), far))
     if seeds is not None:
-        starts = starts.unionByName(seeds.where(~F.col("_cut")).drop("_cut").select(*starts.columns))
+        parts.append(seeds.where(~F.col("_cut")).drop("_cut"))
     wide = rows.select("instrument_key", "bucket", "decimals", *ORD, "packet_type", F.col("is_reset").cast("long").alias("is_reset"), "_global",
                        *_written(F.col("is_reset") == 1, lambda g: _any(GROUPS[g]), F.col("_global")))
-    missing = [c for c in wide.columns if c not in starts.columns]
-    wide = wide.unionByName(starts.select("*", *(F.lit(None).cast(wide.schema[c].dataType).alias(c) for c in missing)))
+    for starts in parts:
+        missing = [c for c in wide.columns if c not in starts.columns]
+        wide = wide.unionByName(starts.select("*", *(F.lit(None).cast(wide.schema[c].dataType).alias(c) for c in missing)))
     order = [F.col("packet_seq").isNotNull(), *ORD]
     upto = Window.partitionBy("instrument_key", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     run = wide.select("instrument_key", "decimals", *ORD, "packet_type", "_global", F.sum("is_reset").over(upto).alias("_resets"),
