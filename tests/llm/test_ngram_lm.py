@@ -82,7 +82,7 @@ def test_equals_a_plain_model(spark, monkeypatch, slice_bytes):
     docs = corpus()
     plain = Plain(docs)
     df = spark.createDataFrame([(d, t, 1, "clash") for d, t in docs], "doc_id long, text string, n int, score string").repartition(4)
-    rows = lm.score_documents(df).collect()
+    rows = lm.score_documents(df, 2).collect()
     assert len(rows) == len(docs)
     text = dict(docs)
     for r in rows:
@@ -101,14 +101,14 @@ def test_probabilities_sum_to_one():
 
 def test_nothing_to_train_on_and_empty_table(spark):
     held = next(d for d in range(100) if is_held(d))
-    row = lm.score_documents(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
+    row = lm.score_documents(spark.createDataFrame([(held, "a b")], "doc_id long, text string"), 2).first()
     assert (row.train_tokens, row.n_tokens, row.n_known, row.score) == (0, 3, 0, 0.0)
-    assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string"), 2).count() == 0
 
 
 def test_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    r = lm.score_documents(docs).filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
+    r = lm.score_documents(docs, 2).filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r.s > r.b
 
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 import io
 import os
 import uuid
+from collections import OrderedDict
 from urllib.parse import urlparse
 
 import numpy as np
 
-_OPEN: dict[str, np.ndarray] = {}
+#: Maps that a worker keeps open, the least recently used going first; far below the system's usual limit of 65,530.
+MAX_OPEN = 16_384
+_OPEN: OrderedDict[str, list[np.ndarray]] = OrderedDict()
 
 
 def _local(uri: str) -> str | None:
@@ -18,35 +21,59 @@ def _local(uri: str) -> str | None:
     return parts.path if parts.scheme in ("", "file") else None
 
 
-def save(uri: str, array: np.ndarray) -> None:
-    """Write one array; a repeated task replaces the file by an equal one in one step."""
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Several arrays as one file: their number, then for each kind, rows, columns and its bytes, all in multiples of 8."""
+    out = [np.array([len(arrays)], np.int64).tobytes()]
+    for a in arrays:
+        rows, columns = (a.shape[0], -1) if a.ndim == 1 else a.shape
+        data = np.ascontiguousarray(a).tobytes()
+        out += [np.array([ord(a.dtype.kind) * 256 + a.dtype.itemsize, rows, columns], np.int64).tobytes(), data, bytes(-len(data) % 8)]
+    return b"".join(out)
+
+
+def _unpacked(data: np.ndarray) -> list[np.ndarray]:
+    out, at = [], 8
+    for _ in range(int(data[:8].view(np.int64)[0])):
+        kind, rows, columns = data[at:at + 24].view(np.int64).tolist()
+        dtype = np.dtype(f"{chr(kind // 256)}{kind % 256}")
+        size = rows * max(columns, 1 if columns < 0 else 0) * dtype.itemsize
+        a = data[at + 24:at + 24 + size].view(dtype)
+        out.append(a if columns < 0 else a.reshape(rows, columns))
+        at += 24 + size + -size % 8
+    return out
+
+
+def save(uri: str, *arrays: np.ndarray) -> None:
+    """Write arrays of one or two dimensions; a repeated task replaces the file by an equal one in one step."""
     path = _local(uri)
     if path is not None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
         part = f"{path}.{uuid.uuid4().hex}"
         with open(part, "wb") as f:
-            np.save(f, array)
+            f.write(_packed(list(arrays)))
         os.replace(part, path)
         return
     from pyarrow import fs
     store, name = fs.FileSystem.from_uri(uri)
-    data = io.BytesIO()
-    np.save(data, array)
     store.create_dir(os.path.dirname(name), recursive=True)
     with store.open_output_stream(name) as f:
-        f.write(data.getbuffer())
+        f.write(_packed(list(arrays)))
 
 
-def load(uri: str) -> np.ndarray:
-    """The array: mapped and kept open where the folder is mounted, read once per call elsewhere."""
+def load(uri: str) -> list[np.ndarray]:
+    """The arrays, none for a file that was never written: mapped and kept open where the folder is mounted, read once per call elsewhere."""
     path = _local(uri)
     if path is None:
         from pyarrow import fs
         store, name = fs.FileSystem.from_uri(uri)
+        if store.get_file_info(name).type == fs.FileType.NotFound:
+            return []
         with store.open_input_file(name) as f:
-            return np.load(io.BytesIO(f.read()))
-    if uri not in _OPEN:
-        if len(_OPEN) >= 4096:
-            _OPEN.clear()
-        _OPEN[uri] = np.load(path, mmap_mode="r") if os.path.getsize(path) else np.zeros(0)
+            return _unpacked(np.frombuffer(io.BytesIO(f.read()).getbuffer(), np.uint8))
+    if uri in _OPEN:
+        _OPEN.move_to_end(uri)
+        return _OPEN[uri]
+    if len(_OPEN) >= MAX_OPEN:
+        _OPEN.popitem(last=False)
+    _OPEN[uri] = _unpacked(np.memmap(path, np.uint8, "r").view(np.ndarray)) if os.path.exists(path) else []
     return _OPEN[uri]

@@ -1,10 +1,12 @@
 """LM scoring: an interpolated modified Kneser-Ney model of any order (3 unless told otherwise), counted in Spark.
 
-1. For each order k from the highest to 2, every task takes the k-grams of its
-   training texts (a text begins with a start token, an end token closes it)
-   and sends them on in arrays, one for each shard: context hash, word, count,
-   and below the highest order the word before.
-2. A shard counts its k-grams: below the highest order a k-gram's count is the
+1. Texts are tokenized once: each slice is written as its distinct word hashes and
+   the tokens' places among them (a text begins with a start token, an end token
+   closes it).  All counting and scoring reads these slices.
+2. For each order k from 2 to the highest, every task takes the k-grams of its
+   training texts and sends them on in arrays, one for each shard: context hash,
+   word, count, and below the highest order the word before.
+   A shard counts its k-grams: below the highest order a k-gram's count is the
    number of different words before it (its occurrences where it opens a text).
    It stores sorted 64-bit hashes with counts, and for each context the total
    and how many of its k-grams count one, two or more (from order 3 on not for
@@ -43,8 +45,8 @@ from ticklake.llm.array_store import load, save
 from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices, staged
 from ticklake.llm.words import Words, mix
 
-SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 4 << 20, 16 << 20, 64, 1000
-ORDER, ROUND_BYTES, MAX_ROUNDS = 3, 64 << 20, 4
+SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 1 << 20, 16 << 20, 64, 1000
+ORDER, ROUND_BYTES, MAX_ROUNDS, TOKENS = 3, 64 << 20, 6, 700_000
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -87,11 +89,42 @@ def shifted(x: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted different values, a place of each, the number of each element's value); np.unique sorts several times slower."""
+    order = np.argsort(x)
+    values = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = values[1:] != values[:-1]
+    number = np.empty(len(x), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return values[new], order[new], number
+
+
+def among(x: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which elements occur in a short sorted array: most are ruled out by 16 bits."""
+    if not len(few):
+        return np.zeros(len(x), bool)
+    table = np.zeros(1 << 16, bool)
+    table[few & np.uint64(0xFFFF)] = True
+    out = table[x & np.uint64(0xFFFF)]
+    at = np.flatnonzero(out)
+    place = np.searchsorted(few, x[at])
+    place[place == len(few)] = 0
+    out[at] = few[place] == x[at]
+    return out
+
+
 def shard_of(before: np.ndarray, keys: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    spread = mix(np.where(np.isin(before, hot), keys, before) ^ _PAIR)
+    spread = mix(np.where(among(before, hot), keys, before) ^ _PAIR)
     return (spread % np.uint64(shards)).astype(np.int32)
 
 
+def by_shard(shard: np.ndarray) -> np.ndarray:
+    """Stable order by shard number (a radix sort while the numbers have 16 bits)."""
+    narrow = shard.astype(np.uint16) if not len(shard) or shard.max() < 1 << 16 else shard
+    return np.argsort(narrow, kind="stable")
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
@@ -106,30 +139,91 @@ def _groups(part: np.ndarray) -> Iterator[tuple[int, slice]]:
 def _save(path: str, keys: np.ndarray, values: np.ndarray) -> None:
     """Sorted keys with rows of whole numbers: one byte each, larger ones apart."""
     large = np.flatnonzero((values >= 255).any(axis=0))
-    save(f"{path}-keys.npy", keys)
-    save(f"{path}-small.npy", np.minimum(values, 255).astype(np.uint8))
-    save(f"{path}-large.npy", np.concatenate([large[None], values[:, large]]).astype(np.int64))
+    save(path, keys, np.minimum(values, 255).astype(np.uint8), np.concatenate([large[None], values[:, large]]).astype(np.int64))
 
 
 def _find(path: str, keys: np.ndarray, width: int) -> np.ndarray:
     """The stored values of keys; zeros for unknown ones."""
     out = np.zeros((width, len(keys)), np.int64)
-    known = load(f"{path}-keys.npy")
-    if not len(known):
+    stored = load(path)
+    if not stored or not len(stored[0]):
         return out
+    known, small, apart = stored
     place = np.searchsorted(known, keys)
     place[place == len(known)] = 0
     hit = known[place] == keys
     place = place[hit]
-    values = load(f"{path}-small.npy")[:, place].astype(np.int64)
+    values = small[:, place].astype(np.int64)
     large = (values == 255).any(axis=0)
     if large.any():
-        stored = load(f"{path}-large.npy")
-        values[:, large] = stored[1:, np.searchsorted(stored[0], place[large])]
+        values[:, large] = apart[1:, np.searchsorted(apart[0], place[large])]
     out[:, hit] = values
     return out
 
 
+_TOKENS = "ids array<long>, held array<boolean>, sizes array<int>, words binary, places binary"
+
+
+def tokenized(docs: DataFrame) -> DataFrame:
+    """The tokens of all texts, written once: per slice the documents (id, held out, tokens), the distinct
+    word hashes and each token's place among them."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, target=SLICE):
+            token, _, first = tokens(column(part, "text"))
+            words, _, places = distinct(token)
+            places = places.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32)
+            one = [[column(part, "doc_id").to_pylist()], [column(part, "held_out").to_pylist()], [np.diff(first).astype(np.int32)],
+                   [words.tobytes()], [places.tobytes()]]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)],
+                                             names=["ids", "held", "sizes", "words", "places"])
+
+    return staged(map_arrow(docs.select("doc_id", "text", held_out().alias("held_out")), step, _TOKENS), "tokens")
+
+
+@dataclass
+class Slice:
+    """Tokens of some documents, as ``tokens`` gives them."""
+    ids: list
+    held: np.ndarray
+    token: np.ndarray
+    before: np.ndarray
+    first: np.ndarray
+
+
+def _token_slices(batches: Iterator[pa.RecordBatch], training: bool = False) -> Iterator[Slice]:
+    """Slices of about ``TOKENS`` tokens; ``training`` leaves held-out documents out."""
+    ids, held, sizes, found = [], [], [], []
+
+    def joined() -> Slice:
+        size, token = np.concatenate(sizes).astype(np.int64), np.concatenate(found)
+        out = np.concatenate(held)
+        whole = np.array([x for part in ids for x in part], object)
+        if training:
+            token, whole, size, out = token[np.repeat(~out, size)], whole[~out], size[~out], out[~out]
+        first = np.concatenate([[0], np.cumsum(size)])
+        before = np.empty_like(token)
+        before[1:] = token[:-1]
+        before[first[:-1]] = _START
+        return Slice(whole.tolist(), out, token, before, first)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = np.frombuffer(column(batch, "words")[i].as_buffer(), np.uint64)
+            places = column(batch, "places")[i].as_buffer()
+            size = column(batch, "sizes")[i].values.to_numpy()
+            kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
+            ids.append(column(batch, "ids")[i].as_py())
+            held.append(np.array(column(batch, "held")[i].as_py(), bool))
+            sizes.append(size)
+            found.append(words[np.frombuffer(places, kind)])
+            if sum(map(len, found)) >= TOKENS:
+                yield joined()
+                ids, held, sizes, found = [], [], [], []
+    if found:
+        yield joined()
+
+
 def _hot_contexts(docs: DataFrame, order: int, shards: int) -> list[np.ndarray]:
     """For each order from 2 on, contexts with at least a quarter shard's share of the tokens of a bounded sample of texts."""
     sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select("text")
@@ -166,7 +260,7 @@ class Model:
 
     def _look_up(self, name: str, keys: np.ndarray, shard: np.ndarray, width: int) -> np.ndarray:
         out = np.zeros((width, len(keys)), np.int64)
-        order = np.argsort(shard, kind="stable")
+        order = by_shard(shard)
         for s, run in _groups(shard[order]):
             at = order[run]
             out[:, at] = _find(f"{self.path}/{name}-{s}", keys[at], width)
@@ -184,17 +278,20 @@ class Model:
         """Total and numbers of k-grams that count one, two or more, of distinct sorted contexts."""
         hot, stats = self.hot[k - 2], self.hot_stats[k - 2]
         out = self._look_up(f"contexts{k}", context, shard_of(context, context, hot[:0], self.shards), 4)
-        common = np.isin(context, hot)
+        common = among(context, hot)
         out[:, common] = stats[:, np.searchsorted(hot, context[common])]
         return out
 
     def scores(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """Per text: tokens, known tokens, base score, log10 probability."""
-        token, before, first = tokens(texts)
+        return self.token_scores(*tokens(texts))
+
+    def token_scores(self, token: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``scores`` of tokens."""
         if not len(token):
             none = np.zeros(0)
             return none, none, none, none
-        word, at = np.unique(token, return_inverse=True)
+        word, _, at = distinct(token)
         count, n = self._words(word) if self.train_tokens else np.zeros((2, len(word)), np.int64)
         uniform = 1 / (self.vocabulary + 1)
         p = np.full(len(token), uniform)
@@ -205,12 +302,12 @@ class Model:
             for k in range(2, self.order + 1):
                 there = np.flatnonzero(place >= k - 2)
                 context, discounts = found[k - 2][there], self.discounts[k - 2]
-                keys, one, gram = np.unique(pair_keys(context, token[there]), return_index=True, return_inverse=True)
+                keys, one, gram = distinct(pair_keys(context, token[there]))
                 c = self._grams(k, context[one], keys)[gram]
-                distinct, which = np.unique(context, return_inverse=True)
-                total, *ns = self._contexts(k, distinct)
+                different, _, which = distinct(context)
+                total, *ns = self._contexts(k, different)
                 if k > 2:  # a context of a single k-gram is not stored; its own words are a known (k - 1)-gram
-                    known = np.zeros(len(distinct), bool)
+                    known = np.zeros(len(different), bool)
                     known[which] = last[there - 1] > 0
                     single = known & (total == 0)
                     total[single], ns[0][single] = 1, 1
@@ -256,8 +353,10 @@ def _count_grams(texts: DataFrame, k: int, order: int, shards: int, hot: np.ndar
     top = k == order
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, target=SLICE):
-            token, before, first = tokens(column(part, "text"))
+        for part in _token_slices(batches, training=True):
+            token, before, first = part.token, part.before, part.first
+            if not len(token):
+                continue
             found, place = contexts(before, first, k)
             context = found[-1]
             keys = pair_keys(context, token)
@@ -265,10 +364,10 @@ def _count_grams(texts: DataFrame, k: int, order: int, shards: int, hot: np.ndar
             shard = shard_of(context, keys, hot, shards)
             mine = np.flatnonzero((place >= k - 2) & (shard % turns == turn))
             whole = keys[mine] if top else pair_keys(keys[mine], prior[mine])
-            _, one, n = np.unique(whole, return_index=True, return_counts=True)
-            at = mine[one]
-            by = np.lexsort((context[at], shard[at]))
-            at, n = at[by], n[by].astype(np.uint32)
+            _, one, number = distinct(whole)
+            at, n = mine[one], np.bincount(number).astype(np.uint32)
+            by = by_shard(shard[at])
+            at, n = at[by], n[by]
             runs = list(_groups(shard[at]))
             columns = [context[at], token[at], np.zeros(0, np.uint64) if top else prior[at], n]
             yield pa.RecordBatch.from_arrays(
@@ -279,30 +378,30 @@ def _count_grams(texts: DataFrame, k: int, order: int, shards: int, hot: np.ndar
         shard = key[0].as_py()
         context, token = (_join(table.column(c), np.uint64) for c in ("context", "token"))
         n = _join(table.column("n"), np.uint32).astype(np.int64)
-        keys, one, at = np.unique(pair_keys(context, token), return_index=True, return_inverse=True)
+        keys, one, at = distinct(pair_keys(context, token))
         times = np.bincount(at, n, len(keys)).astype(np.int64)
         if top:
             c = times
         else:
             prior = _join(table.column("prior"), np.uint64)
-            _, each = np.unique(pair_keys(keys[at], prior), return_index=True)
+            _, each, _ = distinct(pair_keys(keys[at], prior))
             each = each[prior[each] != 0]
             opens = prior == 0
             c = (np.bincount(at[each], minlength=len(keys)) + np.bincount(at[opens], n[opens], len(keys))).astype(np.int64)
         context, token = context[one], token[one]
         _save(f"{path}/grams{k}-{shard}", keys, c[None])
-        distinct, which = np.unique(context, return_inverse=True)
-        stats = np.stack([np.bincount(which, c, len(distinct)),
-                          *(np.bincount(which[m], minlength=len(distinct)) for m in (c == 1, c == 2, c >= 3))]).astype(np.int64)
-        common = np.isin(distinct, hot)
+        different, _, which = distinct(context)
+        stats = np.stack([np.bincount(which, c, len(different)),
+                          *(np.bincount(which[m], minlength=len(different)) for m in (c == 1, c == 2, c >= 3))]).astype(np.int64)
+        common = among(different, hot)
         plain = (stats[0] == 1) & (k > 2)  # one k-gram that counts one: known from the (k - 1)-grams
-        _save(f"{path}/contexts{k}-{shard}", distinct[~common & ~plain], stats[:, ~common & ~plain])
-        rows = [{"to": -1 - shard, "key": distinct[common].tobytes(), "stats": stats[:, common].T.tobytes()}
+        _save(f"{path}/contexts{k}-{shard}", different[~common & ~plain], stats[:, ~common & ~plain])
+        rows = [{"to": -1 - shard, "key": different[common].tobytes(), "stats": stats[:, common].T.tobytes()}
                 | {f"t{i}": int((c == i).sum()) for i in (1, 2, 3, 4)}]
         if k == 2:
-            word, at = np.unique(token, return_inverse=True)
+            word, _, at = distinct(token)
             to = (mix(word) % np.uint64(shards)).astype(np.int32)
-            by = np.argsort(to, kind="stable")
+            by = by_shard(to)
             occurs, types = np.bincount(at, times, len(word)).astype(np.int64), np.bincount(at, minlength=len(word))
             rows += [{"to": s, "word": word[by[r]].tobytes(), "count": occurs[by[r]].astype(np.int64).tobytes(),
                       "before": types[by[r]].astype(np.int64).tobytes()} for s, r in _groups(to[by])]
@@ -332,10 +431,10 @@ def _hot_stats(counted: DataFrame, hot: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, order: int = ORDER) -> Model:
+def train(docs: DataFrame, order: int = ORDER, written: DataFrame | None = None) -> Model:
     """Count the texts outside the held-out fold and store the model in the shared folder.
 
-    docs: doc_id, text.
+    docs: doc_id, text; ``written``: their tokens, if they were written before.
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
@@ -345,27 +444,23 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     shards = max(MIN_SHARDS, -(-size // SHARD_BYTES))
     turns = min(MAX_ROUNDS, max(1, -(-size // ROUND_BYTES)))
     hot = _hot_contexts(training, order, shards)
+    written = tokenized(docs) if written is None else written
     path = f"{shared_dir(spark)}/llm/ngrams-{uuid.uuid4().hex}"
-    ship_package(spark)
     hot_stats, discounts, by_word = [], [], None
     with _shuffles_removed(spark):
         for k in range(2, order + 1):
-            parts = [staged(_count_grams(training.select("text"), k, order, shards, hot[k - 2], path, t, turns), f"grams{k}")
-                     for t in range(turns)]
+            parts = [staged(_count_grams(written, k, order, shards, hot[k - 2], path, t, turns), f"grams{k}") for t in range(turns)]
             counted = parts[0]
             for part in parts[1:]:
                 counted = counted.unionAll(part)
-            found = counted.filter("to < 0").select("to", "t1", "t2", "t3", "t4").collect()
-            discounts.append(_discounts([sum(r[f"t{i}"] for r in found) for i in (1, 2, 3, 4)]))
-            for s in set(range(shards)) - {-1 - r["to"] for r in found}:  # shards without a k-gram
-                _save(f"{path}/grams{k}-{s}", np.zeros(0, np.uint64), np.zeros((1, 0), np.int64))
-                _save(f"{path}/contexts{k}-{s}", np.zeros(0, np.uint64), np.zeros((4, 0), np.int64))
+            once = counted.filter("to < 0").agg(*(F.coalesce(F.sum(f"t{i}"), F.lit(0)) for i in (1, 2, 3, 4))).first()
+            discounts.append(_discounts([int(x) for x in once]))
             hot_stats.append(_hot_stats(counted, hot[k - 2]))
             by_word = counted.filter("to >= 0") if k == 2 else by_word
 
         def words(key: tuple, table: pa.Table) -> pa.Table:
             shard = key[0].as_py()
-            word, at = np.unique(_join(table.column("word"), np.uint64), return_inverse=True)
+            word, _, at = distinct(_join(table.column("word"), np.uint64))
             stats = np.stack([np.bincount(at, _join(table.column(c), np.int64), len(word)) for c in ("count", "before")]).astype(np.int64)
             _save(f"{path}/words-{shard}", word, stats)
             out = {"shard": shard, "tokens": stats[0].sum(), "vocabulary": len(word), "types": stats[1].sum()}
@@ -373,29 +468,28 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
             return pa.table({c: pa.array([int(x)], pa.int64()) for c, x in out.items()})
 
         names = ["tokens", "vocabulary", "types", "u1", "u2", "u3", "u4", "u5"]
-        rows = (by_word.select(F.col("to").alias("shard"), "word", "count", "before").groupBy("shard")
-                .applyInArrow(words, ", ".join(f"{c} long" for c in ["shard", *names])).collect())
-    for s in set(range(shards)) - {r["shard"] for r in rows}:  # shards without a word
-        _save(f"{path}/words-{s}", np.zeros(0, np.uint64), np.zeros((2, 0), np.int64))
-    sums = {c: sum(r[c] for r in rows) for c in names}
+        found = (by_word.select(F.col("to").alias("shard"), "word", "count", "before").groupBy("shard")
+                 .applyInArrow(words, ", ".join(f"{c} long" for c in ["shard", *names])))
+        sums = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first().asDict()
     word_discounts = _discounts([sums[f"u{i}"] for i in (1, 2, 3, 4)])
     backoff = (word_discounts[1] * sums["u1"] + word_discounts[2] * sums["u2"] + word_discounts[3] * sums["u5"]) / max(1, sums["types"])
     return Model(path, order, shards, hot, hot_stats, sums["tokens"], sums["vocabulary"], sums["types"],
                  discounts, word_discounts, float(backoff))
 
 
-def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = train(docs, order)
+    written = tokenized(docs)
+    model = train(docs, order, written)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, target=SLICE):
-            n, known, base, score = model.scores(column(part, "text"))
+        for part in _token_slices(batches):
+            n, known, base, score = model.token_scores(part.token, part.before, part.first)
             yield pa.RecordBatch.from_arrays(
-                [column(part, "doc_id"), column(part, "held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+                [pa.array(part.ids, pa.int64()), pa.array(part.held), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                  pa.array(np.full(len(n), model.train_tokens), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return map_arrow(docs.withColumn("held_out", held_out()), step, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+    return map_arrow(written, step, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                      "train_tokens long, base_score double, score double")
