@@ -11,7 +11,7 @@ from urllib.parse import urlparse
 import numpy as np
 
 #: Maps that a worker keeps open, the least recently used going first; far below the system's usual limit of 65,530.
-MAX_OPEN = 16_384
+MAX_OPEN = 32_768
 _OPEN: OrderedDict[str, list[np.ndarray]] = OrderedDict()
 
 

@@ -45,8 +45,8 @@ from ticklake.llm.array_store import load, save
 from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices, staged
 from ticklake.llm.words import Words, mix
 
-SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 1 << 20, 16 << 20, 64, 1000
-ORDER, ROUND_BYTES, MAX_ROUNDS, TOKENS = 3, 64 << 20, 6, 700_000
+SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 1 << 20, 8 << 20, 64, 1000
+ORDER, ROUND_BYTES, MAX_ROUNDS, TOKENS = 3, 64 << 20, 6, 400_000
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
