@@ -45,8 +45,8 @@ from ticklake.llm.array_store import load, save
 from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices, staged
 from ticklake.llm.words import Words, mix
 
-SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 1 << 20, 8 << 20, 64, 1000
-ORDER, ROUND_BYTES, MAX_ROUNDS, TOKENS = 3, 64 << 20, 6, 400_000
+SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 3 << 20, 8 << 20, 64, 1000
+ORDER, ROUND_BYTES, MAX_ROUNDS, LOWER, TOKENS = 3, 64 << 20, 10, 5, 300_000
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -166,19 +166,23 @@ _TOKENS = "ids array<long>, held array<boolean>, sizes array<int>, words binary,
 
 def tokenized(docs: DataFrame) -> DataFrame:
     """The tokens of all texts, written once: per slice the documents (id, held out, tokens), the distinct
-    word hashes and each token's place among them."""
+    word hashes, common ones first, and each token's place among them (lowest bytes first, then the next
+    ones: what is left of the higher ones compresses)."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, target=SLICE):
             token, _, first = tokens(column(part, "text"))
             words, _, places = distinct(token)
-            places = places.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32)
+            common = np.argsort(-np.bincount(places))
+            rank = np.empty_like(common)
+            rank[common] = np.arange(len(common))
+            words, places = words[common], rank[places].astype("<u4").view(np.uint8).reshape(-1, 4).T
             one = [[column(part, "doc_id").to_pylist()], [column(part, "held_out").to_pylist()], [np.diff(first).astype(np.int32)],
                    [words.tobytes()], [places.tobytes()]]
             kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)],
                                              names=["ids", "held", "sizes", "words", "places"])
 
-    return staged(map_arrow(docs.select("doc_id", "text", held_out().alias("held_out")), step, _TOKENS), "tokens")
+    return staged(map_arrow(docs.select("doc_id", "text", held_out().alias("held_out")), step, _TOKENS), "tokens", compression="zstd")
 
 
 @dataclass
@@ -210,13 +214,13 @@ def _token_slices(batches: Iterator[pa.RecordBatch], training: bool = False) ->
     for batch in batches:
         for i in range(batch.num_rows):
             words = np.frombuffer(column(batch, "words")[i].as_buffer(), np.uint64)
-            places = column(batch, "places")[i].as_buffer()
+            places = np.frombuffer(column(batch, "places")[i].as_buffer(), np.uint8)
+            places = np.ascontiguousarray(places.reshape(4, -1).T).view("<u4")[:, 0]
             size = column(batch, "sizes")[i].values.to_numpy()
-            kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
             ids.append(column(batch, "ids")[i].as_py())
             held.append(np.array(column(batch, "held")[i].as_py(), bool))
             sizes.append(size)
-            found.append(words[np.frombuffer(places, kind)])
+            found.append(words[places])
             if sum(map(len, found)) >= TOKENS:
                 yield joined()
                 ids, held, sizes, found = [], [], [], []
@@ -449,7 +453,9 @@ def train(docs: DataFrame, order: int = ORDER, written: DataFrame | None = None)
     hot_stats, discounts, by_word = [], [], None
     with _shuffles_removed(spark):
         for k in range(2, order + 1):
-            parts = [staged(_count_grams(written, k, order, shards, hot[k - 2], path, t, turns), f"grams{k}") for t in range(turns)]
+            rounds = turns if k == order else -(-turns // LOWER)  # the arrays stored so far leave the top order the least room
+            parts = [staged(_count_grams(written, k, order, shards, hot[k - 2], path, t, rounds), f"grams{k}", compression="zstd")
+                     for t in range(rounds)]
             counted = parts[0]
             for part in parts[1:]:
                 counted = counted.unionAll(part)
