@@ -35,6 +35,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm.array_store import load, save
-from ticklake.llm.common import column, map_arrow, shared_dir, ship_package, slices, staged
+from ticklake.llm.common import column, map_arrow, remove_staged, shared_dir, ship_package, slices, staged
 from ticklake.llm.words import Words, mix
 
 SLICE, SHARD_BYTES, MIN_SHARDS, SAMPLE_DOCS = 3 << 20, 8 << 20, 64, 1000
@@ -450,33 +451,32 @@ def train(docs: DataFrame, order: int = ORDER, written: DataFrame | None = None)
     hot = _hot_contexts(training, order, shards)
     written = tokenized(docs) if written is None else written
     path = f"{shared_dir(spark)}/llm/ngrams-{uuid.uuid4().hex}"
-    hot_stats, discounts, by_word = [], [], None
+    names = ["tokens", "vocabulary", "types", "u1", "u2", "u3", "u4", "u5"]
+
+    def words(key: tuple, table: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        word, _, at = distinct(_join(table.column("word"), np.uint64))
+        stats = np.stack([np.bincount(at, _join(table.column(c), np.int64), len(word)) for c in ("count", "before")]).astype(np.int64)
+        _save(f"{path}/words-{shard}", word, stats)
+        out = {"shard": shard, "tokens": stats[0].sum(), "vocabulary": len(word), "types": stats[1].sum()}
+        out |= {f"u{i}": (stats[1] == i).sum() for i in (1, 2, 3, 4)} | {"u5": (stats[1] >= 3).sum()}
+        return pa.table({c: pa.array([int(x)], pa.int64()) for c, x in out.items()})
+
+    hot_stats, discounts, sums = [], [], {}
     with _shuffles_removed(spark):
         for k in range(2, order + 1):
             rounds = turns if k == order else -(-turns // LOWER)  # the arrays stored so far leave the top order the least room
             parts = [staged(_count_grams(written, k, order, shards, hot[k - 2], path, t, rounds), f"grams{k}", compression="zstd")
                      for t in range(rounds)]
-            counted = parts[0]
-            for part in parts[1:]:
-                counted = counted.unionAll(part)
+            counted = reduce(DataFrame.unionAll, parts)
             once = counted.filter("to < 0").agg(*(F.coalesce(F.sum(f"t{i}"), F.lit(0)) for i in (1, 2, 3, 4))).first()
             discounts.append(_discounts([int(x) for x in once]))
             hot_stats.append(_hot_stats(counted, hot[k - 2]))
-            by_word = counted.filter("to >= 0") if k == 2 else by_word
-
-        def words(key: tuple, table: pa.Table) -> pa.Table:
-            shard = key[0].as_py()
-            word, _, at = distinct(_join(table.column("word"), np.uint64))
-            stats = np.stack([np.bincount(at, _join(table.column(c), np.int64), len(word)) for c in ("count", "before")]).astype(np.int64)
-            _save(f"{path}/words-{shard}", word, stats)
-            out = {"shard": shard, "tokens": stats[0].sum(), "vocabulary": len(word), "types": stats[1].sum()}
-            out |= {f"u{i}": (stats[1] == i).sum() for i in (1, 2, 3, 4)} | {"u5": (stats[1] >= 3).sum()}
-            return pa.table({c: pa.array([int(x)], pa.int64()) for c, x in out.items()})
-
-        names = ["tokens", "vocabulary", "types", "u1", "u2", "u3", "u4", "u5"]
-        found = (by_word.select(F.col("to").alias("shard"), "word", "count", "before").groupBy("shard")
-                 .applyInArrow(words, ", ".join(f"{c} long" for c in ["shard", *names])))
-        sums = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first().asDict()
+            if k == 2:
+                found = (counted.filter("to >= 0").select(F.col("to").alias("shard"), "word", "count", "before").groupBy("shard")
+                         .applyInArrow(words, ", ".join(f"{c} long" for c in ["shard", *names])))
+                sums = found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first().asDict()
+            remove_staged(*parts)
     word_discounts = _discounts([sums[f"u{i}"] for i in (1, 2, 3, 4)])
     backoff = (word_discounts[1] * sums["u1"] + word_discounts[2] * sums["u2"] + word_discounts[3] * sums["u5"]) / max(1, sums["types"])
     return Model(path, order, shards, hot, hot_stats, sums["tokens"], sums["vocabulary"], sums["types"],
