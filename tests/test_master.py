@@ -122,3 +122,59 @@ def test_master_columns_are_matched_by_name(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError, match="lacks"):
         read_master_csv(spark, str(path))
+
+
+def test_files_are_stale_by_their_time(spark):
+    """08:30 of the day decides, also when it is not yet 08:30."""
+    import datetime as dt
+    import os
+
+    from ticklake.sources.master import files_need_refresh
+    path = tempfile.mkdtemp(prefix="stale-") + "/master"
+    ingest_master(read_master_csv(spark, _csv(ROWS))).coalesce(1).write.parquet(path)
+    def stale(written):
+        t = dt.datetime.fromisoformat(written).replace(tzinfo=dt.timezone.utc).timestamp()
+        for f in os.listdir(path):
+            os.utime(f"{path}/{f}", (t, t))
+        now = spark.createDataFrame([(dt.datetime(2024, 1, 2, h, m),) for h, m in ((7, 0), (8, 30), (9, 0))], "now_ts timestamp_ntz")
+        return [r.stale for r in files_need_refresh(spark, path, now).orderBy("now_ts").collect()]
+    assert stale("2024-01-02T06:59:00") == [True, True, True]     # the rule of the client: even at 07:00
+    assert stale("2024-01-02T08:30:00") == [True, True, True]
+    assert stale("2024-01-02T08:30:01") == [False, False, False]
+    assert stale("2024-01-01T20:00:00") == [True, True, True]
+
+
+def test_each_file_has_its_own_header(spark):
+    a = _csv(ROWS)
+    folder = tempfile.mkdtemp(prefix="headers-")
+    raw = spark.read.option("header", True).csv(a)
+    raw.coalesce(1).write.option("header", True).mode("append").csv(folder)
+    raw.select(*[F.col(f"`{c}`") for c in reversed(raw.columns)], F.lit("x").alias("NEW")).coalesce(1).write.option("header", True).mode("append").csv(folder)
+    one = ingest_master(read_master_csv(spark, a)).select("instrument_key", "lot_units", "expiry_date").collect()
+    both = ingest_master(read_master_csv(spark, folder)).select("instrument_key", "lot_units", "expiry_date").collect()
+    assert sorted(map(str, both)) == sorted(map(str, one + one))
+
+
+def test_unparsable_values_are_counted(spark):
+    from pyspark.sql import Observation
+    counts = Observation()
+    m = ingest_master(read_master_csv(spark, _csv(ROWS), "_bad"), counts, "_bad")
+    rows = m.collect()
+    assert "_bad" not in m.columns and counts.get["rows"] == len(rows)
+    bad = [r for r in rows if r.expiry_date_str and r.expiry_date is None]
+    assert counts.get["bad_dates"] == len(bad) > 0
+
+
+def test_keys_resolve_from_lists_records_and_rows(spark):
+    m = ingest_master(read_master_csv(spark, _csv(ROWS)))
+    keys = [r.instrument_key for r in m.select("instrument_key").limit(2).collect()]
+    def got(x):
+        out = lookup.resolve_keys(m, x).collect()
+        assert all(r.price_updates.ltp == 0.0 and r.order_updates is None for r in out)
+        return sorted(r.instrument_key for r in out)
+    assert got([*keys, keys[0], "no-such-key", 5]) == sorted(keys)
+    assert got([{"instrument_key": keys[0]}, "ignored"]) == keys[:1]
+    assert got(spark.createDataFrame([(k,) for k in keys], "instrument_key string")) == sorted(keys)
+    assert got([]) == []
+    made_up = m.limit(1).withColumn("instrument_key", F.lit("made-up"))
+    assert got(made_up) == ["made-up"]           # whole rows pass through

@@ -37,3 +37,29 @@ def test_a_later_reset_leaves_no_order(spark):
     assert kept.order_no == one.order_no
     all_gone = orders.latest_orders(found, spark.createDataFrame([(dt.datetime(2400, 1, 1), None)], schema))
     assert all_gone.where("order_no IS NOT NULL").count() == 0 and all_gone.count() == len(last)
+
+
+def test_membership_as_of_packets_matches_brute_force(spark):
+    import random
+
+    from ticklake.operators.subscriptions import membership_asof, registry_with_auto
+    rng = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    def at():
+        return base + dt.timedelta(seconds=rng.randrange(400))
+    log = [(i, at(), rng.choice("abc"), rng.choice(["SUBSCRIBE", "UNSUBSCRIBE"]), rng.choice(["QUOTE", "FULL", None])) for i in range(40)]
+    packets = [(i, 0, rng.choice("aaabcd"), at()) for i in range(300)]
+    want, state = {}, {}
+    events = [((t, 0, i), k, (a, m), None) for i, t, k, a, m in log] + [((t, 1, i), k, None, i) for i, _, k, t in packets]
+    for (t, _, _), k, action, packet in sorted(events):
+        if action:
+            state[k] = (action[1], t, False) if action[0] == "SUBSCRIBE" else None
+            continue
+        state[k] = state.get(k) or (None, t, True)
+        want[packet] = state[k]
+    df = spark.createDataFrame(packets, "frame_id long, packet_seq int, instrument_key string, recv_ts timestamp_ntz")
+    lf = spark.createDataFrame(log, "event_id long, ts timestamp_ntz, instrument_key string, action string, mode string")
+    got = {r.frame_id: (r.mode, r.since_ts, r.auto) for r in membership_asof(df, lf).collect()}
+    assert got == want
+    last = {r.instrument_key: (r.mode, r.since_ts) for r in registry_with_auto(lf, df).collect()}
+    assert last == {k: v[:2] for k, v in state.items() if v}

@@ -210,13 +210,26 @@ def option_chains(master: DataFrame, requests: DataFrame) -> DataFrame:
 # key resolution
 # ---------------------------------------------------------------------------
 
-def resolve_keys(master: DataFrame, keys: DataFrame, key_col: str = "instrument_key") -> DataFrame:
+def resolve_keys(master: DataFrame, keys: DataFrame | list[str] | list[dict], key_col: str = "instrument_key") -> DataFrame:
     """Distinct keys -> master rows + zeroed tick state.  Unknown keys
-    drop out (as the feed's filter does)."""
+    drop out (as the feed's filter does).
+
+    ``keys``: a table with the key column, a list of keys, a list of records
+    with an ``instrument_key`` (a list takes the form of its first entry, others
+    are ignored), or a table of whole instrument rows, which pass through
+    without a look-up."""
     from .ticks import default_state_struct
-    k = keys.select(F.col(key_col).alias("instrument_key")).distinct()
-    return (master.join(k, "instrument_key", "left_semi")
-            .withColumn("price_updates", default_state_struct())
+    if isinstance(keys, list):
+        kind = type(keys[0]) if keys else str
+        named = [k["instrument_key"] if kind is dict else k for k in keys if isinstance(k, kind)]
+        keys = master.sparkSession.createDataFrame([(k,) for k in named], "instrument_key string")
+        key_col = "instrument_key"
+    if set(INSTRUMENT_COLUMNS) <= set(keys.columns):
+        found = keys
+    else:
+        k = keys.select(F.col(key_col).alias("instrument_key")).distinct()
+        found = master.join(k, "instrument_key", "left_semi")
+    return (found.withColumn("price_updates", default_state_struct())
             .withColumn("order_updates", F.lit(None).cast("string")))
 
 

@@ -66,6 +66,40 @@ def q_master_latest_snapshot(spark, sf_dir):
     return latest_snapshot(early.unionByName(late)).select(*MASTER_COLUMNS, "snapshot_date")
 
 
+@query("master_needs_refresh")
+def q_master_needs_refresh(spark, sf_dir):
+    """S2 on real file times, asked at 07:00, 08:30 and 09:00 of the days before and after the file was written."""
+    from ..session import scratch_path
+    from ..sources.master import files_need_refresh
+    path = scratch_path(spark, "master")
+    _master(spark, sf_dir).write.parquet(path)
+    days = spark.read.parquet(path).select(F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("t")).agg(F.max("t").alias("t"))
+    clocks = F.array(*map(F.lit, ("07:00:00", "08:30:00", "09:00:00")))
+    asked = days.select(F.explode(F.array(F.lit(-1), F.lit(1))).alias("day"), "t").select("day", "t", F.explode(clocks).alias("clock"))
+    now = F.to_timestamp_ntz(F.concat(F.date_add(F.to_date("t"), F.col("day")).cast("string"), F.lit(" "), F.col("clock")))
+    asked = asked.select("day", "clock", now.alias("now_ts"))
+    return asked.join(files_need_refresh(spark, path, asked.select("now_ts")), "now_ts").select("day", "clock", "stale")
+
+
+@query("master_bad_values")
+def q_master_bad_values(spark, sf_dir):
+    """Values that do not parse are counted while the ingest job runs (expiry texts of every 10th and 7th row are spoilt)."""
+    from pyspark.sql import Observation
+
+    from ..session import scratch_path
+    from ..sources.master import ingest_master, read_master_csv
+    path = scratch_path(spark, "master-csv")
+    raw = fx.raw_master_from_part(fx.read_table(spark, sf_dir, "part"))
+    expiry, lots = F.col("SEM_EXPIRY_DATE"), F.col("SEM_LOT_UNITS").cast("string")
+    key = F.col("SEM_SMST_SECURITY_ID")
+    spoilt = F.when(key % 10 == 0, F.lit("2024-13-45 14:30:00")).when(key % 7 == 0, F.lit("2024-01-04 29:61:00")).otherwise(expiry)
+    raw.withColumns({"SEM_EXPIRY_DATE": spoilt, "SEM_LOT_UNITS": F.when(key % 11 == 0, F.lit("many")).otherwise(lots)}
+                    ).write.option("header", True).csv(path)
+    counts = Observation()
+    ingest_master(read_master_csv(spark, path, "_bad"), counts, "_bad").write.parquet(scratch_path(spark, "master"))
+    return spark.createDataFrame([{k: int(v) for k, v in counts.get.items()}], "rows long, bad_dates long, bad_times long, bad_lines long")
+
+
 # --- option chains (L4, A2, A3, P9, P11) ----------------------------------------
 
 @query("option_chain")
@@ -416,6 +450,13 @@ def q_drop_empty_columns(spark, sf_dir):
                                                        expiry_date="2024-01-18"))
 
 
+@query("drop_empty_columns_futures")
+def q_drop_empty_columns_futures(spark, sf_dir):
+    """P4 over every futures contract of the master: strike and option type are empty for all of them."""
+    from ..operators.display import drop_empty_columns
+    return drop_empty_columns(_master(spark, sf_dir).where(F.col("instrument_type").startswith("FUT")).select(*INSTRUMENT_COLUMNS))
+
+
 @query("vertical_view")
 def q_vertical_view(spark, sf_dir):
     from ..operators.display import vertical_view
@@ -613,17 +654,16 @@ def q_nearest_expiry_fut(spark, sf_dir):
     return lookup.nearest_expiry(m, fx.fixture_underlyings(m), of_fut=True)
 
 
-MID_MONTH = "2024-01-16 00:00:00"
-
-
-def _registry_parts(spark, sf_dir, cut: str = MID_MONTH):
+def _registry_parts(spark, sf_dir, twentieths: int = 10):
+    """The registry before a moment of the log's own time range, and the log from then on."""
     from ..operators.subscriptions import current_registry
     m = _master(spark, sf_dir)
     log = _control(spark, sf_dir, m)
-    mid = F.lit(cut).cast("timestamp_ntz")
-    before = current_registry(log.where(F.col("ts") < mid))
-    later = log.where(F.col("ts") >= mid)
-    return before, later
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = log.agg(F.min(us).alias("a"), F.max(us).alias("b"))
+    cut = ends.select(F.expr(f"a + (b - a) * {twentieths} div 20").alias("us")).scalar()
+    before = current_registry(log.where(us < cut))
+    return before, log.where(us >= cut)
 
 
 @query("registry_registered_unsubs")
@@ -637,7 +677,7 @@ def q_registry_registered_unsubs(spark, sf_dir):
 @query("registry_after_unsubscribe")
 def q_registry_after_unsubscribe(spark, sf_dir):
     from ..operators.subscriptions import unregister
-    reg, later = _registry_parts(spark, sf_dir, "2024-01-30 00:00:00")
+    reg, later = _registry_parts(spark, sf_dir, 19)
     return unregister(reg, later.where(F.col("action") == "UNSUBSCRIBE"))
 
 
@@ -675,3 +715,21 @@ def q_registered_ticks(spark, sf_dir):
     good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
     reg = sized_side(current_registry(_control(spark, sf_dir, m)).select("instrument_key"))
     return registered(good, reg).select("frame_id", "packet_seq", "instrument_key", "packet_type")
+
+
+@query("registry_with_auto")
+def q_registry_with_auto(spark, sf_dir):
+    """The registry after the whole log and all packets, which register their instruments themselves."""
+    from ..operators.subscriptions import registry_with_auto
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    return registry_with_auto(_control(spark, sf_dir, m), good)
+
+
+@query("registered_ticks_asof")
+def q_registered_ticks_asof(spark, sf_dir):
+    """Each packet with its instrument's registration at that moment."""
+    from ..operators.subscriptions import membership_asof
+    m = _master(spark, sf_dir)
+    good = decode.good(decode.price_packets(fx.fixture_price_frames(spark, sf_dir, m), m))
+    return membership_asof(good.select("frame_id", "packet_seq", "instrument_key", "recv_ts"), _control(spark, sf_dir, m))

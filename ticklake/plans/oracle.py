@@ -563,6 +563,9 @@ ORACLE["drop_empty_columns"] = _q("", """SELECT exchange, segment, security_id,
 WHERE exchange = 'NSE' AND trading_symbol = 'U4-Jan2024-FUT' AND instrument_type = 'FUTIDX'
   AND expiry_date_str = '2024-01-18'""")
 
+ORACLE["drop_empty_columns_futures"] = _q("", """SELECT exchange, segment, security_id, instrument_type, trading_symbol,
+  display_name, instrument_key, lot_units, tick_size, expiry_date_str, expiry_type FROM master WHERE instrument_type LIKE 'FUT%'""")
+
 ORACLE["vertical_view"] = _q("""
 eq AS (SELECT instrument_key, exchange, segment, CAST(security_id AS VARCHAR) AS security_id, instrument_type,
               trading_symbol, display_name, CAST(lot_units AS VARCHAR) AS lot_units,
@@ -662,7 +665,11 @@ ORACLE["nearest_expiry_fut"] = _q(UNDERLYINGS_CTE, f"""SELECT u.underlying, u.ex
 FROM master m JOIN und u ON m.exchange = u.exchange AND starts_with(m.trading_symbol, upper(u.underlying) || '-')
 WHERE {FUTURE_SHAPE} GROUP BY u.underlying, u.exchange""")
 
-_MID = "TIMESTAMP '2024-01-16 00:00:00'"
+def _of_log(twentieths: int) -> str:
+    return f"(SELECT make_timestamp(min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * {twentieths} // 20) FROM slog)"
+
+
+_MID = _of_log(10)
 
 
 def _reg_split(mid: str) -> str:
@@ -678,7 +685,7 @@ REG_SPLIT_CTE = _reg_split(_MID)
 ORACLE["registry_registered_unsubs"] = _q(REG_SPLIT_CTE, """SELECT event_id, instrument_key, ts FROM later
 WHERE action = 'UNSUBSCRIBE' AND instrument_key IN (SELECT instrument_key FROM reg0)""")
 
-ORACLE["registry_after_unsubscribe"] = _q(_reg_split("TIMESTAMP '2024-01-30 00:00:00'"), """SELECT instrument_key, mode, since_ts FROM reg0
+ORACLE["registry_after_unsubscribe"] = _q(_reg_split(_of_log(19)), """SELECT instrument_key, mode, since_ts FROM reg0
 WHERE instrument_key NOT IN (SELECT instrument_key FROM later WHERE action = 'UNSUBSCRIBE')""")
 
 ORACLE["registry_after_upsert"] = _q(REG_SPLIT_CTE + """,
@@ -692,3 +699,25 @@ ORACLE["stream_orders_latest"] = ORACLE["orders_latest"]
 
 ORACLE["registered_ticks"] = _pq(REGISTRY_CTE.replace("WITH ", ""), """SELECT frame_id, packet_seq, instrument_key,
   packet_type FROM pd WHERE instrument_key IN (SELECT instrument_key FROM reg)""")
+
+_PQ_LOG = REGISTRY_CTE.replace("WITH ", "")
+ORACLE["registry_with_auto"] = _pq(_PQ_LOG + """,
+final AS (SELECT instrument_key, action, mode, ts FROM lastact WHERE rn = 1)""", """
+SELECT instrument_key, mode, ts AS since_ts FROM final WHERE action = 'SUBSCRIBE'
+UNION ALL
+SELECT pd.instrument_key, NULL, min(pd.recv_ts) FROM pd LEFT JOIN final USING (instrument_key)
+WHERE final.action IS NULL OR (final.action = 'UNSUBSCRIBE' AND pd.recv_ts >= final.ts) GROUP BY pd.instrument_key""")
+
+ORACLE["registered_ticks_asof"] = _pq(_PQ_LOG + """,
+found AS (SELECT pd.frame_id, pd.packet_seq, pd.instrument_key, pd.recv_ts, slog.action, slog.mode, slog.ts
+          FROM pd ASOF LEFT JOIN slog ON pd.instrument_key = slog.instrument_key AND pd.recv_ts >= slog.ts)""", """
+SELECT frame_id, packet_seq, instrument_key, recv_ts, CASE WHEN action = 'SUBSCRIBE' THEN mode END AS mode,
+  CASE WHEN action = 'SUBSCRIBE' THEN ts ELSE min(recv_ts) OVER (PARTITION BY instrument_key, ts) END AS since_ts,
+  action IS DISTINCT FROM 'SUBSCRIBE' AS auto FROM found""")
+
+ORACLE["master_needs_refresh"] = """SELECT CAST(d.day AS INTEGER) AS day, c.clock, d.day = 1 AS stale
+FROM (VALUES (-1), (1)) d(day), (VALUES ('07:00:00'), ('08:30:00'), ('09:00:00')) c(clock)
+WHERE (SELECT count(*) FROM part) > 0"""
+
+ORACLE["master_bad_values"] = """SELECT count(*) AS rows, count(*) FILTER (p_partkey % 10 = 0) AS bad_dates,
+  count(*) FILTER (p_partkey % 7 = 0 AND p_partkey % 10 <> 0) AS bad_times, count(*) FILTER (p_partkey % 11 = 0) AS bad_lines FROM part"""
