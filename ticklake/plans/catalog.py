@@ -66,6 +66,17 @@ def q_master_latest_snapshot(spark, sf_dir):
     return latest_snapshot(early.unionByName(late)).select(*MASTER_COLUMNS, "snapshot_date")
 
 
+@query("master_scan_current")
+def q_master_scan_current(spark, sf_dir):
+    """S3: the current master of a folder of three snapshots; only the newest partition is read."""
+    from ..session import scratch_path
+    from ..sources.master import scan_master, write_snapshot
+    m, path = _master(spark, sf_dir), scratch_path(spark, "snapshots")
+    for day, lots in (("2024-01-02 07:00:00", 1), ("2024-01-03 09:00:00", 3), ("2024-01-02 09:00:00", 2)):
+        write_snapshot(m.withColumn("lot_units", F.col("lot_units") * lots), path, day)
+    return scan_master(spark, path).select(*MASTER_COLUMNS, "snapshot_date")
+
+
 @query("master_needs_refresh")
 def q_master_needs_refresh(spark, sf_dir):
     """S2 on real file times, asked at 07:00, 08:30 and 09:00 of the days before and after the file was written."""
@@ -329,9 +340,11 @@ def q_orders_decoded(spark, sf_dir):
 @query("orders_enriched")
 def q_orders_enriched(spark, sf_dir):
     m = _master(spark, sf_dir)
-    e = orders.enrich_orders(decode.good(_orders(spark, sf_dir, m)), m)
-    return e.select("frame_id", "packet_seq", "instrument_key", "order_no", "order_label", "disp_quantity",
-                    "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
+    return _whole_enriched(orders.enrich_orders(decode.good(_orders(spark, sf_dir, m)), m))
+
+
+def _whole_enriched(df: DataFrame) -> DataFrame:
+    return df.select(*ORDER_VIEW, "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
 
 
 @query("orders_by_frame")
@@ -599,9 +612,28 @@ def q_stream_orders(spark, sf_dir):
     m = _master(spark, sf_dir)
     path = scratch_path(spark, "order-frames")
     write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
-    out = _run_stream(spark, order_stream(stream_frames(spark, path), m), "append", "orders")
-    return out.select("frame_id", "packet_seq", "instrument_key", "order_no", "order_label", "disp_quantity",
-                      "inst_trading_symbol", "inst_display_name", "inst_type", "inst_lot_units")
+    return _whole_enriched(_run_stream(spark, order_stream(stream_frames(spark, path), m), "append", "orders"))
+
+
+@query("stream_order_callback")
+def q_stream_order_callback(spark, sf_dir):
+    """A user's callback sees every micro-batch after the sink has it; here it writes each frame's list of orders."""
+    from ..session import scratch_path
+    from ..sources.frames import stream_frames, write_frames
+    from ..streaming.orders import order_stream
+    from ..streaming.sinks import parquet_batch_writer, start, with_callback
+    m = _master(spark, sf_dir)
+    path, out, seen = (scratch_path(spark, n) for n in ("order-frames", "order-sink", "order-callback"))
+    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+
+    def on_orders(batch: DataFrame, batch_id: int) -> None:
+        per_frame = orders.orders_by_frame(batch.select("frame_id", "packet_seq", "recv_ts", "order_no"))
+        parquet_batch_writer(seen)(per_frame, batch_id)
+
+    start(order_stream(stream_frames(spark, path, max_files_per_trigger=2), m), with_callback(parquet_batch_writer(out), on_orders),
+          scratch_path(spark, "callback-ckpt")).awaitTermination()
+    return spark.read.parquet(seen).select("frame_id", "recv_ts", F.size("orders").alias("n_orders"),
+                                           F.array_join(F.transform("orders", lambda o: o["order_no"]), ",").alias("order_nos"))
 
 
 def _run_quarantine(spark, decoded, tag: str) -> DataFrame:

@@ -474,8 +474,8 @@ def _oq(body_ctes: str, select: str) -> str:
 
 ORACLE["orders_decoded"] = _oq("", f"SELECT {ORDER_VIEW_SQL} FROM ov")
 
-ORACLE["orders_enriched"] = _oq("", """SELECT ov.frame_id, ov.packet_seq, ov.instrument_key, ov.order_no,
-  ov.order_label, ov.disp_quantity, m.trading_symbol AS inst_trading_symbol, m.display_name AS inst_display_name,
+ORACLE["orders_enriched"] = _oq("", "SELECT " + ", ".join(f"ov.{c}" for c in ORDER_VIEW_SQL.split(", ")) + """,
+  m.trading_symbol AS inst_trading_symbol, m.display_name AS inst_display_name,
   m.instrument_type AS inst_type, m.lot_units AS inst_lot_units
 FROM ov LEFT JOIN master m ON m.instrument_key = ov.instrument_key""")
 
@@ -721,3 +721,8 @@ WHERE (SELECT count(*) FROM part) > 0"""
 
 ORACLE["master_bad_values"] = """SELECT count(*) AS rows, count(*) FILTER (p_partkey % 10 = 0) AS bad_dates,
   count(*) FILTER (p_partkey % 7 = 0 AND p_partkey % 10 <> 0) AS bad_times, count(*) FILTER (p_partkey % 11 = 0) AS bad_lines FROM part"""
+
+ORACLE["stream_order_callback"] = ORACLE["orders_by_frame"]
+
+ORACLE["master_scan_current"] = _q("", "SELECT " + MASTER_COLS.replace(
+    "lot_units,", "lot_units * 3 AS lot_units,") + ", DATE '2024-01-03' AS snapshot_date FROM master")
