@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ticklake.llm import near_dedup as nd
 from ticklake.llm.common import staged
@@ -134,3 +135,13 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert got == [(5, None, False), (5, None, False), (7, None, False), (8, 8, True), (None, None, True)]
     assert nd.groups(df.limit(0), 3, 85).count() == 0
     assert sorted(r.doc_id or 0 for r in nd.keep_first(df, 3, 85).collect()) == [0, 8]
+
+
+def test_keep_first_leaves_one_row_of_rows_that_share_an_id(spark):
+    from ticklake.llm.near_dedup import keep_first
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, text), (None, text), (1, text), (1, text), (1, other), (0, other), (None, "alone here"), (5, None), (5, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__extra", F.lit(1))
+    kept = sorted(((r.doc_id, r.text) for r in keep_first(df, 5, 80).collect()), key=str)
+    assert kept == sorted([(None, text), (0, other), (None, "alone here"), (5, None), (5, ""), (5, None)], key=str)

@@ -66,3 +66,34 @@ def test_keep_good_passes_columns_through(spark):
     docs = spark.createDataFrame([(1, "fine text", "a", 3)], "doc_id long, text string, label string, score int")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert [tuple(r) for r in qc.keep_good(docs, labels).collect()] == [(1, "fine text", "a", 3)]
+
+
+def test_long_documents_are_learned_from_all_over():
+    assert qc.spread(10, 30).tolist() == list(range(10, 30))
+    chosen = qc.spread(1000, 1000 + 640)
+    assert len(chosen) == len(set(chosen.tolist())) == qc.TRAIN_PASSAGES and chosen.min() < 1100 and chosen.max() > 1540
+    assert (np.diff(chosen) > 0).all()
+
+
+def test_scores_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(3)
+    n, sizes = 14 + qc.PROJECTED, [1, 3, 70, 2]
+    x = rng.normal(0, 1, (sum(sizes), n))
+    w = {"W": rng.normal(0, 1, (n, qc.HIDDEN)), "b": rng.normal(0, 1, qc.HIDDEN), "V": rng.normal(0, 1, (qc.HIDDEN, qc.ATTENTION)),
+         "U": rng.normal(0, 1, (qc.HIDDEN, qc.ATTENTION)), "a": rng.normal(0, 1, qc.ATTENTION), "c": rng.normal(0, 1, qc.HIDDEN), "d": np.array([0.3])}
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    model = qc.Model(np.zeros(n), np.ones(n), w)
+    for bag, got in enumerate(model.scores(x, first)):
+        h = [np.tanh(v @ w["W"] + w["b"]) for v in x[first[bag]:first[bag + 1]]]
+        e = np.array([(np.tanh(v @ w["V"]) / (1 + np.exp(-(v @ w["U"])))) @ w["a"] for v in h])
+        share = np.exp(e) / np.exp(e).sum()
+        z = sum(s * v for s, v in zip(share, h, strict=True))
+        assert abs(got - 1 / (1 + np.exp(-(z @ w["c"] + 0.3)))) < 1e-9
+
+
+def test_held_out_accuracy_of_long_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = {r.doc_id: r for r in qc.classify(docs, labels).collect()}
+    long_ids = {r.doc_id for r in docs.where("n_chars > 7000").select("doc_id").collect()}
+    held = [(out[r.doc_id].predicted, r.quality) for r in labels.collect() if r.doc_id in long_ids and out[r.doc_id].held_out]
+    assert len(held) > 20 and sum(p == q for p, q in held) >= 0.9 * len(held)

@@ -233,6 +233,13 @@ def groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id."""
-    kept = groups(docs, size, percent).filter("kept").select(F.col("doc_id").alias("__llm_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_kept")), "left_semi")
+    """``docs`` with one row of each group: one of those with the smallest id.
+
+    Rows are grouped by a number of their own, so rows that share an id, or
+    have none (these come before all others), are told apart."""
+    rows = staged(docs.withColumn("__llm_row", F.monotonically_increasing_id()), "numbered")
+    found = groups(rows.select(F.col("__llm_row").alias("doc_id"), "text"), size, percent)
+    ids = rows.select(F.col("__llm_row").alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNotNull().alias("named"), "id", "doc_id")).getField("doc_id")
+    kept = found.join(ids, "doc_id").groupBy("component_id").agg(first.alias("__llm_row")).select("__llm_row")
+    return rows.join(kept, "__llm_row", "left_semi").drop("__llm_row")

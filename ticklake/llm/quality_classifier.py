@@ -6,8 +6,9 @@ hash projection of its words).  A hidden layer, a gated attention (tanh branch
 times sigmoid branch, softmax over the document's passages) and a logistic
 output on the weighted passage representation are fitted to document labels
 alone, on the driver, from a bounded sample: at most ``TRAIN_DOCS`` labelled
-documents, those with the smallest hashes of their ids, of at most
-``TRAIN_PASSAGES`` passages each.  Scoring covers all documents and all
+documents, those with the smallest hashes of their ids, each with at most
+``TRAIN_PASSAGES`` passages (of a longer one, those with the smallest hashes of
+their places, spread over the whole document).  Scoring covers all documents and all
 passages, each task by itself.
 
 Cases: an empty or null text is one passage without words; null or missing
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import column, map_arrow, slices
-from ticklake.llm.words import Words
+from ticklake.llm.words import Words, mix
 
 PASSAGE = 64
 TRAIN_DOCS, TRAIN_PASSAGES = 6000, 64
@@ -143,6 +144,13 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def spread(first: int, end: int, most: int = TRAIN_PASSAGES) -> np.ndarray:
+    """Places of the passages to learn from: all of a short document, ``most`` of a long one, chosen by hash."""
+    places = np.arange(end - first, dtype=np.uint64)
+    chosen = np.argsort(mix(places + np.uint64(1)))[:most] if len(places) > most else places
+    return first + np.sort(chosen).astype(np.int64)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model:
     """Fit on the labelled documents outside the held-out fold (label column ``quality``)."""
     chosen = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
@@ -153,11 +161,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             features, first = encode(column(part, "text"))
-            blobs = [features[a:b].tobytes() if b - a <= TRAIN_PASSAGES else None for a, b in zip(first, first[1:], strict=False)]
+            blobs = [features[spread(a, b)].tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "label"), pa.array(blobs, pa.binary())],
                                              names=["doc_id", "label", "bag"])
 
-    rows = map_arrow(bags, step, "doc_id long, label double, bag binary").filter("bag IS NOT NULL").collect()
+    rows = map_arrow(bags, step, "doc_id long, label double, bag binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["bag"])))
     parts = [np.frombuffer(r["bag"], np.float32).reshape(-1, 14 + PROJECTED) for r in rows]
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
