@@ -111,8 +111,7 @@ def order_updates(frames: DataFrame, keep_personal: bool = False) -> DataFrame:
 
 
 def enrich_orders(orders: DataFrame, master: DataFrame) -> DataFrame:
-    """Attach the instrument (left join; the master is broadcast only
-    behind its size check)."""
+    """Attach the instrument (left join; Spark's own size check decides on a broadcast)."""
     inst = sized_side(master.select(
         "instrument_key", F.col("trading_symbol").alias("inst_trading_symbol"),
         F.col("display_name").alias("inst_display_name"), F.col("instrument_type").alias("inst_type"),

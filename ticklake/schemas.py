@@ -171,12 +171,6 @@ RAW_MASTER_SCHEMA = T.StructType([
     T.StructField("SEM_EXPIRY_FLAG", T.StringType()),
 ])
 
-FRAME_SCHEMA = T.StructType([
-    T.StructField("frame_id", T.LongType()),
-    T.StructField("recv_ts", T.TimestampType()),
-    T.StructField("frame", T.BinaryType()),
-])
-
 DEPTH_LEVEL = T.StructType([
     T.StructField("quantity", T.LongType()),
     T.StructField("price", T.DoubleType()),

@@ -107,8 +107,8 @@ _HEADER = [("code", "u1"), ("zero", "<u4"), ("sid", "<u4"), ("len", "u1"), ("typ
 
 def _body_fields(t: int):
     if t == 1:
-        return [("ltp", "<f4"), ("ltq", "<u2"), ("vol", "<u4"), ("avg", "<f4"), ("oi", "<u4"),
-                ("ltt", "<u4"), ("lut", "<u4")]
+        return [("ltp", "<f4"), ("last_qty", "<u2"), ("vol", "<u4"), ("avg", "<f4"), ("oi", "<u4"),
+                ("trade_time", "<u4"), ("update_time", "<u4")]
     if t == 2:
         out = []
         for i in range(5):
@@ -118,10 +118,10 @@ def _body_fields(t: int):
     if t == 3:
         return [("o", "<f4"), ("c", "<f4"), ("h", "<f4"), ("l", "<f4")]
     if t == 5:
-        return [("ltp", "<f4"), ("o", "<f4"), ("pc", "<f4"), ("h", "<f4"), ("l", "<f4"), ("ltt", "<u4")]
+        return [("ltp", "<f4"), ("o", "<f4"), ("prev_close", "<f4"), ("h", "<f4"), ("l", "<f4"), ("trade_time", "<u4")]
     if t == 6:
-        return [("tsq", "<u4"), ("tbq", "<u4"), ("bbq", "<u4"), ("baq", "<u4"), ("bbp", "<f4"),
-                ("bap", "<f4")]
+        return [("total_ask", "<u4"), ("total_bid", "<u4"), ("best_bid_qty", "<u4"), ("best_ask_qty", "<u4"), ("best_bid_price", "<f4"),
+                ("best_ask_price", "<f4")]
     if t == 29:
         return [("msg", "S3"), ("val", "<f4")]
     if t in (32, 33, 36):
@@ -134,8 +134,8 @@ def _body_fields(t: int):
 def _fill_body(t: int, rec, v, k, eid, s):
     f4 = np.float32
     if t == 1:
-        rec["ltp"] = v.astype(f4); rec["ltq"] = k; rec["vol"] = eid; rec["avg"] = v.astype(f4)
-        rec["oi"] = np.where(k % 10 == 0, 4294967295, 1000 + k); rec["ltt"] = s; rec["lut"] = s
+        rec["ltp"] = v.astype(f4); rec["last_qty"] = k; rec["vol"] = eid; rec["avg"] = v.astype(f4)
+        rec["oi"] = np.where(k % 10 == 0, 4294967295, 1000 + k); rec["trade_time"] = s; rec["update_time"] = s
     elif t == 2:
         for i in range(5):
             rec[f"bq{i}"] = k + i; rec[f"sq{i}"] = k + 2 * i
@@ -146,11 +146,11 @@ def _fill_body(t: int, rec, v, k, eid, s):
         rec["h"] = (v + 2).astype(f4); rec["l"] = (v - 1).astype(f4)
     elif t == 5:
         rec["ltp"] = v.astype(f4); rec["o"] = (v - 1).astype(f4)
-        rec["pc"] = np.where(k == 0, 0.0, v + 1).astype(f4)
-        rec["h"] = (v + 2).astype(f4); rec["l"] = (v - 2).astype(f4); rec["ltt"] = s
+        rec["prev_close"] = np.where(k == 0, 0.0, v + 1).astype(f4)
+        rec["h"] = (v + 2).astype(f4); rec["l"] = (v - 2).astype(f4); rec["trade_time"] = s
     elif t == 6:
-        rec["tsq"] = k; rec["tbq"] = np.where(k == 0, 0, 2 * k); rec["bbq"] = k + 1
-        rec["baq"] = k + 2; rec["bbp"] = v.astype(f4); rec["bap"] = (v + 0.05).astype(f4)
+        rec["total_ask"] = k; rec["total_bid"] = np.where(k == 0, 0, 2 * k); rec["best_bid_qty"] = k + 1
+        rec["best_ask_qty"] = k + 2; rec["best_bid_price"] = v.astype(f4); rec["best_ask_price"] = (v + 0.05).astype(f4)
     elif t == 29:
         rec["msg"] = b"OK"
         rec["val"] = np.asarray(STATUS_VALUE_CYCLE, dtype=f4)[k % 5]
