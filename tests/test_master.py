@@ -178,3 +178,44 @@ def test_keys_resolve_from_lists_records_and_rows(spark):
     assert got([]) == []
     made_up = m.limit(1).withColumn("instrument_key", F.lit("made-up"))
     assert got(made_up) == ["made-up"]           # whole rows pass through
+
+
+def test_batch_lookup_equals_a_scan(spark):
+    """Every batch against a plain scan: restrictions of other requests, repeated master rows, a null batch, -0.0."""
+    import random
+
+    from ticklake.functions.symbols import trading_symbol
+    from ticklake.schemas import INSTRUMENT_COLUMNS
+    rng = random.Random(5)
+    req = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice("AB"), rng.choice(["nse", "BSE"]), rng.choice(["OPTIDX", "FUTIDX", "EQUITY"]),
+            rng.choice(["2024-01-04", "2024-01-11", None]), rng.choice([100.0, 0.0, -0.0, None]), rng.choice(["CE", "PE", None])) for _ in range(60)]
+    requests = spark.createDataFrame(req, "batch_id long, instrument string, exchange string, instrument_type string, "
+                                          "expiry_date string, strike double, option_type string")
+    named = [r.asDict() for r in requests.withColumn("symbol", trading_symbol(
+        "instrument", "exchange", "instrument_type", F.col("expiry_date").cast("date"), "strike", "option_type")).collect()]
+    symbols = sorted({r["symbol"] for r in named if r["symbol"]})
+    rows = []
+    for i in range(400):
+        row = dict.fromkeys(INSTRUMENT_COLUMNS)
+        row.update(exchange=rng.choice(["NSE", "BSE"]), instrument_type=rng.choice(["OPTIDX", "FUTIDX", "EQUITY"]),
+                   trading_symbol=rng.choice(symbols), security_id=i // 2, strike_price=rng.choice([100.0, 0.0, -0.0, None]),
+                   option_type=rng.choice(["CE", "PE", None]), expiry_date_str=rng.choice(["2024-01-04", "2024-01-11", None]))
+        rows += [tuple(row.values())] * rng.choice([1, 1, 2])
+    types = {"security_id": "long", "lot_units": "double", "strike_price": "double", "tick_size": "double"}
+    master = spark.createDataFrame(rows, ", ".join(f"{c} {types.get(c, 'string')}" for c in INSTRUMENT_COLUMNS))
+
+    want = []
+    for batch in {r["batch_id"] for r in named}:
+        asked = [r for r in named if r["batch_id"] == batch]
+        keys = {(r["exchange"].upper(), r["instrument_type"], r["symbol"]) for r in asked}
+        sets = {m: {r[c] for r in asked if r[c] is not None} for c, m in lookup.RESTRICTIONS}
+        for values in rows:
+            row = dict(zip(INSTRUMENT_COLUMNS, values, strict=True))
+            if (row["exchange"], row["instrument_type"], row["trading_symbol"]) in keys and all(not s or row[m] in s for m, s in sets.items()):
+                want.append((batch, *values))
+    found = lookup.instruments_lookup(master, requests)
+    order = lambda r: tuple(map(str, ((x or 0.0) if isinstance(x, float) else x for x in r)))
+    assert len(want) > 20 and sorted(map(tuple, found.collect()), key=order) == sorted(want, key=order)
+    plan = lookup.instruments_lookup(master, requests)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    keyed = [line for line in plan.splitlines() if "hashpartitioning(_batch" in line or "hashpartitioning(_b#" in line]
+    assert plan.count("Join") == 2 and all("_kind" in k or "_k#" in k or "trading_symbol" in k or "_sym" in k for k in keyed)

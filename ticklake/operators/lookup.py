@@ -92,6 +92,32 @@ def instrument_lookup(master: DataFrame, instrument: str, exchange: str, instrum
     return master.where(_and(conds)).select(*INSTRUMENT_COLUMNS)
 
 
+# kinds of values that a batch may restrict: request column, master column (bit i for the i-th)
+RESTRICTIONS = (("expiry_date", "expiry_date_str"), ("strike", "strike_price"), ("option_type", "option_type"))
+SALTS = 16  # copies of what a batch restricts, so that a batch with most hits is read in as many places
+
+
+def _value_text(name: str) -> Column:
+    """Text under which equal values are equal (-0.0 as 0.0)."""
+    c = F.col(name)
+    return (c.cast("double") + F.lit(0.0)).cast("string") if name in ("strike", "strike_price") else c.cast("string")
+
+
+def _requested_values(req: DataFrame, batch_col: str) -> DataFrame:
+    """(batch, kind, value, met, asked): a row per value of a batch with its kind's
+    bit in ``met``, and under kind -1 the bits of all kinds that it restricts (``asked``)."""
+    asked = reduce(lambda a, b: a.bitwiseOR(b), (
+        F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, (c, _) in enumerate(RESTRICTIONS)))
+
+    def row(kind, value, met, asked):
+        return F.struct(F.lit(kind).alias("_kind"), value.alias("_value"), met.alias("_met"), asked.alias("_asked"))
+
+    rows = F.array(*(row(i, _value_text(c), F.lit(1 << i), F.lit(0)) for i, (c, _) in enumerate(RESTRICTIONS)),
+                   *(row(-1, F.lit(str(s)), F.lit(0), asked) for s in range(SALTS)))
+    return (req.select(F.col(batch_col).alias("_batch"), F.inline(rows)).where(F.col("_value").isNotNull())
+            .groupBy("_batch", "_kind", "_value").agg(F.bit_or("_met").alias("_met"), F.bit_or("_asked").alias("_asked")))
+
+
 def instruments_lookup(master: DataFrame, requests: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """P6/P7/J3 set form.
 
@@ -101,29 +127,32 @@ def instruments_lookup(master: DataFrame, requests: DataFrame, batch_col: str =
     symbol) equals a symbol built from one request of the batch, and —
     independently — its expiry / strike / option type is in the batch's set
     of requested values (each set applied only if the batch gave any value).
-    Every membership test is a join against a distinct set; nothing is
-    collected into one row.
+
+    Two joins: the symbols find the rows, then each row asks once per value it
+    has, and once for the kinds its batch restricts, in one table of requested
+    values; the bits met must hold all bits asked.  No step is keyed by the
+    batch alone.  Rows that the master holds twice come twice; requests of a
+    null batch are one batch.
     """
     req = requests.withColumn("_sym", trading_symbol(
         "instrument", "exchange", "instrument_type", F.col("expiry_date").cast("date"),
         "strike", "option_type"))
-    syms = req.select(batch_col, F.upper("exchange").alias("_x"), F.col("instrument_type").alias("_t"),
+    syms = req.select(F.col(batch_col).alias("_batch"), F.upper("exchange").alias("_x"), F.col("instrument_type").alias("_t"),
                       "_sym").where(F.col("_sym").isNotNull()).distinct()
-    hit = master.join(syms, (master.exchange == syms._x) & (master.instrument_type == syms._t)
-                      & (master.trading_symbol == syms._sym), "inner").drop("_x", "_t", "_sym")
-    for i, (req_col, master_col) in enumerate((("expiry_date", "expiry_date_str"),
-                                                ("strike", "strike_price"),
-                                                ("option_type", "option_type"))):
-        b, v, m, ab, a = (f"_b{i}", f"_v{i}", f"_m{i}", f"_ab{i}", f"_a{i}")
-        values = (req.where(F.col(req_col).isNotNull())
-                  .select(F.col(batch_col).alias(b), F.col(req_col).alias(v)).distinct()
-                  .withColumn(m, F.lit(True)))
-        asked = values.select(F.col(b).alias(ab)).distinct().withColumn(a, F.lit(True))
-        hit = (hit.join(values, (F.col(batch_col) == F.col(b)) & (F.col(master_col) == F.col(v)), "left")
-               .join(asked, F.col(batch_col) == F.col(ab), "left")
-               .where(F.col(m).isNotNull() | F.col(a).isNull())
-               .drop(b, v, m, ab, a))
-    return hit.select(batch_col, *INSTRUMENT_COLUMNS)
+    hit = (master.join(syms, (master.exchange == syms._x) & (master.instrument_type == syms._t)
+                       & (master.trading_symbol == syms._sym), "inner").select("_batch", *INSTRUMENT_COLUMNS))
+    salt = F.pmod(F.xxhash64(*INSTRUMENT_COLUMNS), F.lit(SALTS)).cast("string")
+    asks = F.array(*(F.struct(F.lit(i).alias("_kind"), _value_text(m).alias("_value")) for i, (_, m) in enumerate(RESTRICTIONS)),
+                   F.struct(F.lit(-1).alias("_kind"), salt.alias("_value")))
+    wanted = _requested_values(req, batch_col).withColumnsRenamed({"_batch": "_b", "_kind": "_k", "_value": "_v"})
+    found = (hit.select("*", F.inline(asks)).where(F.col("_value").isNotNull())
+             .join(wanted, F.col("_batch").eqNullSafe(F.col("_b")) & (F.col("_kind") == F.col("_k")) & (F.col("_value") == F.col("_v")), "left")
+             .groupBy("_batch", *INSTRUMENT_COLUMNS)
+             .agg(F.bit_or("_met").alias("_met"), F.bit_or("_asked").alias("_asked"),
+                  F.count_if(F.col("_kind") == -1).cast("int").alias("_copies")))
+    allowed = F.coalesce("_asked", F.lit(0)).bitwiseAND(F.bitwise_not(F.coalesce("_met", F.lit(0)))) == 0
+    return (found.where(allowed).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .select(F.col("_batch").alias(batch_col), *INSTRUMENT_COLUMNS))
 
 
 # ---------------------------------------------------------------------------
