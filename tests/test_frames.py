@@ -72,3 +72,28 @@ def test_order_split_and_decode(spark):
     assert r["order_date_time"] == "2024-01-02T09:15:00" and r["utf8_valid"]
     bad = [x for x in dec if x["frame_id"] == 4][0]
     assert bad["utf8_valid"] is False and bad["remarks"] == "A�B"
+
+
+def test_price_split_equals_a_plain_walk(spark):
+    """Frames of 0 to 3,000 packets, cut at any byte, against a walk in Python; null frames hold nothing."""
+    import datetime as dt
+    import random
+    rng = random.Random(11)
+    frames = []
+    for _ in range(120):
+        f = b"".join(_hdr(2, rng.randrange(9), n, 3) + rng.randbytes(n - 11) for n in rng.choices([11, 15, 27, 255, 43], k=rng.choice([0, 1, 4, 40])))
+        frames.append(f[:len(f) - rng.choice([0, 0, 1, 5, 12])] + rng.choice([b"", b"", b"\x01", rng.randbytes(30)]))
+    frames += [b"".join(_hdr(2, i, 11, 3) for i in range(3000)), b"\x00" * 9, b"\x00" * 10]
+    want = []
+    for i, f in enumerate(frames):
+        at, seq = 0, 0
+        while at < len(f):
+            left, n = len(f) - at, f[at + 9] if len(f) - at > 9 else 0
+            error = "short_frame" if left < 10 else "bad_length" if n < 11 else "truncated" if n > left else None
+            stop = at + n if error is None else len(f)
+            want.append((i, seq, f[at:stop], error))
+            at, seq = stop, seq + 1
+    df = _frames(spark, frames).repartition(3).unionByName(spark.createDataFrame([(-1, dt.datetime(2024, 1, 1), None)], SCHEMA))
+    got = [(r.frame_id, r.packet_seq, bytes(r.packet), r.split_error) for r in split_price_frames(df).collect()]
+    assert sorted(got, key=lambda r: r[:2]) == want
+    assert split_price_frames(df.limit(0)).count() == 0

@@ -1,20 +1,27 @@
-"""Frame splitters (B1, B2) as native higher-order expressions.
+"""Frame splitters (B1, B2).
 
 A frame is a concatenation of variable-length packets; each packet names its
-own length.  The walk is an ``aggregate`` over ``sequence(0, bound)`` whose
-accumulator carries (position, done, parts): it runs in the JVM on every
-executor, with no Python worker and no per-row serialisation.  ``bound`` is
-the most packets the frame could hold, so the walk always finishes.
+own length.  Price frames are cut over Arrow buffers: all frames of a batch
+step from packet to packet together, and since packets lie in a frame without
+gaps, the packets' bytes are the frames' bytes under finer offsets; nothing is
+copied and the work is linear in packets.  Order frames hold records of one
+length, whose offsets are plain arithmetic (a native expression; the walk over
+declared lengths is left to frames that are not whole).
 
 Output: one row per packet ``(frame_id, recv_ts, packet_seq, packet,
 split_error)``; a non-null ``split_error`` marks the bytes that could not be
-cut into a packet (quarantined downstream, D2/D6).
+cut into a packet (quarantined downstream, D2/D6).  Null and empty frames hold
+no packets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import HEADER_LEN, ORDER_PACKET_LEN
 
@@ -60,15 +67,55 @@ def _explode_parts(frames: DataFrame, parts_sql: str, frame_col: str) -> DataFra
 
 
 def split_price_frames(frames: DataFrame, frame_col: str = "frame") -> DataFrame:
-    """B1: walk by the length byte at offset 9.  A length below the header
-    size ends the walk ('bad_length'); fewer than 10 bytes left cannot hold
+    """B1: cut by the length byte at offset 9.  A length below the header
+    size ends the frame ('bad_length'); fewer than 10 bytes left cannot hold
     the length byte ('short_frame'); a packet running past the end is kept
     as 'truncated'."""
-    lb = _u8_at(frame_col, "acc.pos + 9")
-    parts = _walk(frame_col, step_len_sql=lb, min_room=10,
-                  max_steps_sql=f"CAST(length({frame_col}) DIV {HEADER_LEN} AS INT) + 1",
-                  bad_len_sql=f"{lb} < {HEADER_LEN}", stop_sql="false")
-    return _explode_parts(frames.where(F.col(frame_col).isNotNull()), parts, frame_col)
+    length_at, shortest, rows_out = 9, HEADER_LEN, 65536
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        reasons = np.array([None, "short_frame", "bad_length", "truncated"], object)
+        for batch in batches:
+            frame = batch.column(2).cast(pa.large_binary())  # 64-bit offsets for batches of any size
+            _, offset_buffer, bytes_buffer = frame.buffers()
+            ends = np.frombuffer(offset_buffer, np.int64)[frame.offset:frame.offset + len(frame) + 1]
+            if not len(frame) or ends[0] == ends[-1]:
+                continue
+            data = np.frombuffer(bytes_buffer, np.uint8)
+            owner = np.flatnonzero(ends[:-1] < ends[1:])
+            at, end = ends[owner], ends[owner + 1]
+            owners, starts, errors = [], [], []
+            while len(owner):
+                room = end - at
+                size = data[np.minimum(at + length_at, end - 1)].astype(np.int64)
+                error = np.select([room <= length_at, size < shortest, size > room], [1, 2, 3], 0)
+                owners.append(owner)
+                starts.append(at)
+                errors.append(error)
+                at = np.where(error == 0, at + size, end)
+                more = at < end
+                owner, at, end = owner[more], at[more], end[more]
+            start = np.concatenate(starts)
+            order = np.argsort(start)
+            start, owner, error = start[order], np.concatenate(owners)[order], np.concatenate(errors)[order]
+            seq = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            bounds = np.append(start, ends[-1])
+            for lo in range(0, len(owner), rows_out):
+                hi = min(lo + rows_out, len(owner))
+                cuts = bounds[lo:hi + 1]
+                packets = pa.Array.from_buffers(pa.binary(), hi - lo, [
+                    None, pa.py_buffer((cuts - cuts[0]).astype(np.int32)), bytes_buffer.slice(cuts[0], cuts[-1] - cuts[0])])
+                of = pa.array(owner[lo:hi])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(seq[lo:hi], pa.int32()), packets,
+                     pa.array(reasons[error[lo:hi]], pa.string())],
+                    names=["frame_id", "recv_ts", "packet_seq", "packet", "split_error"])
+
+    found = frames.where(F.col(frame_col).isNotNull()).select("frame_id", "recv_ts", frame_col)
+    schema = T.StructType([found.schema["frame_id"], found.schema["recv_ts"], T.StructField("packet_seq", T.IntegerType()),
+                           T.StructField("packet", T.BinaryType()), T.StructField("split_error", T.StringType())])
+    return found.mapInArrow(cut, schema)
 
 
 def split_order_frames(frames: DataFrame, frame_col: str = "frame") -> DataFrame:
