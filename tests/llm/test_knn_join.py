@@ -75,3 +75,21 @@ def test_zero_queries_with_small_cells(spark):
     rows += [(0, [0.0, 0.001, 0.0, 0.0]), (50, []), (100, [1.0, 0.0, 0.0, 0.0])]
     got = run(spark, rows, pivots=32)
     assert got == plain(rows, 5) and {r[0] for r in got} == {0, 50, 100}
+
+
+def test_data_goes_only_where_it_is_asked_for(spark, monkeypatch):
+    """Copies of a data row follow the questions to its own cell, however many queries there are elsewhere."""
+    monkeypatch.setattr(knn_join, "MAX_BLOCK", 10)
+    cells = spark.createDataFrame([(i, i % 4, 0.0, [i]) for i in range(80)], "vec_id long, cell int, far double, v array<long>")
+    queries = spark.createDataFrame([(i, [1], [0]) for i in range(95)] + [(100, [1], [0, 2])], "query_id long, q array<long>, cells array<int>")
+    data, asked = knn_join.deal(cells, queries, dict.fromkeys(range(4), 20), 4, 8)
+    copies = {r["cell"]: r["n"] for r in data.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    assert copies == {0: 20 * 10, 2: 20}  # 96 and 1 questions, none of cells 1 and 3
+    assert asked.count() == 96 * 3 + 3 and asked.select("cell", "block", "query_id").distinct().count() == 96 * 3 + 3
+
+
+def test_more_pivots_than_a_step_holds(spark, monkeypatch):
+    monkeypatch.setattr(knn_join, "STEP_CELLS", 200)
+    rng = random.Random(4)
+    rows = [(i, [f32(rng.gauss(0, 1)) for _ in range(3)]) for i in range(300)]
+    assert run(spark, rows, pivots=40) == plain(rows, 5)
