@@ -58,3 +58,27 @@ def test_repeated_rows_few_rows_and_empty_table(spark):
     for s in {r.shard for r in out}:
         assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
     assert sharding.shard_documents(df.limit(0), 16).count() == 0
+
+
+def test_whole_tree_equals_a_plain_tree(spark):
+    """Every leaf of 13 against recursive cuts of sorted lists."""
+    _, df = _docs(spark, 700, 21)
+    meta = staged(sharding.metadata(df), "t")
+    rows = meta.collect()
+    code = lambda r, d: r[f"_{d}"] >> sharding.TIE_BITS
+    whole = {d: max(1, max(code(r, d) for r in rows) - min(code(r, d) for r in rows)) for d in sharding.DIMENSIONS}
+
+    def tree(part, first, n):
+        if n == 1 or not part:
+            return {r.doc_id: first for r in part}
+        d = max(sharding.DIMENSIONS, key=lambda d: (max(code(r, d) for r in part) - min(code(r, d) for r in part)) / whole[d])
+        part = sorted(part, key=lambda r: r[f"_{d}"])
+        share = sum(r.size for r in part) * (n // 2) / n
+        run, k = 0, 0
+        while run + part[k].size < share:
+            run, k = run + part[k].size, k + 1
+        k += run + part[k].size - share <= share - run
+        return tree(part[:k], first, n // 2) | tree(part[k:], first + n // 2, n - n // 2)
+
+    got = {r.doc_id: r.shard for r in sharding.kd_shards(meta, shards=13).collect()}
+    assert got == tree(rows, 0, 13)
