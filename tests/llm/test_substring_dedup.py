@@ -65,6 +65,28 @@ def test_equals_brute_force(spark, seed, window, k):
     assert got == plain(docs, window)
 
 
+@pytest.mark.parametrize(("seed", "window", "k", "bits"), [(1, 50, 20, 5), (3, 50, 20, 1), (5, 8, 3, 8), (7, 6, 2, 3)])
+def test_colliding_hashes_change_nothing(spark, seed, window, k, bits):
+    docs = corpus(seed, window=window)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in sd.digests(df, window, k, bits).collect()}
+    assert got == plain(docs, window)
+
+
+def test_a_long_passage_is_one_path(spark):
+    rng = random.Random(5)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(3000)]
+    docs = [(d, " ".join(f"d{d}x{i}" for i in range(70)) + " " + " ".join(passage)) for d in range(4)]
+    taken = sd.edges(spark.createDataFrame(docs, "doc long, text string"))
+    kmers = {}
+    for r in taken.collect():
+        kmers.setdefault(r.kmer, []).append(r)
+    shared = [r for rows in kmers.values() if len(rows) == 4 and len({x.path for x in rows}) == 1 for r in rows]
+    found = sd.chains(spark.createDataFrame(shared, taken.schema)).collect()
+    assert len(shared) > 400 and len(found) == 1
+    assert found[0].total == sum(r.n for r in shared) // 4
+
+
 def test_every_window_takes_one_edge():
     rng = np.random.default_rng(0)
     texts = pa.array([" ".join(map(str, rng.integers(0, m, n))) for m, n in [(2, 500), (10**6, 700), (1, 90), (5, 49)]])
