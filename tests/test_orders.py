@@ -24,6 +24,20 @@ def test_frames_landed_twice_show_once(spark):
         assert {**r.asDict(), "orders_seen": 0} == {**once[key].asDict(), "orders_seen": 0}
 
 
+def test_order_record_is_what_the_decoder_returns(spark):
+    found = _orders(spark).schema
+    record = orders.order_record_type()
+    assert [(f.name, f.dataType) for f in record] == [(f.name, f.dataType) for f in found if f.name not in (*orders.ORD, "error")]
+
+
+def test_twins_of_all_text_fields(spark):
+    df = spark.createDataFrame([("7", "0042", "4 2", 1), ("", None, "x9", 2)], "series string, remarks string, symbol string, quantity int")
+    got = [(r.series_num, r.remarks_num, r.symbol_num) for r in orders.numeric_twins(df).orderBy("quantity").collect()]
+    assert got == [(7, 42, None), (None, None, None)]
+    kept = orders.numeric_twins(_orders(spark).limit(1))
+    assert len(set(kept.columns)) == len(kept.columns)
+
+
 def test_a_later_reset_leaves_no_order(spark):
     found = _orders(spark)
     last = orders.latest_orders(found).collect()

@@ -240,13 +240,15 @@ def option_chains(master: DataFrame, requests: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def resolve_keys(master: DataFrame, keys: DataFrame | list[str] | list[dict], key_col: str = "instrument_key") -> DataFrame:
-    """Distinct keys -> master rows + zeroed tick state.  Unknown keys
-    drop out (as the feed's filter does).
+    """Distinct keys -> master rows + zeroed tick state and an order record
+    that is null until an order comes.  Unknown keys drop out (as the feed's
+    filter does).
 
     ``keys``: a table with the key column, a list of keys, a list of records
     with an ``instrument_key`` (a list takes the form of its first entry, others
     are ignored), or a table of whole instrument rows, which pass through
     without a look-up."""
+    from .orders import order_record_type
     from .ticks import default_state_struct
     if isinstance(keys, list):
         kind = type(keys[0]) if keys else str
@@ -259,7 +261,7 @@ def resolve_keys(master: DataFrame, keys: DataFrame | list[str] | list[dict], ke
         k = keys.select(F.col(key_col).alias("instrument_key")).distinct()
         found = master.join(k, "instrument_key", "left_semi")
     return (found.withColumn("price_updates", default_state_struct())
-            .withColumn("order_updates", F.lit(None).cast("string")))
+            .withColumn("order_updates", F.lit(None).cast(order_record_type())))
 
 
 def requests_from_lists(spark, instruments: list[str], exchange: str, instrument_type: str,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import wire
 from ..functions.codes import order_label
@@ -21,6 +22,7 @@ from .joins import sized_side
 PKT = "packet"
 ORD = ["recv_ts", "frame_id", "packet_seq"]
 NUMERIC_TWINS = ["security_id", "exch_order_no", "order_no"]
+TEXT_FIELDS = [n for n, _, k in ORDER_LAYOUT if k == "c" or k.startswith("s")]
 TIME_FIELDS = [n for n, _, _ in ORDER_LAYOUT if n.endswith("_time")]
 
 
@@ -105,6 +107,25 @@ def decode_order_packets(packets: DataFrame, keep_personal: bool = False) -> Dat
     return out.withColumns({c: F.when(F.col("error").isNull(), F.col(c)) for c in fields + derived})
 
 
+def numeric_twins(orders: DataFrame) -> DataFrame:
+    """F19 for every text field: ``<name>_num`` is the number of an all-digit text, else null.
+
+    Twins and text fields that ``orders`` has or lacks are left so."""
+    have = set(orders.columns)
+    return orders.withColumns({f"{n}_num": digits_to_long(n) for n in TEXT_FIELDS if n in have and f"{n}_num" not in have})
+
+
+def order_record_type() -> T.StructType:
+    """The record of one decoded order: what ``decode_order_packets`` returns after the error, personal fields left out."""
+    kinds = {"i16": T.IntegerType(), "i32": T.IntegerType(), "f64": T.DoubleType()}
+    record = T.StructType([T.StructField(n, kinds.get(k, T.StringType())) for n, _, k in ORDER_LAYOUT if n not in ORDER_PERSONAL_FIELDS])
+    for n in [*(f"{n}_num" for n in NUMERIC_TWINS), "disp_remaining_quantity", "disp_traded_qty", "disp_quantity"]:
+        record.add(n, T.LongType())
+    for n in ("remarks_1", "order_label", "instrument_key"):
+        record.add(n, T.StringType())
+    return record.add("utf8_valid", T.BooleanType())
+
+
 def order_updates(frames: DataFrame, keep_personal: bool = False) -> DataFrame:
     from .frames import split_order_frames
     return decode_order_packets(split_order_frames(frames), keep_personal)

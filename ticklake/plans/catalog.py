@@ -337,6 +337,16 @@ def q_orders_decoded(spark, sf_dir):
     return decode.good(_orders(spark, sf_dir)).select(*ORDER_VIEW)
 
 
+@query("orders_decoded_whole")
+def q_orders_decoded_whole(spark, sf_dir):
+    """Every field of the record, all of them filled, with the numeric twin of every text field."""
+    from ..schemas import ORDER_LAYOUT
+    m = _master(spark, sf_dir)
+    o = orders.numeric_twins(decode.good(orders.order_updates(fx.whole_order_frames(spark, sf_dir, m), keep_personal=True)))
+    derived = [c for c in ORDER_VIEW if c not in {n for n, _, _ in ORDER_LAYOUT} and not c.endswith("_num")]
+    return o.select(*derived, *(n for n, _, _ in ORDER_LAYOUT), *(f"{n}_num" for n in orders.TEXT_FIELDS))
+
+
 @query("orders_enriched")
 def q_orders_enriched(spark, sf_dir):
     m = _master(spark, sf_dir)

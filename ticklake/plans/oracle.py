@@ -8,6 +8,8 @@ the oracle.  Shared CTEs are plain text prepended to each query.
 
 from __future__ import annotations
 
+from ..schemas import ORDER_LAYOUT
+
 # FIXED VALUES — same fixture rules as sources/fixtures.py, in SQL.
 MASTER_CTE = r"""
 m0 AS (
@@ -474,6 +476,27 @@ def _oq(body_ctes: str, select: str) -> str:
 
 ORACLE["orders_decoded"] = _oq("", f"SELECT {ORDER_VIEW_SQL} FROM ov")
 
+
+
+def _whole_orders() -> str:
+    """All fields of the record: those of ``ov`` and, by key and offset, the others; the number of every all-digit text."""
+    known = set(ORDER_VIEW_SQL.split(", ")) - {"validity", "trigger_price"}
+    rules = {
+        "i16": "CAST((okey * ({o} + 1)) % 65536 - 32768 AS INTEGER)",
+        "i32": "CAST((okey * 7919 + {o} * 104729) % 4294967296 - 2147483648 AS INTEGER)",
+        "f64": "CAST((okey % 100003) * 0.25 + {o} AS DOUBLE) * CASE WHEN okey % 2 = 1 THEN -1 ELSE 1 END",
+        "c": "chr(CAST(48 + (okey + {o}) % 43 AS INTEGER))",
+    }
+    text = "left(CASE WHEN (okey + {o}) % 2 = 0 THEN CAST(okey AS VARCHAR) ELSE '{o}-' || CAST(okey AS VARCHAR) END, {w})"
+    fields = [n if n in known else rules.get(k, text).format(o=off, w=k[1:]) + f" AS {n}" for n, off, k in ORDER_LAYOUT]
+    derived = [c for c in ORDER_VIEW_SQL.split(", ") if c not in {n for n, _, _ in ORDER_LAYOUT} and not c.endswith("_num")]
+    twins = [f"CASE WHEN regexp_full_match({n}, '[0-9]+') THEN TRY_CAST({n} AS BIGINT) END AS {n}_num"
+             for n, _, k in ORDER_LAYOUT if k == "c" or k.startswith("s")]
+    return _oq(f"whole AS (SELECT {', '.join(derived + fields)} FROM ov)", f"SELECT *, {', '.join(twins)} FROM whole")
+
+
+ORACLE["orders_decoded_whole"] = _whole_orders()
+
 ORACLE["orders_enriched"] = _oq("", "SELECT " + ", ".join(f"ov.{c}" for c in ORDER_VIEW_SQL.split(", ")) + """,
   m.trading_symbol AS inst_trading_symbol, m.display_name AS inst_display_name,
   m.instrument_type AS inst_type, m.lot_units AS inst_lot_units

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -397,6 +397,41 @@ def fixture_order_frames(spark: SparkSession, sf_dir: str, master: DataFrame | N
     return order_frames_from_orders(read_table(spark, sf_dir, "orders"), master)
 
 
+# Every field of the record filled: those that the fixtures above leave empty
+# take a value from the order's key and the field's offset.
+def _filled(off: int, kind: str) -> Column:
+    key = F.col("event_id")
+    if kind == "i16":
+        return ((key * (off + 1)) % 65536 - 32768).cast("int")
+    if kind == "i32":
+        return ((key * 7919 + off * 104729) % 4294967296 - 2147483648).cast("int")
+    if kind == "f64":
+        return ((key % 100003).cast("double") * 0.25 + off) * F.when(key % 2 == 1, -1.0).otherwise(1.0)
+    if kind == "c":
+        return F.chr(F.lit(48) + (key + off) % 43)
+    text = F.when((key + off) % 2 == 0, key.cast("string")).otherwise(F.concat(F.lit(f"{off}-"), key.cast("string")))
+    return F.substring(text, 1, int(kind[1:]))
+
+
+def whole_order_frames(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
+    """``fixture_order_frames`` with all fields of every record filled."""
+    master = master if master is not None else fixture_master(spark, sf_dir)
+    base = _order_inputs(read_table(spark, sf_dir, "orders"), master).drop("remarks", "keep_len")
+    have = set(base.columns)
+    rows = base.withColumns({n: _filled(off, kind) for n, off, kind in ORDER_LAYOUT if n not in have})
+    def encode(batches):
+        for b in batches:
+            out = np.zeros(b.num_rows, _order_dtype())
+            for n, _, kind in ORDER_LAYOUT:
+                values = b.column(n)
+                out[n] = values.to_numpy(zero_copy_only=False) if kind in ("i16", "i32", "f64") else [v.encode() for v in values.to_pylist()]
+            packets = pa.array([r.tobytes() for r in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("frame_id"), b.column("event_id"), b.column("recv_part"), packets],
+                                             names=["frame_id", "event_id", "recv_part", "packet"])
+
+    return _assemble_frames(rows.mapInArrow(encode, _PACKET_SCHEMA))
+
+
 # Malformed order frames, one per order, by position in a 4-cycle:
 #   0 length field 0          -> quarantine 'bad_length'
 #   1 length field 500        -> quarantine 'bad_length'
