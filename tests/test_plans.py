@@ -51,10 +51,10 @@ def test_decoder_stays_in_whole_stage_codegen(spark):
         plan = _plan(p)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # the projections right above the splitter's Generate decode the packet
+    # the projections right above the splitter (MapInArrow) decode the packet
     # (words -> floats -> typed columns): they must all be codegen stages
     ops = [ln for ln in plan.splitlines() if ln.startswith("(")]
-    gen = max(i for i, ln in enumerate(ops) if ") Generate" in ln)
+    gen = max(i for i, ln in enumerate(ops) if ") MapInArrow" in ln)
     decode_ops = []
     for ln in ops[gen + 1:]:
         if ") Project" not in ln:
