@@ -555,12 +555,19 @@ def _landed_control(spark, log):
     return stream_control(spark, path)
 
 
-def _landed_price_frames(spark, sf_dir, m):
+def _land(spark, frames, sf_dir, table: str, tag: str, packets_per_row: int = 1) -> str:
+    """Frames of packets made from a table, landed in files whose number grows with its rows."""
     from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
-    path = scratch_path(spark, "price-frames")
-    write_frames(fx.fixture_price_frames(spark, sf_dir, m), path)
-    return stream_frames(spark, path)
+    from ..sources.frames import ORDER_PACKETS, PRICE_PACKETS, files_for, write_frames
+    packets = fx.read_table(spark, sf_dir, table).count() * packets_per_row
+    path = scratch_path(spark, tag)
+    write_frames(frames, path, files_for(packets, ORDER_PACKETS if table == "orders" else PRICE_PACKETS))
+    return path
+
+
+def _landed_price_frames(spark, sf_dir, m):
+    from ..sources.frames import stream_frames
+    return stream_frames(spark, _land(spark, fx.fixture_price_frames(spark, sf_dir, m), sf_dir, "events", "price-frames"))
 
 
 def _stream_tick_latest(spark, sf_dir, log=None):
@@ -616,12 +623,10 @@ def q_stream_tick_snapshots_depth(spark, sf_dir):
 
 @query("stream_orders")
 def q_stream_orders(spark, sf_dir):
-    from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
+    from ..sources.frames import stream_frames
     from ..streaming.orders import order_stream
     m = _master(spark, sf_dir)
-    path = scratch_path(spark, "order-frames")
-    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+    path = _land(spark, fx.fixture_order_frames(spark, sf_dir, m), sf_dir, "orders", "order-frames")
     return _whole_enriched(_run_stream(spark, order_stream(stream_frames(spark, path), m), "append", "orders"))
 
 
@@ -629,12 +634,12 @@ def q_stream_orders(spark, sf_dir):
 def q_stream_order_callback(spark, sf_dir):
     """A user's callback sees every micro-batch after the sink has it; here it writes each frame's list of orders."""
     from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
+    from ..sources.frames import stream_frames
     from ..streaming.orders import order_stream
     from ..streaming.sinks import parquet_batch_writer, start, with_callback
     m = _master(spark, sf_dir)
-    path, out, seen = (scratch_path(spark, n) for n in ("order-frames", "order-sink", "order-callback"))
-    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+    out, seen = (scratch_path(spark, n) for n in ("order-sink", "order-callback"))
+    path = _land(spark, fx.fixture_order_frames(spark, sf_dir, m), sf_dir, "orders", "order-frames")
 
     def on_orders(batch: DataFrame, batch_id: int) -> None:
         per_frame = orders.orders_by_frame(batch.select("frame_id", "packet_seq", "recv_ts", "order_no"))
@@ -660,25 +665,21 @@ def _run_quarantine(spark, decoded, tag: str) -> DataFrame:
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
     """Every packet of a stream of good and malformed frames, with its reason."""
-    from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
+    from ..sources.frames import stream_frames
     from ..streaming.ticks import decoded_stream
     m = _master(spark, sf_dir)
-    path = scratch_path(spark, "mixed-price-frames")
     bad = fx.malformed_price_frames(fx.read_table(spark, sf_dir, "events"), m)
-    write_frames(fx.fixture_price_frames(spark, sf_dir, m).unionByName(bad), path)
+    path = _land(spark, fx.fixture_price_frames(spark, sf_dir, m).unionByName(bad), sf_dir, "events", "mixed-price-frames", packets_per_row=2)
     return _run_quarantine(spark, decoded_stream(stream_frames(spark, path), m), "quarantine")
 
 
 @query("stream_order_quarantine")
 def q_stream_order_quarantine(spark, sf_dir):
     """The same for order frames."""
-    from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
+    from ..sources.frames import stream_frames
     m = _master(spark, sf_dir)
-    path = scratch_path(spark, "mixed-order-frames")
     bad = fx.malformed_order_frames(fx.read_table(spark, sf_dir, "orders"), m)
-    write_frames(fx.fixture_order_frames(spark, sf_dir, m).unionByName(bad), path)
+    path = _land(spark, fx.fixture_order_frames(spark, sf_dir, m).unionByName(bad), sf_dir, "orders", "mixed-order-frames", packets_per_row=2)
     return _run_quarantine(spark, orders.order_updates(stream_frames(spark, path)), "order-quarantine")
 
 
@@ -736,12 +737,10 @@ def q_registry_after_upsert(spark, sf_dir):
 
 @query("stream_orders_latest")
 def q_stream_orders_latest(spark, sf_dir):
-    from ..session import scratch_path
-    from ..sources.frames import stream_frames, write_frames
+    from ..sources.frames import stream_frames
     from ..streaming.orders import latest_order_stream
     m = _master(spark, sf_dir)
-    path = scratch_path(spark, "order-frames")
-    write_frames(fx.fixture_order_frames(spark, sf_dir, m), path)
+    path = _land(spark, fx.fixture_order_frames(spark, sf_dir, m), sf_dir, "orders", "order-frames")
     last = _run_latest(spark, latest_order_stream(stream_frames(spark, path)), "orders-latest")
     return last.select("instrument_key", "orders_seen", *(c for c in ORDER_VIEW if c != "instrument_key"))
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: A task sorts and writes a file (half a GB of order packets), and a micro-batch of the callback query reads two.
+MIN_FILES, PRICE_PACKETS, ORDER_PACKETS = 4, 125_000, 500_000
+
 FRAME_SCHEMA = T.StructType([
     T.StructField("frame_id", T.LongType()),
     T.StructField("recv_ts", T.TimestampNTZType()),
@@ -43,9 +46,15 @@ def stream_control(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(CONTROL_SCHEMA).parquet(path)
 
 
+def files_for(packets: int, per_file: int) -> int:
+    """Number of files for so many packets: files keep their size and grow in number; 4 at least."""
+    return max(MIN_FILES, -(-packets // per_file))
+
+
 def write_frames(frames: DataFrame, path: str, files: int = 4) -> None:
     """Land frames as Parquet, each file a contiguous range of arrival order
-    (so a file-by-file stream sees frames in order)."""
+    (so a file-by-file stream sees frames in order).  One task sorts and writes
+    each file, and a reader takes it as a whole: see ``files_for``."""
     (frames.repartitionByRange(files, "recv_ts", "frame_id")
      .sortWithinPartitions("recv_ts", "frame_id")
      .write.mode("overwrite").parquet(path))
