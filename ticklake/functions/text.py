@@ -39,14 +39,14 @@ def time_seconds(col) -> Column:
 
 
 # Characters Python's str.strip() removes (ASCII and Latin-1 range).
-_PY_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+PY_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
 
 def strip_nul(col) -> Column:
     """Strip NULs at both ends, then blanks, then drop inner NULs (no regex:
     ``btrim`` with a character set, then ``replace``)."""
     c = F.btrim(_c(col), F.lit("\x00"))
-    c = F.btrim(c, F.lit(_PY_SPACE))
+    c = F.btrim(c, F.lit(PY_SPACE))
     return F.replace(c, F.lit("\x00"), F.lit(""))
 
 

@@ -5,8 +5,8 @@ price/order frame tables and the request tables are *derived* from
 ``part``, ``events`` and ``orders`` (see FIXTURES.md).  Every builder is a
 Spark job over the whole input table; the binary encoders run vectorised in
 NumPy inside ``mapInArrow`` (one Arrow batch at a time, no per-row Python),
-and frames are assembled with a native ``groupBy`` whose groups are bounded
-by construction (4 price packets / 2 order packets per frame).
+and frames are assembled there too, from inputs that Spark shuffled by frame
+and sorted.
 """
 
 from __future__ import annotations
@@ -176,11 +176,11 @@ def _fixed_width(col: pa.Array, width: int) -> np.ndarray:
     n = len(col)
     offsets = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset: col.offset + n + 1].astype(np.int64)
     data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+    lengths = np.minimum(np.diff(offsets), width)
+    row = np.repeat(np.arange(n), lengths)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     out = np.zeros((n, width), dtype=np.uint8)
-    for j in range(width):
-        pos = offsets[:-1] + j
-        ok = pos < offsets[1:]
-        out[ok, j] = data[pos[ok]]
+    out[row, place] = data[offsets[row] + place]
     return out.view(f"S{width}").ravel()
 
 
@@ -256,20 +256,71 @@ def _packet_inputs(events: DataFrame, master: DataFrame) -> DataFrame:
                 ts_to_wire_seconds(F.col("ts")).alias("s")))
 
 
-def _assemble_frames(packets: DataFrame) -> DataFrame:
-    """Packets -> frames in event order; groups hold a bounded 4 packets."""
-    return (packets.groupBy("frame_id")
-            .agg(F.max("recv_part").alias("recv_ts"),
-                 F.array_sort(F.collect_list(F.struct("event_id", "packet"))).alias("parts"))
-            .select("frame_id", "recv_ts",
-                    F.aggregate("parts", F.lit(b"").cast("binary"),
-                                lambda acc, x: F.concat(acc, x["packet"])).alias("frame")))
+_FRAME_SCHEMA = T.StructType([
+    T.StructField("frame_id", T.LongType()),
+    T.StructField("recv_ts", T.TimestampNTZType()),
+    T.StructField("frame", T.BinaryType()),
+])
+
+
+def _whole_frames(batches):
+    """Sorted batches cut anew, so that each ends with the last row of a frame."""
+    rest = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids = b.column("frame_id").to_numpy(zero_copy_only=False)
+        others = np.flatnonzero(ids != ids[-1])
+        cut = others[-1] + 1 if len(others) else 0
+        if rest and (cut or rest[-1].column("frame_id")[-1] != b.column("frame_id")[0]):
+            yield pa.concat_batches([*rest, b.slice(0, cut)])
+            rest = []
+        elif cut:
+            yield b.slice(0, cut)
+        rest.append(b.slice(cut))
+    if rest:
+        yield pa.concat_batches(rest)
+
+
+def _join_packets(batches):
+    """Encoded packets in order of frame and event -> frames: packets side by
+    side are the frame's bytes under coarser offsets.  Packets of one event
+    come in the order of their bytes."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        frame, event = (b.column(c).to_numpy(zero_copy_only=False) for c in ("frame_id", "event_id"))
+        packet = b.column("packet")
+        tied = (frame[1:] == frame[:-1]) & (event[1:] == event[:-1])
+        if tied.any():
+            order = np.arange(len(frame))
+            cuts = np.flatnonzero(np.concatenate([[True], ~tied, [True]]))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi - lo > 1:
+                    order[lo:hi] = sorted(range(lo, hi), key=lambda i: packet[i].as_py())
+            packet = packet.take(pa.array(order))
+        starts = np.flatnonzero(np.concatenate([[True], frame[1:] != frame[:-1]]))
+        offsets = np.frombuffer(packet.buffers()[1], np.int32)[packet.offset:packet.offset + len(frame) + 1]
+        never = np.iinfo(np.int64).min
+        at = b.column("recv_part").cast(pa.int64()).fill_null(never).to_numpy()
+        last = np.maximum.reduceat(at, starts)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("frame_id").take(pa.array(starts)), pa.array(last, mask=last == never).cast(pa.timestamp("us")),
+             pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets[np.append(starts, len(frame))]), packet.buffers()[2]])],
+            names=["frame_id", "recv_ts", "frame"])
+
+
+def _assemble_frames(inputs: DataFrame, encode) -> DataFrame:
+    """Packet inputs -> frames in event order.  The inputs, far narrower than
+    packets, are shuffled by frame and sorted; each task then encodes them and
+    joins the packets of a frame, which lie side by side."""
+    rows = inputs.repartition("frame_id").sortWithinPartitions("frame_id", "event_id")
+    return rows.mapInArrow(lambda batches: _join_packets(encode(_whole_frames(batches))), _FRAME_SCHEMA)
 
 
 def price_frames_from_events(events: DataFrame, master: DataFrame) -> DataFrame:
     """``(frame_id, recv_ts, frame)``: one packet per event, four per frame."""
-    packets = _packet_inputs(events, master).mapInArrow(_encode_price_batches, _PACKET_SCHEMA)
-    return _assemble_frames(packets)
+    return _assemble_frames(_packet_inputs(events, master), _encode_price_batches)
 
 
 def fixture_price_frames(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
@@ -325,18 +376,16 @@ def _order_dtype() -> np.dtype:
 
 def _encode_order_batches(batches):
     dt = _order_dtype()
-    text_fields = ["exchange", "segment", "security_id", "exch_order_no", "order_no", "order_type",
-                   "order_date_time", "exch_order_time", "last_updated_time", "splatform", "status",
-                   "remarks"]
     for b in batches:
         n = b.num_rows
         rec = np.zeros(n, dtype=dt)
-        for name in ["quantity", "traded_qty", "remaining_quantity", "lot_size", "msg_len"]:
-            rec[name] = b.column(name).to_numpy(zero_copy_only=False)
-        for name in ["price", "avg_traded_price", "tick_size"]:
-            rec[name] = b.column(name).to_numpy(zero_copy_only=False)
-        for name in text_fields:
-            rec[name] = _fixed_width(b.column(name), rec.dtype[name].itemsize)
+        for name, _, kind in ORDER_LAYOUT:
+            if name not in b.schema.names:
+                continue  # stays empty
+            if kind in ("i16", "i32", "f64"):
+                rec[name] = b.column(name).to_numpy(zero_copy_only=False)
+            else:
+                rec[name] = _fixed_width(b.column(name), rec.dtype[name].itemsize)
         keep = b.column("keep_len").to_numpy(zero_copy_only=False).astype(np.int64)
         lens = np.where(keep >= 0, np.minimum(keep, ORDER_PACKET_LEN), ORDER_PACKET_LEN)
         raw = rec.view(np.uint8).reshape(n, ORDER_PACKET_LEN)
@@ -356,7 +405,7 @@ def _encode_order_batches(batches):
 def _order_inputs(orders: DataFrame, master: DataFrame) -> DataFrame:
     inst = sized_side(master.select(
         F.col("security_id").alias("m_id"), F.col("exchange").alias("m_exchange"),
-        F.col("segment").alias("m_segment")))
+        F.col("segment").alias("m_segment")).where(F.col("m_id").between(1 - ORDER_SECURITY_MOD, ORDER_SECURITY_MOD - 1)))  # no remainder lies beyond
     o = orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
                       (F.col("o_orderkey") % ORDER_SECURITY_MOD).alias("sec"))
     qty = F.lit(100) + F.col("o_orderkey") % 500
@@ -388,8 +437,7 @@ def _order_inputs(orders: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def order_frames_from_orders(orders: DataFrame, master: DataFrame) -> DataFrame:
-    packets = _order_inputs(orders, master).mapInArrow(_encode_order_batches, _PACKET_SCHEMA)
-    return _assemble_frames(packets)
+    return _assemble_frames(_order_inputs(orders, master), _encode_order_batches)
 
 
 def fixture_order_frames(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
@@ -416,20 +464,10 @@ def _filled(off: int, kind: str) -> Column:
 def whole_order_frames(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
     """``fixture_order_frames`` with all fields of every record filled."""
     master = master if master is not None else fixture_master(spark, sf_dir)
-    base = _order_inputs(read_table(spark, sf_dir, "orders"), master).drop("remarks", "keep_len")
+    base = _order_inputs(read_table(spark, sf_dir, "orders"), master).drop("remarks")
     have = set(base.columns)
-    rows = base.withColumns({n: _filled(off, kind) for n, off, kind in ORDER_LAYOUT if n not in have})
-    def encode(batches):
-        for b in batches:
-            out = np.zeros(b.num_rows, _order_dtype())
-            for n, _, kind in ORDER_LAYOUT:
-                values = b.column(n)
-                out[n] = values.to_numpy(zero_copy_only=False) if kind in ("i16", "i32", "f64") else [v.encode() for v in values.to_pylist()]
-            packets = pa.array([r.tobytes() for r in out], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("frame_id"), b.column("event_id"), b.column("recv_part"), packets],
-                                             names=["frame_id", "event_id", "recv_part", "packet"])
-
-    return _assemble_frames(rows.mapInArrow(encode, _PACKET_SCHEMA))
+    fill = {n: _filled(off, kind) for n, off, kind in ORDER_LAYOUT if n not in have}
+    return _assemble_frames(base.withColumns(fill), _encode_order_batches)
 
 
 # Malformed order frames, one per order, by position in a 4-cycle:
