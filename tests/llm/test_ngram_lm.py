@@ -1,11 +1,13 @@
 """The language model against a plain dictionary implementation, probabilities that sum to one, and perplexity."""
 
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from ticklake.llm import ngram_lm as lm
@@ -176,3 +178,53 @@ def test_the_query_looks_at_two_words_before(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.score for r in op9_lm_scoring(spark, str(tmp_path)).collect()}
     assert got[held[0]] > got[held[1]] + 1
+
+
+def test_no_file_per_shard(spark, monkeypatch):
+    """Slices used to look into files of every shard, mapped at random; now shards answer them, and only the scores stay."""
+    from ticklake.llm.common import shared_dir
+    monkeypatch.setattr(lm, "SLICE", 300)
+    monkeypatch.setattr(lm, "MIN_SHARDS", 23)
+    monkeypatch.setattr(lm, "ROUND_BYTES", 2000)
+    folder = f"{shared_dir(spark)}/llm"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = corpus(seed=3, n=50)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = lm.score_documents(df)
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} == {"scores"}
+    assert {r.doc_id: r.score for r in got.collect()} == pytest.approx(plain_scores(docs, 3), rel=1e-9)
+
+
+def test_texts_without_words(spark):
+    """No k-gram above order 2 is asked for."""
+    docs = [(d, t) for d, t in enumerate([None, "", " ", "\t"] * 5)]
+    rows = lm.score_documents(spark.createDataFrame(docs, "doc_id long, text string"), 4).collect()
+    want = plain_scores(docs, 4)
+    assert len(rows) == 20 and all(r.n_tokens == 1 and r.score == pytest.approx(want[r.doc_id], rel=1e-9) for r in rows)
+
+
+def test_sorting_is_a_stable_argsort():
+    rng = np.random.default_rng(4)
+    high = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+    for x in (high, high[:1], high[:0], rng.choice(high[:50], 1000), np.arange(1000, dtype=np.uint64)[::-1] % np.uint64(7),
+              np.concatenate([high, high ^ np.uint64(1)])):  # the last two: hashes that differ in low bits only
+        assert (lm.sorting(x) == np.argsort(x, kind="stable")).all()
+        values, at, number = lm.distinct(x)
+        assert (values == np.unique(x)).all() and (x[at] == values).all() and (values[number] == x).all()
+
+
+def test_runs_of_numbers_survive():
+    sizes = np.array([0, 3, 0, 2, 1, 0])
+    x = np.array([0, 254, 255, 256, 2**40, 7])
+    low, apart = lm.small(np.stack([x, x[::-1]], axis=1), sizes, 2)
+    assert len(low) == len(apart) == 6
+    some = slice(1, 4)  # a part of an array, as Spark's batches may be
+    assert (lm.whole(low[some], apart[some], 2) == np.stack([x, x[::-1]], axis=1)[:5]).all()
+    again, found = lm.joined(lm.binaries(x, sizes), np.int64)
+    assert (again == x).all() and (found == sizes).all()
+
+
+def test_few_and_many_counts_of_a_context():
+    stats = np.array([[0, 0, 0, 0], [1, 1, 0, 0], [43, 15, 14, 0], [16, 16, 0, 0], [30, 0, 15, 0], [3, 0, 0, 1], [10**12, 300, 2**33, 255]])
+    code, low, apart = lm.coded(stats, np.array([2, 0, 5]))
+    assert (lm.decoded(code, low, apart) == stats).all() and (lm.decoded(code[1:], low[1:], apart[1:]) == stats[2:]).all()
